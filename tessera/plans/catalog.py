@@ -407,3 +407,381 @@ def q_routed_topk(spark, sf):
     b = routed.withColumnRenamed("vec_id", "bid")
     nn = vectors.nearest_k(q, b, 3, exclude_self=True, on="topic")
     return nn.select("qid", "topic", "rank", "bid", r6(F.col("dist")).alias("dist"))
+
+
+# --------------------------------------------------------------------------
+# ordered per-key operators on events: next symbol, every n-th, last writer,
+# cool-down, state machine
+# --------------------------------------------------------------------------
+
+from tessera.operators import graph, network, sequences, spatial, text, trees  # noqa: E402
+
+
+def _events(spark, sf):
+    return T(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+
+
+@register("next_symbol", """
+SELECT event_id, user_id, event_type, next_type FROM (
+  SELECT event_id, user_id, event_type,
+         lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_type,
+         lead(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nid
+  FROM events) WHERE nid IS NOT NULL
+""")
+def q_next_symbol(spark, sf):
+    return sequences.next_symbol(_events(spark, sf), ["user_id"], ["ts", "event_id"], "event_type",
+                                 "next_type").select("event_id", "user_id", "event_type", "next_type")
+
+
+@register("every_nth", """
+SELECT event_id, user_id, rn FROM (
+  SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  FROM events) WHERE (rn - 1) % 5 = 0
+""")
+def q_every_nth(spark, sf):
+    return prep.every_nth(_events(spark, sf), ["user_id"], ["ts", "event_id"], 5).select(
+        "event_id", "user_id", "rn")
+
+
+@register("last_writer", """
+SELECT user_id, day, event_id, event_type FROM (
+  SELECT user_id, CAST(ts AS DATE) AS day, event_id, event_type,
+         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS r
+  FROM events) WHERE r = 1
+""")
+def q_last_writer(spark, sf):
+    e = _events(spark, sf).withColumn("day", F.to_date("ts"))
+    return prep.keep_last(e, ["user_id", "day"], ["ts", "event_id"], ["event_id", "event_type"])
+
+
+@register("throttle", """
+WITH RECURSIVE e AS (
+  SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  FROM events),
+nx AS (SELECT a.user_id, a.rn, min(b.rn) AS j FROM e a LEFT JOIN e b
+       ON a.user_id = b.user_id AND b.ts >= a.ts + INTERVAL 86400 SECOND GROUP BY a.user_id, a.rn),
+acc(user_id, rn) AS (
+  SELECT user_id, rn FROM e WHERE rn = 1
+  UNION ALL
+  SELECT nx.user_id, nx.j FROM acc JOIN nx ON nx.user_id = acc.user_id AND nx.rn = acc.rn
+  WHERE nx.j IS NOT NULL)
+SELECT e.event_id, e.user_id, e.ts FROM e JOIN acc USING (user_id, rn)
+""")
+def q_throttle(spark, sf):
+    e = T(spark, sf, "events").select("event_id", "user_id", "ts")
+    return sequences.throttle(e, ["user_id"], "ts", "event_id", 24 * 3600).select(
+        "event_id", "user_id", "ts")
+
+
+# A purchase funnel over event types (state, symbol) -> state.
+# Errors keep the current state; anything not listed ends the sequence.
+FUNNEL = {
+    ("start", "signup"): "member", ("start", "view"): "visitor",
+    ("visitor", "view"): "visitor", ("visitor", "signup"): "member",
+    ("member", "view"): "browsing", ("browsing", "view"): "browsing",
+    ("browsing", "click"): "interested", ("interested", "click"): "interested",
+    ("interested", "view"): "browsing", ("interested", "purchase"): "buyer",
+    ("buyer", "view"): "browsing", ("buyer", "purchase"): "buyer",
+}
+for _st in ["start", "visitor", "member", "browsing", "interested", "buyer"]:
+    FUNNEL[(_st, "error")] = _st
+FUNNEL_ACCEPT = ["buyer"]
+_FUNNEL_VALUES = ", ".join(f"('{a}', '{b}', '{c}')" for (a, b), c in FUNNEL.items())
+
+
+@register("conforms", f"""
+WITH RECURSIVE e AS (
+  SELECT user_id, event_type AS sym,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+tr(st, sym, nx) AS (VALUES {_FUNNEL_VALUES}),
+walk(user_id, rn, st) AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT), 'start' FROM e
+  UNION ALL
+  SELECT w.user_id, e.rn, tr.nx FROM walk w
+  JOIN e ON e.user_id = w.user_id AND e.rn = w.rn + 1
+  JOIN tr ON tr.st = w.st AND tr.sym = e.sym),
+n AS (SELECT user_id, count(*) AS n FROM e GROUP BY user_id),
+s AS (SELECT user_id, max(rn) AS steps, arg_max(st, rn) AS st FROM walk GROUP BY user_id)
+SELECT n.user_id, n.n, CAST(s.steps AS BIGINT) AS steps_ok,
+       CASE WHEN s.steps = n.n THEN s.st END AS final_state,
+       s.steps = n.n AS prefix_ok, (s.steps = n.n AND s.st = 'buyer') AS complete_ok
+FROM n JOIN s USING (user_id)
+""")
+def q_conforms(spark, sf):
+    e = _events(spark, sf)
+    return sequences.conforms(e, ["user_id"], ["ts", "event_id"], "event_type", FUNNEL, "start",
+                              accept=FUNNEL_ACCEPT)
+
+
+# --------------------------------------------------------------------------
+# trees: best split, node statistics
+# --------------------------------------------------------------------------
+
+@register("best_split", """
+WITH g AS (SELECT l_quantity::DOUBLE AS v, count(*) AS n,
+                  CAST(sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END) AS BIGINT) AS c0,
+                  CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS c1
+           FROM lineitem GROUP BY 1),
+c AS (SELECT v, lead(v) OVER (ORDER BY v) AS vn,
+             CAST(sum(n) OVER w AS BIGINT) AS ln, CAST(sum(c0) OVER w AS BIGINT) AS l0,
+             CAST(sum(c1) OVER w AS BIGINT) AS l1
+      FROM g WINDOW w AS (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+t AS (SELECT CAST(sum(n) AS BIGINT) AS nn, CAST(sum(c0) AS BIGINT) AS t0,
+             CAST(sum(c1) AS BIGINT) AS t1 FROM g),
+s AS (SELECT (v + vn) / 2 AS threshold, ln, nn - ln AS rr, l0, l1, t0 - l0 AS r0, t1 - l1 AS r1, nn
+      FROM c, t WHERE vn IS NOT NULL),
+i AS (SELECT *, (ln * (1.0 - ((l0 / ln) * (l0 / ln) + (l1 / ln) * (l1 / ln)))
+                 + rr * (1.0 - ((r0 / rr) * (r0 / rr) + (r1 / rr) * (r1 / rr)))) / nn AS imp FROM s)
+SELECT 'l_quantity' AS feature, threshold, round(imp, 6) AS impurity, ln AS n_left, rr AS n_right
+FROM i ORDER BY imp, threshold LIMIT 1
+""")
+def q_best_split(spark, sf):
+    li = T(spark, sf, "lineitem").select(
+        "l_quantity", F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("is_r"))
+    b = trees.best_split(li, "l_quantity", "is_r")
+    return b.select("feature", "threshold", r6(F.col("impurity")).alias("impurity"), "n_left", "n_right")
+
+
+@register("node_stats", """
+WITH g AS (SELECT CAST(floor(l_extendedprice / 10000) AS BIGINT) AS node, count(*) AS samples,
+                  CAST(sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS BIGINT) AS c0,
+                  CAST(sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) AS BIGINT) AS c1,
+                  CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS c2
+           FROM lineitem GROUP BY 1)
+SELECT node, samples, [c0, c1, c2] AS value,
+       round(1.0 - ((c0 / samples) * (c0 / samples) + (c1 / samples) * (c1 / samples)
+                    + (c2 / samples) * (c2 / samples)), 6) AS gini,
+       CASE WHEN c0 >= c1 AND c0 >= c2 THEN 'A' WHEN c1 >= c2 THEN 'N' ELSE 'R' END AS class
+FROM g
+""")
+def q_node_stats(spark, sf):
+    li = T(spark, sf, "lineitem").select(
+        F.floor(F.col("l_extendedprice") / 10000).alias("node"), "l_returnflag")
+    s = trees.node_stats(li, "node", "l_returnflag")
+    return s.select("node", "samples", "value", r6(F.col("gini")).alias("gini"), "class")
+
+
+# --------------------------------------------------------------------------
+# text: blocks, question keys, unanswered questions
+# --------------------------------------------------------------------------
+
+_STRIP = TX.STRIP_PATTERN
+_KEY_SQL = (f"regexp_replace(lower(regexp_replace(text, '{_STRIP}', '', 'g')), "
+            r"'[^\p{L}\p{N}_]+', ' ', 'g')")
+
+
+@register("text_blocks", f"""
+SELECT doc_id, CAST(generate_subscripts(l, 1) AS INTEGER) AS block_id, unnest(l) AS text
+FROM (SELECT doc_id,
+             list_filter(list_transform(string_split_regex(text, '\\n+'),
+                                        lambda x: regexp_replace(x, '{_STRIP}', '', 'g')),
+                         lambda x: x <> '') AS l
+      FROM documents)
+""")
+def q_text_blocks(spark, sf):
+    d = T(spark, sf, "documents").select("doc_id", "text")
+    return text.text_blocks(d, "doc_id", "text", r"\n+")
+
+
+@register("clean_questions", f"""
+SELECT conv_id, turn, {_KEY_SQL} AS key FROM conversations WHERE role = 'user'
+""")
+def q_clean_questions(spark, sf):
+    c = T(spark, sf, "conversations").where(F.col("role") == "user")
+    return text.question_keys(c).select("conv_id", "turn", "key")
+
+
+@register("unanswered", f"""
+WITH q AS (SELECT conv_id, turn, {_KEY_SQL} AS key FROM conversations WHERE role = 'user'),
+a AS (SELECT conv_id, turn - 1 AS turn FROM conversations
+      WHERE role = 'assistant' AND length(regexp_replace(text, '{_STRIP}', '', 'g')) >= 20),
+cache AS (SELECT DISTINCT q.key FROM q JOIN a USING (conv_id, turn))
+SELECT key, count(*) AS n_asked FROM q
+WHERE NOT EXISTS (SELECT 1 FROM cache c WHERE c.key = q.key) GROUP BY key
+""")
+def q_unanswered(spark, sf):
+    conv = T(spark, sf, "conversations")
+    cache = text.answer_cache(conv)
+    q = text.question_keys(conv.where(F.col("role") == "user"))
+    return text.unanswered(q, cache).groupBy("key").agg(F.count(F.lit(1)).alias("n_asked"))
+
+
+# --------------------------------------------------------------------------
+# grid graph from part (row = size, column = brand number; missing = wall)
+# --------------------------------------------------------------------------
+
+def _part_cells(spark, sf):
+    return T(spark, sf, "part").select(
+        F.col("p_size").alias("r"), F.expr("CAST(substring(p_brand, 7) AS INT)").alias("c")).distinct()
+
+
+_CELLS_SQL = "SELECT DISTINCT p_size AS r, CAST(substr(p_brand, 7) AS INTEGER) AS c FROM part"
+_OFFSETS_SQL = ", ".join(f"({a}, {b}, {w})" for a, b, w in graph.NEIGHBOURS)
+
+
+@register("grid_edges", f"""
+WITH c AS ({_CELLS_SQL}), o(dr, dc, w) AS (VALUES {_OFFSETS_SQL})
+SELECT c.r AS src_r, c.c AS src_c, c.r + o.dr AS dst_r, c.c + o.dc AS dst_c, o.w
+FROM c, o WHERE EXISTS (SELECT 1 FROM c c2 WHERE c2.r = c.r + o.dr AND c2.c = c.c + o.dc)
+""")
+def q_grid_edges(spark, sf):
+    return graph.grid_edges(_part_cells(spark, sf)).select("src_r", "src_c", "dst_r", "dst_c", "w")
+
+
+@register("shortest_paths", f"""
+WITH RECURSIVE c AS ({_CELLS_SQL}), o(dr, dc, w) AS (VALUES {_OFFSETS_SQL}),
+e AS (SELECT c.r * 1000 + c.c AS src, (c.r + o.dr) * 1000 + (c.c + o.dc) AS dst, o.w
+      FROM c, o WHERE EXISTS (SELECT 1 FROM c c2 WHERE c2.r = c.r + o.dr AND c2.c = c.c + o.dc)),
+s AS (SELECT r * 1000 + c AS node FROM c ORDER BY r, c LIMIT 1),
+d(node, cost) USING KEY (node) AS (
+  SELECT node, CAST(0 AS BIGINT) FROM s
+  UNION
+  (SELECT e.dst, min(d.cost + e.w) FROM d JOIN e ON e.src = d.node
+   LEFT JOIN recurring.d r ON r.node = e.dst
+   GROUP BY e.dst HAVING min(d.cost + e.w) < coalesce(min(r.cost), 9223372036854775807)))
+SELECT CAST(node // 1000 AS INTEGER) AS r, CAST(node % 1000 AS INTEGER) AS c, CAST(cost AS BIGINT) AS cost
+FROM d
+""")
+def q_shortest_paths(spark, sf):
+    cells = _part_cells(spark, sf)
+    e = graph.grid_edges(cells).select(
+        (F.col("src_r") * 1000 + F.col("src_c")).alias("src"),
+        (F.col("dst_r") * 1000 + F.col("dst_c")).alias("dst"), "w")
+    src = cells.agg(F.min(F.struct("r", "c")).alias("m")).select(
+        (F.col("m.r") * 1000 + F.col("m.c")).alias("node"))
+    d = graph.shortest_paths(e, src)
+    return d.select((F.floor(F.col("node") / 1000)).cast("int").alias("r"),
+                    (F.col("node") % 1000).cast("int").alias("c"), F.col("cost").cast("bigint").alias("cost"))
+
+
+# --------------------------------------------------------------------------
+# rectangles from part; points from lineitem
+# --------------------------------------------------------------------------
+
+def _part_rects(spark, sf):
+    return T(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), (F.col("p_size") * 10).cast("double").alias("x"),
+        F.floor("p_retailprice").cast("double").alias("y"), F.lit(15.0).alias("w"),
+        (F.length("p_type") * 4).cast("double").alias("h"))
+
+
+_RECTS_SQL = ("SELECT p_partkey AS id, CAST(p_size * 10 AS DOUBLE) AS x, CAST(floor(p_retailprice) AS DOUBLE) AS y, "
+              "15.0::DOUBLE AS w, CAST(length(p_type) * 4 AS DOUBLE) AS h FROM part")
+
+
+@register("rect_overlap", f"""
+WITH r AS ({_RECTS_SQL})
+SELECT a.id AS a_id, b.id AS b_id FROM r a JOIN r b ON a.id < b.id
+ AND a.x < b.x + b.w AND b.x < a.x + a.w AND a.y < b.y + b.h AND b.y < a.y + a.h
+""")
+def q_rect_overlap(spark, sf):
+    return spatial.rect_overlap(_part_rects(spark, sf), cell=32.0)
+
+
+@register("point_in_rect", f"""
+WITH r AS ({_RECTS_SQL}),
+p AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_quantity * 10 AS px, 900 + l_discount * 10000 AS py
+      FROM lineitem)
+SELECT r.id AS rid, count(*) AS n_points FROM p JOIN r
+  ON r.x <= p.px AND p.px < r.x + r.w AND r.y <= p.py AND p.py < r.y + r.h
+GROUP BY r.id
+""")
+def q_point_in_rect(spark, sf):
+    li = T(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        (F.col("l_quantity") * 10).alias("px"), (F.lit(900) + F.col("l_discount") * 10000).alias("py"))
+    pr = spatial.points_in_rect(li, _part_rects(spark, sf), cell=32.0)
+    return pr.groupBy("rid").agg(F.count(F.lit(1)).alias("n_points"))
+
+
+# --------------------------------------------------------------------------
+# CSV round trip (S1, S2), network scoring (M11), layer edges
+# --------------------------------------------------------------------------
+
+@register("csv_roundtrip", """
+SELECT * FROM orders
+""")
+def q_csv_roundtrip(spark, sf):
+    from tessera.sources import tables
+
+    o = T(spark, sf, "orders")
+    path = tables.scratch_path(spark, "csv_roundtrip")
+    tables.write_table_csv(o, path)
+    return tables.read_table_csv(spark, path, schema=o.schema)
+
+
+# A 3-3-1 logistic network used as a scoring model.
+NET_LAYERS = [
+    {"weights": [[0.8, -1.2, 0.5], [-0.4, 0.9, 1.1], [1.5, 0.3, -0.7]],
+     "bias": [0.1, -0.2, 0.05], "squash": "LOGISTIC"},
+    {"weights": [[1.2, -0.8, 0.6]], "bias": [-0.3], "squash": "LOGISTIC"},
+]
+_NET_INPUTS_SQL = ["(l_quantity / 50)", "(l_discount * 10)", "(l_tax * 10)"]
+
+
+def _network_sql(inputs: list[str], layers: list[dict]) -> str:
+    acts = inputs
+    for layer in layers:
+        nxt = []
+        for row, b in zip(layer["weights"], layer["bias"]):
+            z = f"CAST({float(b)!r} AS DOUBLE)"
+            for w, a in zip(row, acts):
+                z = f"({z} + CAST({float(w)!r} AS DOUBLE) * {a})"
+            nxt.append(f"(1.0 / (1.0 + exp(-{z})))")
+        acts = nxt
+    return acts[0]
+
+
+@register("network_score", f"""
+SELECT l_orderkey, l_linenumber, round({_network_sql(_NET_INPUTS_SQL, NET_LAYERS)}, 6) AS score
+FROM lineitem
+""")
+def q_network_score(spark, sf):
+    li = T(spark, sf, "lineitem")
+    ins = [F.col("l_quantity") / 50, F.col("l_discount") * 10, F.col("l_tax") * 10]
+    s = network.score_network(li.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"),
+                              ins, NET_LAYERS)
+    return s.select("l_orderkey", "l_linenumber", r6(F.col("out0")).alias("score"))
+
+
+def _layers(spark, sf):
+    a = T(spark, sf, "region").select(F.col("r_regionkey").alias("id"), F.col("r_regionkey").alias("pos"))
+    b = T(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_nationkey").alias("pos"))
+    return a, b
+
+
+_LAYER_EDGES_SQL = """
+SELECT 'all_to_all' AS rule, r.r_regionkey AS "from", n.n_nationkey AS "to" FROM region r, nation n
+UNION ALL
+SELECT 'one_to_one', r.r_regionkey, n.n_nationkey FROM region r JOIN nation n ON r.r_regionkey = n.n_nationkey
+UNION ALL
+SELECT 'all_to_else', r.r_regionkey, n.n_nationkey FROM region r, nation n WHERE r.r_regionkey <> n.n_nationkey
+"""
+
+
+@register("layer_edges", _LAYER_EDGES_SQL)
+def q_layer_edges(spark, sf):
+    a, b = _layers(spark, sf)
+    parts = [network.layer_edges(a, b, rule).select(F.lit(rule).alias("rule"), "from", "to")
+             for rule in ("all_to_all", "one_to_one", "all_to_else")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("link_type", f"""
+WITH e AS ({_LAYER_EDGES_SQL}),
+s AS (SELECT rule, count(*) AS n_edges,
+             CAST(sum(CASE WHEN "from" = "to" THEN 1 ELSE 0 END) AS BIGINT) AS n_same_pos
+      FROM e GROUP BY rule),
+z AS (SELECT (SELECT count(*) FROM region) AS n_a, (SELECT count(*) FROM nation) AS n_b)
+SELECT rule, n_edges, n_same_pos, n_a, n_b,
+       CASE WHEN n_edges = n_a * n_b THEN 'all_to_all'
+            WHEN n_edges = n_a AND n_same_pos = n_a THEN 'one_to_one' ELSE 'other' END AS link
+FROM s, z
+""")
+def q_link_type(spark, sf):
+    a, b = _layers(spark, sf)
+    out = None
+    for rule in ("all_to_all", "one_to_one", "all_to_else"):
+        lt = network.link_type(network.layer_edges(a, b, rule), a, b).select(F.lit(rule).alias("rule"), "*")
+        out = lt if out is None else out.unionByName(lt)
+    return out
