@@ -2,11 +2,12 @@
 k-NN vote (G6, G7, J2, J3, J4, M9, G11, W3).
 
 Exhaustive search is what the reference does (a flat L2 index). Here the
-base side is broadcast only behind a size check: when it is larger than
-``max_broadcast_bytes`` it is cut into chunks that each fit, every chunk is
-searched with a broadcast nested-loop join and a per-query top-k, and the
-per-chunk winners are merged by a final top-k (at most ``k * chunks`` rows
-per query, so no group is unbounded). Nothing is collected to the driver.
+query side is broadcast only behind a size check (chunked when larger than
+``max_broadcast_bytes``); the base side is streamed through ``mapInPandas``
+in Arrow batches, distances are numpy float64 arithmetic inside the tasks,
+each partition keeps a running top-k per query, and a final top-k merges the
+partitions (at most ``k * partitions`` rows per query, so no group is
+unbounded). Centroids (one row per class) go through a broadcast join.
 """
 
 from __future__ import annotations
@@ -33,19 +34,17 @@ def centroids(df: DataFrame, key: str, vec: str, out: str = "centroid") -> DataF
     )
 
 
-def _chunks(df: DataFrame, id_col: str, vec: str, max_bytes: int):
-    """Split ``df`` into hash chunks whose vectors fit ``max_bytes`` each.
+def _query_chunks(queries: DataFrame, qid: str, vec: str, max_bytes: int):
+    """Split the query side into hash chunks whose vectors fit ``max_bytes``.
 
-    Size estimate: rows * (dim * 8 + 64). Two cheap aggregations, no collect
-    of data."""
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec)).alias("d")).first()
+    Size estimate from one aggregate: rows * (dim * 8 + 64)."""
+    stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec)).alias("d")).first()
     n, d = stats["n"], stats["d"] or 0
-    est = n * (d * 8 + 64)
-    k = max(1, math.ceil(est / max_bytes))
+    k = max(1, math.ceil(n * (d * 8 + 64) / max_bytes))
     if k == 1:
-        return [df]
-    bucket = F.pmod(F.xxhash64(F.col(id_col)), F.lit(k))
-    return [df.where(bucket == i) for i in range(k)]
+        return [queries]
+    bucket = F.pmod(F.xxhash64(F.col(qid)), F.lit(k))
+    return [queries.where(bucket == i) for i in range(k)]
 
 
 def _top_k(pairs: DataFrame, qid: str, k: int, order) -> DataFrame:
@@ -53,34 +52,88 @@ def _top_k(pairs: DataFrame, qid: str, k: int, order) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _partial_topk_fn(bc, k: int, exclude_self: bool, has_on: bool):
+    """Per base partition: squared L2 from every broadcast query to every base
+    row (float64, numpy), keeping a running top-k per query across batches."""
+    import numpy as np
+    import pandas as pd
+
+    def run(it):
+        q_ids, q_mat, q_on = bc.value
+        nq = len(q_ids)
+        best_d = np.full((nq, k), np.inf)
+        best_b = np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            b_ids = pdf["_b"].to_numpy(dtype=np.int64)
+            b_mat = np.stack(pdf["_bv"].to_numpy()).astype(np.float64)
+            b_on = pdf["_bon"].to_numpy() if has_on else None
+            for s in range(0, len(b_ids), 2048):
+                bm = b_mat[s:s + 2048]
+                bi = b_ids[s:s + 2048]
+                bo = b_on[s:s + 2048] if has_on else None
+                for q0 in range(0, nq, 32):
+                    qm = q_mat[q0:q0 + 32]
+                    diff = bm[None, :, :] - qm[:, None, :]
+                    dist = np.einsum("qbd,qbd->qb", diff, diff)
+                    if exclude_self:
+                        dist[q_ids[q0:q0 + 32, None] == bi[None, :]] = np.inf
+                    if has_on:
+                        dist[q_on[q0:q0 + 32, None] != bo[None, :]] = np.inf
+                    cd = np.concatenate([best_d[q0:q0 + 32], dist], axis=1)
+                    cb = np.concatenate([best_b[q0:q0 + 32],
+                                         np.broadcast_to(bi, dist.shape)], axis=1)
+                    order = np.lexsort((cb, cd), axis=1)[:, :k]
+                    best_d[q0:q0 + 32] = np.take_along_axis(cd, order, axis=1)
+                    best_b[q0:q0 + 32] = np.take_along_axis(cb, order, axis=1)
+        keep = np.isfinite(best_d)
+        qi = np.broadcast_to(np.arange(nq)[:, None], best_d.shape)[keep]
+        yield pd.DataFrame({"_q": q_ids[qi], "_b": best_b[keep], "dist": best_d[keep]})
+
+    return run
+
+
 def nearest_k(queries: DataFrame, base: DataFrame, k: int, qid: str = "qid", bid: str = "bid",
               vec: str = "vec", exclude_self: bool = False, on: str | None = None,
               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """The ``k`` nearest base rows of every query by squared L2,
-    ties -> lowest base id. ``queries(qid, vec[, on])``, ``base(bid, vec[, on])``.
-    Returns ``(qid, [on,] rank, bid, dist)``; fewer than k rows when the base
-    is smaller (the reference pads with -1 and reads the last block; we don't).
-    With ``on`` the search is restricted to equal values of that column."""
-    q = queries.select(F.col(qid).alias("_q"), F.col(vec).alias("_qv"),
-                       *([F.col(on).alias("_on")] if on else []))
+    ties -> lowest base id. ``queries(qid, vec[, on])``, ``base(bid, vec[, on])``
+    with integral ids. Returns ``(qid, [on,] rank, bid, dist)``; fewer than k
+    rows when the base is smaller (the reference pads with -1 and reads the
+    last block; we don't). With ``on`` only equal values of that column match.
+
+    The query side is broadcast in chunks that pass a size check; the base is
+    streamed once per chunk through ``mapInPandas`` (Arrow batches, numpy
+    distances) and each partition emits at most ``k`` rows per query; a final
+    top-k per query merges them (``k * partitions`` rows per query)."""
+    import numpy as np
+
+    spark = queries.sparkSession
+    b = base.select(F.col(bid).cast("long").alias("_b"), F.col(vec).alias("_bv"),
+                    *([F.col(on).alias("_bon")] if on else []))
     parts = []
-    for chunk in _chunks(base, bid, vec, max_broadcast_bytes):
-        b = F.broadcast(chunk.select(F.col(bid).alias("_b"), F.col(vec).alias("_bv"),
-                                     *([F.col(on).alias("_bon")] if on else [])))
-        cond = None
-        if on:
-            cond = F.col("_on") == F.col("_bon")
-        if exclude_self:
-            c2 = F.col("_q") != F.col("_b")
-            cond = c2 if cond is None else (cond & c2)
-        j = q.join(b, cond, "inner") if cond is not None else q.crossJoin(b)
-        j = j.select("_q", *(["_on"] if on else []), "_b", l2sq("_qv", "_bv").alias("dist"))
-        parts.append(_top_k(j, "_q", k, [F.col("dist"), F.col("_b")]).drop("rank"))
+    for chunk in _query_chunks(queries, qid, vec, max_broadcast_bytes):
+        cols = [F.col(qid).cast("long").alias("_q"), F.col(vec).alias("_qv")] + (
+            [F.col(on).alias("_on")] if on else [])
+        pdf = chunk.select(*cols).toPandas()  # bounded by the size check above
+        if len(pdf) == 0:
+            continue
+        q_ids = pdf["_q"].to_numpy(dtype=np.int64)
+        q_mat = np.stack(pdf["_qv"].to_numpy()).astype(np.float64)
+        q_on = pdf["_on"].to_numpy() if on else None
+        bc = spark.sparkContext.broadcast((q_ids, q_mat, q_on))
+        fn = _partial_topk_fn(bc, k, exclude_self, on is not None)
+        parts.append(b.mapInPandas(fn, "_q long, _b long, dist double"))
+    if not parts:
+        return spark.createDataFrame([], f"{qid} long, rank int, {bid} long, dist double")
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
-    res = _top_k(allp, "_q", k, [F.col("dist"), F.col("_b")]) if len(parts) > 1 else \
-        _top_k(parts[0], "_q", k, [F.col("dist"), F.col("_b")])
+    res = _top_k(allp, "_q", k, [F.col("dist"), F.col("_b")])
+    if on:
+        qon = queries.select(F.col(qid).cast("long").alias("_q"), F.col(on).alias("_on"))
+        res = res.join(qon, "_q")
     cols = [F.col("_q").alias(qid)] + ([F.col("_on").alias(on)] if on else []) + [
         F.col("rank"), F.col("_b").alias(bid), F.col("dist")]
     return res.select(*cols)

@@ -785,3 +785,159 @@ def q_link_type(spark, sf):
         lt = network.link_type(network.layer_edges(a, b, rule), a, b).select(F.lit(rule).alias("rule"), "*")
         out = lt if out is None else out.unionByName(lt)
     return out
+
+
+# --------------------------------------------------------------------------
+# Spark ML plans (rows-only checks: fitted models are compared by bounds in
+# the tests, not by value)
+# --------------------------------------------------------------------------
+
+from tessera.plans import models  # noqa: E402
+from tessera.sources.tables import scratch_path  # noqa: E402
+
+DOC_FEATURES = ["n_chars", "n_words", "n_lines"]
+
+
+def _doc_features(spark, sf):
+    d = T(spark, sf, "documents").select(
+        "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split(F.col("text"), r"\s+")).cast("double").alias("n_words"),
+        F.size(F.split(F.col("text"), "\n")).cast("double").alias("n_lines"))
+    lab = T(spark, sf, "labels")
+    return d.join(lab, "doc_id")
+
+
+def _split_docs(spark, sf):
+    f = _doc_features(spark, sf)
+    s = prep.stratified_split(f, "doc_id", "quality", 20, 42)
+    return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+
+
+@register("fit_tree")
+def q_fit_tree(spark, sf):
+    train, _ = _split_docs(spark, sf)
+    m = models.fit_tree(train, DOC_FEATURES, "quality", max_depth=5)
+    return models.tree_table(m, DOC_FEATURES, [0, 1], scratch_path(spark, "tree"))
+
+
+@register("multi_tree")
+def q_multi_tree(spark, sf):
+    train, test = _split_docs(spark, sf)
+    ms = models.fit_multi_tree(train, DOC_FEATURES, ["quality", "toxic"], max_depth=5)
+    return models.score_multi(test, ms, ["doc_id", "quality", "toxic"])
+
+
+@register("fit_mlp")
+def q_fit_mlp(spark, sf):
+    train, test = _split_docs(spark, sf)
+    m = models.fit_mlp(train, DOC_FEATURES, "quality", hidden=(16, 8), max_iter=500)
+    return metrics.accuracy(m.transform(test), "quality", "pred_quality")
+
+
+@register("compare_models")
+def q_compare_models(spark, sf):
+    train, test = _split_docs(spark, sf)
+    ms = {"tree": models.fit_tree(train, DOC_FEATURES, "quality"),
+          "mlp": models.fit_mlp(train, DOC_FEATURES, "quality", hidden=(8, 4), max_iter=500)}
+    return models.compare_models(test, ms, "quality")
+
+
+@register("pca_nearest")
+def q_pca_nearest(spark, sf):
+    emb = T(spark, sf, "embeddings")
+    pca = models.fit_pca(emb, "embedding", 8)
+    pc = models.project_pca(pca, emb, "embedding")
+    q = pc.select(F.col("vec_id").alias("qid"), F.col("pc").alias("vec"))
+    nn = vectors.nearest_k(q, q.withColumnRenamed("qid", "bid"), 1, exclude_self=True)
+    lab = emb.select("vec_id", "label")
+    return (nn.join(lab.withColumnRenamed("vec_id", "qid"), "qid")
+            .join(lab.select(F.col("vec_id").alias("bid"), F.col("label").alias("nn_label")), "bid")
+            .select("qid", "bid", "label", "nn_label", r6(F.col("dist")).alias("dist")))
+
+
+@register("lsh_neighbours")
+def q_lsh_neighbours(spark, sf):
+    emb = T(spark, sf, "embeddings")
+    return models.lsh_pairs(emb, "vec_id", "embedding", threshold=1.2, bucket_length=1.0)
+
+
+@register("vectorize_text")
+def q_vectorize_text(spark, sf):
+    d = T(spark, sf, "documents").select("doc_id", "text")
+    m = models.fit_text_vectors(d, "text", 1 << 16)
+    return m.transform(d).select("doc_id", F.size(F.array_distinct("_tok")).alias("n_terms"), "vector")
+
+
+@register("prompt_table")
+def q_prompt_table(spark, sf):
+    """Unanswered user questions -> routed top-3 paragraphs -> prompt."""
+    from tessera.plans import retrieval
+
+    conv = T(spark, sf, "conversations")
+    docs = T(spark, sf, "documents").select("doc_id", "lang", "text")
+    blocks = text.text_blocks(docs, "doc_id", "text", r"\n+").join(docs.select("doc_id", "lang"), "doc_id")
+    blocks = blocks.select(retrieval.block_key("doc_id", "block_id").alias("bid"),
+                           F.col("lang").alias("topic"), "text")
+    qs = conv.where(F.col("role") == "user").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("qid"), "text")
+    return retrieval.retrieve(qs, blocks, k=3, cache=text.answer_cache(conv))
+
+
+# --------------------------------------------------------------------------
+# streaming (availableNow over the table files; outputs read back)
+# --------------------------------------------------------------------------
+
+from tessera.streaming import streams  # noqa: E402
+
+
+def _event_stream(spark, sf):
+    schema = T(spark, sf, "events").schema
+    return streams.read_stream(spark, sf, schema, glob="events.parquet")
+
+
+@register("stream_capture", """
+SELECT event_id, user_id, ts, event_type FROM events WHERE event_type <> 'error'
+""")
+def q_stream_capture(spark, sf):
+    s = _event_stream(spark, sf).select("event_id", "user_id", "ts", "event_type")
+    return streams.run_available(streams.capture(s, F.col("event_type") != "error"), "capture")
+
+
+@register("stream_score", SQL["network_score"])
+def q_stream_score(spark, sf):
+    li = T(spark, sf, "lineitem")
+    s = streams.read_stream(spark, sf, li.schema, glob="lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+
+    def score(df):
+        ins = [F.col("l_quantity") / 50, F.col("l_discount") * 10, F.col("l_tax") * 10]
+        return network.score_network(df, ins, NET_LAYERS).select(
+            "l_orderkey", "l_linenumber", r6(F.col("out0")).alias("score"))
+
+    return streams.run_available(streams.score_stream(s, score), "score")
+
+
+@register("stream_throttle", SQL["throttle"])
+def q_stream_throttle(spark, sf):
+    s = _event_stream(spark, sf).select("event_id", "user_id", "ts")
+    out = streams.run_available(streams.throttle_stream(s, "user_id", "ts", "event_id", 24 * 3600), "throttle")
+    return out.select("event_id", "user_id", "ts")
+
+
+@register("stream_every_nth", SQL["every_nth"])
+def q_stream_every_nth(spark, sf):
+    s = _event_stream(spark, sf).select("event_id", "user_id", "ts")
+    out = streams.run_available(streams.every_nth_stream(s, "user_id", "ts", "event_id", 5), "every_nth")
+    return out.select("event_id", "user_id", "rn")
+
+
+@register("stream_dedupe", f"""
+SELECT DISTINCT {_KEY_SQL} AS key FROM conversations WHERE role = 'user'
+""")
+def q_stream_dedupe(spark, sf):
+    conv = T(spark, sf, "conversations")
+    s = streams.read_stream(spark, sf, conv.schema, glob="conversations.parquet")
+    q = text.question_keys(s.where(F.col("role") == "user")).select(
+        "key", F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("asked_at"))
+    out = streams.run_available(streams.dedupe_questions(q, "key", "asked_at", "1 hour"), "dedupe")
+    return out.select("key")
