@@ -36,9 +36,14 @@ def l2_norm(a: str | Column) -> Column:
 
 
 def normalize(a: str | Column) -> Column:
-    """Unit vector (a zero vector stays zero)."""
-    n = l2_norm(a)
-    return F.transform(_c(a), lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0)))
+    """Unit vector (a zero vector stays zero). The squared norm is the
+    accumulator of one pass; the finish step divides, so the norm is
+    computed once per row, not once per element."""
+    arr = _c(a)
+    return F.aggregate(
+        arr, F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double") * x.cast("double"),
+        lambda acc: F.transform(arr, lambda x: F.when(acc > 0, x.cast("double") / F.sqrt(acc))
+                                .otherwise(F.lit(0.0))))
 
 
 def cosine_distance(a: str | Column, b: str | Column) -> Column:

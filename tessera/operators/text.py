@@ -15,11 +15,11 @@ from tessera.functions import text as TX
 
 
 def text_blocks(df: DataFrame, id_col: str, text: str, pattern: str = TX.BLOCK_SEPARATOR,
-                out: str = "text") -> DataFrame:
+                out: str = "text", keep: tuple = ()) -> DataFrame:
     """S4 + W1: split every text on ``pattern``, strip, drop empties, number
-    blocks from 1 per text."""
-    return df.select(id_col, F.posexplode(TX.split_blocks(F.col(text), pattern)).alias("_p", out)).select(
-        id_col, (F.col("_p") + 1).alias("block_id"), out)
+    blocks from 1 per text. ``keep`` columns travel along (no join back)."""
+    return df.select(id_col, *keep, F.posexplode(TX.split_blocks(F.col(text), pattern)).alias("_p", out)).select(
+        id_col, *keep, (F.col("_p") + 1).alias("block_id"), out)
 
 
 def read_text_blocks(spark, paths, pattern: str = TX.BLOCK_SEPARATOR) -> DataFrame:

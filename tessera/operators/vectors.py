@@ -52,15 +52,21 @@ def _top_k(pairs: DataFrame, qid: str, k: int, order) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _partial_topk_fn(bc, k: int, exclude_self: bool, has_on: bool):
-    """Per base partition: squared L2 from every broadcast query to every base
-    row (float64, numpy), keeping a running top-k per query across batches."""
+def _partial_topk_fn(bc, k: int, exclude_self: bool, has_on: bool, margin: int = 8):
+    """Per base partition: a running top-k per broadcast query.
+
+    Candidates come from ``|q|^2 + |b|^2 - 2 q.b`` (one BLAS product per
+    batch); the best ``k + margin`` are then re-scored exactly as
+    ``sum((q - b)^2)`` in float64 and ordered by (distance, base id), so the
+    result equals the direct formula unless more than ``margin`` rows tie
+    within rounding error."""
     import numpy as np
     import pandas as pd
 
     def run(it):
         q_ids, q_mat, q_on = bc.value
         nq = len(q_ids)
+        q_sq = np.einsum("qd,qd->q", q_mat, q_mat)
         best_d = np.full((nq, k), np.inf)
         best_b = np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
         for pdf in it:
@@ -69,24 +75,24 @@ def _partial_topk_fn(bc, k: int, exclude_self: bool, has_on: bool):
             b_ids = pdf["_b"].to_numpy(dtype=np.int64)
             b_mat = np.stack(pdf["_bv"].to_numpy()).astype(np.float64)
             b_on = pdf["_bon"].to_numpy() if has_on else None
-            for s in range(0, len(b_ids), 2048):
-                bm = b_mat[s:s + 2048]
-                bi = b_ids[s:s + 2048]
-                bo = b_on[s:s + 2048] if has_on else None
-                for q0 in range(0, nq, 32):
-                    qm = q_mat[q0:q0 + 32]
-                    diff = bm[None, :, :] - qm[:, None, :]
-                    dist = np.einsum("qbd,qbd->qb", diff, diff)
-                    if exclude_self:
-                        dist[q_ids[q0:q0 + 32, None] == bi[None, :]] = np.inf
-                    if has_on:
-                        dist[q_on[q0:q0 + 32, None] != bo[None, :]] = np.inf
-                    cd = np.concatenate([best_d[q0:q0 + 32], dist], axis=1)
-                    cb = np.concatenate([best_b[q0:q0 + 32],
-                                         np.broadcast_to(bi, dist.shape)], axis=1)
-                    order = np.lexsort((cb, cd), axis=1)[:, :k]
-                    best_d[q0:q0 + 32] = np.take_along_axis(cd, order, axis=1)
-                    best_b[q0:q0 + 32] = np.take_along_axis(cb, order, axis=1)
+            for s in range(0, len(b_ids), 8192):
+                bm = b_mat[s:s + 8192]
+                bi = b_ids[s:s + 8192]
+                approx = q_sq[:, None] + np.einsum("bd,bd->b", bm, bm)[None, :] - 2.0 * (q_mat @ bm.T)
+                if exclude_self:
+                    approx[q_ids[:, None] == bi[None, :]] = np.inf
+                if has_on:
+                    approx[q_on[:, None] != b_on[s:s + 8192][None, :]] = np.inf
+                m = min(k + margin, approx.shape[1])
+                cand = np.argpartition(approx, m - 1, axis=1)[:, :m]
+                ok = np.isfinite(np.take_along_axis(approx, cand, axis=1))
+                diff = bm[cand] - q_mat[:, None, :]
+                exact = np.where(ok, np.einsum("qmd,qmd->qm", diff, diff), np.inf)
+                cd = np.concatenate([best_d, exact], axis=1)
+                cb = np.concatenate([best_b, bi[cand]], axis=1)
+                order = np.lexsort((cb, cd), axis=1)[:, :k]
+                best_d = np.take_along_axis(cd, order, axis=1)
+                best_b = np.take_along_axis(cb, order, axis=1)
         keep = np.isfinite(best_d)
         qi = np.broadcast_to(np.arange(nq)[:, None], best_d.shape)[keep]
         yield pd.DataFrame({"_q": q_ids[qi], "_b": best_b[keep], "dist": best_d[keep]})
@@ -141,22 +147,44 @@ def nearest_k(queries: DataFrame, base: DataFrame, k: int, qid: str = "qid", bid
 
 def nearest_centroid(df: DataFrame, id_col: str, vec: str, cents: DataFrame, key: str,
                      out: str = "pred", max_centroids: int = 100_000) -> DataFrame:
-    """Cosine distance to every centroid, nearest one wins; equal
-    distance -> the later (larger) key, like the reference's strict ``<``.
+    """Cosine distance ``1 - (a/|a|).(c/|c|)`` to every centroid, the
+    nearest wins; equal distance -> the later (larger) key, like the
+    reference's strict ``<``. Returns ``(id, out, distance)``.
+
+    The centroid table has one row per class: its count is checked before it
+    is broadcast; the rows are streamed through ``mapInPandas`` (numpy, each
+    vector normalised once), so no pair table is materialised."""
+    import numpy as np
+    import pandas as pd
 
-    The centroid table has one row per class; it is broadcast only after
-    checking that count, and queries are reduced by a partial ``max_by``."""
     n = cents.count()
     if n > max_centroids:
         raise ValueError(f"{n} centroids exceed the broadcast bound {max_centroids}")
-    c = F.broadcast(cents.select(F.col(key).alias("_k"), normalize(F.col("centroid")).alias("_cn")))
-    q = df.select(id_col, normalize(F.col(vec)).alias("_qn"))
-    j = q.crossJoin(c).select(
-        id_col, "_k", (F.lit(1.0) - dot("_qn", "_cn")).alias("_d"))
-    return j.groupBy(id_col).agg(
-        F.max_by(F.col("_k"), F.struct((-F.col("_d")).alias("nd"), F.col("_k"))).alias(out),
-        F.min("_d").alias("distance"),
-    )
+    cp = cents.select(F.col(key).alias("_k"), F.col("centroid")).toPandas().sort_values("_k")
+    keys = cp["_k"].to_numpy()
+    cm = np.stack(cp["centroid"].to_numpy()).astype(np.float64) if len(cp) else np.zeros((0, 0))
+    norms = np.linalg.norm(cm, axis=1, keepdims=True)
+    cm = np.divide(cm, norms, out=np.zeros_like(cm), where=norms > 0)
+    bc = df.sparkSession.sparkContext.broadcast((keys, cm))
+    key_type = cents.schema[key].dataType.simpleString()
+    id_type = df.schema[id_col].dataType.simpleString()
+
+    def run(it):
+        ks, c = bc.value
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            q = np.stack(pdf["_v"].to_numpy()).astype(np.float64)
+            qn = np.linalg.norm(q, axis=1, keepdims=True)
+            q = np.divide(q, qn, out=np.zeros_like(q), where=qn > 0)
+            d = 1.0 - q @ c.T
+            # last minimum wins: reverse the columns, argmin, map back
+            j = d.shape[1] - 1 - np.argmin(d[:, ::-1], axis=1)
+            yield pd.DataFrame({id_col: pdf["_id"].to_numpy(), out: ks[j],
+                                "distance": d[np.arange(len(j)), j]})
+
+    return df.select(F.col(id_col).alias("_id"), F.col(vec).alias("_v")).mapInPandas(
+        run, f"{id_col} {id_type}, {out} {key_type}, distance double")
 
 
 def knn_vote(neigh: DataFrame, labels: DataFrame, qid: str, bid: str, label: str,

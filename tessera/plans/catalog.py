@@ -875,9 +875,10 @@ def q_prompt_table(spark, sf):
 
     conv = T(spark, sf, "conversations")
     docs = T(spark, sf, "documents").select("doc_id", "lang", "text")
-    blocks = text.text_blocks(docs, "doc_id", "text", r"\n+").join(docs.select("doc_id", "lang"), "doc_id")
+    blocks = text.text_blocks(docs, "doc_id", "text", r"\n+", keep=("lang",))
+    # the paragraph table is read by the fit and by the index build: stored once
     blocks = blocks.select(retrieval.block_key("doc_id", "block_id").alias("bid"),
-                           F.col("lang").alias("topic"), "text")
+                           F.col("lang").alias("topic"), "text").checkpoint(eager=True)
     qs = conv.where(F.col("role") == "user").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("qid"), "text")
     return retrieval.retrieve(qs, blocks, k=3, cache=text.answer_cache(conv))

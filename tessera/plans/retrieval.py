@@ -32,7 +32,10 @@ def retrieve(questions: DataFrame, blocks: DataFrame, k: int = 3, num_features:
     if cache is not None:
         q = text_ops.unanswered(q, cache, "key")
     model = models.fit_text_vectors(blocks, "text", num_features)
+    # the block vectors are the index: built once, stored in the shared
+    # checkpoint folder, then read by the centroid and search steps
     bv = model.transform(blocks).select("bid", "topic", vector_to_array("vector").alias("vec"))
+    bv = bv.checkpoint(eager=True)
     qv = model.transform(q).select("qid", vector_to_array("vector").alias("vec"))
     cents = vectors.centroids(bv, "topic", "vec")
     routed = vectors.nearest_centroid(qv, "qid", "vec", cents, "topic", out="topic")
