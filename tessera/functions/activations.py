@@ -50,3 +50,8 @@ def round_js(x) -> Column:
 def clamp(x, lo, hi) -> Column:
     """greatest(lo, least(hi, x))."""
     return F.greatest(F.lit(lo), F.least(F.lit(hi), _c(x)))
+
+
+def manhattan10(r1, c1, r2, c2) -> Column:
+    """Manhattan distance times 10 (the grid search heuristic)."""
+    return (F.abs(_c(r1) - _c(r2)) + F.abs(_c(c1) - _c(c2))) * 10

@@ -98,3 +98,17 @@ def messages(system: str | Column, user: str | Column) -> Column:
         F.struct(F.lit("system").alias("role"), sys_c.alias("content")),
         F.struct(F.lit("user").alias("role"), _c(user).alias("content")),
     )
+
+
+def replace_suffix(c: str | Column, old: str, new: str) -> Column:
+    """F8: replace a trailing suffix (e.g. a file extension)."""
+    import re
+
+    return F.regexp_replace(_c(c), re.escape(old) + "$", new.replace("\\", "\\\\").replace("$", "\\$"))
+
+
+def split_label(c: str | Column, sep: str = "-") -> Column:
+    """split a delimited label into an array."""
+    import re
+
+    return F.split(_c(c), re.escape(sep))

@@ -37,24 +37,37 @@ def grid_edges(cells: DataFrame, row: str = "r", col: str = "c") -> DataFrame:
 
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, src: str = "src", dst: str = "dst",
-                   w: str = "w", max_rounds: int = 100_000) -> DataFrame:
+                   w: str = "w", hops_per_round: int = 4, max_rounds: int = 100_000,
+                   on_round=None) -> DataFrame:
     """R1 + R2: cheapest cost from any source to every reachable node, with
     the predecessor on one cheapest path (ties -> lowest predecessor).
 
     ``edges(src, dst, w)``, ``sources(node)``; returns ``(node, cost, prev)``.
-    Each round joins only the improved nodes (the frontier) with their edges,
-    merges the minimum per target into the distances and checkpoints the
-    result, which cuts the lineage."""
+    Each round relaxes ``hops_per_round`` steps out of the nodes improved in
+    the previous round (every candidate is a real path cost, so skipping the
+    comparison between hops only adds candidates), merges the minimum per node
+    into the distances and checkpoints the result, which cuts the lineage.
+    ``on_round(info) -> bool`` (X3) may stop the loop early."""
     e = edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d"), F.col(w).alias("_w"))
     ptype = edges.schema[src].dataType
     dist = sources.select(F.col("node"), F.lit(0).cast("long").alias("cost"),
                           F.lit(None).cast(ptype).alias("prev"), F.lit(True).alias("_new"))
     dist = dist.checkpoint(eager=True)
     for i in range(max_rounds):
-        frontier = dist.where("_new")
-        cand = frontier.join(e, frontier["node"] == e["_s"]).select(
-            F.col("_d").alias("node"), (F.col("cost") + F.col("_w")).alias("cost"), F.col("_s").alias("prev"))
-        best = cand.groupBy("node").agg(F.min(F.struct("cost", "prev")).alias("_b")).select(
+        wave = dist.where("_new").select("node", "cost")
+        cands = []
+        for _ in range(hops_per_round):
+            step = wave.join(e, wave["node"] == e["_s"]).select(
+                F.col("_d").alias("node"), (F.col("cost") + F.col("_w")).alias("cost"),
+                F.col("_s").alias("prev"))
+            step = step.groupBy("node").agg(F.min(F.struct("cost", "prev")).alias("_b")).select(
+                "node", "_b.cost", "_b.prev")
+            cands.append(step)
+            wave = step.select("node", "cost")
+        allc = cands[0]
+        for c in cands[1:]:
+            allc = allc.unionByName(c)
+        best = allc.groupBy("node").agg(F.min(F.struct("cost", "prev")).alias("_b")).select(
             "node", F.col("_b.cost").alias("_nc"), F.col("_b.prev").alias("_np"))
         old = dist.select("node", "cost", "prev")
         m = old.join(best, "node", "full_outer")
@@ -64,11 +77,24 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, src: str = "src", dst:
             F.when(better, F.col("_nc")).otherwise(F.col("cost")).alias("cost"),
             F.when(better, F.col("_np")).otherwise(F.col("prev")).alias("prev"),
             better.alias("_new"))
-        # materialised every round: the plan of the next round starts from
-        # files in the shared checkpoint folder, so its size stays constant
-        merged = merged.checkpoint(eager=True)
-        n_new = merged.where("_new").count()
-        dist = merged
-        if n_new == 0:
+        # materialised every round: the next round's plan starts from files in
+        # the shared checkpoint folder, so its size stays constant
+        dist = merged.checkpoint(eager=True)
+        n_new = dist.where("_new").count()
+        if n_new == 0 or (on_round is not None and on_round({"round": i, "improved": n_new}) is False):
             break
     return dist.select("node", "cost", "prev")
+
+
+def path_to(dist: DataFrame, target, max_steps: int = 100_000) -> list:
+    """R2: walk predecessors back from ``target`` (one small lookup per step;
+    a path is a handful of rows, never a table)."""
+    path = [target]
+    cur = target
+    for _ in range(max_steps):
+        r = dist.where(F.col("node") == F.lit(cur)).select("prev").first()
+        if r is None or r.prev is None:
+            break
+        cur = r.prev
+        path.append(cur)
+    return list(reversed(path))

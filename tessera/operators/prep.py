@@ -176,3 +176,40 @@ def decode_class(df: DataFrame, col: str, mapping: dict, out: str) -> DataFrame:
 def shuffle_rows(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
     """A seeded, order-free shuffle (a range-partitioned sort on the hash)."""
     return df.orderBy(seeded_hash(id_col, seed), F.col(id_col))
+
+
+def select_pos(df: DataFrame, start: int, stop: int | None = None) -> DataFrame:
+    """Select columns by position (``df.columns[start:stop]``)."""
+    return df.select(*df.columns[start:stop])
+
+
+def decision_gate(pred: str | Column, *conditions: Column) -> Column:
+    """Act only when the prediction is 1 and every state condition holds."""
+    p = F.col(pred) if isinstance(pred, str) else pred
+    cond = p == 1
+    for c in conditions:
+        cond = cond & c
+    return cond
+
+
+def approx_classes(df: DataFrame, label: str) -> DataFrame:
+    """G2 at scale: approximate distinct label count (HyperLogLog++)."""
+    return df.agg(F.approx_count_distinct(label).alias("n_classes"))
+
+
+def score_routed(df: DataFrame, name_col: str, models: dict, out: str = "pred") -> DataFrame:
+    """Pick the scoring model by name per row; unknown names (and rows
+    a model cannot score) get 0. Each model scores only its own subset, the
+    subsets are unioned back (no row is scored twice)."""
+    parts = []
+    known = list(models)
+    for name, score in models.items():
+        sub = df.where(F.col(name_col) == name)
+        scored = score(sub)
+        parts.append(scored.withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(0))).select(
+            *df.columns, out))
+    rest = df.where(~F.col(name_col).isin(known) | F.col(name_col).isNull()).withColumn(out, F.lit(0))
+    res = rest
+    for p in parts:
+        res = res.unionByName(p)
+    return res

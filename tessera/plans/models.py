@@ -182,3 +182,57 @@ def fit_text_vectors(df: DataFrame, text: str, num_features: int = 1 << 18) -> P
         IDF(inputCol="_tf", outputCol="_tfidf"),
         Normalizer(inputCol="_tfidf", outputCol="vector", p=2.0),
     ]).fit(df)
+
+
+def embed_with(df: DataFrame, text: str, embed, out: str = "vec") -> DataFrame:
+    """A caller's embedding function, applied as an iterator pandas UDF
+    (Arrow batches; the model is loaded once per task by the caller's code).
+    ``embed(pandas.Series[str]) -> pandas.Series[list[float]]``."""
+    from collections.abc import Iterator
+
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("array<float>")
+    def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in batches:
+            yield embed(b)
+
+    return df.withColumn(out, _embed(F.col(text)))
+
+
+def train_all(df: DataFrame, spec: list[dict], id_col: str, test_pct: int = 20,
+              balance: str = "after_split", seed: int = 42) -> dict:
+    """M5: per target: guard -> select -> (balance) -> split -> fit -> report.
+
+    ``spec`` items: {"name", "kind": "tree"|"mlp", "features", "label", ...}.
+    Rows whose label is outside {0, 1} are dropped first (the reference trains
+    on 0/1 only and can log -1). ``balance`` is "after_split" (default: copies
+    stay in the train side), "before_split" (the reference's order) or None.
+    Returns {name: (model, report DataFrame)} and skips specs that fail the guard."""
+    from tessera.operators import metrics, prep
+
+    out = {}
+    for s in spec:
+        label, feats = s["label"], s["features"]
+        prep.require_columns(df, feats + [label, id_col])
+        data = df.where(F.col(label).isin(0, 1)).select(id_col, *feats, label)
+        status = prep.training_guard(data, label).first().status
+        if status != "ok":
+            out[s["name"]] = (None, status)
+            continue
+        if balance == "before_split":
+            data = prep.oversample_even(data, id_col, label, seed).drop("copy")
+        split = prep.stratified_split(data, id_col, label, test_pct, seed)
+        train = split.where(F.col("split") == "train").drop("split")
+        test = split.where(F.col("split") == "test").drop("split")
+        if balance == "after_split":
+            train = prep.oversample_even(train, id_col, label, seed).drop("copy")
+        if s.get("kind", "tree") == "mlp":
+            model = fit_mlp(train, feats, label, hidden=s.get("hidden", (16, 8)),
+                            max_iter=s.get("max_iter", 500), seed=seed)
+        else:
+            model = fit_tree(train, feats, label, max_depth=s.get("max_depth", 5))
+        report = metrics.classification_report(model.transform(test), label, f"pred_{label}")
+        out[s["name"]] = (model, report)
+    return out
