@@ -317,7 +317,7 @@ WITH a AS (SELECT vec_id, label,
              list_transform(generate_series(0, 9), lambda k: CASE WHEN k = label THEN 1.0 ELSE 0.0 END) AS b
            FROM embeddings)
 SELECT vec_id,
-       CASE WHEN list_max(a) > 0 THEN list_position(a, list_max(a)) - 1 ELSE -1 END AS argmax_a,
+       CAST(CASE WHEN list_max(a) > 0 THEN list_position(a, list_max(a)) - 1 ELSE -1 END AS BIGINT) AS argmax_a,
        CASE WHEN (CASE WHEN list_max(a) > 0 THEN list_position(a, list_max(a)) - 1 ELSE -1 END)
                = (CASE WHEN list_max(b) > 0 THEN list_position(b, list_max(b)) - 1 ELSE -1 END)
             THEN 1 ELSE 0 END AS argmax_match,
@@ -351,7 +351,7 @@ rk AS (SELECT qid, bid, dist, row_number() OVER (PARTITION BY qid ORDER BY dist,
 
 @register("topk_neighbours", f"""
 WITH {_PAIRS_CTE}
-SELECT qid, rank, bid, round(dist, 6) AS dist FROM rk WHERE rank <= 3
+SELECT qid, CAST(rank AS INTEGER) AS rank, bid, round(dist, 6) AS dist FROM rk WHERE rank <= 3
 """)
 def q_topk_neighbours(spark, sf):
     e = T(spark, sf, "embeddings").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vec"))
@@ -395,7 +395,7 @@ pr AS (SELECT a.vec_id AS qid, pa.pred AS topic, b.vec_id AS bid, sum((a.v - b.v
        JOIN x2 b ON b.vec_id = pb.vec_id AND b.i = a.i
        GROUP BY a.vec_id, pa.pred, b.vec_id),
 rk AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, bid) AS rank FROM pr)
-SELECT qid, topic, rank, bid, round(dist, 6) AS dist FROM rk WHERE rank <= 3
+SELECT qid, topic, CAST(rank AS INTEGER) AS rank, bid, round(dist, 6) AS dist FROM rk WHERE rank <= 3
 """)
 def q_routed_topk(spark, sf):
     # route every vector to its nearest centroid ("topic"), then search only
