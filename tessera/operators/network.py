@@ -55,7 +55,8 @@ def score_network(df: DataFrame, inputs: Sequence[Column], layers: Sequence[dict
     this layer's neurons), "bias": [b_j], "squash": "LOGISTIC"}, ...]."""
     acts = list(inputs)
     for layer in layers:
-        fn = SQUASH[layer.get("squash", "LOGISTIC")]
+        sq = layer.get("squash", "LOGISTIC")
+        fn = sq if callable(sq) else SQUASH[sq]  # X2: a caller's Column -> Column
         nxt = []
         for row, b in zip(layer["weights"], layer["bias"]):
             z = F.lit(float(b))

@@ -140,22 +140,29 @@ def throttle(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
     nxt = sc.where(F.col("_real") == 0).select(
         *keys, F.col("_tb").alias("rn"),
         F.when(F.col("run__real") + 1 <= F.col("cnt"), F.col("run__real") + 1).alias("j"))
-    max_cnt = s.agg(F.max("cnt")).first()[0] or 0
-    rounds = 0 if max_cnt <= 1 else math.ceil(math.log2(max_cnt))
+    # a chain holds at most span/gap + 1 rows of a key (and at most all of
+    # them): this bounds the doubling rounds without a check per round
+    span = s.groupBy(*keys).agg(
+        ((F.unix_micros(F.max(F.col(ts).cast("timestamp"))) -
+          F.unix_micros(F.min(F.col(ts).cast("timestamp")))) / 1_000_000).alias("_span"),
+        F.max("cnt").alias("_cnt"))
+    bound = span.agg(F.max("_span"), F.max("_cnt")).first()
+    max_chain = min(int((bound[0] or 0) // gap_seconds) + 1, int(bound[1] or 0))
+    rounds = 0 if max_chain <= 1 else math.ceil(math.log2(max_chain))
     jump = nxt.checkpoint(eager=True)
     acc = s.where(F.col("rn") == 1).select(*keys, "rn")
-    for _ in range(rounds):
+    for r in range(rounds):
         # chain positions [2^k, 2^(k+1)) are one jump of size 2^k from [0, 2^k)
         new = acc.join(jump, keys + ["rn"]).where(F.col("j").isNotNull()).select(
             *keys, F.col("j").alias("rn"))
         acc = acc.unionByName(new).checkpoint(eager=True)
+        if r == rounds - 1:
+            break
         a = jump.alias("a")
         b = jump.alias("b")
         cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("a.j") == F.col("b.rn")]
         jump = a.join(b, cond, "left").select(
             *[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.rn").alias("rn"),
             F.col("b.j").alias("j")).checkpoint(eager=True)
-        if jump.where(F.col("j").isNotNull()).limit(1).count() == 0:
-            break  # every remaining jump leaves the keys: the chains are complete
     picked = s.join(acc, keys + ["rn"], "left_semi")
     return df.join(picked.select(*keys, id_col), keys + [id_col], "left_semi")
