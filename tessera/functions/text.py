@@ -10,11 +10,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values (must equal the reference's behaviour):
-# - white space removed by Python's str.strip(), as one character class;
+# - white space removed by Python's str.strip(): these code points;
 # - block separator lines: "=== TEXTO NUEVO ===" or "=== TEXTO <n> ===" at a
 #   line start, followed by any white space;
 # - the reply used when the retrieved context is shorter than 20 characters;
 # - the system message of the chat request.
+WS_CODEPOINTS = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680,
+                 0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009,
+                 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+WS_CHARS = "".join(chr(c) for c in WS_CODEPOINTS)
+WS_SQL = " || ".join(f"chr({c})" for c in WS_CODEPOINTS)  # the same set in SQL
 WS_CLASS = r"[\t\n\x{0B}\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 BLOCK_SEPARATOR = r"(?m)^=== TEXTO(?: NUEVO| \d+) ===\s*"
 NOT_ENOUGH_CONTEXT = "Lo siento, no tengo información suficiente para responder a esa pregunta."
@@ -37,8 +42,9 @@ def _c(c: str | Column) -> Column:
 
 
 def strip_ws(c: str | Column) -> Column:
-    """remove leading and trailing white space (not only spaces)."""
-    return F.regexp_replace(_c(c), STRIP_PATTERN, "")
+    """remove leading and trailing white space (not only spaces): a
+    character-set ``trim`` (codegen, no regex)."""
+    return F.trim(_c(c), F.lit(WS_CHARS))
 
 
 def question_key(c: str | Column) -> Column:

@@ -565,8 +565,8 @@ def q_node_stats(spark, sf):
 # text: blocks, question keys, unanswered questions
 # --------------------------------------------------------------------------
 
-_STRIP = TX.STRIP_PATTERN
-_KEY_SQL = (f"regexp_replace(lower(regexp_replace(text, '{_STRIP}', '', 'g')), "
+_WS = TX.WS_SQL
+_KEY_SQL = (f"regexp_replace(lower(trim(text, {_WS})), "
             r"'[^\p{L}\p{N}_]+', ' ', 'g')")
 
 
@@ -574,7 +574,7 @@ _KEY_SQL = (f"regexp_replace(lower(regexp_replace(text, '{_STRIP}', '', 'g')), "
 SELECT doc_id, CAST(generate_subscripts(l, 1) AS INTEGER) AS block_id, unnest(l) AS text
 FROM (SELECT doc_id,
              list_filter(list_transform(string_split_regex(text, '\\n+'),
-                                        lambda x: regexp_replace(x, '{_STRIP}', '', 'g')),
+                                        lambda x: trim(x, {_WS})),
                          lambda x: x <> '') AS l
       FROM documents)
 """)
@@ -594,7 +594,7 @@ def q_clean_questions(spark, sf):
 @register("unanswered", f"""
 WITH q AS (SELECT conv_id, turn, {_KEY_SQL} AS key FROM conversations WHERE role = 'user'),
 a AS (SELECT conv_id, turn - 1 AS turn FROM conversations
-      WHERE role = 'assistant' AND length(regexp_replace(text, '{_STRIP}', '', 'g')) >= 20),
+      WHERE role = 'assistant' AND length(trim(text, {_WS})) >= 20),
 cache AS (SELECT DISTINCT q.key FROM q JOIN a USING (conv_id, turn))
 SELECT key, count(*) AS n_asked FROM q
 WHERE NOT EXISTS (SELECT 1 FROM cache c WHERE c.key = q.key) GROUP BY key
