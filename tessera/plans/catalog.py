@@ -17,6 +17,7 @@ from tessera.functions import arrays as A
 from tessera.functions import text as TX
 from tessera.functions.activations import clamp
 from tessera.operators import metrics, prep, vectors
+from tessera.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -579,7 +580,7 @@ FROM (SELECT doc_id,
       FROM documents)
 """)
 def q_text_blocks(spark, sf):
-    d = T(spark, sf, "documents").select("doc_id", "text")
+    d = spread(T(spark, sf, "documents").select("doc_id", "text"))
     return text.text_blocks(d, "doc_id", "text", r"\n+")
 
 
@@ -863,7 +864,7 @@ def q_lsh_neighbours(spark, sf):
 
 @register("vectorize_text")
 def q_vectorize_text(spark, sf):
-    d = T(spark, sf, "documents").select("doc_id", "text")
+    d = spread(T(spark, sf, "documents").select("doc_id", "text"))
     m = models.fit_text_vectors(d, "text", 1 << 16)
     return m.transform(d).select("doc_id", F.size(F.array_distinct("_tok")).alias("n_terms"), "vector")
 
@@ -874,7 +875,7 @@ def q_prompt_table(spark, sf):
     from tessera.plans import retrieval
 
     conv = T(spark, sf, "conversations")
-    docs = T(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = spread(T(spark, sf, "documents").select("doc_id", "lang", "text"))
     blocks = text.text_blocks(docs, "doc_id", "text", r"\n+", keep=("lang",))
     # the paragraph table is read by the fit and by the index build: stored once
     blocks = blocks.select(retrieval.block_key("doc_id", "block_id").alias("bid"),

@@ -63,3 +63,13 @@ def register_tables(spark: SparkSession, sf_dir: str) -> None:
     """Expose every test table as a temp view of the same name."""
     for t in TABLES:
         read_table(spark, sf_dir, t).createOrReplaceTempView(t)
+
+
+def spread(df):
+    """Spread CPU-heavy per-row work over every core when the scan gives fewer
+    partitions than the default parallelism (a few large row groups). On a
+    cluster reading many files this is a no-op: no shuffle is added."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
