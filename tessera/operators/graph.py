@@ -25,11 +25,12 @@ def cell_number(r, c, n_rows: int):
 def grid_edges(cells: DataFrame, row: str = "r", col: str = "c") -> DataFrame:
     """Directed edges from every present cell to its present 8-neighbours.
 
-    Missing cells are walls. The offsets table has 8 rows (broadcast bound)."""
-    spark = cells.sparkSession
-    offs = spark.createDataFrame(NEIGHBOURS, "dr int, dc int, w int")
+    Missing cells are walls. The 8 offsets are a literal array exploded per
+    cell (no join); the neighbour must exist: a semi join on its coordinates."""
+    offs = F.array(*[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc"), F.lit(w).alias("w"))
+                     for a, b, w in NEIGHBOURS])
     c = cells.select(F.col(row).alias("r"), F.col(col).alias("c")).distinct()
-    cand = c.crossJoin(F.broadcast(offs)).select(
+    cand = c.select("r", "c", F.inline(offs)).select(
         F.col("r").alias("src_r"), F.col("c").alias("src_c"),
         (F.col("r") + F.col("dr")).alias("dst_r"), (F.col("c") + F.col("dc")).alias("dst_c"), "w")
     dst = c.select(F.col("r").alias("dst_r"), F.col("c").alias("dst_c"))

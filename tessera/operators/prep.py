@@ -111,21 +111,35 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def oversample_even(df: DataFrame, id_col: str, label: str, seed: int = 42,
-                    out: str = "copy") -> DataFrame:
+                    out: str = "copy", max_copies_per_task: int = 1_000_000) -> DataFrame:
     """Resample every class to the size of the largest one, evenly: a row
     of a class with n rows gets ``N div n`` copies, plus one for the first
     ``N mod n`` rows in hash order (N = largest class). The largest class keeps
-    its rows once. Copies are numbered from 1 in ``out``."""
+    its rows once. Copies are numbered from 1 in ``out``.
+
+    The class sizes are one small aggregate; when one row would need more
+    than ``max_copies_per_task`` copies, its copies are first cut into chunk
+    rows that are spread over the cluster before they are expanded, so no task
+    expands a huge class ratio alone."""
+    sizes = df.groupBy(label).count().agg(F.max("count").alias("_N"), F.min("count").alias("_n")).first()
+    big_n, small_n = sizes["_N"] or 0, sizes["_n"] or 0
     h = df.withColumn("_h", seeded_hash(id_col, seed))
     s = keyed_scan(h, [label], ["_h", id_col], totals=True)
-    # the largest class size: one value from a partial aggregate over counts
-    big = df.groupBy(label).count().agg(F.max("count").alias("_N"))
-    s = s.crossJoin(F.broadcast(big))  # one row
-    copies = (F.floor(F.col("_N") / F.col("cnt")) +
-              F.when(F.col("rn") <= F.col("_N") % F.col("cnt"), 1).otherwise(0)).cast("int")
+    copies = (F.floor(F.lit(big_n) / F.col("cnt")) +
+              F.when(F.col("rn") <= F.lit(big_n) % F.col("cnt"), 1).otherwise(0)).cast("long")
     s = s.withColumn("_copies", copies).where(F.col("_copies") > 0)
-    return s.withColumn(out, F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop(
-        "_h", "rn", "cnt", "_N", "_copies")
+    max_copies = -(-big_n // small_n) if small_n else 0
+    if max_copies > max_copies_per_task:
+        c = max_copies_per_task
+        s = s.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                        F.floor((F.col("_copies") - 1) / c).cast("long"))))
+        s = s.repartition(s.sparkSession.sparkContext.defaultParallelism * 4)
+        first = F.col("_chunk") * c + 1
+        last = F.least(F.col("_copies"), (F.col("_chunk") + 1) * c)
+        s = s.withColumn(out, F.explode(F.sequence(first.cast("int"), last.cast("int")))).drop("_chunk")
+    else:
+        s = s.withColumn(out, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    return s.drop("_h", "rn", "cnt", "_copies")
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str]) -> DataFrame:

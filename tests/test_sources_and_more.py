@@ -118,3 +118,15 @@ def test_conforms_hot_key_brute_force(spark):
             continue
         n, st = walk(w)
         assert out[k].steps_ok == n and out[k].final_state == st and out[k].n == len(w)
+
+
+def test_oversample_chunked_equals_plain(spark):
+    from tessera.operators import prep
+
+    rows = [(i, 0) for i in range(50)] + [(1000 + i, 1) for i in range(3)]
+    df = spark.createDataFrame(rows, "id long, y int")
+    plain = prep.oversample_even(df, "id", "y")
+    chunked = prep.oversample_even(df, "id", "y", max_copies_per_task=4)
+    a = sorted(map(tuple, plain.collect()))
+    b = sorted(map(tuple, chunked.collect()))
+    assert a == b and len(a) == 100
