@@ -52,7 +52,9 @@ def keyed_scan(
     ``run_<c>`` (inclusive running sum of ``c``) for each ``c`` in ``sums``,
     and with ``totals=True`` also ``cnt`` (rows of the key) and ``tot_<c>``.
 
-    ``sums`` columns should be integral (exact) or double.
+    ``sums`` columns should be integral (exact) or double. ``checkpoint=False``
+    is for plan inspection only: results need the checkpoint (two evaluations
+    may sample different range bounds even for a plain file scan).
     """
     keys = list(keys)
     order = list(order)
