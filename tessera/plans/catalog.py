@@ -943,3 +943,137 @@ def q_stream_dedupe(spark, sf):
         "key", F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("asked_at"))
     out = streams.run_available(streams.dedupe_questions(q, "key", "asked_at", "1 hour"), "dedupe")
     return out.select("key")
+
+
+# --------------------------------------------------------------------------
+# scalar and small operators over whole tables: activations, symbol index and
+# one-hot, string functions, seeded shuffle, cell numbering, set-form neuron
+# sums, routed scoring with a decision gate
+# --------------------------------------------------------------------------
+
+from tessera.functions import activations as ACT  # noqa: E402
+from tessera.operators.ordered import keyed_scan  # noqa: E402
+
+_X_SQL = "((l_quantity - 25) / 10)"
+
+
+@register("activations", f"""
+SELECT l_orderkey, l_linenumber,
+       round(1.0 / (1.0 + exp(-{_X_SQL})), 6) AS logistic,
+       round((1.0 / (1.0 + exp(-{_X_SQL}))) * (1.0 - 1.0 / (1.0 + exp(-{_X_SQL}))), 6) AS d_logistic,
+       round(tanh({_X_SQL}), 6) AS tanh,
+       round(1.0 - tanh({_X_SQL}) * tanh({_X_SQL}), 6) AS d_tanh,
+       CASE WHEN {_X_SQL} > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS hlim,
+       round(CASE WHEN {_X_SQL} > 0 THEN {_X_SQL} ELSE 0.0::DOUBLE END, 6) AS relu,
+       CASE WHEN {_X_SQL} > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS d_relu
+FROM lineitem
+""")
+def q_activations(spark, sf):
+    x = (F.col("l_quantity") - 25) / 10
+    li = T(spark, sf, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        r6(ACT.logistic(x)).alias("logistic"), r6(ACT.logistic(x, deriv=True)).alias("d_logistic"),
+        r6(ACT.tanh(x)).alias("tanh"), r6(ACT.tanh(x, deriv=True)).alias("d_tanh"),
+        ACT.hlim(x).alias("hlim"), r6(ACT.relu(x)).alias("relu"), ACT.relu(x, deriv=True).alias("d_relu"))
+
+
+# Event type -> symbol index.
+EVENT_INDEX = {"signup": 0, "view": 1, "click": 2, "purchase": 3, "error": 4}
+_EVENT_CASE = "CASE event_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in EVENT_INDEX.items()) + " END"
+
+
+@register("symbol_onehot", f"""
+SELECT event_id, {_EVENT_CASE} AS idx,
+       list_transform(range(5), lambda k: CASE WHEN k = {_EVENT_CASE} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS onehot
+FROM events
+""")
+def q_symbol_onehot(spark, sf):
+    e = T(spark, sf, "events").select("event_id", A.symbol_index(F.col("event_type"), EVENT_INDEX).alias("idx"))
+    return e.select("event_id", "idx", A.one_hot(F.col("idx"), len(EVENT_INDEX)).alias("onehot"))
+
+
+@register("string_functions", r"""
+SELECT page_id, regexp_replace(url, '\?.*$', '') AS base_url,
+       CAST(len(string_split(url, '/')) AS INTEGER) AS n_parts,
+       printf('%.4f', length(html) / 1000.0) AS kchars
+FROM pages
+""")
+def q_string_functions(spark, sf):
+    p = T(spark, sf, "pages")
+    return p.select(
+        "page_id",
+        F.regexp_replace("url", r"\?.*$", "").alias("base_url"),
+        F.size(TX.split_label("url", "/")).alias("n_parts"),
+        TX.format_fixed(F.length("html") / 1000.0, 4).alias("kchars"))
+
+
+@register("shuffle_rows", """
+SELECT o_orderkey, row_number() OVER (ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) AS pos
+FROM orders
+""")
+def q_shuffle_rows(spark, sf):
+    # U6 as a stable position: the seeded order numbered by the skew-safe scan
+    o = T(spark, sf, "orders").select("o_orderkey").withColumn("_h", prep.seeded_hash("o_orderkey"))
+    return keyed_scan(o, [], ["_h", "o_orderkey"], rn="pos").select("o_orderkey", "pos")
+
+
+@register("grid_cells", f"""
+WITH c AS ({_CELLS_SQL})
+SELECT r, c, c * 50 + r + 1 AS cell, (abs(r - 1) + abs(c - 1)) * 10 AS h FROM c
+""")
+def q_grid_cells(spark, sf):
+    c = _part_cells(spark, sf)
+    return c.select("r", "c", graph.cell_number(F.col("r"), F.col("c"), 50).alias("cell"),
+                    ACT.manhattan10("r", "c", F.lit(1), F.lit(1)).alias("h"))
+
+
+# Connections (from, to, weight) of two hidden neurons.
+HIDDEN_CONNECTIONS = [(0, 10, 0.8), (1, 10, -1.2), (2, 10, 0.5), (0, 11, -0.4), (1, 11, 0.9), (2, 11, 1.1)]
+_CONN_SQL = ", ".join(f"({a}, {b}, {w})" for a, b, w in HIDDEN_CONNECTIONS)
+
+
+@register("weighted_sum", f"""
+WITH a AS (
+  SELECT l_orderkey * 10 + l_linenumber AS row_id, 0 AS node, l_quantity / 50 AS value FROM lineitem
+  UNION ALL SELECT l_orderkey * 10 + l_linenumber, 1, l_discount * 10 FROM lineitem
+  UNION ALL SELECT l_orderkey * 10 + l_linenumber, 2, l_tax * 10 FROM lineitem),
+cn("from", "to", weight) AS (VALUES {_CONN_SQL})
+SELECT a.row_id, cn."to" AS node, round(sum(a.value * cn.weight), 6) AS value
+FROM a JOIN cn ON a.node = cn."from" GROUP BY a.row_id, cn."to"
+""")
+def q_weighted_sum(spark, sf):
+    li = T(spark, sf, "lineitem")
+    acts = li.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"),
+        F.inline(F.array(
+            F.struct(F.lit(0).alias("node"), (F.col("l_quantity") / 50).alias("value")),
+            F.struct(F.lit(1).alias("node"), (F.col("l_discount") * 10).alias("value")),
+            F.struct(F.lit(2).alias("node"), (F.col("l_tax") * 10).alias("value")))))
+    conns = spark.createDataFrame(HIDDEN_CONNECTIONS, "from int, to int, weight double")
+    ws = network.weighted_sum(conns, acts)
+    return ws.select("row_id", "node", r6(F.col("value")).alias("value"))
+
+
+@register("score_routed", f"""
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_returnflag = 'A' THEN CASE WHEN {_network_sql(_NET_INPUTS_SQL, NET_LAYERS)} > 0.5 THEN 1 ELSE 0 END
+            WHEN l_returnflag = 'N' THEN CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END
+            ELSE 0 END AS pred,
+       (CASE WHEN l_returnflag = 'A' THEN CASE WHEN {_network_sql(_NET_INPUTS_SQL, NET_LAYERS)} > 0.5 THEN 1 ELSE 0 END
+             WHEN l_returnflag = 'N' THEN CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END
+             ELSE 0 END) = 1 AND l_quantity > 10 AS act
+FROM lineitem
+""")
+def q_score_routed(spark, sf):
+    li = T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity",
+                                         "l_discount", "l_tax")
+    ins = [F.col("l_quantity") / 50, F.col("l_discount") * 10, F.col("l_tax") * 10]
+    models_ = {
+        "A": lambda d: network.score_network(d, ins, NET_LAYERS).withColumn(
+            "pred", F.when(F.col("out0") > 0.5, 1).otherwise(0)),
+        "N": lambda d: d.withColumn("pred", F.when(F.col("l_discount") > 0.05, 1).otherwise(0)),
+    }
+    s = prep.score_routed(li, "l_returnflag", models_)
+    return s.select("l_orderkey", "l_linenumber", "pred",
+                    prep.decision_gate("pred", F.col("l_quantity") > 10).alias("act"))
