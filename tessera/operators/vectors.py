@@ -19,7 +19,6 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.vectors import dot, l2sq, normalize
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
