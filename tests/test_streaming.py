@@ -56,13 +56,15 @@ def test_dedupe_repeated_questions(spark):
     rows = [("¿Qué es la AUTONOMÍA?", dt.datetime(2024, 1, 1, 0, 0)),
             (" qué es la autonomía ", dt.datetime(2024, 1, 1, 0, 5)),
             ("QUE es la autonomia", dt.datetime(2024, 1, 1, 0, 6)),
-            ("¿Y la eutanasia?", dt.datetime(2024, 1, 1, 0, 7))]
+            ("¿Y la eutanasia?", dt.datetime(2024, 1, 1, 0, 7)),
+            ("¡¿QUÉ es la autonomía?!", dt.datetime(2024, 1, 1, 0, 10))]  # repeat of the first
     path = scratch_path(spark, "questions")
     spark.createDataFrame(rows, "text string, asked_at timestamp").coalesce(1).write.parquet(path)
     s = spark.readStream.schema("text string, asked_at timestamp").parquet(path)
     q = text.question_keys(s).select("key", "asked_at")
     out = streams.run_available(streams.dedupe_questions(q, "key", "asked_at", "1 hour"), "dedupe")
     keys = sorted(r.key for r in out.collect())
+    assert len(keys) == 4  # the repeat is dropped
     # trim runs before punctuation becomes spaces, so "¿...?" keeps one space
     # at each end and the padded plain text does not; accents are kept
     assert keys == sorted({" qué es la autonomía ", "qué es la autonomía", "que es la autonomia",
