@@ -30,6 +30,8 @@ def classification_report(df: DataFrame, y: str, p: str, decimals: int = 6) -> D
     """Per class precision, recall, F1, support; then accuracy, macro and
     weighted averages (0/0 -> 0). ``class`` is text so the summary rows fit."""
     conf = df.groupBy(F.col(y).alias("_y"), F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    # classes^2 rows, read by every part of the report: stored once
+    conf = conf.checkpoint(eager=True)
     classes = conf.select(F.col("_y").alias("k")).union(conf.select(F.col("_p").alias("k"))).distinct()
     per = classes.join(conf, (F.col("k") == F.col("_y")) | (F.col("k") == F.col("_p")), "left").groupBy("k").agg(
         F.sum(F.when((F.col("_y") == F.col("k")) & (F.col("_p") == F.col("k")), F.col("_n")).otherwise(0)).alias("tp"),

@@ -145,10 +145,11 @@ def nearest_k(queries: DataFrame, base: DataFrame, k: int, qid: str = "qid", bid
 
 
 def nearest_centroid(df: DataFrame, id_col: str, vec: str, cents: DataFrame, key: str,
-                     out: str = "pred", max_centroids: int = 100_000) -> DataFrame:
+                     out: str = "pred", max_centroids: int = 100_000, keep: tuple = ()) -> DataFrame:
     """Cosine distance ``1 - (a/|a|).(c/|c|)`` to every centroid, the
     nearest wins; equal distance -> the later (larger) key, like the
-    reference's strict ``<``. Returns ``(id, out, distance)``.
+    reference's strict ``<``. Returns ``(id, *keep, out, distance)``: ``keep``
+    columns ride along, so no join back to the input is needed.
 
     The centroid table has one row per class: its count is checked before it
     is broadcast; the rows are streamed through ``mapInPandas`` (numpy, each
@@ -179,11 +180,16 @@ def nearest_centroid(df: DataFrame, id_col: str, vec: str, cents: DataFrame, key
             d = 1.0 - q @ c.T
             # last minimum wins: reverse the columns, argmin, map back
             j = d.shape[1] - 1 - np.argmin(d[:, ::-1], axis=1)
-            yield pd.DataFrame({id_col: pdf["_id"].to_numpy(), out: ks[j],
-                                "distance": d[np.arange(len(j)), j]})
-
-    return df.select(F.col(id_col).alias("_id"), F.col(vec).alias("_v")).mapInPandas(
-        run, f"{id_col} {id_type}, {out} {key_type}, distance double")
+            res = {id_col: pdf["_id"].to_numpy()}
+            for k in keep:
+                res[k] = pdf[k].to_numpy()
+            res[out] = ks[j]
+            res["distance"] = d[np.arange(len(j)), j]
+            yield pd.DataFrame(res)
+
+    keep_types = "".join(f", {k} {df.schema[k].dataType.simpleString()}" for k in keep)
+    return df.select(F.col(id_col).alias("_id"), *keep, F.col(vec).alias("_v")).mapInPandas(
+        run, f"{id_col} {id_type}{keep_types}, {out} {key_type}, distance double")
 
 
 def knn_vote(neigh: DataFrame, labels: DataFrame, qid: str, bid: str, label: str,

@@ -48,8 +48,7 @@ def r6(c):
 def _nc_predictions(spark, sf) -> DataFrame:
     emb = T(spark, sf, "embeddings")
     cents = vectors.centroids(emb, "label", "embedding")
-    pred = vectors.nearest_centroid(emb, "vec_id", "embedding", cents, "label")
-    return emb.select("vec_id", "label").join(pred, "vec_id")
+    return vectors.nearest_centroid(emb, "vec_id", "embedding", cents, "label", keep=("label",))
 
 
 _NC_CTE = """
@@ -402,8 +401,10 @@ def q_routed_topk(spark, sf):
     # route every vector to its nearest centroid ("topic"), then search only
     # the vectors routed to the same topic (J4: equi-join on topic first)
     emb = T(spark, sf, "embeddings")
-    p = _nc_predictions(spark, sf).select("vec_id", F.col("pred").alias("topic"))
-    routed = emb.join(p, "vec_id").select(F.col("vec_id"), F.col("embedding").alias("vec"), "topic")
+    cents = vectors.centroids(emb, "label", "embedding")
+    routed = vectors.nearest_centroid(emb, "vec_id", "embedding", cents, "label", out="topic",
+                                      keep=("embedding",)).select(
+        "vec_id", F.col("embedding").alias("vec"), "topic")
     q = routed.withColumnRenamed("vec_id", "qid")
     b = routed.withColumnRenamed("vec_id", "bid")
     nn = vectors.nearest_k(q, b, 3, exclude_self=True, on="topic")

@@ -38,8 +38,7 @@ def retrieve(questions: DataFrame, blocks: DataFrame, k: int = 3, num_features:
     bv = bv.checkpoint(eager=True)
     qv = model.transform(q).select("qid", vector_to_array("vector").alias("vec"))
     cents = vectors.centroids(bv, "topic", "vec")
-    routed = vectors.nearest_centroid(qv, "qid", "vec", cents, "topic", out="topic")
-    qv = qv.join(routed.select("qid", "topic"), "qid")
+    qv = vectors.nearest_centroid(qv, "qid", "vec", cents, "topic", out="topic", keep=("vec",))
     nn = vectors.nearest_k(qv, bv, k, qid="qid", bid="bid", vec="vec", on="topic")
     texts = blocks.select("bid", F.col("text").alias("_bt"))
     ctx = nn.join(texts, "bid").groupBy("qid", "topic").agg(
