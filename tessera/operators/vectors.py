@@ -201,3 +201,17 @@ def knn_vote(neigh: DataFrame, labels: DataFrame, qid: str, bid: str, label: str
     votes = j.groupBy(qid, "_l").agg(F.count(F.lit(1)).alias("_n"))
     return votes.groupBy(qid).agg(
         F.max_by(F.col("_l"), F.struct(F.col("_n"), (-F.col("_l")).alias("nl"))).alias(out))
+
+
+def knn_votes(neigh: DataFrame, labels: DataFrame, qid: str, bid: str, label: str,
+              ks: tuple = (6, 3), prefix: str = "pred_k") -> DataFrame:
+    """G11 for several k at once from one neighbour table (ranks 1..max k):
+    one count per (query, label) and k, then the vote per k (ties -> lowest
+    label). One search, one aggregation."""
+    j = neigh.join(labels.select(F.col(bid), F.col(label).alias("_l")), bid)
+    votes = j.groupBy(qid, "_l").agg(*[
+        F.sum(F.when(F.col("rank") <= k, 1).otherwise(0)).alias(f"_n{k}") for k in ks])
+    return votes.groupBy(qid).agg(*[
+        F.max_by(F.when(F.col(f"_n{k}") > 0, F.col("_l")),
+                 F.struct(F.col(f"_n{k}"), (-F.col("_l")).alias("nl"))).alias(f"{prefix}{k}")
+        for k in ks])

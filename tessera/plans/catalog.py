@@ -378,11 +378,8 @@ def q_knn_vote(spark, sf):
     b = e.withColumnRenamed("qid", "bid")
     nn = vectors.nearest_k(e, b, 6, exclude_self=True)
     lab = emb.select(F.col("vec_id").alias("bid"), "label")
-    p6 = vectors.knn_vote(nn, lab, "qid", "bid", "label", "pred_k6")
-    p3 = vectors.knn_vote(nn.where(F.col("rank") <= 3), lab, "qid", "bid", "label", "pred_k3")
-    return (emb.select(F.col("vec_id"), "label")
-            .join(p6.withColumnRenamed("qid", "vec_id"), "vec_id")
-            .join(p3.withColumnRenamed("qid", "vec_id"), "vec_id"))
+    votes = vectors.knn_votes(nn, lab, "qid", "bid", "label", ks=(6, 3))
+    return emb.select(F.col("vec_id"), "label").join(votes.withColumnRenamed("qid", "vec_id"), "vec_id")
 
 
 @register("routed_topk", f"""
