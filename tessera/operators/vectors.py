@@ -94,7 +94,10 @@ def _partial_topk_fn(bc, k: int, exclude_self: bool, has_on: bool, margin: int =
                 best_b = np.take_along_axis(cb, order, axis=1)
         keep = np.isfinite(best_d)
         qi = np.broadcast_to(np.arange(nq)[:, None], best_d.shape)[keep]
-        yield pd.DataFrame({"_q": q_ids[qi], "_b": best_b[keep], "dist": best_d[keep]})
+        res = {"_q": q_ids[qi], "_b": best_b[keep], "dist": best_d[keep]}
+        if has_on:
+            res["_on"] = q_on[qi]
+        yield pd.DataFrame(res)
 
     return run
 
@@ -129,16 +132,14 @@ def nearest_k(queries: DataFrame, base: DataFrame, k: int, qid: str = "qid", bid
         q_on = pdf["_on"].to_numpy() if on else None
         bc = spark.sparkContext.broadcast((q_ids, q_mat, q_on))
         fn = _partial_topk_fn(bc, k, exclude_self, on is not None)
-        parts.append(b.mapInPandas(fn, "_q long, _b long, dist double"))
+        on_type = f", _on {queries.schema[on].dataType.simpleString()}" if on else ""
+        parts.append(b.mapInPandas(fn, f"_q long, _b long, dist double{on_type}"))
     if not parts:
         return spark.createDataFrame([], f"{qid} long, rank int, {bid} long, dist double")
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
     res = _top_k(allp, "_q", k, [F.col("dist"), F.col("_b")])
-    if on:
-        qon = queries.select(F.col(qid).cast("long").alias("_q"), F.col(on).alias("_on"))
-        res = res.join(qon, "_q")
     cols = [F.col("_q").alias(qid)] + ([F.col("_on").alias(on)] if on else []) + [
         F.col("rank"), F.col("_b").alias(bid), F.col("dist")]
     return res.select(*cols)
