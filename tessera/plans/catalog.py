@@ -1075,3 +1075,23 @@ def q_score_routed(spark, sf):
     s = prep.score_routed(li, "l_returnflag", models_)
     return s.select("l_orderkey", "l_linenumber", "pred",
                     prep.decision_gate("pred", F.col("l_quantity") > 10).alias("act"))
+
+
+def _hidden_sql() -> list[str]:
+    layer = NET_LAYERS[0]
+    return [_network_sql(_NET_INPUTS_SQL, [{"weights": [row], "bias": [b], "squash": "LOGISTIC"}])
+            for row, b in zip(layer["weights"], layer["bias"])]
+
+
+@register("pattern_recall", f"""
+SELECT l_orderkey, l_linenumber,
+       [{", ".join(f"CASE WHEN {h} > 0.5 THEN 1 ELSE 0 END" for h in _hidden_sql())}] AS pattern
+FROM lineitem
+""")
+def q_pattern_recall(spark, sf):
+    # Activate the hidden layer, then read the pattern back as 0/1
+    li = T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    ins = [F.col("l_quantity") / 50, F.col("l_discount") * 10, F.col("l_tax") * 10]
+    h = network.score_network(li, ins, NET_LAYERS[:1], out_prefix="h")
+    return h.select("l_orderkey", "l_linenumber",
+                    A.threshold(F.array("h0", "h1", "h2"), 0.5).alias("pattern"))
