@@ -23,11 +23,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def _positive_zero(sql: str) -> str:
+    """Wrap every ``round(...)`` as ``(round(...) + 0.0)``: DuckDB can round a
+    tiny negative to -0.0 where Spark's decimal rounding gives 0.0; adding 0.0
+    turns -0.0 into 0.0 and leaves every other value as it is."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j])
+        out.append("(" + sql[j:j + 6] + _positive_zero(sql[j + 6:k + 1]) + " + 0.0)")
+        i = k + 1
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            SQL[name] = sql.strip()
+            SQL[name] = _positive_zero(sql.strip())
         return fn
 
     return deco
