@@ -22,9 +22,12 @@ linked sets agree on all but H of their non-empty segments.
 A set belongs to its own band and, if it can link with smaller ones, to the
 band below. Signatures are exchanged in blocks; a signature shared by many sets
 in one task sends a few of them on, so its group doesn't grow with the table.
-Sets under one signature are first linked to the smallest in a star; stars are
-verified on the exact sets; after connected components, only pairs that lie in
-different components under one signature remain to be verified.
+Sets under one signature are first linked to the smallest in a star; after
+connected components, only pairs that lie in different components under one
+signature remain. A pair is verified in two steps: the parities of a fine
+partition of the universe (two bits a shingle) differ in no more places than
+the sets do, which drops most pairs that don't link, and the sets themselves
+are compared for the others.
 
 Exact copies (equal sets) are merged before, by a 128-bit digest.
 
@@ -117,9 +120,9 @@ class Partition:
         """0 for tiny sets, then 1, 2, ... for [L, 2L), [2L, 4L), ... with L = tiny + 1."""
         return np.where(n <= self.tiny, 0, np.floor(np.log2(np.maximum(n, 1) / (self.tiny + 1))).astype(np.int64) + 1)
 
-    def signatures(self, tokens: np.ndarray, bounds: np.ndarray, popular: np.ndarray, everything: bool = False):
-        """(signature, row) of each set. ``popular``: ascending signatures to
-        use last; ``everything``: all non-empty segments (to count them)."""
+    def signatures(self, tokens: np.ndarray, bounds: np.ndarray, popular: np.ndarray):
+        """(signature, row) of each set. ``popular``: frequent shingles,
+        ascending; segments of nothing else are used last."""
         n = np.diff(bounds)
         own = self.band(n)
         out_sig, out_row = [], []
@@ -129,10 +132,13 @@ class Partition:
             out_row.append(row)
 
         spread = mix(tokens ^ _C[50])
+        frequent = np.zeros(len(tokens), bool)
+        if len(popular):
+            frequent = popular[np.minimum(np.searchsorted(popular, tokens), len(popular) - 1)] == tokens
         row_of = np.repeat(np.arange(len(n)), n)
         whole = _sums(spread, bounds)
         near = np.flatnonzero((n > 0) & (self.smallest(n) <= self.tiny))
-        if len(near) and not everything:
+        if len(near):
             emit(mix(whole[near] + _C[51]), near)
             member = np.isin(row_of, near) & (n[row_of] > 1)
             emit(mix(whole[row_of[member]] - spread[member] + _C[51]), row_of[member])
@@ -153,15 +159,11 @@ class Partition:
             content = np.add.reduceat(spread[at], heads) if len(heads) else np.zeros(0, np.uint64)
             sig = mix(content + (segment[heads] + U(b << 40)) * _C[52]) >> U(1)
             seg_owner = owner[heads]
-            if everything:
-                emit(sig, rows[seg_owner])
-                continue
             count = np.bincount(seg_owner, minlength=len(rows))
             edge = np.concatenate([[0], np.cumsum(count)])
-            order = sig.copy()
-            if len(popular):
-                spot = np.minimum(np.searchsorted(popular, sig), len(popular) - 1)
-                order |= (popular[spot] == sig).astype(np.uint64) << U(63)
+            order = sig
+            if len(heads):
+                order = sig | np.logical_and.reduceat(frequent[at], heads).astype(np.uint64) << U(63)
             take = np.minimum(count, errors + 1)
             for a, z in zip(edge[:-1].tolist(), edge[1:].tolist()):
                 order[a:z].sort()
@@ -183,7 +185,7 @@ def _ids(batch: pa.RecordBatch, start: int, stop: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2): size and digests of each row's set."""
+    """(doc_id, n_shingles, d1, d2, parity): size and digests of each row's set."""
 
     def run(batches):
         for batch in batches:
@@ -191,11 +193,12 @@ def describe(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                 tokens, bounds = shingle_sets(data, offs, k)
                 d1, d2 = set_digests(tokens, bounds)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, stop - start), pa.array(np.diff(bounds)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))],
-                    names=["doc_id", "n_shingles", "d1", "d2"],
-                )
+                    [batch.column(0).slice(start, stop - start), pa.array(np.diff(bounds)), pa.array(d1.view(np.int64)),
+                     pa.array(d2.view(np.int64)), pa.array(parities(tokens, bounds), pa.binary())],
+                    names=["doc_id", "n_shingles", "d1", "d2", "parity"],
+                )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, parity binary")
 
 
 def token_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
@@ -211,24 +214,48 @@ def token_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, tokens array<long>")
 
 
-def popular_signatures(docs: DataFrame, scheme: Partition, k: int, one_in: int, least: int, most: int) -> np.ndarray:
-    """Signatures frequent in a fixed sample of the sets, ascending. They only
-    steer cost, so their number may be bounded."""
+def popular_shingles(docs: DataFrame, k: int, one_in: int, least: int, most: int) -> np.ndarray:
+    """Shingles frequent among the different sets of a fixed sample of the
+    documents, ascending. They only steer cost, so their number is bounded."""
 
     def run(batches):
         for batch in batches:
             for _, _, data, offs in text_slices(batch, "text"):
                 tokens, bounds = shingle_sets(data, offs, k)
-                sig, row = scheme.signatures(tokens, bounds, np.zeros(0, np.uint64), everything=True)
-                d1 = set_digests(tokens, bounds)[0]
-                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(d1[row].view(np.int64))], names=["sig", "d"])
+                owner = np.repeat((set_digests(tokens, bounds)[0] >> U(33)).astype(np.int32), np.diff(bounds))
+                yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(owner)], names=["t", "d"])
 
     sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(one_in)) == 0)
     found = (
-        sample.mapInArrow(run, "sig long, d long").distinct().groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= least).orderBy(F.desc("n"), "sig").limit(most).select("sig").collect()
+        sample.mapInArrow(run, "t long, d int").groupBy("t")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+        .where((F.col("n") >= least) & (F.col("lo") < F.col("hi"))).orderBy(F.desc("n"), "t").limit(most).select("t").collect()
     )  # fmt: skip  at most `most` numbers
-    return np.sort(np.array([r.sig for r in found], np.int64).view(np.uint64))
+    return np.sort(np.array([r.t for r in found], np.int64).view(np.uint64))
+
+
+def parities(tokens: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """For each set, the parity of its shingles in each of 2**j segments, about
+    two a shingle, as bits. The segments of a small partition are unions of
+    those of a larger one: halves of the bits are folded by exclusive or."""
+    n = np.diff(bounds)
+    bits = np.maximum(6, np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
+    at = np.concatenate([[0], np.cumsum(1 << bits)])
+    mask = np.repeat((1 << bits) - 1, n).astype(np.uint64)
+    spot = np.repeat(at[:-1], n) + (mix(tokens ^ _C[55]) & mask).astype(np.int64)
+    odd = (np.bincount(spot, minlength=at[-1]) & 1).astype(bool)
+    packed = np.packbits(odd, bitorder="little").tobytes()
+    return [packed[a // 8 : z // 8] for a, z in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def parity_distance(a: bytes, b: bytes) -> int:
+    """A lower bound of the number of shingles in which two sets differ."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 BLOCK_SCHEMA = "bucket long, sigs binary, ids binary, hot binary"
@@ -397,6 +424,81 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def near_pairs(pairs: DataFrame, sets: DataFrame, scheme: Partition) -> DataFrame:
+    """Those of ``pairs(a, b)`` that sizes and parities allow to link; ``sets``
+    has doc_id, n_shingles and parity, one row for each id."""
+
+    def run(batches):
+        for batch in batches:
+            a, b, na, nb, pa_, pb = (batch.column(i) for i in range(6))
+            na, nb = na.to_numpy(), nb.to_numpy()
+            most = scheme.errors(na, nb)
+            ok = 100 * np.minimum(na, nb) >= scheme.percent * np.maximum(na, nb)
+            for i in np.flatnonzero(ok):
+                ok[i] = parity_distance(pa_[i].as_buffer(), pb[i].as_buffer()) <= most[i]
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(ok))
+
+    one = sets.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("parity").alias("pa"))
+    two = sets.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("parity").alias("pb"))
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
+
+
+def cross_pairs(members: DataFrame, sets: DataFrame, scheme: Partition, block: int = 2048, bucket_rows: int = 50_000) -> DataFrame:
+    """Pairs (a, b) of different components under one number in
+    ``members(g, node, component)`` that sizes and parities allow to link.
+
+    Members are compared in tiles of two blocks of at most about ``block``
+    members, so a large group is many small pieces of work; many tiles share a
+    task. Only the pairs that pass leave a tile."""
+
+    def tile(a, b, nodes, parts, n, bits):
+        """Index pairs of a tile whose sets may link."""
+        words = min(len(x) for x in bits) // 8
+        m = np.zeros((len(bits), words), np.uint64)
+        for r, x in enumerate(bits):
+            x = np.frombuffer(x, np.uint64)
+            while len(x) > words:
+                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+            m[r] = x
+        step = max(1, (1 << 20) // max(1, len(bits) * words))
+        for s in range(0, len(bits), step):
+            mine = slice(s, s + step)
+            ok = (parts[mine, None] != parts[None]) & (nodes[mine, None] < nodes[None])
+            ok &= (a[mine, None] != b) if b is not None else True
+            ok &= 100 * np.minimum(n[mine, None], n[None]) >= scheme.percent * np.maximum(n[mine, None], n[None])
+            x, y = np.nonzero(ok)
+            if len(x):
+                far = np.bitwise_count(m[mine][x] ^ m[y]).sum(axis=1)
+                near = far <= scheme.errors(n[mine][x], n[y])
+                yield nodes[mine][x[near]], nodes[y[near]]
+
+    def run(group: pa.Table) -> pa.Table:
+        g, i, j, b, node, part, n = (group[c].to_numpy() for c in ("g", "i", "j", "b", "node", "component", "n_shingles"))
+        order = np.lexsort((j, i, g))
+        g, i, j, b, node, part, n = (x[order] for x in (g, i, j, b, node, part, n))
+        parity = group["parity"].combine_chunks()
+        new = np.ones(len(g), bool)
+        new[1:] = (g[1:] != g[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        found = [np.zeros((0, 2), np.int64)]
+        heads = np.append(np.flatnonzero(new), len(g))
+        for s, e in zip(heads[:-1], heads[1:]):
+            bits = [parity[int(r)].as_buffer() for r in order[s:e]]
+            for x, y in tile(b[s:e], b[s:e] if i[s] != j[s] else None, node[s:e], part[s:e], n[s:e], bits):
+                found.append(np.stack([x, y], 1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    mixed = members.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("k"))
+    members = members.join(mixed.where("lo <> hi").select("g", F.ceil(F.col("k") / block).alias("_n")), "g").checkpoint(eager=True)
+    tiles = members.withColumn("b", F.pmod(F.xxhash64("node"), F.col("_n"))).withColumn("_t", F.explode(F.expr("sequence(0L, _n - 1)")))
+    tiles = tiles.withColumn("i", F.least("b", "_t")).withColumn("j", F.greatest("b", "_t"))
+    buckets = max(1, math.ceil(members.count() / bucket_rows))
+    tiles = tiles.join(sets.withColumnRenamed("doc_id", "node"), "node").select(
+        F.pmod(F.xxhash64("g", "i", "j"), F.lit(buckets)).alias("_bucket"), "g", "i", "j", "b", "node", "component", "n_shingles", "parity"
+    )
+    return tiles.groupBy("_bucket").applyInArrow(run, "a long, b long").distinct()
+
+
 def verified(pairs: DataFrame, docs: DataFrame, percent: int, k: int, filter_bits: int = 22) -> DataFrame:
     """Those of ``pairs(a, b)`` that link. Only texts that a pair may need are
     shingled again: a fixed-size bitmap of the ids drops most of the others."""
@@ -425,14 +527,15 @@ def link_documents(
     percent: int = PERCENT,
     k: int = SHINGLE,
     bucket_rows: int = 500_000,
-    sample_one_in: int = 32,
+    sample_one_in: int = 16,
     popular_least: int = 3,
-    popular_most: int = 200_000,
+    popular_most: int = 500_000,
 ) -> DataFrame:
     """(doc_id, n_shingles, n_copies, component_id) for each row of
     ``docs(doc_id, text)``."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
+    scheme = Partition(percent)
     rows = describe(docs, k).checkpoint(eager=True)
     live = rows.where("doc_id is not null and n_shingles > 0")
 
@@ -447,9 +550,10 @@ def link_documents(
     ).checkpoint(eager=True)
     copies = known.where("rep <> doc_id").select("doc_id", "rep")
 
-    scheme = Partition(percent)
     texts = docs.where("doc_id is not null")
-    popular = spark.sparkContext.broadcast(popular_signatures(texts, scheme, k, sample_one_in, popular_least, popular_most))
+    popular = spark.sparkContext.broadcast(popular_shingles(texts, k, sample_one_in, popular_least, popular_most))
+    # rows that share a doc_id and differ in text take part with each of their sets
+    sets = live.select("doc_id", "n_shingles", "parity").distinct()
     volume = live.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(1, math.ceil(0.5 * volume / bucket_rows))
     found = shared_signatures(signature_blocks(texts, scheme, popular, buckets, k)).checkpoint(eager=True)
@@ -464,17 +568,13 @@ def link_documents(
     # rows that share a doc_id may stand in several exact groups: those are links too
     twins = known.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
     twins = twins.where("a <> b").select("a", "b")
-    links = verified(pairs, texts, percent, k).union(twins).checkpoint(eager=True)
+    near = near_pairs(pairs, sets, scheme).distinct().checkpoint(eager=True)
+    links = verified(near, texts, percent, k).union(twins).checkpoint(eager=True)
     labels = components(links)
 
     members = representative(found.where("not is_pair").select(F.col("x").alias("g"), F.col("y").alias("node")), "node").distinct()
     members = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = members.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("g")
-    members = members.join(mixed, "g").checkpoint(eager=True)
-    one = members.select("g", F.col("node").alias("a"), F.col("component").alias("ca"))
-    two = members.select("g", F.col("node").alias("b"), F.col("component").alias("cb"))
-    cross = one.join(two, "g").where("a < b and ca <> cb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    cross = cross.checkpoint(eager=True)
+    cross = cross_pairs(members.select("g", "node", "component"), sets, scheme).join(pairs, ["a", "b"], "left_anti").checkpoint(eager=True)
     if not cross.isEmpty():
         more = verified(cross, texts, percent, k).checkpoint(eager=True)
         if not more.isEmpty():
