@@ -46,14 +46,12 @@ _HAS_LETTER = re.compile(r"[^\W\d_]")
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
-def word_features(data: np.ndarray, offs: np.ndarray):
-    """Features of all words: (n-gram rows and the word each belongs to),
-    lexicon row of each word, and words of each text (n + 1 bounds)."""
-    low, starts, ends, doc = letter_words(data, offs)
+def word_features(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray):
+    """Features of words: n-gram rows and the word each belongs to, by length
+    of the n-grams, and the lexicon row of each word."""
     n = len(starts)
-    bounds = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(offs) - 1))])
     if not n:
-        return (np.zeros(0, np.int32), np.zeros(0, np.int64)), np.zeros(0, np.int64), bounds
+        return [], [], np.zeros(0, np.int64)
     # words with one border byte on either side
     length = ends - starts
     at = np.concatenate([[0], np.cumsum(length + 2)])
@@ -71,8 +69,13 @@ def word_features(data: np.ndarray, offs: np.ndarray):
         whole = word[: len(code)] == word[k - 1 :]
         grams.append(((code[whole] * _M[k - 2]) >> np.uint64(64 - BITS)).astype(np.int32))
         owners.append(word[: len(code)][whole])
-    lexicon = (hash_spans(low, starts, ends) >> np.uint64(64 - BITS)).astype(np.int64)
-    return (grams, owners), lexicon, bounds
+    return grams, owners, (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def _words(data: np.ndarray, offs: np.ndarray):
+    low, starts, ends, doc = letter_words(data, offs)
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(offs) - 1))])
+    return low, starts, ends, hash_spans(low, starts, ends), bounds
 
 
 @dataclass
@@ -83,7 +86,7 @@ class Crf:
     transitions: np.ndarray  # (labels, labels)
 
     def emissions(self, features) -> np.ndarray:
-        (grams, owners), lexicon, _ = features
+        grams, owners, lexicon = features
         out = self.lexicon[lexicon].astype(np.float32)
         for g, o in zip(grams, owners):
             # owners ascend; a word of one letter has no n-gram of four
@@ -166,8 +169,9 @@ class Crf:
 
     def label_texts(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Label probabilities of the words of all texts, and bounds."""
-        features = word_features(data, offs)
-        emissions, bounds = self.emissions(features), features[2]
+        low, starts, ends, hashes, bounds = _words(data, offs)
+        known, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        emissions = self.emissions(word_features(low, starts[first], ends[first], known))[which]
         parts, at, used = [], 0, 0  # texts are taken together up to PART words
         cuts = np.unique(np.concatenate([bounds, *[np.arange(a, b, PART) for a, b in zip(bounds[:-1], bounds[1:]) if b - a > PART]]))
         while at < len(cuts) - 1:
@@ -187,12 +191,13 @@ def train(
     names = sorted(set(labels))
     rng = np.random.default_rng(seed)
     data, offs = texts_to_bytes(texts)
-    (grams, owners), lexicon, bounds = word_features(data, offs)
+    low, starts, ends, hashes, bounds = _words(data, offs)
+    grams, owners, lexicon = word_features(low, starts, ends, hashes)
     known = {v: i for i, v in enumerate(names)}
     y_of = np.array([known[v] for v in labels], np.int64)
     gram_at = [np.searchsorted(o, np.arange(len(lexicon) + 1)) for o in owners]
     stretches = []
-    for i in range(len(texts)):
+    for i in range(len(texts) if len(lexicon) else 0):
         a, b = int(bounds[i]), int(bounds[i + 1])
         if b - a > words_each:
             a += int(rng.integers(0, b - a - words_each))
@@ -225,7 +230,7 @@ def train(
                 pick = np.repeat(gram_at[k][words] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                 g.append(grams[k][pick])
                 o.append(np.repeat(np.arange(len(words)), n))
-            e = model.emissions(((g, o), lexicon[words], None))
+            e = model.emissions((g, o, lexicon[words]))
             p, pairs = model.posteriors(e, np.unique(chain), want_pairs=True)
             gradient = -p
             gradient[np.arange(len(y)), y] += 1

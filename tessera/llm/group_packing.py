@@ -78,52 +78,86 @@ def _units(data: np.ndarray, offs: np.ndarray):
 
 
 class Encoder:
-    """Encodes the texts of a slice; each different unit is encoded once."""
+    """Encodes texts. Each different unit is encoded once and kept, by its
+    64-bit hash, until ``most`` units are known; then the table starts anew."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = 1_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self._forget()
+
+    def _forget(self):
+        self.keys = np.zeros(0, np.uint64)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _encoded(self, units: list) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units, one after the other, and how many each has."""
+        sep, flat = SEPARATOR.encode(), []
+        apart = {i: bytes(u).decode() for i, u in enumerate(units) if 60 in bytes(u)}  # "<" may spell a special token
+        for i in range(0, len(units), 2048):
+            text = sep.join([b"" if j in apart else units[j] for j in range(i, min(i + 2048, len(units)))]).decode()
+            flat.append(np.array([*self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, SEPARATOR_ID], np.uint32))
+        ids = np.concatenate(flat)
+        stops = np.flatnonzero(ids == SEPARATOR_ID)
+        size = np.diff(np.concatenate([[-1], stops])) - 1
+        ids = ids[ids != SEPARATOR_ID]
+        if apart:
+            parts = np.split(ids, np.cumsum(size)[:-1])
+            for i, text in apart.items():
+                parts[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                size[i] = len(parts[i])
+            ids = np.concatenate(parts)
+        return ids, size
+
+    def _learn(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray):
+        """Add units (their hashes ascend) to the table."""
+        view = memoryview(low)
+        ids, size = self._encoded([view[s:e] for s, e in zip(starts.tolist(), ends.tolist())])
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.begin = np.insert(self.begin, at, self.used + np.cumsum(size) - size)
+        self.size = np.insert(self.size, at, size)
+        self.used += len(ids)
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the slice and where each text's ids start (n + 1)."""
         low, starts, ends, doc = _units(data, offs)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
-        _, first, which = np.unique(hash_spans(low, starts, ends), return_index=True, return_inverse=True)
-        view, sep = memoryview(low), SEPARATOR.encode()
-        units = [view[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())]
-        flat, bounds = [], []
-        ambiguous = [i for i, u in enumerate(units) if 60 in u]  # "<" may spell a special token
-        for i in ambiguous:
-            units[i], bounds_text = b"", bytes(units[i]).decode()
-            bounds.append((i, self.tokenizer.encode(bounds_text, add_special_tokens=False).ids))
-        for i in range(0, len(units), 2048):
-            text = sep.join(units[i : i + 2048]).decode()
-            enc = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
-            flat.append(np.array([*enc.ids, SEPARATOR_ID], np.uint32))
-        ids = np.concatenate(flat)
-        stops = np.flatnonzero(ids == SEPARATOR_ID)
-        size = np.diff(np.concatenate([[-1], stops])) - 1
-        begin = stops - size
-        if bounds:  # these stand behind the others
-            extra = np.concatenate([np.array(x, np.uint32) for _, x in bounds])
-            at = len(ids)
-            for i, x in bounds:
-                begin[i], size[i] = at, len(x)
-                at += len(x)
-            ids = np.concatenate([ids, extra])
-        n = size[which]
-        ends_at = np.cumsum(n)
-        shift = begin[which] - (ends_at - n)
-        out = ids[np.arange(ends_at[-1] if len(ends_at) else 0) + np.repeat(shift, n)]
+        keys, first, which = np.unique(hash_spans(low, starts, ends), return_index=True, return_inverse=True)
+        if len(self.keys) > self.most:
+            self._forget()
+        new = np.ones(len(keys), bool)
+        if len(self.keys):
+            new = self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] != keys
+        if new.any():
+            self._learn(low, starts[first[new]], ends[first[new]], keys[new])
+        unit = np.searchsorted(self.keys, keys)[which]
+        n = self.size[unit]
+        stop = np.cumsum(n)
+        out = self.ids[np.arange(stop[-1]) + np.repeat(self.begin[unit] - (stop - n), n)]
         per_doc = np.bincount(doc, weights=n, minlength=len(offs) - 1).astype(np.int64)
         return out, np.concatenate([[0], np.cumsum(per_doc)])
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this process (a worker runs many tasks)."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def token_pieces(
     docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, closing_id: int = 0
 ) -> DataFrame:
@@ -134,10 +168,10 @@ def token_pieces(
     def run(batches: Iterable[pa.RecordBatch]):
         import zlib
 
-        encoder = Encoder(path)
+        tokens = encoder(path)
         for batch in batches:
             for start, stop, data, offs in text_slices(batch, "text", 8 << 20):
-                ids, at = encoder.encode(data, offs)
+                ids, at = tokens.encode(data, offs)
                 rows = [[], [], [], []]
                 owner = []
                 for i in range(stop - start):

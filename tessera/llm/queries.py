@@ -4,13 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import curriculum_mix, group_packing, histogram_shards, partition_join, warc_bundles
+import corpus_pipeline
+from tessera.llm import (
+    conv_toxicity,
+    crf_language,
+    curriculum_mix,
+    factor_quality,
+    group_packing,
+    histogram_shards,
+    kn_quality,
+    partition_join,
+    vamana_index,
+    warc_bundles,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_neighbours(spark, sf_dir):
+    return vamana_index.search_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
+def op2_language(spark, sf_dir):
+    return crf_language.identify_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark, sf_dir):
     rows = warc_bundles.archive_pages(_table(spark, sf_dir, "pages"))
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -20,24 +40,42 @@ def op4_mix(spark, sf_dir):
     return curriculum_mix.mix_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark, sf_dir):
+    return kn_quality.judge_documents(_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark, sf_dir):
     return group_packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark, sf_dir):
+    return conv_toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_shards(spark, sf_dir):
     return histogram_shards.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark, sf_dir):
+    return factor_quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_ngram_join(spark, sf_dir):
     return partition_join.link_documents(_table(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES = {
+    "op1_neighbours": op1_neighbours,
+    "op2_language": op2_language,
     "op3_warc": op3_warc,
     "op4_mix": op4_mix,
+    "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
     "op8_shards": op8_shards,
+    "op9_quality": op9_quality,
     "op10_ngram_join": op10_ngram_join,
+    "pipeline": corpus_pipeline.run,
 }
 
 LLM_SQL = {
