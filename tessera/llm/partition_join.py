@@ -22,9 +22,10 @@ linked sets agree on all but H of their non-empty segments.
 A set belongs to its own band and, if it can link with smaller ones, to the
 band below. Signatures are exchanged in blocks; a signature shared by many sets
 in one task sends a few of them on, so its group doesn't grow with the table.
-Sets under one signature are first linked to the smallest in a star; after
-connected components, only pairs that lie in different components under one
-signature remain. A pair is verified in two steps: the parities of a fine
+Sets under one signature form a star around the smallest; first, each set is
+compared with the smallest partner of all its stars; after connected
+components, only pairs that lie in different components under one signature
+remain. A pair is verified in two steps: the parities of a fine
 partition of the universe (two bits a shingle) differ in no more places than
 the sets do, which drops most pairs that don't link, and the sets themselves
 are compared for the others.
@@ -51,6 +52,7 @@ from tessera.llm._text import IS_WORD, LOWER, hash_spans, mix, spans, text_slice
 SHINGLE = 5
 PERCENT = 75
 SALTS = 32
+SLICE = 2 << 20
 U = np.uint64
 _C = np.random.default_rng(77).integers(1, 2**63, 64, dtype=np.uint64) * U(2) + U(1)
 
@@ -189,7 +191,7 @@ def describe(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for start, stop, data, offs in text_slices(batch, "text"):
+            for start, stop, data, offs in text_slices(batch, "text", SLICE):
                 tokens, bounds = shingle_sets(data, offs, k)
                 d1, d2 = set_digests(tokens, bounds)
                 yield pa.RecordBatch.from_arrays(
@@ -206,7 +208,7 @@ def token_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for start, stop, data, offs in text_slices(batch, "text"):
+            for start, stop, data, offs in text_slices(batch, "text", SLICE):
                 tokens, bounds = shingle_sets(data, offs, k)
                 arrays = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(tokens.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), arrays], names=["doc_id", "tokens"])
@@ -220,7 +222,7 @@ def popular_shingles(docs: DataFrame, k: int, one_in: int, least: int, most: int
 
     def run(batches):
         for batch in batches:
-            for _, _, data, offs in text_slices(batch, "text"):
+            for _, _, data, offs in text_slices(batch, "text", SLICE):
                 tokens, bounds = shingle_sets(data, offs, k)
                 owner = np.repeat((set_digests(tokens, bounds)[0] >> U(33)).astype(np.int32), np.diff(bounds))
                 yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(owner)], names=["t", "d"])
@@ -263,7 +265,7 @@ FOUND_SCHEMA = "is_pair boolean, x long, y long"
 
 
 def signature_blocks(
-    docs: DataFrame, scheme: Partition, popular, buckets: int, k: int = SHINGLE, chunk: int = 1_000_000, few: int = 8
+    docs: DataFrame, scheme: Partition, popular, buckets: int, k: int = SHINGLE, chunk: int = 500_000, few: int = 8
 ) -> DataFrame:
     """Signatures of every set in blocks of one bucket each (``BLOCK_SCHEMA``).
 
@@ -312,7 +314,7 @@ def signature_blocks(
         frequent = popular.value
         sigs, ids, held = [], [], 0
         for batch in batches:
-            for start, stop, data, offs in text_slices(batch, "text"):
+            for start, stop, data, offs in text_slices(batch, "text", SLICE):
                 tokens, bounds = shingle_sets(data, offs, k)
                 own = _ids(batch, start, stop)
                 digests = list(zip(*(d.tolist() for d in set_digests(tokens, bounds))))
@@ -526,7 +528,7 @@ def link_documents(
     *,
     percent: int = PERCENT,
     k: int = SHINGLE,
-    bucket_rows: int = 500_000,
+    bucket_rows: int = 300_000,
     sample_one_in: int = 16,
     popular_least: int = 3,
     popular_most: int = 500_000,
@@ -568,13 +570,21 @@ def link_documents(
     # rows that share a doc_id may stand in several exact groups: those are links too
     twins = known.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
     twins = twins.where("a <> b").select("a", "b")
-    near = near_pairs(pairs, sets, scheme).distinct().checkpoint(eager=True)
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    near = near_pairs(first, sets, scheme).distinct().checkpoint(eager=True)
     links = verified(near, texts, percent, k).union(twins).checkpoint(eager=True)
     labels = components(links)
 
+    # what is left: pairs of different components, from the stars and among the members of groups
+    rest = pairs
+    for column in ("a", "b"):
+        rest = rest.join(labels.select(F.col("node").alias(column), F.col("component").alias(f"c{column}")), column, "left")
+        rest = rest.withColumn(f"c{column}", F.coalesce(f"c{column}", column))
+    rest = rest.where("ca <> cb").select("a", "b").join(first, ["a", "b"], "left_anti")
     members = representative(found.where("not is_pair").select(F.col("x").alias("g"), F.col("y").alias("node")), "node").distinct()
     members = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    cross = cross_pairs(members.select("g", "node", "component"), sets, scheme).join(pairs, ["a", "b"], "left_anti").checkpoint(eager=True)
+    cross = cross_pairs(members.select("g", "node", "component"), sets, scheme).join(first, ["a", "b"], "left_anti")
+    cross = near_pairs(rest, sets, scheme).union(cross).distinct().checkpoint(eager=True)
     if not cross.isEmpty():
         more = verified(cross, texts, percent, k).checkpoint(eager=True)
         if not more.isEmpty():
