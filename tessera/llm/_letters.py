@@ -44,15 +44,28 @@ def fold(row_id: str | Column, n: int) -> Column:
     return F.crc32(F.coalesce(row_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def class_sample(rows: DataFrame, label: str, per_class: int, max_classes: int = 64) -> list:
+def class_sample(rows: DataFrame, label: str, per_class: int, max_classes: int = 64) -> DataFrame:
     """About ``per_class`` rows of each value of ``label``, chosen by a hash of
     the id (``doc_id``), so by the same rule on every run. Only a model's fit
-    uses this; its size is bounded by ``per_class * max_classes``."""
+    uses this; it has at most ``2 * per_class * max_classes`` rows."""
     rows = rows.where(F.col(label).isNotNull())
     counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), label).limit(max_classes)
     part = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("fit")), 11) / F.lit(float(1 << 53))
     chosen = rows.join(F.broadcast(counts), label).where(part * F.col("_n") < per_class).drop("_n")
-    return chosen.orderBy(F.xxhash64("doc_id", F.lit("fit")), "doc_id").limit(2 * per_class * max_classes).collect()
+    return chosen.orderBy(F.xxhash64("doc_id", F.lit("fit")), "doc_id").limit(2 * per_class * max_classes)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> list:
+    """Rows of ``docs`` for a bounded sample of each value of ``label`` (0 or 1)
+    in ``labels(doc_id, label)``. The sample is drawn from the labels and its
+    ids broadcast, so the texts aren't shuffled. Of several labels of an id the
+    largest holds."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
+    known = known.groupBy("doc_id").agg(F.max(label).alias(label))
+    chosen = class_sample(known, label, per_class, 2)
+    rows = docs.where("text is not null").join(F.broadcast(chosen), "doc_id")
+    # repeated ids can't make the sample larger than a fixed number of rows
+    return rows.orderBy(F.xxhash64("doc_id", F.lit("fit")), "doc_id", F.xxhash64("text")).limit(4 * per_class).collect()
 
 
 def by_score(score: np.ndarray, labels: np.ndarray) -> float:

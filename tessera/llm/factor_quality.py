@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm._letters import around, by_score, class_sample, fold, in_buckets, letter_words, texts_to_bytes
+from tessera.llm._letters import around, by_score, fold, in_buckets, labelled_sample, letter_words, texts_to_bytes
 from tessera.llm._text import IS_WORD, hash_spans, map_texts, spans
 
 BITS = 14
@@ -193,10 +193,10 @@ def train(
     return fm
 
 
-def fit(rows: DataFrame, per_class: int = 3000, **settings) -> FactorMachine:
-    """Fit on ``rows(doc_id, text, n_chars, quality)``: a bounded sample of each label."""
-    rows = rows.where("text is not null and doc_id is not null").select("doc_id", "text", "n_chars", "quality")
-    found = class_sample(rows, "quality", per_class, 2)
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, **settings) -> FactorMachine:
+    """Fit on a bounded sample of each label of ``labels(doc_id, quality)``,
+    with the rows of ``docs(doc_id, text, n_chars)``."""
+    found = labelled_sample(docs.select("doc_id", "text", "n_chars"), labels.select("doc_id", "quality"), "quality", per_class)
     return train([r.text for r in found], [int(r.quality) for r in found], [r.n_chars for r in found], **settings)
 
 
@@ -229,7 +229,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame
     """Train on the labelled rows that aren't held out; score every document."""
     if "n_chars" not in docs.columns:
         docs = docs.withColumn("n_chars", F.lit(None).cast("long"))
-    known = labels.select("doc_id", "quality").where(~held_out()).dropDuplicates(["doc_id"])
-    model = fit(docs.select("doc_id", "text", "n_chars").join(known, "doc_id"), **settings)
+    model = fit(docs, labels.where(~held_out()), **settings)
     rows = docs.select("doc_id", "text", "n_chars", held_out().alias("held_out"))
     return score_quality(rows, model).select("doc_id", "held_out", "score", "predicted")
