@@ -190,7 +190,12 @@ def train(
     join stretches of 5 to 40 words of different texts."""
     names = sorted(set(labels))
     rng = np.random.default_rng(seed)
-    data, offs = texts_to_bytes(texts)
+    cut = []
+    for text in texts:  # consecutive words from a place by chance; white space is enough to cut at
+        words = text.split()
+        a = int(rng.integers(0, max(1, len(words) - words_each + 1)))
+        cut.append(" ".join(words[a : a + words_each]))
+    data, offs = texts_to_bytes(cut)
     low, starts, ends, hashes, bounds = _words(data, offs)
     grams, owners, lexicon = word_features(low, starts, ends, hashes)
     known = {v: i for i, v in enumerate(names)}
@@ -199,9 +204,6 @@ def train(
     stretches = []
     for i in range(len(texts) if len(lexicon) else 0):
         a, b = int(bounds[i]), int(bounds[i + 1])
-        if b - a > words_each:
-            a += int(rng.integers(0, b - a - words_each))
-            b = a + words_each
         while a < b:
             n = int(rng.integers(5, 41))
             stretches.append((a, min(b, a + n), int(y_of[i])))
@@ -250,9 +252,10 @@ def train(
     return model
 
 
-def fit(rows: DataFrame, per_class: int = 1500, **settings) -> Crf:
+def fit(rows: DataFrame, per_class: int = 1000, **settings) -> Crf:
     """Fit on ``rows(doc_id, text, lang)``: a bounded sample of each language."""
-    found = class_sample(rows.where("text is not null").select("doc_id", "text", "lang"), "lang", per_class)
+    rows = rows.where("text is not null").select("doc_id", "text", "lang")
+    found = class_sample(rows, "lang", per_class).collect()
     return train([r.text for r in found], [r.lang for r in found], **settings)
 
 
