@@ -22,10 +22,10 @@ linked sets agree on all but H of their non-empty segments.
 A set belongs to its own band and, if it can link with smaller ones, to the
 band below. Signatures are exchanged in blocks; a signature shared by many sets
 in one task sends a few of them on, so its group doesn't grow with the table.
-Sets under one signature form a star around the smallest; first, each set is
-compared with the smallest partner of all its stars; after connected
-components, only pairs that lie in different components under one signature
-remain. A pair is verified in two steps: the parities of a fine
+Sets that share a signature are compared only while they lie in different
+components: first each set with the one partner it shares most signatures
+with, then with the partner in another component that looks nearest, and at
+last all pairs that are still apart; components are joined in between. A pair is verified in two steps: the parities of a fine
 partition of the universe (two bits a shingle) differ in no more places than
 the sets do, which drops most pairs that don't link, and the sets themselves
 are compared for the others.
@@ -176,7 +176,7 @@ class Partition:
                 need = sizes[few] - self.smallest(sizes[few]) + 1
                 begin = bounds[rows[few]]
                 pick = np.repeat(begin - np.concatenate([[0], np.cumsum(need)[:-1]]), need) + np.arange(need.sum())
-                emit(mix(tokens[pick] + U(b) * _C[53]) >> U(1), rows[np.repeat(few, need)])
+                emit(mix(tokens[pick] + U(b * int(_C[53]) % 2**64)) >> U(1), rows[np.repeat(few, need)])
         if not out_sig:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         return np.concatenate(out_sig) & U((1 << 63) - 1), np.concatenate(out_row)
@@ -261,7 +261,8 @@ def parity_distance(a: bytes, b: bytes) -> int:
 
 
 BLOCK_SCHEMA = "bucket long, sigs binary, ids binary, hot binary"
-FOUND_SCHEMA = "is_pair boolean, x long, y long"
+FOUND_SCHEMA = "kind int, x long, y long, n long"
+MEMBER, PAIR, HINT = 0, 1, 2
 
 
 def signature_blocks(
@@ -346,26 +347,38 @@ def _hot_bytes(marks: np.ndarray, sig: np.ndarray) -> bytes:
 
 
 def shared_signatures(blocks: DataFrame) -> DataFrame:
-    """``FOUND_SCHEMA``: stars (x the smallest id under a signature, y another)
-    and, where a signature has three sets or more, members (x a number of the
-    group, y a member). Groups of equal members have one number."""
-
-    def table(is_pair, x, y):
-        return pa.table([pa.array(is_pair), pa.array(x), pa.array(y)], names=["is_pair", "x", "y"])
+    """``FOUND_SCHEMA``: PAIR (x, y, signatures) of two sets that are alone
+    under a signature; where more sets share one, MEMBER (number of the group,
+    set), and as a HINT for each set its best partner among the groups' first
+    sets. Groups of equal members have one number."""
+
+    def table(*parts):
+        kind = np.concatenate([np.full(len(rows), k, np.int32) for k, rows, _ in parts])
+        rows = np.concatenate([rows for _, rows, _ in parts])
+        n = np.concatenate([n for _, _, n in parts])
+        return pa.table([pa.array(kind), pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(n)], names=["kind", "x", "y", "n"])
+
+    def best(x, y):
+        """For each y the x that it meets most often, and how often."""
+        rows, n = np.unique(np.stack([y, x], 1), axis=0, return_counts=True)
+        order = np.lexsort((rows[:, 1], -n, rows[:, 0]))
+        rows, n = rows[order], n[order]
+        head = np.ones(len(rows), bool)
+        head[1:] = rows[1:, 0] != rows[:-1, 0]
+        return rows[head][:, ::-1], n[head]
 
     def run(group: pa.Table) -> pa.Table:
-        rows = [c.to_pylist() for c in (group["bucket"], group["sigs"], group["ids"], group["hot"])]
-        if rows[0][0] < 0:
-            sig, first, other = (np.concatenate([np.frombuffer(x, np.int64) for x in col]) for col in rows[1:])
-            pairs = np.unique(np.stack([first, other], 1), axis=0)
+        cols = [c.to_pylist() for c in (group["bucket"], group["sigs"], group["ids"], group["hot"])]
+        if cols[0][0] < 0:
+            sig, first, other = (np.concatenate([np.frombuffer(x, np.int64) for x in col]) for col in cols[1:])
             members = np.unique(np.concatenate([np.stack([sig, first], 1), np.stack([sig, other], 1)]), axis=0)
-            both = np.concatenate([pairs, members])
-            return table(np.arange(len(both)) < len(pairs), both[:, 0], both[:, 1])
+            return table((MEMBER, members, np.ones(len(members), np.int64)), (HINT, *best(first, other)))
         sigs, ids, hot = [], [], []
-        for s, i, h in zip(*rows[1:]):
+        for s, i, h in zip(*cols[1:]):
             s = np.frombuffer(s, np.uint32)
             base, packed = np.frombuffer(i[:8], np.int64)[0], i[8:]
-            ids.append(np.frombuffer(packed, np.uint32 if len(packed) == 4 * len(s) else np.int64).astype(np.int64) + (base if len(packed) == 4 * len(s) else 0))
+            small = len(packed) == 4 * len(s)
+            ids.append(np.frombuffer(packed, np.uint32 if small else np.int64).astype(np.int64) + (base if small else 0))
             full = np.zeros(len(s), np.int64)
             if h:
                 n = len(h) // 12
@@ -381,28 +394,31 @@ def shared_signatures(blocks: DataFrame) -> DataFrame:
         shared[:-1] |= same
         order = order[shared]
         sig, ids, hot = sig[order], ids[order], hot[order]
-        order = np.lexsort((ids, sig))
+        order = np.lexsort((-hot, ids, sig))  # a repeated (signature, id) is one member, hot if one of them is
         sig, ids, hot = sig[order], ids[order], hot[order]
         new = np.ones(len(sig), bool)
         new[1:] = (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])
-        # a repeated (signature, id) is one member; its hot mark is kept by the maximum below
+        sig, ids, hot = sig[new], ids[new], hot[new]
         head = np.ones(len(sig), bool)
         head[1:] = sig[1:] != sig[:-1]
         heads = np.flatnonzero(head)
+        none = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
         if not len(heads):
-            return table(np.zeros(0, bool), np.zeros(0, np.int64), np.zeros(0, np.int64))
+            return table((PAIR, *none))
         group_no = np.cumsum(head) - 1
-        size = np.add.reduceat(new.astype(np.int64), heads)
+        size = np.diff(np.append(heads, len(sig)))
         full = np.maximum.reduceat(hot, heads)
-        number = np.add.reduceat(np.where(new, mix(ids.view(np.uint64) ^ _C[60]), U(0)), heads)
+        number = np.add.reduceat(mix(ids.view(np.uint64) ^ _C[60]), heads)
         number = np.where(full != 0, full, (mix(number) >> U(1)).view(np.int64) | np.int64(-(2**63)))
         first = ids[heads][group_no]
-        star = new & ~head & (ids != first)
-        pairs = np.unique(np.stack([first[star], ids[star]], 1), axis=0)
-        keep = new & ((size >= 3) | (full != 0))[group_no]
-        members = np.unique(np.stack([number[group_no][keep], ids[keep]], 1), axis=0)
-        both = np.concatenate([pairs, members])
-        return table(np.arange(len(both)) < len(pairs), both[:, 0], both[:, 1])
+        many = ((size >= 3) | (full != 0))[group_no]
+        pairs, n = np.unique(np.stack([first[~many & ~head], ids[~many & ~head]], 1), axis=0, return_counts=True)
+        members = np.unique(np.stack([number[group_no][many], ids[many]], 1), axis=0)
+        star = many & ~head
+        return table(
+            (PAIR, pairs, n), (MEMBER, members, np.ones(len(members), np.int64)),
+            (HINT, *(best(first[star], ids[star]) if star.any() else none)),
+        )
 
     return blocks.groupBy("bucket").applyInArrow(run, FOUND_SCHEMA)
 
@@ -445,13 +461,14 @@ def near_pairs(pairs: DataFrame, sets: DataFrame, scheme: Partition) -> DataFram
     return pairs.join(two, "b").join(one, "a").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
 
 
-def cross_pairs(members: DataFrame, sets: DataFrame, scheme: Partition, block: int = 2048, bucket_rows: int = 50_000) -> DataFrame:
+def cross_pairs(members: DataFrame, sets: DataFrame, scheme: Partition, nearest_only: bool, block: int = 2048, bucket_rows: int = 50_000) -> DataFrame:
     """Pairs (a, b) of different components under one number in
     ``members(g, node, component)`` that sizes and parities allow to link.
 
     Members are compared in tiles of two blocks of at most about ``block``
     members, so a large group is many small pieces of work; many tiles share a
-    task. Only the pairs that pass leave a tile."""
+    task. Only the pairs that pass leave a tile; with ``nearest_only``, for each
+    set only the one with the nearest parities."""
 
     def tile(a, b, nodes, parts, n, bits):
         """Index pairs of a tile whose sets may link."""
@@ -472,7 +489,7 @@ def cross_pairs(members: DataFrame, sets: DataFrame, scheme: Partition, block: i
             if len(x):
                 far = np.bitwise_count(m[mine][x] ^ m[y]).sum(axis=1)
                 near = far <= scheme.errors(n[mine][x], n[y])
-                yield nodes[mine][x[near]], nodes[y[near]]
+                yield nodes[mine][x[near]], nodes[y[near]], far[near]
 
     def run(group: pa.Table) -> pa.Table:
         g, i, j, b, node, part, n = (group[c].to_numpy() for c in ("g", "i", "j", "b", "node", "component", "n_shingles"))
@@ -481,13 +498,20 @@ def cross_pairs(members: DataFrame, sets: DataFrame, scheme: Partition, block: i
         parity = group["parity"].combine_chunks()
         new = np.ones(len(g), bool)
         new[1:] = (g[1:] != g[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
-        found = [np.zeros((0, 2), np.int64)]
+        found = [np.zeros((0, 3), np.int64)]
         heads = np.append(np.flatnonzero(new), len(g))
         for s, e in zip(heads[:-1], heads[1:]):
             bits = [parity[int(r)].as_buffer() for r in order[s:e]]
-            for x, y in tile(b[s:e], b[s:e] if i[s] != j[s] else None, node[s:e], part[s:e], n[s:e], bits):
-                found.append(np.stack([x, y], 1))
+            for x, y, far in tile(b[s:e], b[s:e] if i[s] != j[s] else None, node[s:e], part[s:e], n[s:e], bits):
+                rows = np.stack([x, y, far.astype(np.int64)], 1)
+                if nearest_only:
+                    by = np.lexsort((x, far, y))
+                    rows = rows[by][np.concatenate([[True], y[by][1:] != y[by][:-1]])] if len(y) else rows
+                found.append(rows)
         pairs = np.unique(np.concatenate(found), axis=0)
+        if nearest_only and len(pairs):
+            pairs = pairs[np.lexsort((pairs[:, 0], pairs[:, 2], pairs[:, 1]))]
+            pairs = pairs[np.concatenate([[True], pairs[1:, 1] != pairs[:-1, 1]])]
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     mixed = members.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("k"))
@@ -564,27 +588,39 @@ def link_documents(
         other = copies.select(F.col("doc_id").alias(column), F.col("rep").alias("_rep"))
         return df.join(other, column, "left").withColumn(column, F.coalesce("_rep", column)).drop("_rep")
 
-    pairs = found.where("is_pair").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    pairs = found.where(F.col("kind") != MEMBER).groupBy("kind", F.col("x").alias("a"), F.col("y").alias("b")).agg(F.sum("n").alias("n"))
     pairs = representative(representative(pairs, "a"), "b").where("a <> b")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().checkpoint(eager=True)
+    pairs = pairs.select("kind", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n").checkpoint(eager=True)
+    members = representative(found.where(F.col("kind") == MEMBER).select(F.col("x").alias("g"), F.col("y").alias("node")), "node")
+    members = members.distinct().checkpoint(eager=True)
+
+    def labelled(labels):
+        own = members.join(labels, "node", "left")
+        return own.select("g", "node", F.coalesce("component", "node").alias("component"))
+
     # rows that share a doc_id may stand in several exact groups: those are links too
     twins = known.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
     twins = twins.where("a <> b").select("a", "b")
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    # 1. each set with the partner of most signatures
+    met = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    first = met.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
     near = near_pairs(first, sets, scheme).distinct().checkpoint(eager=True)
     links = verified(near, texts, percent, k).union(twins).checkpoint(eager=True)
     labels = components(links)
-
-    # what is left: pairs of different components, from the stars and among the members of groups
-    rest = pairs
+    # 2. each set with the nearest one of another component
+    near = cross_pairs(labelled(labels), sets, scheme, nearest_only=True).checkpoint(eager=True)
+    more = verified(near, texts, percent, k).checkpoint(eager=True)
+    if not more.isEmpty():
+        links = links.union(more)
+        labels = components(links)
+    # 3. all that are still apart
+    rest = pairs.where(F.col("kind") == PAIR).select("a", "b").distinct()
     for column in ("a", "b"):
         rest = rest.join(labels.select(F.col("node").alias(column), F.col("component").alias(f"c{column}")), column, "left")
         rest = rest.withColumn(f"c{column}", F.coalesce(f"c{column}", column))
-    rest = rest.where("ca <> cb").select("a", "b").join(first, ["a", "b"], "left_anti")
-    members = representative(found.where("not is_pair").select(F.col("x").alias("g"), F.col("y").alias("node")), "node").distinct()
-    members = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    cross = cross_pairs(members.select("g", "node", "component"), sets, scheme).join(first, ["a", "b"], "left_anti")
-    cross = near_pairs(rest, sets, scheme).union(cross).distinct().checkpoint(eager=True)
+    rest = near_pairs(rest.where("ca <> cb").select("a", "b"), sets, scheme)
+    cross = rest.union(cross_pairs(labelled(labels), sets, scheme, nearest_only=False)).distinct()
+    cross = cross.join(near, ["a", "b"], "left_anti").checkpoint(eager=True)
     if not cross.isEmpty():
         more = verified(cross, texts, percent, k).checkpoint(eager=True)
         if not more.isEmpty():
