@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _SPACE = [0x20, *range(0x09, 0x0E)]
 IS_WORD = np.ones(256, bool)

@@ -81,7 +81,7 @@ class Encoder:
     """Encodes texts. Each different unit is encoded once and kept, by its
     64-bit hash, until ``most`` units are known; then the table starts anew."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 600_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -170,7 +170,7 @@ def token_pieces(
 
         tokens = encoder(path)
         for batch in batches:
-            for start, stop, data, offs in text_slices(batch, "text", 8 << 20):
+            for start, stop, data, offs in text_slices(batch, "text", 4 << 20):
                 ids, at = tokens.encode(data, offs)
                 rows = [[], [], [], []]
                 owner = []

@@ -52,7 +52,7 @@ from tessera.llm._text import IS_WORD, LOWER, hash_spans, mix, spans, text_slice
 SHINGLE = 5
 PERCENT = 75
 SALTS = 32
-SLICE = 2 << 20
+SLICE = 1 << 20
 U = np.uint64
 _C = np.random.default_rng(77).integers(1, 2**63, 64, dtype=np.uint64) * U(2) + U(1)
 
