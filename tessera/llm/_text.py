@@ -7,6 +7,7 @@ of rows in an Arrow batch nor on the size of the table.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -27,6 +28,12 @@ IS_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim(0)
+except (OSError, AttributeError):  # another C library
+    _LIBC = None
+
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _R = np.uint64(0x9E3779B97F4A7C15)
@@ -43,6 +50,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def release_memory():
+    """Give freed memory back to the system: Python workers live on between
+    tasks, and several share an executor."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def text_slices(batch: pa.RecordBatch, name: str, slice_bytes: int = SLICE_BYTES) -> Iterator[tuple]:
     """Yield (start row, stop row, bytes, offsets) for runs of rows whose texts
     have about ``slice_bytes`` together; a null text is an empty one and a row
@@ -61,6 +76,8 @@ def text_slices(batch: pa.RecordBatch, name: str, slice_bytes: int = SLICE_BYTES
         stop = min(max(stop, start + 1), n)
         yield start, stop, raw[offs[start] : offs[stop]], offs[start : stop + 1] - offs[start]
         start = stop
+    del raw, offs, col, data, offsets
+    release_memory()
 
 
 def spans(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

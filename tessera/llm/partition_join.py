@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm._text import IS_WORD, LOWER, hash_spans, mix, spans, text_slices
+from tessera.llm._text import IS_WORD, LOWER, hash_spans, mix, release_memory, spans, text_slices
 
 SHINGLE = 5
 PERCENT = 75
@@ -368,6 +368,7 @@ def shared_signatures(blocks: DataFrame) -> DataFrame:
         return rows[head][:, ::-1], n[head]
 
     def run(group: pa.Table) -> pa.Table:
+        release_memory()
         cols = [c.to_pylist() for c in (group["bucket"], group["sigs"], group["ids"], group["hot"])]
         if cols[0][0] < 0:
             sig, first, other = (np.concatenate([np.frombuffer(x, np.int64) for x in col]) for col in cols[1:])
