@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_BYTES = 2 << 20
+BATCH_ROWS = 1000
 
 _SPACE = [0x20, *range(0x09, 0x0E)]
 IS_WORD = np.ones(256, bool)
@@ -113,6 +114,16 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix(h)
 
 
+def arrow_map(df: DataFrame, f, schema) -> DataFrame:
+    """``mapInArrow`` in batches of at most BATCH_ROWS rows: texts are long, and
+    Spark bounds its batches by rows only. A smaller setting of the session is
+    kept."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(f, schema)
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns that an operator is about to add."""
     low = {n.lower() for n in names}
@@ -140,7 +151,7 @@ def map_texts(
                 new = [x if isinstance(x, pa.Array) else pa.array(x) for x in f(part, data, offs)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return arrow_map(df, run, schema)
 
 
 def nonspace_count(text):

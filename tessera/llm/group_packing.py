@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm._text import IS_WORD, LOWER, hash_spans, spans, text_slices
+from tessera.llm._text import IS_WORD, LOWER, arrow_map, hash_spans, spans, text_slices
 
 CAPACITY = 2048
 SEPARATOR = "<|endoftext|>"  # fixed value: the vocabulary's end token, id 49407
@@ -185,7 +185,7 @@ def token_pieces(
                 cols += [pa.array(c, t) for c, t in zip(rows, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES_SCHEMA)
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), run, PIECES_SCHEMA)
 
 
 def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, groups: int = 256) -> list[tuple]:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm._text import IS_WORD, hash_spans, map_texts, mix, spans, text_slices, without
+from tessera.llm._text import IS_WORD, arrow_map, hash_spans, map_texts, mix, spans, text_slices, without
 
 ORDER = 4
 SYMBOL_BITS = 6
@@ -129,7 +129,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
                     names=["lang", "code", "n"],
                 )
 
-    counted = docs.select(F.col("lang").cast("string"), "text").mapInArrow(run, "lang string, code int, n long")
+    counted = arrow_map(docs.select(F.col("lang").cast("string"), "text"), run, "lang string, code int, n long")
     return counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm._text import IS_WORD, LOWER, hash_spans, mix, release_memory, spans, text_slices
+from tessera.llm._text import IS_WORD, LOWER, arrow_map, hash_spans, mix, release_memory, spans, text_slices
 
 SHINGLE = 5
 PERCENT = 75
@@ -200,7 +200,7 @@ def describe(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                     names=["doc_id", "n_shingles", "d1", "d2", "parity"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, parity binary")
+    return arrow_map(docs, run, "doc_id long, n_shingles long, d1 long, d2 long, parity binary")
 
 
 def token_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
@@ -213,7 +213,7 @@ def token_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                 arrays = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(tokens.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), arrays], names=["doc_id", "tokens"])
 
-    return docs.mapInArrow(run, "doc_id long, tokens array<long>")
+    return arrow_map(docs, run, "doc_id long, tokens array<long>")
 
 
 def popular_shingles(docs: DataFrame, k: int, one_in: int, least: int, most: int) -> np.ndarray:
@@ -229,7 +229,7 @@ def popular_shingles(docs: DataFrame, k: int, one_in: int, least: int, most: int
 
     sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(one_in)) == 0)
     found = (
-        sample.mapInArrow(run, "t long, d int").groupBy("t")
+        arrow_map(sample, run, "t long, d int").groupBy("t")
         .agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi"))
         .where((F.col("n") >= least) & (F.col("lo") < F.col("hi"))).orderBy(F.desc("n"), "t").limit(most).select("t").collect()
     )  # fmt: skip  at most `most` numbers
@@ -338,7 +338,7 @@ def signature_blocks(
         if held:
             yield blocks(np.concatenate(sigs), np.concatenate(ids), part, chunk_no)
 
-    return docs.mapInArrow(run, BLOCK_SCHEMA)
+    return arrow_map(docs, run, BLOCK_SCHEMA)
 
 
 def _hot_bytes(marks: np.ndarray, sig: np.ndarray) -> bytes:

@@ -39,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.llm._text import arrow_map
 from tessera.session import ensure_checkpoint_dir
 
 SALTS = 32
@@ -209,7 +210,7 @@ def write_bundles(
         if last := writer.close():
             yield out(last)
 
-    plan_records(pages, min_bytes).mapInArrow(run, BUNDLE_SCHEMA).write.option("compression", "none").parquet(path)
+    arrow_map(plan_records(pages, min_bytes), run, BUNDLE_SCHEMA).write.option("compression", "none").parquet(path)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
