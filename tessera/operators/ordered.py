@@ -26,6 +26,7 @@ deterministic.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,12 +125,16 @@ def keyed_scan(
     fields = [T.StructField(_PID, T.IntegerType()),
               T.StructField("_ks_f", kschema), T.StructField("_ks_l", kschema),
               T.StructField("_ks_off", T.LongType())]
-    fields += [T.StructField(f"_ks_off_{c}", T.DoubleType()) for c in sums]
+    fields += [T.StructField(f"_ks_off_{c}", sum_type[c]) for c in sums]
     fields += [T.StructField("_ks_aft", T.LongType())]
-    fields += [T.StructField(f"_ks_aft_{c}", T.DoubleType()) for c in sums]
+    fields += [T.StructField(f"_ks_aft_{c}", sum_type[c]) for c in sums]
 
     def typed(vals):
-        return [float(x) if i else int(x) for i, x in enumerate(vals)]
+        kinds = [T.LongType(), *(sum_type[c] for c in sums)]
+        return [
+            float(x) if isinstance(t, (T.DoubleType, T.FloatType)) else Decimal(x) if isinstance(t, T.DecimalType) else int(x)
+            for t, x in zip(kinds, vals)
+        ]
 
     for r, c_in, a_out in zip(summary, carried, after):
         rows.append((r[_PID], tuple(r["f"][:nk]), tuple(r["l"][:nk]), *typed(c_in), *typed(a_out)))
@@ -179,5 +184,9 @@ def next_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     spreads a hot key over all partitions.
     """
     scanned = keyed_scan(df, keys, order)
-    nxt = scanned.select(*keys, (F.col("rn") - 1).alias("rn"), F.col(value).alias(out))
-    return scanned.join(nxt, list(keys) + ["rn"], "inner")
+    nxt = scanned.select(
+        *[F.col(k).alias(f"_nx_{k}") for k in keys], (F.col("rn") - 1).alias("_nx_rn"), F.col(value).alias(out))
+    cond = F.col("rn") == F.col("_nx_rn")
+    for k in keys:  # rows with a null key follow each other too
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_nx_{k}"))
+    return scanned.join(nxt, cond, "inner").drop("_nx_rn", *[f"_nx_{k}" for k in keys])

@@ -81,7 +81,7 @@ def stratified_split(df: DataFrame, id_col: str, label: str, test_pct: int = 20,
     Uses the skew-safe keyed scan: a class may hold most of the rows."""
     h = df.withColumn("_h", seeded_hash(id_col, seed))
     s = keyed_scan(h, [label], ["_h", id_col], totals=True)
-    n_test = F.floor((F.col("cnt") * test_pct + 99) / 100)
+    n_test = F.expr(f"(cnt * {int(test_pct)} + 99) div 100")
     return s.withColumn(
         out, F.when(F.col("rn") <= n_test, "test").otherwise("train")
     ).drop("_h", "rn", "cnt")
@@ -91,7 +91,7 @@ def tail_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], test_pc
                out: str = "split") -> DataFrame:
     """Per key, the first ``ceil((100-pct)*n/100)`` rows in order train, rest test."""
     s = keyed_scan(df, keys, order, totals=True)
-    n_train = F.floor((F.col("cnt") * (100 - test_pct) + 99) / 100)
+    n_train = F.expr(f"(cnt * {100 - int(test_pct)} + 99) div 100")
     return s.withColumn(out, F.when(F.col("rn") <= n_train, "train").otherwise("test")).drop("cnt")
 
 
@@ -111,35 +111,24 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def oversample_even(df: DataFrame, id_col: str, label: str, seed: int = 42,
-                    out: str = "copy", max_copies_per_task: int = 1_000_000) -> DataFrame:
-    """Resample every class to the size of the largest one, evenly: a row
-    of a class with n rows gets ``N div n`` copies, plus one for the first
-    ``N mod n`` rows in hash order (N = largest class). The largest class keeps
-    its rows once. Copies are numbered from 1 in ``out``.
-
-    The class sizes are one small aggregate; when one row would need more
-    than ``max_copies_per_task`` copies, its copies are first cut into chunk
-    rows that are spread over the cluster before they are expanded, so no task
-    expands a huge class ratio alone."""
-    sizes = df.groupBy(label).count().agg(F.max("count").alias("_N"), F.min("count").alias("_n")).first()
-    big_n, small_n = sizes["_N"] or 0, sizes["_n"] or 0
-    h = df.withColumn("_h", seeded_hash(id_col, seed))
-    s = keyed_scan(h, [label], ["_h", id_col], totals=True)
-    copies = (F.floor(F.lit(big_n) / F.col("cnt")) +
-              F.when(F.col("rn") <= F.lit(big_n) % F.col("cnt"), 1).otherwise(0)).cast("long")
-    s = s.withColumn("_copies", copies).where(F.col("_copies") > 0)
-    max_copies = -(-big_n // small_n) if small_n else 0
-    if max_copies > max_copies_per_task:
-        c = max_copies_per_task
-        s = s.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                        F.floor((F.col("_copies") - 1) / c).cast("long"))))
-        s = s.repartition(s.sparkSession.sparkContext.defaultParallelism * 4)
-        first = F.col("_chunk") * c + 1
-        last = F.least(F.col("_copies"), (F.col("_chunk") + 1) * c)
-        s = s.withColumn(out, F.explode(F.sequence(first.cast("int"), last.cast("int")))).drop("_chunk")
-    else:
-        s = s.withColumn(out, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return s.drop("_h", "rn", "cnt", "_copies")
+                    out: str = "copy", base=0, chunk: int = 1000) -> DataFrame:
+    """Resample every class to the row count of class ``base``, up or down:
+    a row of a class with n rows gets ``N div n`` copies, plus one for the
+    first ``N mod n`` rows in hash order (N = rows of ``base``). The base class
+    keeps its rows once. Copies are numbered from 1 in ``out``.
+
+    A row's copies are cut into chunk rows that are spread over the cluster
+    before they are expanded, so a small class is not expanded in the few
+    tasks it lies in."""
+    n = df.where(F.col(label) == F.lit(base)).count()
+    s = keyed_scan(df.withColumn("_h", seeded_hash(id_col, seed)), [label], ["_h", id_col], totals=True)
+    s = s.withColumn("_copies", F.expr(f"{n}L div cnt + if(rn <= {n}L % cnt, 1L, 0L)")).where("_copies > 0")
+    s = s.withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {int(chunk)})")))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = s.repartition(parts, id_col, "_chunk")
+    copies = F.expr(f"sequence(_chunk * {int(chunk)} + 1, least(_copies, (_chunk + 1) * {int(chunk)}))")
+    s = s.withColumn(out, F.explode(copies))
+    return s.drop("_h", "rn", "cnt", "_copies", "_chunk")
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str]) -> DataFrame:

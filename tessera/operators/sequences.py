@@ -125,8 +125,12 @@ def throttle(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
     least ``gap_seconds`` after the last accepted one, and so on.
 
     Returns the accepted rows of ``df``. Rows are ordered by ``(ts, id)``."""
-    keys = list(keys)
-    spark = df.sparkSession
+    columns = df.columns
+    # keys in a form in which nulls are equal
+    df = df.withColumns(
+        {f"_kv{i}": F.coalesce(F.col(k).cast("string"), F.lit("")) for i, k in enumerate(keys)}
+        | {f"_kn{i}": F.col(k).isNull() for i, k in enumerate(keys)})
+    keys = [f"_k{c}{i}" for i in range(len(keys)) for c in "vn"]
     base = df.select(*keys, ts, id_col)
     s = keyed_scan(base, keys, [ts, id_col], totals=True)
     gap = F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")
@@ -165,4 +169,4 @@ def throttle(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
             *[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.rn").alias("rn"),
             F.col("b.j").alias("j")).checkpoint(eager=True)
     picked = s.join(acc, keys + ["rn"], "left_semi")
-    return df.join(picked.select(*keys, id_col), keys + [id_col], "left_semi")
+    return df.join(picked.select(*keys, id_col), keys + [id_col], "left_semi").select(*columns)

@@ -1,28 +1,22 @@
 """Vector operators: centroids, nearest centroid, exact k nearest neighbours,
 k-NN vote (G6, G7, J2, J3, J4, M9, G11, W3).
 
-Exhaustive search is what the reference does (a flat L2 index). Here the
-query side is broadcast only behind a size check (chunked when larger than
-``max_broadcast_bytes``); the base side is streamed through ``mapInPandas``
-in Arrow batches, distances are numpy float64 arithmetic inside the tasks,
-each partition keeps a running top-k per query, and a final top-k merges the
-partitions (at most ``k * partitions`` rows per query, so no group is
-unbounded). Centroids (one row per class) go through a broadcast join.
+Exhaustive search is what the reference does (a flat L2 index). Here queries
+and base rows are dealt to blocks, inside their topic if there is one, and
+each pair of blocks is one task group of fixed size: a matrix product proposes
+candidates, exact float64 distances decide, and at most k rows a query leave
+the tile; a last top-k merges the tiles. Nothing passes through the driver and
+memory doesn't depend on the size of either side.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
 def centroids(df: DataFrame, key: str, vec: str, out: str = "centroid") -> DataFrame:
     """Mean vector per group (double), a partial aggregate per key."""
     return (
@@ -33,116 +27,92 @@ def centroids(df: DataFrame, key: str, vec: str, out: str = "centroid") -> DataF
     )
 
 
-def _query_chunks(queries: DataFrame, qid: str, vec: str, max_bytes: int):
-    """Split the query side into hash chunks whose vectors fit ``max_bytes``.
-
-    Size estimate from one aggregate: rows * (dim * 8 + 64)."""
-    stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec)).alias("d")).first()
-    n, d = stats["n"], stats["d"] or 0
-    k = max(1, math.ceil(n * (d * 8 + 64) / max_bytes))
-    if k == 1:
-        return [queries]
-    bucket = F.pmod(F.xxhash64(F.col(qid)), F.lit(k))
-    return [queries.where(bucket == i) for i in range(k)]
-
-
-def _top_k(pairs: DataFrame, qid: str, k: int, order) -> DataFrame:
-    w = Window.partitionBy(qid).orderBy(*order)
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-def _partial_topk_fn(bc, k: int, exclude_self: bool, has_on: bool, margin: int = 8):
-    """Per base partition: a running top-k per broadcast query.
+def _tile_fn(k: int, exclude_self: bool, names: list[str]):
+    """Top-k of one pair of blocks, exact and with ties by base id.
 
-    Candidates come from ``|q|^2 + |b|^2 - 2 q.b`` (one BLAS product per
-    batch); the best ``k + margin`` are then re-scored exactly as
-    ``sum((q - b)^2)`` in float64 and ordered by (distance, base id), so the
-    result equals the direct formula unless more than ``margin`` rows tie
-    within rounding error."""
+    ``|q|^2 + |b|^2 - 2 q.b`` bounds the k-th distance up to rounding; every
+    base row within that bound plus the rounding slack is scored again as
+    ``sum((q - b)^2)`` and ordered by (distance, base id)."""
     import numpy as np
-    import pandas as pd
-
-    def run(it):
-        q_ids, q_mat, q_on = bc.value
-        nq = len(q_ids)
-        q_sq = np.einsum("qd,qd->q", q_mat, q_mat)
-        best_d = np.full((nq, k), np.inf)
-        best_b = np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            b_ids = pdf["_b"].to_numpy(dtype=np.int64)
-            b_mat = np.stack(pdf["_bv"].to_numpy()).astype(np.float64)
-            b_on = pdf["_bon"].to_numpy() if has_on else None
-            for s in range(0, len(b_ids), 8192):
-                bm = b_mat[s:s + 8192]
-                bi = b_ids[s:s + 8192]
-                approx = q_sq[:, None] + np.einsum("bd,bd->b", bm, bm)[None, :] - 2.0 * (q_mat @ bm.T)
+    import pyarrow as pa
+
+    def matrix(column):
+        flat = column.combine_chunks()
+        return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [[], [], []]
+        if left.num_rows and right.num_rows:
+            q_ids, b_ids = left["_q"].to_numpy(), right["_b"].to_numpy()
+            q_all, b = matrix(left["_qv"]), matrix(right["_bv"])
+            b_sq = np.einsum("bd,bd->b", b, b)
+            step = max(1, 2_000_000 // len(b_ids))
+            for s in range(0, len(q_ids), step):
+                q, ids = q_all[s:s + step], q_ids[s:s + step]
+                q_sq = np.einsum("qd,qd->q", q, q)
+                approx = q_sq[:, None] + b_sq[None, :] - 2.0 * (q @ b.T)
                 if exclude_self:
-                    approx[q_ids[:, None] == bi[None, :]] = np.inf
-                if has_on:
-                    approx[q_on[:, None] != b_on[s:s + 8192][None, :]] = np.inf
-                m = min(k + margin, approx.shape[1])
-                cand = np.argpartition(approx, m - 1, axis=1)[:, :m]
-                ok = np.isfinite(np.take_along_axis(approx, cand, axis=1))
-                diff = bm[cand] - q_mat[:, None, :]
-                exact = np.where(ok, np.einsum("qmd,qmd->qm", diff, diff), np.inf)
-                cd = np.concatenate([best_d, exact], axis=1)
-                cb = np.concatenate([best_b, bi[cand]], axis=1)
-                order = np.lexsort((cb, cd), axis=1)[:, :k]
-                best_d = np.take_along_axis(cd, order, axis=1)
-                best_b = np.take_along_axis(cb, order, axis=1)
-        keep = np.isfinite(best_d)
-        qi = np.broadcast_to(np.arange(nq)[:, None], best_d.shape)[keep]
-        res = {"_q": q_ids[qi], "_b": best_b[keep], "dist": best_d[keep]}
-        if has_on:
-            res["_on"] = q_on[qi]
-        yield pd.DataFrame(res)
+                    approx[ids[:, None] == b_ids[None, :]] = np.inf
+                m = min(k, len(b_ids))
+                bound = np.partition(approx, m - 1, axis=1)[:, m - 1]
+                bound = bound + 1e-9 * (q_sq + b_sq.max()) + 1e-12
+                r, c = np.nonzero((approx <= bound[:, None]) & np.isfinite(approx))
+                exact = np.empty(len(r))
+                for a in range(0, len(r), 100_000):
+                    d = q[r[a:a + 100_000]] - b[c[a:a + 100_000]]
+                    exact[a:a + 100_000] = np.einsum("nd,nd->n", d, d)
+                order = np.lexsort((b_ids[c], exact, r))
+                r, c, exact = r[order], c[order], exact[order]
+                keep = np.arange(len(r)) - np.searchsorted(r, r) < k
+                for col, v in zip(out, (ids[r[keep]], b_ids[c[keep]], exact[keep])):
+                    col.append(v)
+        empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        cols = [pa.array(np.concatenate(v) if v else e) for v, e in zip(out, empty)]
+        if len(names) == 4:  # the topic of the tile
+            topic = left["_g"] if left.num_rows else right["_g"]
+            cols.append(pa.chunked_array([topic.combine_chunks().take(pa.array(np.zeros(len(cols[0]), np.int64)))]))
+        return pa.table(cols, names=names)
 
     return run
 
 
 def nearest_k(queries: DataFrame, base: DataFrame, k: int, qid: str = "qid", bid: str = "bid",
               vec: str = "vec", exclude_self: bool = False, on: str | None = None,
-              max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+              block: int = 2048) -> DataFrame:
     """The ``k`` nearest base rows of every query by squared L2,
     ties -> lowest base id. ``queries(qid, vec[, on])``, ``base(bid, vec[, on])``
-    with integral ids. Returns ``(qid, [on,] rank, bid, dist)``; fewer than k
-    rows when the base is smaller (the reference pads with -1 and reads the
-    last block; we don't). With ``on`` only equal values of that column match.
-
-    The query side is broadcast in chunks that pass a size check; the base is
-    streamed once per chunk through ``mapInPandas`` (Arrow batches, numpy
-    distances) and each partition emits at most ``k`` rows per query; a final
-    top-k per query merges them (``k * partitions`` rows per query)."""
-    import numpy as np
-
-    spark = queries.sparkSession
-    b = base.select(F.col(bid).cast("long").alias("_b"), F.col(vec).alias("_bv"),
-                    *([F.col(on).alias("_bon")] if on else []))
-    parts = []
-    for chunk in _query_chunks(queries, qid, vec, max_broadcast_bytes):
-        cols = [F.col(qid).cast("long").alias("_q"), F.col(vec).alias("_qv")] + (
-            [F.col(on).alias("_on")] if on else [])
-        pdf = chunk.select(*cols).toPandas()  # bounded by the size check above
-        if len(pdf) == 0:
-            continue
-        q_ids = pdf["_q"].to_numpy(dtype=np.int64)
-        q_mat = np.stack(pdf["_qv"].to_numpy()).astype(np.float64)
-        q_on = pdf["_on"].to_numpy() if on else None
-        bc = spark.sparkContext.broadcast((q_ids, q_mat, q_on))
-        fn = _partial_topk_fn(bc, k, exclude_self, on is not None)
-        on_type = f", _on {queries.schema[on].dataType.simpleString()}" if on else ""
-        parts.append(b.mapInPandas(fn, f"_q long, _b long, dist double{on_type}"))
-    if not parts:
-        return spark.createDataFrame([], f"{qid} long, rank int, {bid} long, dist double")
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    res = _top_k(allp, "_q", k, [F.col("dist"), F.col("_b")])
-    cols = [F.col("_q").alias(qid)] + ([F.col("_on").alias(on)] if on else []) + [
-        F.col("rank"), F.col("_b").alias(bid), F.col("dist")]
-    return res.select(*cols)
+    with integral ids and vectors of one length. Returns
+    ``(qid, [on,] rank, bid, dist)``; fewer than k rows when the base is smaller
+    (the reference pads with -1 and reads the last block; we don't). With
+    ``on`` only rows of the same topic meet: blocks are dealt inside a topic, so
+    a topic's search costs its own queries times its own rows, and a large
+    topic is many tiles. Null vectors and null topics take no part."""
+    group = F.col(on) if on else F.lit(0)
+    q = queries.where(F.col(vec).isNotNull() & group.isNotNull()).select(
+        F.col(qid).cast("long").alias("_q"), F.col(vec).alias("_qv"), group.alias("_g"))
+    b = base.where(F.col(vec).isNotNull() & group.isNotNull()).select(
+        F.col(bid).cast("long").alias("_b"), F.col(vec).alias("_bv"), group.alias("_g"))
+    if on:  # one row for each topic: how many blocks each side has
+        sizes = q.groupBy("_g").agg(F.ceil(F.count(F.lit(1)) / block).alias("_nq")).join(
+            b.groupBy("_g").agg(F.ceil(F.count(F.lit(1)) / block).alias("_nb")), "_g")
+        q, b = q.join(sizes, "_g"), b.join(sizes, "_g")
+    else:
+        blocks = {"_nq": max(1, -(-q.count() // block)), "_nb": max(1, -(-b.count() // block))}
+        q, b = (x.withColumns({c: F.lit(n).cast("long") for c, n in blocks.items()}) for x in (q, b))
+    q = q.select(
+        "_q", "_qv", "_g", F.pmod(F.xxhash64("_q"), F.col("_nq")).alias("_i"),
+        F.explode(F.expr("sequence(0L, _nb - 1)")).alias("_j"))
+    b = b.select(
+        "_b", "_bv", "_g", F.pmod(F.xxhash64("_b"), F.col("_nb")).alias("_j"),
+        F.explode(F.expr("sequence(0L, _nq - 1)")).alias("_i"))
+    tile = ["_g", "_i", "_j"]
+    names = ["_q", "_b", "dist"] + (["_g"] if on else [])
+    schema = "_q long, _b long, dist double" + (f", _g {q.schema['_g'].dataType.simpleString()}" if on else "")
+    found = q.groupBy(*tile).cogroup(b.groupBy(*tile)).applyInArrow(_tile_fn(k, exclude_self, names), schema)
+    w = Window.partitionBy("_q", *(["_g"] if on else [])).orderBy("dist", "_b")
+    found = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return found.select(
+        F.col("_q").alias(qid), *([F.col("_g").alias(on)] if on else []), "rank", F.col("_b").alias(bid), "dist")
 
 
 def nearest_centroid(df: DataFrame, id_col: str, vec: str, cents: DataFrame, key: str,
@@ -158,10 +128,12 @@ def nearest_centroid(df: DataFrame, id_col: str, vec: str, cents: DataFrame, key
     import numpy as np
     import pandas as pd
 
-    n = cents.count()
-    if n > max_centroids:
-        raise ValueError(f"{n} centroids exceed the broadcast bound {max_centroids}")
-    cp = cents.select(F.col(key).alias("_k"), F.col("centroid")).toPandas().sort_values("_k")
+    cp = cents.select(F.col(key).alias("_k"), F.col("centroid")).limit(max_centroids + 1).toPandas().sort_values("_k")
+    if len(cp) > max_centroids:
+        raise ValueError(f"more than {max_centroids} centroids: beyond the broadcast bound")
+    if not len(cp):
+        return df.select(F.col(id_col), *keep, F.lit(None).cast(cents.schema[key].dataType).alias(out),
+                         F.lit(None).cast("double").alias("distance"))
     keys = cp["_k"].to_numpy()
     cm = np.stack(cp["centroid"].to_numpy()).astype(np.float64) if len(cp) else np.zeros((0, 0))
     norms = np.linalg.norm(cm, axis=1, keepdims=True)
@@ -189,6 +161,7 @@ def nearest_centroid(df: DataFrame, id_col: str, vec: str, cents: DataFrame, key
             yield pd.DataFrame(res)
 
     keep_types = "".join(f", {k} {df.schema[k].dataType.simpleString()}" for k in keep)
+    df = df.where(F.col(vec).isNotNull())  # a null vector has no nearest centroid
     return df.select(F.col(id_col).alias("_id"), *keep, F.col(vec).alias("_v")).mapInPandas(
         run, f"{id_col} {id_type}{keep_types}, {out} {key_type}, distance double")
 

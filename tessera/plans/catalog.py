@@ -17,7 +17,6 @@ from tessera.functions import arrays as A
 from tessera.functions import text as TX
 from tessera.functions.activations import clamp
 from tessera.operators import metrics, prep, vectors
-from tessera.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -209,11 +208,11 @@ WITH l AS (SELECT doc_id, quality,
              row_number() OVER (PARTITION BY quality
                                 ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) AS rn,
              count(*) OVER (PARTITION BY quality) AS cnt FROM labels),
-big AS (SELECT max(c) AS nn FROM (SELECT count(*) AS c FROM labels GROUP BY quality)),
+big AS (SELECT count(*) AS nn FROM labels WHERE quality = 0),
 cp AS (SELECT doc_id, quality,
-         CAST(floor(nn / cnt) + CASE WHEN rn <= nn % cnt THEN 1 ELSE 0 END AS INTEGER) AS copies
+         nn // cnt + CASE WHEN rn <= nn % cnt THEN 1 ELSE 0 END AS copies
        FROM l, big)
-SELECT doc_id, quality, CAST(unnest(generate_series(1, copies)) AS INTEGER) AS copy
+SELECT doc_id, quality, CAST(unnest(generate_series(1, copies)) AS BIGINT) AS copy
 FROM cp WHERE copies > 0
 """)
 def q_oversample_even(spark, sf):
@@ -341,23 +340,23 @@ def q_running_success_rate(spark, sf):
 
 @register("match_flags", """
 WITH a AS (SELECT vec_id, label,
-             list_transform(embedding[1:10], lambda x: x::DOUBLE) AS a,
-             list_transform(generate_series(0, 9), lambda k: CASE WHEN k = label THEN 1.0 ELSE 0.0 END) AS b
+             list_transform(embedding, lambda x: x::DOUBLE) AS a,
+             list_transform(generate_series(0, 63), lambda k: CASE WHEN k = label THEN 1.0 ELSE 0.0 END) AS b
            FROM embeddings)
 SELECT vec_id,
        CAST(CASE WHEN list_max(a) > 0 THEN list_position(a, list_max(a)) - 1 ELSE -1 END AS BIGINT) AS argmax_a,
        CASE WHEN (CASE WHEN list_max(a) > 0 THEN list_position(a, list_max(a)) - 1 ELSE -1 END)
                = (CASE WHEN list_max(b) > 0 THEN list_position(b, list_max(b)) - 1 ELSE -1 END)
             THEN 1 ELSE 0 END AS argmax_match,
-       CASE WHEN list_bool_and(list_transform(generate_series(1, 10),
+       CASE WHEN list_bool_and(list_transform(generate_series(1, 64),
                  lambda i: floor(a[i] + 0.5) = floor(b[i] + 0.5))) THEN 1 ELSE 0 END AS rounded_match
 FROM a
 """)
 def q_match_flags(spark, sf):
     e = T(spark, sf, "embeddings").select(
         "vec_id",
-        F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double")).alias("a"),
-        A.one_hot(F.col("label"), 10).alias("b"))
+        F.transform("embedding", lambda x: x.cast("double")).alias("a"),
+        A.one_hot(F.col("label"), 64).alias("b"))
     return e.select(
         "vec_id", A.argmax("a").alias("argmax_a"),
         F.when(A.argmax_equal("a", "b"), 1).otherwise(0).alias("argmax_match"),
@@ -606,7 +605,7 @@ FROM (SELECT doc_id,
       FROM documents)
 """)
 def q_text_blocks(spark, sf):
-    d = spread(T(spark, sf, "documents").select("doc_id", "text"))
+    d = T(spark, sf, "documents").select("doc_id", "text")
     return text.text_blocks(d, "doc_id", "text", r"\n+")
 
 
@@ -890,7 +889,7 @@ def q_lsh_neighbours(spark, sf):
 
 @register("vectorize_text")
 def q_vectorize_text(spark, sf):
-    d = spread(T(spark, sf, "documents").select("doc_id", "text"))
+    d = T(spark, sf, "documents").select("doc_id", "text")
     m = models.fit_text_vectors(d, "text", 1 << 16)
     return m.transform(d).select("doc_id", F.size(F.array_distinct("_tok")).alias("n_terms"), "vector")
 
@@ -901,7 +900,7 @@ def q_prompt_table(spark, sf):
     from tessera.plans import retrieval
 
     conv = T(spark, sf, "conversations")
-    docs = spread(T(spark, sf, "documents").select("doc_id", "lang", "text"))
+    docs = T(spark, sf, "documents").select("doc_id", "lang", "text")
     blocks = text.text_blocks(docs, "doc_id", "text", r"\n+", keep=("lang",))
     # the paragraph table is read by the fit and by the index build: stored once
     blocks = blocks.select(retrieval.block_key("doc_id", "block_id").alias("bid"),
@@ -1061,21 +1060,21 @@ _CONN_SQL = ", ".join(f"({a}, {b}, {w})" for a, b, w in HIDDEN_CONNECTIONS)
 
 @register("weighted_sum", f"""
 WITH a AS (
-  SELECT l_orderkey * 10 + l_linenumber AS row_id, 0 AS node, l_quantity / 50 AS value FROM lineitem
-  UNION ALL SELECT l_orderkey * 10 + l_linenumber, 1, l_discount * 10 FROM lineitem
-  UNION ALL SELECT l_orderkey * 10 + l_linenumber, 2, l_tax * 10 FROM lineitem),
+  SELECT o_orderkey AS row_id, 0 AS node, o_totalprice / 100000 AS value FROM orders
+  UNION ALL SELECT o_orderkey, 1, (o_custkey % 10) / 10.0::DOUBLE FROM orders
+  UNION ALL SELECT o_orderkey, 2, length(o_orderpriority) / 10.0::DOUBLE FROM orders),
 cn("from", "to", weight) AS (VALUES {_CONN_SQL})
 SELECT a.row_id, cn."to" AS node, round(sum(a.value * cn.weight), 6) AS value
 FROM a JOIN cn ON a.node = cn."from" GROUP BY a.row_id, cn."to"
 """)
 def q_weighted_sum(spark, sf):
-    li = T(spark, sf, "lineitem")
-    acts = li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"),
+    # o_orderkey is unique, so each input row keeps its own sums
+    acts = T(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("row_id"),
         F.inline(F.array(
-            F.struct(F.lit(0).alias("node"), (F.col("l_quantity") / 50).alias("value")),
-            F.struct(F.lit(1).alias("node"), (F.col("l_discount") * 10).alias("value")),
-            F.struct(F.lit(2).alias("node"), (F.col("l_tax") * 10).alias("value")))))
+            F.struct(F.lit(0).alias("node"), (F.col("o_totalprice") / 100000).alias("value")),
+            F.struct(F.lit(1).alias("node"), ((F.col("o_custkey") % 10) / 10.0).alias("value")),
+            F.struct(F.lit(2).alias("node"), (F.length("o_orderpriority") / 10.0).alias("value")))))
     conns = spark.createDataFrame(HIDDEN_CONNECTIONS, "from int, to int, weight double")
     ws = network.weighted_sum(conns, acts)
     return ws.select("row_id", "node", r6(F.col("value")).alias("value"))

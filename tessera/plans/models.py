@@ -201,17 +201,36 @@ def embed_with(df: DataFrame, text: str, embed, out: str = "vec") -> DataFrame:
     return df.withColumn(out, _embed(F.col(text)))
 
 
+def knn_predict(train: DataFrame, test: DataFrame, features: list[str], label: str, id_col: str,
+                k: int = 5) -> DataFrame:
+    """M3: ``test`` plus ``pred_<label>``, the vote of the ``k`` nearest training
+    rows (L2 on the raw features). Copies of a row in ``train`` vote each."""
+    from tessera.operators import vectors
+
+    vec = F.array(*[F.col(c).cast("double") for c in features]).alias("vec")
+    base = train.select(F.xxhash64(id_col, *(["copy"] if "copy" in train.columns else [])).alias("bid"), vec, label)
+    asked = test.select(F.xxhash64(id_col).alias("qid"), vec).dropDuplicates(["qid"])
+    near = vectors.nearest_k(asked, base.select("bid", "vec"), k)
+    votes = vectors.knn_vote(near, base.select("bid", label), "qid", "bid", label, f"pred_{label}")
+    return test.join(votes, F.xxhash64(id_col) == F.col("qid")).drop("qid")
+
+
+KINDS = ("tree", "mlp", "knn")
+
+
 def train_all(df: DataFrame, spec: list[dict], id_col: str, test_pct: int = 20,
               balance: str = "after_split", seed: int = 42) -> dict:
     """M5: per target: guard -> select -> (balance) -> split -> fit -> report.
 
-    ``spec`` items: {"name", "kind": "tree"|"mlp", "features", "label", ...}.
+    ``spec`` items: {"name", "kind": one of KINDS, "features", "label", ...}.
     Rows whose label is outside {0, 1} are dropped first (the reference trains
     on 0/1 only and can log -1). ``balance`` is "after_split" (default: copies
     stay in the train side), "before_split" (the reference's order) or None.
     Returns {name: (model, report DataFrame)} and skips specs that fail the guard."""
     from tessera.operators import metrics, prep
 
+    if unknown := {s.get("kind", "tree") for s in spec} - set(KINDS):
+        raise ValueError(f"unknown kinds of model: {sorted(unknown)}")
     out = {}
     for s in spec:
         label, feats = s["label"], s["features"]
@@ -227,7 +246,11 @@ def train_all(df: DataFrame, spec: list[dict], id_col: str, test_pct: int = 20,
         train = split.where(F.col("split") == "train").drop("split")
         test = split.where(F.col("split") == "test").drop("split")
         if balance == "after_split":
-            train = prep.oversample_even(train, id_col, label, seed).drop("copy")
+            train = prep.oversample_even(train, id_col, label, seed)
+        if s.get("kind", "tree") == "knn":
+            predicted = knn_predict(train, test, feats, label, id_col, s.get("k", 5))
+            out[s["name"]] = (("knn", s.get("k", 5)), metrics.classification_report(predicted, label, f"pred_{label}"))
+            continue
         if s.get("kind", "tree") == "mlp":
             model = fit_mlp(train, feats, label, hidden=s.get("hidden", (16, 8)),
                             max_iter=s.get("max_iter", 500), seed=seed)

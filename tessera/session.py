@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         # local runs and tests only: a fresh scratch folder under /tmp
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
@@ -65,12 +67,3 @@ def register_tables(spark: SparkSession, sf_dir: str) -> None:
     for t in TABLES:
         read_table(spark, sf_dir, t).createOrReplaceTempView(t)
 
-
-def spread(df):
-    """Spread CPU-heavy per-row work over every core when the scan gives fewer
-    partitions than the default parallelism (a few large row groups). On a
-    cluster reading many files this is a no-op: no shuffle is added."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df

@@ -66,8 +66,8 @@ def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame]) ->
 def _throttle_fn(ts: str, id_col: str, gap_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         last = state.get[0] if state.exists else None
-        for pdf in pdfs:
-            pdf = pdf.sort_values([ts, id_col], kind="stable")
+        if frames := list(pdfs):  # a key's rows of one micro-batch come in several frames
+            pdf = pd.concat(frames).sort_values([ts, id_col], kind="stable")
             t_us = pdf[ts].astype("datetime64[us]").astype("int64").to_numpy()
             keep = []
             for t in t_us:
@@ -95,8 +95,8 @@ def throttle_stream(stream: DataFrame, key: str, ts: str, id_col: str, gap_secon
 def _every_nth_fn(ts: str, id_col: str, n: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         seen = state.get[0] if state.exists else 0
-        for pdf in pdfs:
-            pdf = pdf.sort_values([ts, id_col], kind="stable")
+        if frames := list(pdfs):
+            pdf = pd.concat(frames).sort_values([ts, id_col], kind="stable")
             pos = seen + pd.RangeIndex(len(pdf)).to_numpy()
             seen += len(pdf)
             out = pdf[(pos % n) == 0].assign(rn=(pos[(pos % n) == 0] + 1).astype("int64"))

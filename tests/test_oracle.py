@@ -45,6 +45,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert _digest(srows) == _digest(drows)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"fit_mlp", "compare_models"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SF_SMALL).count() >= 0
+    assert QUERIES[name](spark, SF_SMALL).count() > 0

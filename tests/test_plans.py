@@ -17,7 +17,7 @@ def test_knn_has_no_pair_join(spark):
         F.col("vec_id").alias("qid"), F.col("embedding").alias("vec"))
     p = _plan(vectors.nearest_k(e, e.withColumnRenamed("qid", "bid"), 3, exclude_self=True))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    assert "MapInPandas" in p
+    assert "FlatMapCoGroupsInArrow" in p
 
 
 def test_keyed_scan_window_is_per_partition_and_key(spark):

@@ -126,7 +126,7 @@ def test_oversample_chunked_equals_plain(spark):
     rows = [(i, 0) for i in range(50)] + [(1000 + i, 1) for i in range(3)]
     df = spark.createDataFrame(rows, "id long, y int")
     plain = prep.oversample_even(df, "id", "y")
-    chunked = prep.oversample_even(df, "id", "y", max_copies_per_task=4)
+    chunked = prep.oversample_even(df, "id", "y", chunk=4)
     a = sorted(map(tuple, plain.collect()))
     b = sorted(map(tuple, chunked.collect()))
     assert a == b and len(a) == 100
