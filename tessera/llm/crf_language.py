@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm._letters import class_sample, fold, letter_words, texts_to_bytes
-from tessera.llm._text import hash_spans, map_texts
+from tessera.llm._text import hash_spans, map_texts, release_memory
 
 BITS = 16
 BLOCK = 64
@@ -256,7 +256,12 @@ def fit(rows: DataFrame, per_class: int = 1000, **settings) -> Crf:
     """Fit on ``rows(doc_id, text, lang)``: a bounded sample of each language."""
     rows = rows.where("text is not null").select("doc_id", "text", "lang")
     found = class_sample(rows, "lang", per_class).collect()
-    return train([r.text for r in found], [r.lang for r in found], **settings)
+    texts, labels = [r.text for r in found], [r.lang for r in found]
+    del found
+    model = train(texts, labels, **settings)
+    del texts
+    release_memory()  # the driver lives on; training took more than the model holds
+    return model
 
 
 def identify(docs: DataFrame, model: Crf, text: str = "text") -> DataFrame:
