@@ -8,6 +8,8 @@ edges and keeps the minimum per target. Lineage is cut every round with
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,8 +77,7 @@ def hop_closure(e: DataFrame, max_power: int = 8, pair_budget: int = 50_000_000,
 
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, src: str = "src", dst: str = "dst",
-                   w: str = "w", max_power: int = 4, max_rounds: int = 100_000,
-                   on_round=None) -> DataFrame:
+                   w: str = "w", max_power: int = 4, on_round=None) -> DataFrame:
     """R1 + R2: cheapest cost from any source to every reachable node, with
     the predecessor on one cheapest path (ties -> lowest predecessor).
 
@@ -98,7 +99,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, src: str = "src", dst:
     dist = sources.select(F.col("node"), F.lit(0).cast("long").alias("cost"),
                           F.lit(None).cast(ptype).alias("prev"), F.lit(True).alias("_new"))
     dist = dist.checkpoint(eager=True)
-    for i in range(max_rounds):
+    for i in itertools.count():
         wave = dist.where("_new").select("node", "cost")
         cand = wave.join(e, wave["node"] == e["_s"]).select(
             F.col("_d").alias("node"), (F.col("cost") + F.col("_w")).alias("cost"),
@@ -122,15 +123,28 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, src: str = "src", dst:
     return dist.select("node", "cost", "prev")
 
 
-def path_to(dist: DataFrame, target, max_steps: int = 100_000) -> list:
-    """R2: walk predecessors back from ``target`` (one small lookup per step;
-    a path is a handful of rows, never a table)."""
-    path = [target]
-    cur = target
-    for _ in range(max_steps):
-        r = dist.where(F.col("node") == F.lit(cur)).select("prev").first()
-        if r is None or r.prev is None:
-            break
-        cur = r.prev
-        path.append(cur)
-    return list(reversed(path))
+def paths_to(dist: DataFrame, targets: DataFrame) -> DataFrame:
+    """R2: the nodes on the path to every target, for many targets at once.
+
+    ``dist(node, cost, prev)`` from ``shortest_paths``, ``targets(node)``;
+    returns ``(target, node, back)`` with ``back`` steps left to the target
+    (0: the target). Targets that were not reached give no rows. Predecessors
+    are followed by pointer doubling: ``log2`` of the longest path in rounds,
+    each checkpointed."""
+    jump = dist.where("prev is not null").select("node", F.col("prev").alias("_j")).checkpoint(eager=True)
+    known = targets.select("node").distinct().join(dist.select("node"), "node", "left_semi")
+    steps = known.select(F.col("node").alias("target"), "node", F.lit(0).cast("long").alias("back"))
+    for r in itertools.count():
+        further = steps.join(jump, "node").select("target", F.col("_j").alias("node"), (F.col("back") + (1 << r)).alias("back"))
+        steps = steps.unionByName(further).checkpoint(eager=True)
+        then = jump.select(F.col("node").alias("_m"), F.col("_j").alias("_n"))
+        jump = jump.join(then, F.col("_j") == F.col("_m")).select("node", F.col("_n").alias("_j")).checkpoint(eager=True)
+        if jump.isEmpty():
+            return steps
+
+
+def path_to(dist: DataFrame, target) -> list:
+    """R2 for one target: its path from the source as a list (one node a step);
+    a target that was not reached is a path of its own."""
+    one = dist.sparkSession.createDataFrame([(target,)], "node " + dist.schema["node"].dataType.simpleString())
+    return [r.node for r in paths_to(dist, one).orderBy(F.desc("back")).collect()] or [target]

@@ -30,14 +30,15 @@ def classification_report(df: DataFrame, y: str, p: str, decimals: int = 6) -> D
     """Per class precision, recall, F1, support; then accuracy, macro and
     weighted averages (0/0 -> 0). ``class`` is text so the summary rows fit."""
     conf = df.groupBy(F.col(y).alias("_y"), F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    # classes^2 rows, read by every part of the report: stored once
-    conf = conf.checkpoint(eager=True)
-    classes = conf.select(F.col("_y").alias("k")).union(conf.select(F.col("_p").alias("k"))).distinct()
-    per = classes.join(conf, (F.col("k") == F.col("_y")) | (F.col("k") == F.col("_p")), "left").groupBy("k").agg(
-        F.sum(F.when((F.col("_y") == F.col("k")) & (F.col("_p") == F.col("k")), F.col("_n")).otherwise(0)).alias("tp"),
-        F.sum(F.when(F.col("_p") == F.col("k"), F.col("_n")).otherwise(0)).alias("npred"),
-        F.sum(F.when(F.col("_y") == F.col("k"), F.col("_n")).otherwise(0)).cast("bigint").alias("support"),
-    )
+    # each pair of classes counts for its actual and for its predicted class
+    hit = F.when(F.col("_y") == F.col("_p"), F.col("_n")).otherwise(0)
+    sides = F.array(
+        F.struct(F.col("_y").alias("k"), hit.alias("tp"), F.lit(0).cast("long").alias("npred"), F.col("_n").alias("support")),
+        F.struct(F.col("_p").alias("k"), F.lit(0).cast("long").alias("tp"), F.col("_n").alias("npred"),
+                 F.lit(0).cast("long").alias("support")))
+    per = conf.select(F.inline(sides)).groupBy("k").agg(*[F.sum(c).alias(c) for c in ("tp", "npred", "support")])
+    # one row a class, read by every part of the report: stored once
+    per = per.checkpoint(eager=True)
     prec = F.when(F.col("npred") == 0, 0.0).otherwise(F.col("tp") / F.col("npred"))
     rec = F.when(F.col("support") == 0, 0.0).otherwise(F.col("tp") / F.col("support"))
     per = per.withColumn("precision", prec).withColumn("recall", rec)

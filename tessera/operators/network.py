@@ -16,36 +16,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions.activations import SQUASH
 
-NEURON = T.StructType([
-    T.StructField("id", T.IntegerType()), T.StructField("layer", T.StringType()),
-    T.StructField("bias", T.DoubleType()), T.StructField("squash", T.StringType()),
-])
-CONNECTION = T.StructType([
-    T.StructField("from", T.IntegerType()), T.StructField("to", T.IntegerType()),
-    T.StructField("weight", T.DoubleType()),
-])
-NETWORK = T.StructType([
-    T.StructField("neurons", T.ArrayType(NEURON)),
-    T.StructField("connections", T.ArrayType(CONNECTION)),
-])
+# fields of an exported network; a neuron has no id, its place in the list is it
+_TRACE = "struct<elegibility: map<string,double>, extended: map<string,map<string,double>>>"
+NEURON = f"trace {_TRACE}, state double, old double, activation double, bias double, layer string, squash string"
+CONNECTION = "`from` int, `to` int, weight double, gater int"
+NETWORK = f"neurons array<struct<{NEURON}>>, connections array<struct<{CONNECTION}>>"
 
 
 def network_from_json(df: DataFrame, col: str = "json") -> tuple[DataFrame, DataFrame]:
-    """S12 in: JSON text -> (neurons, connections) tables."""
+    """S12 in: JSON text -> (neurons, connections) tables. A neuron's ``id`` is
+    its position in the list, which connections refer to; absent fields are
+    null."""
     parsed = df.select(F.from_json(F.col(col), NETWORK).alias("n"))
-    neurons = parsed.select(F.inline("n.neurons"))
+    neurons = parsed.select(F.posexplode("n.neurons").alias("id", "_u")).select("id", "_u.*")
     conns = parsed.select(F.inline("n.connections"))
     return neurons, conns
 
 
 def network_to_json(neurons: DataFrame, conns: DataFrame) -> DataFrame:
-    """S12 out: (neurons, connections) -> one JSON text (lists sorted by id)."""
-    n = neurons.agg(F.array_sort(F.collect_list(F.struct(*NEURON.fieldNames()))).alias("neurons"))
-    c = conns.agg(F.array_sort(F.collect_list(F.struct(*CONNECTION.fieldNames()))).alias("connections"))
+    """S12 out: (neurons, connections) -> one JSON text, neurons in the order
+    of their ids (which must count from 0), without the ids."""
+    unit = F.struct(*[c for c in neurons.columns if c != "id"])
+    # maps have no order: only the ids (unique) are sorted by
+    n = neurons.agg(F.map_from_entries(F.collect_list(F.struct(F.col("id"), unit))).alias("_u")).select(
+        F.transform(F.array_sort(F.map_keys("_u")), lambda i: F.element_at("_u", i)).alias("neurons"))
+    c = conns.agg(F.array_sort(F.collect_list(F.struct(*conns.columns))).alias("connections"))
     return n.crossJoin(c).select(F.to_json(F.struct("neurons", "connections")).alias("json"))
 
 

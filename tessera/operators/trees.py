@@ -1,9 +1,11 @@
 """Tree statistics.
 
 ``best_split`` evaluates every midpoint between consecutive distinct values
-of one feature by weighted Gini. It works on the per-value class counts (one
-row per distinct value), runs the cumulative counts with the skew-safe scan
-(a global order is one hot key) and keeps the best threshold with a top-1.
+of one feature by weighted Gini. Sums of squared class counts left and right of
+a value are running sums of the changes that each (class, value) row makes, so
+the number of classes is free: one skew-safe scan per class, one over values
+(a global order is one hot key). ``node_stats`` reads one ``groupBy(node,
+label)``. Rows without a label take no part.
 """
 
 from __future__ import annotations
@@ -13,62 +15,49 @@ from pyspark.sql import functions as F
 
 from tessera.operators.ordered import keyed_scan
 
-MAX_CLASSES = 10_000
-
-
-def _classes(df: DataFrame, label: str) -> list:
-    cls = [r[0] for r in df.select(label).distinct().limit(MAX_CLASSES + 1).collect()]
-    if len(cls) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
-    return sorted(cls)
-
-
-def _gini(counts: list, n) -> F.Column:
-    acc = F.lit(0.0)
-    for c in counts:
-        acc = acc + (c / n) * (c / n)
-    return F.lit(1.0) - acc
+_EXACT = "decimal(38,0)"  # squares of row counts
 
 
 def best_split(df: DataFrame, feature: str, label: str) -> DataFrame:
     """The threshold (midpoint of two consecutive distinct values) with the
     lowest weighted Gini; ties -> lowest threshold. One row: feature,
-    threshold, impurity, n_left, n_right."""
-    classes = _classes(df, label)
-    g = df.groupBy(F.col(feature).cast("double").alias("v")).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.when(F.col(label) == c, 1).otherwise(0)).cast("bigint").alias(f"c{i}")
-          for i, c in enumerate(classes)])
-    cnames = [f"c{i}" for i in range(len(classes))]
-    s = keyed_scan(g, [], ["v"], sums=["n"] + cnames)
-    tot = g.agg(F.sum("n").alias("_tot_n"), *[F.sum(c).alias(f"_tot_{c}") for c in cnames])
+    threshold, impurity, n_left, n_right; none with fewer than two values."""
+    counts = df.where(F.col(label).isNotNull() & F.col(feature).isNotNull()).groupBy(
+        F.col(label).alias("k"), F.col(feature).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    per_class = keyed_scan(counts, ["k"], ["v"], sums=["n"], totals=True)
+    sq = lambda c: F.col(c).cast(_EXACT) * F.col(c).cast(_EXACT)
+    moves = per_class.withColumns({
+        "_l0": F.col("run_n") - F.col("n"), "_r1": F.col("tot_n") - F.col("run_n"),
+    }).withColumn("_r0", F.col("_r1") + F.col("n"))
+    by_value = moves.groupBy("v").agg(
+        F.sum("n").alias("n"),
+        F.sum((sq("run_n") - sq("_l0")).cast(_EXACT)).cast(_EXACT).alias("l"),
+        F.sum((sq("_r0") - sq("_r1")).cast(_EXACT)).cast(_EXACT).alias("r"))
+    s = keyed_scan(by_value, [], ["v"], sums=["n", "l", "r"], totals=True)
     nxt = s.select((F.col("rn") - 1).alias("rn"), F.col("v").alias("v_next"))
-    j = s.join(nxt, "rn").crossJoin(F.broadcast(tot))  # tot: one row
-    nl = F.col("run_n")
-    nr = F.col("_tot_n") - F.col("run_n")
-    gl = _gini([F.col(f"run_{c}") for c in cnames], nl)
-    gr = _gini([F.col(f"_tot_{c}") - F.col(f"run_{c}") for c in cnames], nr)
-    j = j.select(
+    nl, nr = F.col("run_n").cast("double"), (F.col("tot_n") - F.col("run_n")).cast("double")
+    # all changes on the right add up to the squares before the first value
+    gl = 1.0 - F.col("run_l").cast("double") / (nl * nl)
+    gr = 1.0 - (F.col("tot_r") - F.col("run_r")).cast("double") / (nr * nr)
+    return s.join(nxt, "rn").select(
         F.lit(feature).alias("feature"),
         ((F.col("v") + F.col("v_next")) / 2).alias("threshold"),
-        ((nl * gl + nr * gr) / F.col("_tot_n")).alias("impurity"),
-        nl.cast("bigint").alias("n_left"), nr.cast("bigint").alias("n_right"))
-    return j.orderBy("impurity", "threshold").limit(1)
+        ((nl * gl + nr * gr) / F.col("tot_n")).alias("impurity"),
+        nl.cast("bigint").alias("n_left"), nr.cast("bigint").alias("n_right"),
+    ).orderBy("impurity", "threshold").limit(1)
 
 
 def node_stats(df: DataFrame, node: str, label: str) -> DataFrame:
     """Per node samples, class counts in class order, Gini and the
-    majority class (ties -> lowest class). Class counts come from one
-    ``groupBy(node, label)`` (a partial aggregate)."""
-    classes = _classes(df, label)
-    g = df.groupBy(node).agg(
-        F.count(F.lit(1)).alias("samples"),
-        *[F.sum(F.when(F.col(label) == c, 1).otherwise(0)).cast("bigint").alias(f"c{i}")
-          for i, c in enumerate(classes)])
-    counts = [F.col(f"c{i}") for i in range(len(classes))]
-    value = F.array(*counts)
-    best = F.greatest(*counts) if len(counts) > 1 else counts[0]
-    cls = F.array(*[F.lit(c) for c in classes])
-    majority = F.element_at(cls, F.array_position(value, best).cast("int"))
-    return g.select(node, "samples", value.alias("value"),
-                    _gini(counts, F.col("samples")).alias("gini"), majority.alias("class"))
+    majority class (ties -> lowest class). The list of classes is one row, as
+    wide as the ``value`` of a node."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(node, label).agg(F.count(F.lit(1)).alias("_n"))
+    classes = df.where(F.col(label).isNotNull()).agg(F.array_sort(F.collect_set(label)).alias("_classes"))
+    g = counts.groupBy(node).agg(
+        F.sum("_n").alias("samples"),
+        F.map_from_entries(F.collect_list(F.struct(F.col(label), "_n"))).alias("_by"))
+    g = g.join(F.broadcast(classes)).withColumn(
+        "value", F.expr("transform(_classes, c -> coalesce(element_at(_by, c), 0L))"))
+    gini = 1.0 - F.aggregate("value", F.lit(0.0), lambda a, c: a + (c / F.col("samples")) * (c / F.col("samples")))
+    first = F.array_position("value", F.array_max("value")).cast("int")
+    return g.select(node, "samples", "value", gini.alias("gini"), F.element_at("_classes", first).alias("class"))

@@ -669,15 +669,32 @@ SELECT CAST(node // 1000 AS INTEGER) AS r, CAST(node % 1000 AS INTEGER) AS c, CA
 FROM d
 """)
 def q_shortest_paths(spark, sf):
+    d = _part_paths(spark, sf)[1]
+    return d.select((F.floor(F.col("node") / 1000)).cast("int").alias("r"),
+                    (F.col("node") % 1000).cast("int").alias("c"), F.col("cost").cast("bigint").alias("cost"))
+
+
+def _part_paths(spark, sf):
     cells = _part_cells(spark, sf)
     e = graph.grid_edges(cells).select(
         (F.col("src_r") * 1000 + F.col("src_c")).alias("src"),
         (F.col("dst_r") * 1000 + F.col("dst_c")).alias("dst"), "w")
     src = cells.agg(F.min(F.struct("r", "c")).alias("m")).select(
         (F.col("m.r") * 1000 + F.col("m.c")).alias("node"))
-    d = graph.shortest_paths(e, src)
-    return d.select((F.floor(F.col("node") / 1000)).cast("int").alias("r"),
-                    (F.col("node") % 1000).cast("int").alias("c"), F.col("cost").cast("bigint").alias("cost"))
+    return e, graph.shortest_paths(e, src)
+
+
+@register("path_costs", SQL["shortest_paths"])
+def q_path_costs(spark, sf):
+    """R2: every reached cell's path, walked back and its steps' costs added."""
+    e, d = _part_paths(spark, sf)
+    steps = graph.paths_to(d, d.select("node"))
+    to = steps.select("target", F.col("node").alias("dst"), (F.col("back") + 1).alias("back"))
+    links = steps.join(to, ["target", "back"], "left").join(
+        e, (F.col("node") == F.col("src")) & (to["dst"] == e["dst"]), "left")
+    total = links.groupBy("target").agg(F.sum(F.coalesce("w", F.lit(0))).alias("cost"))
+    return total.select(F.floor(F.col("target") / 1000).cast("int").alias("r"),
+                        (F.col("target") % 1000).cast("int").alias("c"), F.col("cost").cast("bigint").alias("cost"))
 
 
 # --------------------------------------------------------------------------
@@ -714,10 +731,8 @@ GROUP BY r.id
 """)
 def q_point_in_rect(spark, sf):
     li = T(spark, sf, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         (F.col("l_quantity") * 10).alias("px"), (F.lit(900) + F.col("l_discount") * 10000).alias("py"))
-    pr = spatial.points_in_rect(li, _part_rects(spark, sf), cell=32.0)
-    return pr.groupBy("rid").agg(F.count(F.lit(1)).alias("n_points"))
+    return spatial.count_points_in_rect(li, _part_rects(spark, sf), cell=32.0)
 
 
 # --------------------------------------------------------------------------
@@ -894,6 +909,20 @@ def q_vectorize_text(spark, sf):
     return m.transform(d).select("doc_id", F.size(F.array_distinct("_tok")).alias("n_terms"), "vector")
 
 
+@register("text_weights", r"""
+WITH t AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\p{L}\p{N}_]+')) AS term FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term <> '' GROUP BY doc_id, term),
+d AS (SELECT term, count(*) AS df FROM f GROUP BY term),
+w AS (SELECT doc_id, term, tf, tf * ln(((SELECT count(*) FROM documents) + 1.0) / (df + 1.0)) AS w
+      FROM f JOIN d USING (term)),
+l AS (SELECT doc_id, sqrt(sum(w * w)) AS len FROM w GROUP BY doc_id)
+SELECT doc_id, term, tf, round(CASE WHEN len > 0 THEN w / len ELSE 0.0 END, 6) AS weight FROM w JOIN l USING (doc_id)
+""")
+def q_text_weights(spark, sf):
+    w = models.term_weights(T(spark, sf, "documents"), "doc_id", "text")
+    return w.select("doc_id", "term", "tf", r6(F.col("weight")).alias("weight"))
+
+
 @register("prompt_table")
 def q_prompt_table(spark, sf):
     """Unanswered user questions -> routed top-3 paragraphs -> prompt."""

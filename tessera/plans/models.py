@@ -184,6 +184,25 @@ def fit_text_vectors(df: DataFrame, text: str, num_features: int = 1 << 18) -> P
     ]).fit(df)
 
 
+def term_weights(df: DataFrame, id_col: str, text: str, salt: int = 16) -> DataFrame:
+    """M14 with plain terms: ``(id, term, tf, weight)``, the weights of
+    ``fit_text_vectors`` (count times ``ln((texts + 1) / (texts with the term +
+    1))``, unit length a text) before hashing, so without collisions. Texts
+    without terms give no rows; a length of zero gives zero weights.
+
+    A term may be in most texts: the join with the vocabulary is salted by text."""
+    tok = df.select(id_col, F.explode(F.split(F.lower(text), r"[^\p{L}\p{N}_]+")).alias("term")).where("term <> ''")
+    tf = tok.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")).checkpoint(eager=True)
+    n = df.count()
+    vocabulary = tf.groupBy("term").agg(F.count(F.lit(1)).alias("_df")).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    w = tf.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salt)).cast("int")).join(vocabulary, ["term", "_salt"])
+    w = w.withColumn("_w", F.col("tf") * F.log((F.lit(float(n)) + 1) / (F.col("_df") + 1.0)))
+    length = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_len"))
+    weight = F.when(F.col("_len") > 0, F.col("_w") / F.col("_len")).otherwise(0.0)
+    return w.join(length, id_col).select(id_col, "term", "tf", weight.alias("weight"))
+
+
 def embed_with(df: DataFrame, text: str, embed, out: str = "vec") -> DataFrame:
     """A caller's embedding function, applied as an iterator pandas UDF
     (Arrow batches; the model is loaded once per task by the caller's code).

@@ -121,14 +121,17 @@ def test_require_columns_and_guard(spark):
 
 
 def test_network_json_roundtrip(spark):
-    js = ('{"neurons":[{"id":0,"layer":"input","bias":0.0,"squash":"LOGISTIC"},'
-          '{"id":1,"layer":"output","bias":0.5,"squash":"LOGISTIC"}],'
-          '"connections":[{"from":0,"to":1,"weight":2.0}]}')
+    js = ('{"neurons":[{"trace":{"elegibility":{"0":0.5},"extended":{}},"state":0.25,"layer":"input","bias":0.0,'
+          '"squash":"LOGISTIC"},{"layer":"output","bias":0.5,"squash":"LOGISTIC"}],'
+          '"connections":[{"from":0,"to":1,"weight":2.0,"gater":1}]}')
     n, c = network.network_from_json(spark.createDataFrame([(js,)], "json string"))
-    assert n.count() == 2 and c.first().weight == 2.0
+    assert [r.id for r in n.orderBy("id").collect()] == [0, 1]
+    assert n.where("id = 0").first().trace.elegibility == {"0": 0.5}
+    assert c.first().weight == 2.0 and c.first().gater == 1
     back = network.network_to_json(n, c).first().json
     n2, c2 = network.network_from_json(spark.createDataFrame([(back,)], "json string"))
-    assert sorted(map(tuple, n2.collect())) == sorted(map(tuple, n.collect()))
+    assert n2.orderBy("id").collect() == n.orderBy("id").collect()
+    assert c2.collect() == c.collect()
 
 
 def test_xor_network_scores(spark):

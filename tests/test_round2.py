@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import prep, sequences, vectors
+from tessera.operators import graph, metrics, prep, sequences, trees, vectors
 from tessera.operators.ordered import next_in_key
 from tessera.plans import models
 from tessera.session import ensure_checkpoint_dir
@@ -118,3 +118,42 @@ def test_checkpoint_folder_is_required_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_tree_statistics_with_many_classes_and_nulls(spark):
+    rows = spark.range(30_000).select((F.col("id") % 3).alias("node"), F.col("id").cast("double").alias("x"),
+                                      F.when(F.col("id") > 0, F.col("id") % 12_000).alias("y"))
+    got = {r.node: r for r in trees.node_stats(rows, "node", "y").collect()}
+    assert sum(r.samples for r in got.values()) == 29_999 and len(got[0].value) == 12_000
+    two = rows.select("x", (F.col("x") >= 20_000).cast("int").alias("y"))
+    best = trees.best_split(two, "x", "y").first()
+    assert (best.threshold, best.impurity, best.n_left, best.n_right) == (19_999.5, 0.0, 20_000, 10_000)
+    assert trees.best_split(two.limit(1), "x", "y").count() == 0
+
+
+def test_paths_to_many_targets(spark):
+    chain = [(i, i * 10, i - 1 if i else None) for i in range(40)] + [(100, 5, 0)]
+    dist = spark.createDataFrame(chain, "node long, cost long, prev long")
+    targets = spark.createDataFrame([(39,), (100,), (0,), (777,)], "node long")
+    got = {}
+    for r in graph.paths_to(dist, targets).orderBy("target", F.desc("back")).collect():
+        got.setdefault(r.target, []).append(r.node)
+    assert got == {39: list(range(40)), 100: [0, 100], 0: [0]}
+    assert graph.path_to(dist, 777) == [777]
+
+
+def test_report_counts_each_class_once(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "c"), (None, "a")], "y string, p string")
+    got = {r["class"]: r for r in metrics.classification_report(df, "y", "p").collect()}
+    assert (got["a"].precision, got["a"].recall, got["a"].support) == (0.5, 0.5, 2)
+    assert (got["c"].precision, got["c"].support, got[None].support, got["accuracy"].f1) == (0.0, 0, 1, 0.25)
+    plan = metrics.classification_report(df, "y", "p")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan
+
+
+def test_weights_of_terms(spark):
+    df = spark.createDataFrame([(1, "The cat, the CAT"), (2, "the dog"), (3, None), (4, "")], "id long, text string")
+    got = {(r.id, r.term): r for r in models.term_weights(df, "id", "text").collect()}
+    assert {k: r.tf for k, r in got.items()} == {(1, "the"): 2, (1, "cat"): 2, (2, "the"): 1, (2, "dog"): 1}
+    assert got[1, "cat"].weight ** 2 + got[1, "the"].weight ** 2 == pytest.approx(1.0)
+    assert got[2, "dog"].weight > got[2, "the"].weight
