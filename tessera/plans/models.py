@@ -24,7 +24,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.prep import fit_scaler, require_columns
@@ -192,15 +192,17 @@ def term_weights(df: DataFrame, id_col: str, text: str, salt: int = 16) -> DataF
 
     A term may be in most texts: the join with the vocabulary is salted by text."""
     tok = df.select(id_col, F.explode(F.split(F.lower(text), r"[^\p{L}\p{N}_]+")).alias("term")).where("term <> ''")
-    tf = tok.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")).checkpoint(eager=True)
+    tf = tok.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     n = df.count()
     vocabulary = tf.groupBy("term").agg(F.count(F.lit(1)).alias("_df")).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     w = tf.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salt)).cast("int")).join(vocabulary, ["term", "_salt"])
     w = w.withColumn("_w", F.col("tf") * F.log((F.lit(float(n)) + 1) / (F.col("_df") + 1.0)))
-    length = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_len"))
+    # a window holds the distinct terms of one text
+    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
+    w = w.withColumn("_len", length)
     weight = F.when(F.col("_len") > 0, F.col("_w") / F.col("_len")).otherwise(0.0)
-    return w.join(length, id_col).select(id_col, "term", "tf", weight.alias("weight"))
+    return w.select(id_col, "term", "tf", weight.alias("weight"))
 
 
 def embed_with(df: DataFrame, text: str, embed, out: str = "vec") -> DataFrame:
