@@ -2,7 +2,17 @@
 
 Base rules come from the words of a text (counts of characters, symbols,
 repeated lines and words in repeated five-word windows). Texts that pass them
-are judged by an n-gram language model:
+are judged by two n-gram language models, of words and of symbols.
+
+Words (``kn_words``): sequences of three words of all texts, held in Spark
+tables that grow with the corpus; each text is scored by the counts of other
+texts. Each language has an upper limit, ``above_words`` robust deviations over
+the median of its distinct texts that aren't near copies (half of the ninth
+decile or more); shuffled words and lists of words lie over it. There is no
+lower limit, since copies are predictable and near duplicates are another
+operator's work. ``log_ppl`` is this measure, 0 for texts without words.
+
+Symbols, for spelling and marks:
 
 * Texts become symbols (64 classes: letters, capitals in a row, digits, kinds
   of punctuation, line ends, classes of other code points); Spark counts all
@@ -13,12 +23,14 @@ are judged by an n-gram language model:
   weights. The alphabet bounds it: at most 64**4 sequences a language, of
   which texts use about one in a hundred; languages beyond the ``languages``
   most frequent share one model.
-* A text's log-perplexity is its mean negative log-probability a symbol, each
+* A text's symbol log-perplexity is its mean negative log-probability a symbol, each
   stretch of 64 symbols by the best of its language's model and those of the
   ``MIXED`` most frequent languages, as clean texts may mix languages. Each
   language has a lower and an upper limit, ``below`` and ``above`` robust
   deviations from its median, widened for short texts by their larger sampling
   error; a text outside is rejected: too predictable, or unlike the language.
+  Letters beyond ASCII are told apart by their first two UTF-8 bytes only; the
+  words judge those.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 null ``lang`` is a language of its own; a language with few texts still has a
@@ -37,6 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm import kn_words
 from tessera.llm._text import IS_WORD, arrow_map, hash_spans, map_texts, mix, spans, text_slices, without
 
 ORDER = 4
@@ -360,15 +373,30 @@ def perplexity_bands(measured: DataFrame, below: float = 4.0, above: float = 3.5
     return q.select("lang", F.col("q")[1].alias("mid"), (F.col("q")[1] - below * spread).alias("low"), (F.col("q")[1] + above * spread).alias("high"))
 
 
-def judge(docs: DataFrame, *, keep_text: bool = True, short: float = 2.5, **band) -> DataFrame:
+def word_limits(measured: DataFrame, above: float = 3.5, floor: float = 0.25) -> DataFrame:
+    """(lang, high): upper limits of ``word_ppl``; a robust deviation is at
+    least ``floor``. Copies count once, near copies (predictable by each other)
+    not at all."""
+    good = measured.where(~F.col("base_failed") & F.col("word_ppl").isNotNull()).select("lang", "_key", "word_ppl").dropDuplicates(["lang", "_key"])
+    top = good.groupBy(F.col("lang").alias("_lang")).agg(F.percentile_approx("word_ppl", 0.9, 10_000).alias("_top"))
+    good = good.join(F.broadcast(top), F.col("lang").eqNullSafe(F.col("_lang"))).where("word_ppl >= _top / 2")
+    q = good.groupBy("lang").agg(F.percentile_approx("word_ppl", [0.25, 0.5, 0.75], 10_000).alias("q"))
+    spread = F.greatest(F.lit(floor), (F.col("q")[2] - F.col("q")[0]) / 1.349)
+    return q.select("lang", (F.col("q")[1] + above * spread).alias("high"))
+
+
+def judge(docs: DataFrame, *, keep_text: bool = True, short: float = 2.5, above_words: float = 3.5, short_words: float = 4.0, **band) -> DataFrame:
     """``docs(lang, text, ...)`` with the base counts, ``base_failed``,
-    ``log_ppl`` and ``kept``. ``short``: how many nats a text's band is widened,
-    divided by the root of its number of symbols."""
+    ``log_ppl`` and ``kept``. ``short`` and ``short_words``: how many nats a
+    text's limits are widened, divided by the root of its number of symbols or
+    words."""
     model = fit(docs.select("lang", "text"))
-    rows = measure(without(docs, ["kept"]), model)
-    rows = (rows if keep_text else rows.drop("text")).checkpoint(eager=True)
+    words = kn_words.score(docs).select(F.col("key").alias("_key"), "word_ppl")
+    rows = measure(without(docs, ["kept", "word_ppl", "_key"]), model).withColumn("_key", kn_words.text_key())
+    rows = (rows if keep_text else rows.drop("text")).join(words, "_key", "left").checkpoint(eager=True)
     bands = perplexity_bands(rows, **band).collect()  # a row for each language
     low, high = {r.lang: r.low for r in bands}, {r.lang: r.high for r in bands}
+    high_words = {r.lang: r.high for r in word_limits(rows, above_words).collect()}
 
     def edge(values, other):
         out = F.lit(other)
@@ -376,9 +404,14 @@ def judge(docs: DataFrame, *, keep_text: bool = True, short: float = 2.5, **band
             out = F.when(F.col("lang").eqNullSafe(F.lit(name)), F.lit(float(v))).otherwise(out)
         return out
 
-    slack = F.lit(short) / F.sqrt(F.greatest(F.col("n_codes"), F.lit(1)).cast("double"))
-    inside = F.col("log_ppl").between(edge(low, -1e9) - slack, edge(high, 1e9) + slack)
-    return rows.withColumn("kept", ~F.col("base_failed") & inside).drop("n_codes")
+    def slack(nats, n):
+        return F.lit(nats) / F.sqrt(F.greatest(F.col(n), F.lit(1)).cast("double"))
+
+    inside = F.col("log_ppl").between(edge(low, -1e9) - slack(short, "n_codes"), edge(high, 1e9) + slack(short, "n_codes"))
+    log_ppl = F.coalesce("word_ppl", F.lit(0.0))
+    inside &= log_ppl <= edge(high_words, 1e9) + slack(short_words, "n_words")
+    rows = rows.withColumn("kept", ~F.col("base_failed") & inside)
+    return rows.withColumn("log_ppl", log_ppl).drop("n_codes", "word_ppl", "_key")
 
 
 def judge_documents(docs: DataFrame, **settings) -> DataFrame:
