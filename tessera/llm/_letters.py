@@ -44,8 +44,9 @@ def fold(row_id: str | Column, n: int) -> Column:
     return F.crc32(F.coalesce(row_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def class_sample(rows: DataFrame, label: str, per_class: int, max_classes: int = 64) -> DataFrame:
-    """About ``per_class`` rows of each value of ``label``, chosen by a hash of
+def class_sample(rows: DataFrame, label: str, per_class: int, max_classes: int) -> DataFrame:
+    """About ``per_class`` rows of each value of ``label``, which has at most
+    ``max_classes`` values, chosen by a hash of
     the id (``doc_id``), so by the same rule on every run. Only a model's fit
     uses this; it has at most ``2 * per_class * max_classes`` rows."""
     rows = rows.where(F.col(label).isNotNull())

@@ -11,16 +11,20 @@ The chain of a long text is cut into blocks of ``BLOCK`` words whose transfer
 matrices are multiplied first, so all blocks of a slice of texts go through
 numpy together: the number of steps depends on the block, not on the text.
 
-The model is trained in numpy on a bounded sample of labelled texts
+The model is trained in numpy on a sample of labelled texts of every language
 (``per_class`` texts a language, ``words_each`` consecutive words of each, from
-a place fixed by a hash); training chains join stretches of several texts, so
-that transitions between languages are seen. Everything that is predicted uses
-whole texts.
+a place fixed by a hash). With more than ``MANY`` languages none is left out:
+each has a smaller share (``MANY * per_class`` texts in all, but ``LEAST`` a
+language), tables of more than ``WEIGHTS`` weights get fewer hashed rows,
+and chains are walked word by word, as transfer matrices would cost the cube of
+the languages; slices and parts of texts shrink as the languages grow. Training
+chains join stretches of several texts, so that transitions between languages
+are seen. Everything that is predicted uses whole texts.
 
 Defined results: null text, or no letter: ``und`` with score 0; a training
 sample without any label: every text is ``und``; null labels and ids are kept
 out of training and change nothing else; very long texts are cut into parts of
-``PART`` words between which only the chain's link is dropped; an empty table
+``PART`` words (fewer with more than ``MANY`` languages) between which only the chain's link is dropped; an empty table
 gives an empty result. Input columns named like an output are replaced.
 """
 
@@ -35,19 +39,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm._letters import class_sample, fold, letter_words, texts_to_bytes
-from tessera.llm._text import hash_spans, map_texts, release_memory
+from tessera.llm._letters import fold, letter_words, texts_to_bytes
+from tessera.llm._text import SLICE_BYTES, hash_spans, map_texts, release_memory
 
 BITS = 16
 BLOCK = 64
 PART = 1 << 18
+MANY = 64
+LEAST = 16
+WEIGHTS = 1 << 24
 UNKNOWN = "und"
 _HAS_LETTER = re.compile(r"[^\W\d_]")
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
-def word_features(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray):
-    """Features of words: n-gram rows and the word each belongs to, by length
+def word_features(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, bits: int = BITS):
+    """Features of words (rows of 2**bits): n-gram rows and the word each belongs to, by length
     of the n-grams, and the lexicon row of each word."""
     n = len(starts)
     if not n:
@@ -67,9 +74,9 @@ def word_features(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes:
     for k in (2, 3, 4):
         code = (code[:-1] << np.uint64(8)) | s[k - 1 :].astype(np.uint64)
         whole = word[: len(code)] == word[k - 1 :]
-        grams.append(((code[whole] * _M[k - 2]) >> np.uint64(64 - BITS)).astype(np.int32))
+        grams.append(((code[whole] * _M[k - 2]) >> np.uint64(64 - bits)).astype(np.int32))
         owners.append(word[: len(code)][whole])
-    return grams, owners, (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+    return grams, owners, (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _words(data: np.ndarray, offs: np.ndarray):
@@ -81,8 +88,8 @@ def _words(data: np.ndarray, offs: np.ndarray):
 @dataclass
 class Crf:
     labels: list[str]
-    grams: np.ndarray  # (2**BITS, labels)
-    lexicon: np.ndarray  # (2**BITS, labels)
+    grams: np.ndarray  # (2**bits, labels)
+    lexicon: np.ndarray  # (2**bits, labels)
     transitions: np.ndarray  # (labels, labels)
 
     def emissions(self, features) -> np.ndarray:
@@ -101,23 +108,25 @@ class Crf:
         n_labels = len(self.labels)
         n = np.diff(bounds)
         chains = np.flatnonzero(n)
-        blocks = -(-n[chains] // BLOCK)
+        block = BLOCK if n_labels <= MANY else max(BLOCK, int(n.max(initial=0)))
+        blocks = -(-n[chains] // block)
         first = np.concatenate([[0], np.cumsum(blocks)])
         total = int(first[-1])
         out = np.zeros((len(emissions), n_labels), np.float32)
         if not total:
             return (out, np.zeros((n_labels, n_labels))) if want_pairs else out
         chain = np.repeat(np.arange(len(chains)), blocks)
-        begin = bounds[chains][chain] + (np.arange(total) - first[chain]) * BLOCK
-        size = np.minimum(bounds[chains + 1][chain] - begin, BLOCK)
+        begin = bounds[chains][chain] + (np.arange(total) - first[chain]) * block
+        size = np.minimum(bounds[chains + 1][chain] - begin, block)
         order = np.argsort(-size, kind="stable")  # step t concerns a prefix of the blocks
         begin, size = begin[order], size[order]
-        live = np.searchsorted(-size, -np.arange(1, BLOCK + 1), "right")
+        live = np.searchsorted(-size, -np.arange(1, block + 1), "right")
         e = np.exp(emissions - emissions.max(axis=1, keepdims=True))
         a = np.exp(self.transitions).astype(np.float32)
-        # transfer matrix of each block
-        m = np.broadcast_to(np.eye(n_labels, dtype=np.float32), (total, n_labels, n_labels)).copy()
-        for t in range(BLOCK):
+        # transfer matrix of each block, where a chain has several
+        linked = int(blocks.max()) > 1
+        m = np.broadcast_to(np.eye(n_labels, dtype=np.float32), (total if linked else 0, n_labels, n_labels)).copy()
+        for t in range(block if linked else 0):
             k = live[t]
             if not k:
                 break
@@ -140,46 +149,55 @@ class Crf:
             b = starts[c] + counts[c] - 1 - j
             x = np.einsum("cij,cj->ci", m[rank[b + 1]], right[rank[b + 1]])
             right[rank[b]] = x / x.sum(axis=1, keepdims=True)
-        # inside the blocks
-        alpha = np.zeros((BLOCK, total, n_labels), np.float32)
+        # inside the blocks; ``out`` holds the forward messages first
         now = left
-        for t in range(BLOCK):
+        for t in range(block):
             k = live[t]
             if not k:
                 break
             x = (now[:k] @ a) * e[begin[:k] + t]
             now = x / x.sum(axis=1, keepdims=True)
-            alpha[t, :k] = now
+            out[begin[:k] + t] = now
         pairs = np.zeros((n_labels, n_labels))
         beta = right.copy()
-        for t in range(BLOCK - 1, -1, -1):
+        for t in range(block - 1, -1, -1):
             k = live[t]
             if not k:
                 continue
-            x = alpha[t, :k] * beta[:k]
+            x = out[begin[:k] + t] * beta[:k]
             out[begin[:k] + t] = x / x.sum(axis=1, keepdims=True)
             behind = e[begin[:k] + t] * beta[:k]
             if want_pairs:
-                before = alpha[t - 1, :k] if t else left[:k]
-                p = before[:, :, None] * a[None] * behind[:, None, :]
-                pairs += (p / p.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+                before = out[begin[:k] + t - 1] if t else left[:k]
+                whole = ((before @ a) * behind).sum(axis=1, keepdims=True)
+                pairs += a * ((before / whole).T @ behind)
             x = behind @ a.T
             beta[:k] = x / x.sum(axis=1, keepdims=True)
         return (out, pairs) if want_pairs else out
 
-    def label_texts(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Label probabilities of the words of all texts, and bounds."""
+    def label_parts(self, data: np.ndarray, offs: np.ndarray):
+        """Bounds of the words of all texts, and an iterator of (first word,
+        label probabilities of the words from there)."""
         low, starts, ends, hashes, bounds = _words(data, offs)
-        known, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        emissions = self.emissions(word_features(low, starts[first], ends[first], known))[which]
-        parts, at, used = [], 0, 0  # texts are taken together up to PART words
-        cuts = np.unique(np.concatenate([bounds, *[np.arange(a, b, PART) for a, b in zip(bounds[:-1], bounds[1:]) if b - a > PART]]))
-        while at < len(cuts) - 1:
-            stop = max(at + 1, int(np.searchsorted(cuts, cuts[at] + PART, "right")) - 1)
-            a, b = cuts[at], cuts[stop]
-            parts.append(self.posteriors(emissions[a:b], cuts[at : stop + 1] - a))
-            at = stop
-        return (np.concatenate(parts) if parts else np.zeros((0, len(self.labels)), np.float32)), bounds
+        most = PART if len(self.labels) <= MANY else max(1024, PART * MANY // len(self.labels))
+        bits = len(self.lexicon).bit_length() - 1
+
+        def parts():
+            at = 0  # texts are taken together up to ``most`` words
+            cuts = np.unique(np.concatenate([bounds, *[np.arange(a, b, most) for a, b in zip(bounds[:-1], bounds[1:]) if b - a > most]]))
+            while at < len(cuts) - 1:
+                stop = max(at + 1, int(np.searchsorted(cuts, cuts[at] + most, "right")) - 1)
+                a, b = cuts[at], cuts[stop]
+                known, first, which = np.unique(hashes[a:b], return_index=True, return_inverse=True)
+                emissions = self.emissions(word_features(low, starts[a:b][first], ends[a:b][first], known, bits))[which]
+                yield int(a), self.posteriors(emissions, cuts[at : stop + 1] - a)
+                at = stop
+
+        return bounds, parts()
+
+    def slice_bytes(self) -> int:
+        """Bytes of text that are labelled together."""
+        return SLICE_BYTES if len(self.labels) <= MANY else max(1 << 16, SLICE_BYTES * MANY // len(self.labels))
 
 
 def train(
@@ -197,7 +215,9 @@ def train(
         cut.append(" ".join(words[a : a + words_each]))
     data, offs = texts_to_bytes(cut)
     low, starts, ends, hashes, bounds = _words(data, offs)
-    grams, owners, lexicon = word_features(low, starts, ends, hashes)
+    bits = min(BITS, max(8, (WEIGHTS // max(1, len(names))).bit_length() - 1))
+    batch = max(16, min(batch, batch * 256 // max(1, len(names))))
+    grams, owners, lexicon = word_features(low, starts, ends, hashes, bits)
     known = {v: i for i, v in enumerate(names)}
     y_of = np.array([known[v] for v in labels], np.int64)
     gram_at = [np.searchsorted(o, np.arange(len(lexicon) + 1)) for o in owners]
@@ -208,7 +228,7 @@ def train(
             n = int(rng.integers(5, 41))
             stretches.append((a, min(b, a + n), int(y_of[i])))
             a += n
-    model = Crf(names, np.zeros((1 << BITS, len(names)), np.float32), np.zeros((1 << BITS, len(names)), np.float32), np.zeros((len(names), len(names)), np.float32))
+    model = Crf(names, np.zeros((1 << bits, len(names)), np.float32), np.zeros((1 << bits, len(names)), np.float32), np.zeros((len(names), len(names)), np.float32))
     seen = [np.full_like(x, 1e-2) for x in (model.grams, model.lexicon, model.transitions)]
 
     def step(weights, memory, rows, gradient, scale):
@@ -252,10 +272,23 @@ def train(
     return model
 
 
+def language_sample(rows: DataFrame, per_class: int) -> DataFrame:
+    """About ``per_class`` rows of every language of ``rows(doc_id, text,
+    lang)``, fewer with more than ``MANY`` languages, by a hash of the id."""
+    rows = rows.where("lang is not null")
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).collect()  # a row for each language, as the model has
+    share = min(per_class, max(LEAST, MANY * per_class // max(1, len(counts))))
+    sizes = rows.sparkSession.createDataFrame(counts, T.StructType([rows.schema["lang"], T.StructField("_n", T.LongType())]))
+    part = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("fit")), 11) / F.lit(float(1 << 53))
+    chosen = rows.join(F.broadcast(sizes), "lang").where(part * F.col("_n") < share).drop("_n")
+    # repeated ids can't make the sample larger than a fixed number of rows
+    return chosen.orderBy(F.xxhash64("doc_id", F.lit("fit")), "doc_id").limit(2 * share * max(1, len(counts)))
+
+
 def fit(rows: DataFrame, per_class: int = 1000, **settings) -> Crf:
     """Fit on ``rows(doc_id, text, lang)``: a bounded sample of each language."""
     rows = rows.where("text is not null").select("doc_id", "text", "lang")
-    found = class_sample(rows, "lang", per_class).collect()
+    found = language_sample(rows, per_class).collect()
     texts, labels = [r.text for r in found], [r.lang for r in found]
     del found
     model = train(texts, labels, **settings)
@@ -266,7 +299,7 @@ def fit(rows: DataFrame, per_class: int = 1000, **settings) -> Crf:
 
 def identify(docs: DataFrame, model: Crf, text: str = "text") -> DataFrame:
     """Add ``lang_pred`` and ``score`` to every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS rows of weights per language
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2**BITS rows of weights per language
 
     def make():
         crf = shared.value
@@ -276,10 +309,13 @@ def identify(docs: DataFrame, model: Crf, text: str = "text") -> DataFrame:
             n = len(column)
             label, score = [UNKNOWN] * n, np.zeros(n)
             if crf.labels:
-                p, bounds = crf.label_texts(data, offs)
-                total = np.concatenate([np.zeros((1, p.shape[1])), np.cumsum(p, axis=0, dtype=np.float64)])
-                total = total[bounds[1:]] - total[bounds[:-1]]
+                bounds, parts = crf.label_parts(data, offs)
                 words = np.diff(bounds)
+                total = np.zeros((n, len(crf.labels)))
+                for a, p in parts:
+                    own = np.searchsorted(bounds, np.arange(a, a + len(p)), "right") - 1
+                    heads = np.flatnonzero(np.diff(own, prepend=-1))
+                    total[own[heads]] += np.add.reduceat(p, heads, axis=0, dtype=np.float64)
                 for i in np.flatnonzero(words):
                     if _HAS_LETTER.search(column[i].as_py()):
                         best = int(np.argmax(total[i]))
@@ -288,7 +324,7 @@ def identify(docs: DataFrame, model: Crf, text: str = "text") -> DataFrame:
 
         return run
 
-    return map_texts(docs, text, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], make)
+    return map_texts(docs, text, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], make, model.slice_bytes())
 
 
 def label_spans(docs: DataFrame, model: Crf, text: str = "text") -> DataFrame:
@@ -299,14 +335,15 @@ def label_spans(docs: DataFrame, model: Crf, text: str = "text") -> DataFrame:
         crf = shared.value
 
         def run(part, data, offs):
-            p, bounds = crf.label_texts(data, offs)
+            bounds, parts = crf.label_parts(data, offs)
             names = np.array(crf.labels or [UNKNOWN], object)
-            flat = pa.array(names[p.argmax(axis=1)] if p.size else [], pa.string())
+            best = [p.argmax(axis=1) for _, p in parts if p.size]
+            flat = pa.array(names[np.concatenate(best)] if best else [], pa.string())
             return [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), flat)]
 
         return run
 
-    return map_texts(docs, text, [T.StructField("word_labels", T.ArrayType(T.StringType()))], make)
+    return map_texts(docs, text, [T.StructField("word_labels", T.ArrayType(T.StringType()))], make, model.slice_bytes())
 
 
 def held_out(row_id: str | Column = "doc_id") -> Column:
