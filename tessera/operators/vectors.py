@@ -76,9 +76,75 @@ def _tile_fn(k: int, exclude_self: bool, names: list[str]):
     return run
 
 
+def _sparse_tile_fn(k: int, exclude_self: bool, names: list[str]):
+    """The same for vectors as ``struct<indices, values>``: each query gathers
+    the base rows of its own indices; distances are rounded to 12 digits, so
+    that ties go by base id."""
+    import numpy as np
+    import pyarrow as pa
+
+    def entries(column):
+        flat = column.combine_chunks()
+        lists = [flat.field(f) for f in ("indices", "values")]
+        size = np.diff(lists[0].offsets.to_numpy())
+        idx, val = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
+        at = np.concatenate([[0], np.cumsum(size)])
+        return at, idx, val, np.bincount(np.repeat(np.arange(len(size)), size), weights=val * val, minlength=len(size))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [[], [], []]
+        if left.num_rows and right.num_rows:
+            q_ids, b_ids = left["_q"].to_numpy(), right["_b"].to_numpy()
+            q_at, q_idx, q_val, q_sq = entries(left["_qv"])
+            b_at, b_idx, b_val, b_sq = entries(right["_bv"])
+            order = np.argsort(b_idx, kind="stable")
+            b_idx, b_val, row = b_idx[order], b_val[order], np.repeat(np.arange(len(b_ids)), np.diff(b_at))[order]
+            for i, qid in enumerate(q_ids):
+                own = slice(q_at[i], q_at[i + 1])
+                lo, hi = (np.searchsorted(b_idx, q_idx[own], side) for side in ("left", "right"))
+                n = hi - lo
+                at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                dot = np.bincount(row[at], weights=b_val[at] * np.repeat(q_val[own], n), minlength=len(b_ids))
+                dist = np.round(np.maximum(q_sq[i] + b_sq - 2 * dot, 0), 12)
+                if exclude_self:
+                    dist[b_ids == qid] = np.inf
+                m = min(k, len(b_ids))
+                c = np.flatnonzero((dist <= np.partition(dist, m - 1)[m - 1]) & np.isfinite(dist))
+                c = c[np.lexsort((b_ids[c], dist[c]))][:k]
+                for col, v in zip(out, (np.full(len(c), qid), b_ids[c], dist[c])):
+                    col.append(v)
+        empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        cols = [pa.array(np.concatenate(v) if v else e) for v, e in zip(out, empty)]
+        if len(names) == 4:  # the topic of the tile
+            topic = left["_g"] if left.num_rows else right["_g"]
+            cols.append(pa.chunked_array([topic.combine_chunks().take(pa.array(np.zeros(len(cols[0]), np.int64)))]))
+        return pa.table(cols, names=names)
+
+    return run
+
+
+def nearest_centroid_sparse(df: DataFrame, id_col: str, vec: str, base: DataFrame, key: str) -> DataFrame:
+    """``nearest_centroid`` over the mean vectors of ``base(key, vec)`` for
+    vectors of entries >= 0 as ``struct<indices, values>``: ``df`` with ``key``.
+    Centroids stay a table of (key, index); cosines are rounded to 12 digits, a
+    tie (also of a row without common entries) goes to the largest key."""
+    known = base.where(F.col(key).isNotNull())
+    entry = F.explode(F.arrays_zip(f"{vec}.indices", f"{vec}.values"))
+    cents = known.select(key, entry.alias("e")).groupBy(key, F.col("e.indices").alias("_i")).agg(F.sum("e.values").alias("_c"))
+    norms = cents.groupBy(key).agg(F.sqrt(F.sum(F.col("_c") * F.col("_c"))).alias("_norm"))
+    asked = df.select(id_col, entry.alias("e")).select(id_col, F.col("e.indices").alias("_i"), F.col("e.values").alias("_v"))
+    dots = asked.join(cents, "_i").groupBy(id_col, key).agg(F.sum(F.col("_v") * F.col("_c")).alias("_dot")).join(norms, key)
+    # the length of the row itself doesn't change the order
+    cos = F.round(F.col("_dot") / F.col("_norm"), 12)
+    best = dots.where("_dot > 0").groupBy(id_col).agg(F.max_by(key, F.struct(cos, F.col(key))).alias("_best"))
+    last = known.agg(F.max(key).alias("_last"))
+    out = df.join(best, id_col, "left").crossJoin(F.broadcast(last))
+    return out.withColumn(key, F.coalesce("_best", "_last")).drop("_best", "_last")
+
+
 def nearest_k(queries: DataFrame, base: DataFrame, k: int, qid: str = "qid", bid: str = "bid",
               vec: str = "vec", exclude_self: bool = False, on: str | None = None,
-              block: int = 2048) -> DataFrame:
+              block: int = 2048, sparse: bool = False) -> DataFrame:
     """The ``k`` nearest base rows of every query by squared L2,
     ties -> lowest base id. ``queries(qid, vec[, on])``, ``base(bid, vec[, on])``
     with integral ids and vectors of one length. Returns
@@ -86,7 +152,8 @@ def nearest_k(queries: DataFrame, base: DataFrame, k: int, qid: str = "qid", bid
     (the reference pads with -1 and reads the last block; we don't). With
     ``on`` only rows of the same topic meet: blocks are dealt inside a topic, so
     a topic's search costs its own queries times its own rows, and a large
-    topic is many tiles. Null vectors and null topics take no part."""
+    topic is many tiles. Null vectors and null topics take no part.
+    ``sparse``: vectors are ``struct<indices, values>`` of any width."""
     group = F.col(on) if on else F.lit(0)
     q = queries.where(F.col(vec).isNotNull() & group.isNotNull()).select(
         F.col(qid).cast("long").alias("_q"), F.col(vec).alias("_qv"), group.alias("_g"))
@@ -108,7 +175,7 @@ def nearest_k(queries: DataFrame, base: DataFrame, k: int, qid: str = "qid", bid
     tile = ["_g", "_i", "_j"]
     names = ["_q", "_b", "dist"] + (["_g"] if on else [])
     schema = "_q long, _b long, dist double" + (f", _g {q.schema['_g'].dataType.simpleString()}" if on else "")
-    found = q.groupBy(*tile).cogroup(b.groupBy(*tile)).applyInArrow(_tile_fn(k, exclude_self, names), schema)
+    found = q.groupBy(*tile).cogroup(b.groupBy(*tile)).applyInArrow((_sparse_tile_fn if sparse else _tile_fn)(k, exclude_self, names), schema)
     w = Window.partitionBy("_q", *(["_g"] if on else [])).orderBy("dist", "_b")
     found = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return found.select(

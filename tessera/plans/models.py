@@ -44,9 +44,14 @@ def scaler_stage(df: DataFrame, cols: Sequence[str], prefix: str = "z_") -> SQLT
 
 def fit_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 5,
              max_bins: int | None = None, seed: int = 42) -> PipelineModel:
-    """M1: Gini decision tree on raw features (depth 5 by default)."""
+    """M1: Gini decision tree on raw features (depth 5 by default). Without
+    ``max_bins`` there is a bin for each distinct value, so that every split
+    between two values is tried."""
     require_columns(df, list(features) + [label])
-    bins = max_bins or 256
+    bins = max_bins
+    if bins is None:
+        distinct = df.agg(*[F.countDistinct(c).alias(f"_{i}") for i, c in enumerate(features)]).first()
+        bins = max(2, *distinct) + 1  # nulls are one value more
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
         DecisionTreeClassifier(featuresCol="features", labelCol=label, maxDepth=max_depth,

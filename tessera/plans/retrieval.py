@@ -9,9 +9,9 @@ Generation is left to the caller.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import text as TX
 from tessera.operators import text as text_ops
@@ -24,7 +24,13 @@ def block_key(doc_id: str, block_id: str):
     return F.col(doc_id) * F.lit(1 << 20) + F.col(block_id)
 
 
-def retrieve(questions: DataFrame, blocks: DataFrame, k: int = 3, num_features: int = 256,
+@F.udf(T.StructType([T.StructField("indices", T.ArrayType(T.IntegerType())), T.StructField("values", T.ArrayType(T.DoubleType()))]))
+def _entries(v):
+    at = v.values != 0
+    return v.indices[at].tolist(), v.values[at].tolist()
+
+
+def retrieve(questions: DataFrame, blocks: DataFrame, k: int = 3, num_features: int = 1 << 18,
              cache: DataFrame | None = None) -> DataFrame:
     """``questions(qid, text)``; ``blocks(bid, topic, text)``. Returns one row
     per question: qid, key, topic, context, prompt, messages, status."""
@@ -34,12 +40,12 @@ def retrieve(questions: DataFrame, blocks: DataFrame, k: int = 3, num_features:
     model = models.fit_text_vectors(blocks, "text", num_features)
     # the block vectors are the index: built once, stored in the shared
     # checkpoint folder, then read by the centroid and search steps
-    bv = model.transform(blocks).select("bid", "topic", vector_to_array("vector").alias("vec"))
-    bv = bv.checkpoint(eager=True)
-    qv = model.transform(q).select("qid", vector_to_array("vector").alias("vec"))
-    cents = vectors.centroids(bv, "topic", "vec")
-    qv = vectors.nearest_centroid(qv, "qid", "vec", cents, "topic", out="topic", keep=("vec",))
-    nn = vectors.nearest_k(qv, bv, k, qid="qid", bid="bid", vec="vec", on="topic")
+    bv = model.transform(blocks).select("bid", "topic", _entries("vector").alias("vec"))
+    # (a block without terms has no direction and would be nearer than most)
+    bv = bv.where(F.size("vec.indices") > 0).checkpoint(eager=True)
+    qv = model.transform(q).select("qid", _entries("vector").alias("vec")).checkpoint(eager=True)
+    qv = vectors.nearest_centroid_sparse(qv, "qid", "vec", bv, "topic")
+    nn = vectors.nearest_k(qv, bv, k, qid="qid", bid="bid", vec="vec", on="topic", sparse=True)
     texts = blocks.select("bid", F.col("text").alias("_bt"))
     ctx = nn.join(texts, "bid").groupBy("qid", "topic").agg(
         TX.join_ranked(F.col("rank"), TX.strip_ws(F.col("_bt"))).alias("context"))
