@@ -8,7 +8,7 @@ import pytest
 
 from tessera.plans.catalog import QUERIES, SQL
 from tessera.session import TABLES
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _norm(v):

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.operators.ordered import keyed_scan, next_in_key
-from conftest import SF_MID
+from paths import SF_MID
 
 
 def _hot_events(spark):

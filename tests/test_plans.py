@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tessera.operators import vectors
 from tessera.operators.ordered import keyed_scan
 from tessera.plans.catalog import QUERIES
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _plan(df) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tessera.operators import prep, sequences
 from tessera.sources.tables import scratch_path
 from tessera.streaming import streams
-from conftest import SF_MID
+from paths import SF_MID
 
 
 def _daily_files(spark):
