@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tessera.llm import (
+    bpe_automaton,
     conv_toxicity,
     crf_language,
     curriculum_mix,
@@ -64,6 +65,10 @@ def op10_ngram_join(spark, sf_dir):
     return partition_join.link_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_tokens(spark, sf_dir):
+    return bpe_automaton.digest_documents(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_language": op2_language,
@@ -75,6 +80,7 @@ LLM_QUERIES = {
     "op8_shards": op8_shards,
     "op9_quality": op9_quality,
     "op10_ngram_join": op10_ngram_join,
+    "op11_tokens": op11_tokens,
     "pipeline": corpus_pipeline.run,
 }
 
