@@ -15,6 +15,7 @@ from tessera.llm import (
     histogram_shards,
     kn_quality,
     partition_join,
+    spelling_variants,
     vamana_index,
     warc_bundles,
 )
@@ -69,6 +70,10 @@ def op11_tokens(spark, sf_dir):
     return bpe_automaton.digest_documents(_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark, sf_dir):
+    return spelling_variants.variants(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_language": op2_language,
@@ -81,6 +86,7 @@ LLM_QUERIES = {
     "op9_quality": op9_quality,
     "op10_ngram_join": op10_ngram_join,
     "op11_tokens": op11_tokens,
+    "op12_spelling": op12_spelling,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -100,4 +106,44 @@ LLM_SQL = {
                CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
         FROM g
     """,
+    # crc32 by the table of its polynomial 0xEDB88320; U+00C0 to U+00FF are the bytes 195 and the code point less 64
+    "op12_spelling": """
+        WITH RECURSIVE crc_table AS (
+            SELECT list(c ORDER BY i) AS t FROM (
+                SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+                    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+                FROM range(256) r(i))
+        ), runs AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+                   unnest(regexp_extract_all(text, '[A-Za-z\\x{00C0}-\\x{00FF}]+')) AS run FROM documents
+        ), words AS (
+            SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+            FROM runs WHERE length(run) >= 6 GROUP BY 1, 2
+        ), hashed AS (
+            SELECT w, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(id || ':' || w, ''), lambda c:
+                    CASE WHEN unicode(c) >= 192 THEN [195::BIGINT, unicode(c)::BIGINT - 64] ELSE [unicode(c)::BIGINT] END))),
+                lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h
+            FROM words, crc_table
+        ), cut AS (
+            SELECT n, CASE WHEN h % 199 = 0 THEN left(w, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word
+            FROM hashed
+        ), v AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+        ), gaps AS (
+            SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)
+        ), near AS (
+            SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT a.word, a.n, b.word, b.n FROM gaps a JOIN v b ON a.rest = b.word
+            UNION SELECT b.word, b.n, a.word, a.n FROM gaps a JOIN v b ON a.rest = b.word
+        ), top AS (
+            SELECT word, n, count(*) AS n_near, arg_min(other, (-other_n, other)) AS form, max(other_n) AS form_n FROM near GROUP BY word, n
+        ), links AS (SELECT word, form, form_n FROM top WHERE form_n >= 5 * n),
+        chain AS (
+            SELECT word, form AS root, 1 AS step FROM links
+            UNION ALL SELECT c.word, l.form, step + 1 FROM chain c JOIN links l ON l.word = c.root
+        ), roots AS (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word)
+        SELECT v.word, l.form, coalesce(r.root, v.word) AS root, v.n, CAST(coalesce(t.n_near, 0) AS BIGINT) AS n_near, CAST(l.form_n AS BIGINT) AS form_n
+        FROM v LEFT JOIN top t ON t.word = v.word LEFT JOIN links l ON l.word = v.word LEFT JOIN roots r ON r.word = v.word
+    """,
 }
