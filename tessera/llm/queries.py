@@ -16,6 +16,7 @@ from tessera.llm import (
     kn_quality,
     partition_join,
     spelling_variants,
+    token_alignment,
     vamana_index,
     warc_bundles,
 )
@@ -74,6 +75,10 @@ def op12_spelling(spark, sf_dir):
     return spelling_variants.variants(_table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark, sf_dir):
+    return token_alignment.align_documents(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_language": op2_language,
@@ -87,6 +92,7 @@ LLM_QUERIES = {
     "op10_ngram_join": op10_ngram_join,
     "op11_tokens": op11_tokens,
     "op12_spelling": op12_spelling,
+    "op13_alignment": op13_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
