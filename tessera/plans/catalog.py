@@ -854,14 +854,85 @@ def _split_docs(spark, sf):
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 
-@register("fit_tree")
+_TRAIN_SQL = """
+WITH f AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS x0,
+                  CAST(len(string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+')) AS DOUBLE) AS x1,
+                  CAST(len(string_split(text, chr(10))) AS DOUBLE) AS x2, quality, toxic
+           FROM documents JOIN labels USING (doc_id)),
+s AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id)
+                  <= floor((count(*) OVER (PARTITION BY quality) * 20 + 99) / 100) AS is_test FROM f)
+"""
+
+
+def _tree_sql(p: str, label: str, depth: int, n_features: int = 3) -> str:
+    """CTEs of an exact tree, level by level: ``{p}nodes(id, depth, f, t)`` and
+    ``{p}counts(node, k, n)``."""
+    xs = ", ".join(f"x{i}" for i in range(n_features))
+    out = [f"{p}r0 AS (SELECT CAST(1 AS BIGINT) AS node, {xs}, {label} AS k FROM s WHERE NOT is_test AND {label} IS NOT NULL)"]
+    for d in range(depth):
+        melted = " UNION ALL ".join(f"SELECT node, {i} AS f, x{i} AS v, k FROM {p}r{d}" for i in range(n_features))
+        value = "CASE b.f " + " ".join(f"WHEN {i} THEN x{i}" for i in range(n_features)) + " END"
+        out.append(f"""{p}b{d} AS MATERIALIZED (
+  WITH c AS (SELECT node, f, v, k, count(*) AS n FROM ({melted})
+             WHERE node IN (SELECT node FROM {p}r{d} GROUP BY node HAVING count(DISTINCT k) > 1) GROUP BY ALL),
+  u AS (SELECT *, CAST(sum(n) OVER (PARTITION BY node, f, k ORDER BY v) AS HUGEINT) AS run,
+               CAST(sum(n) OVER (PARTITION BY node, f, k) AS HUGEINT) AS tot FROM c),
+  m AS (SELECT node, f, v, sum(n) AS n, sum(run * run - (run - n) * (run - n)) AS l,
+               sum((tot - run + n) * (tot - run + n) - (tot - run) * (tot - run)) AS r FROM u GROUP BY ALL),
+  w AS (SELECT node, f, v, lead(v) OVER z AS v_next, CAST(sum(n) OVER z AS DOUBLE) AS nl,
+               CAST(sum(n) OVER y AS DOUBLE) - CAST(sum(n) OVER z AS DOUBLE) AS nr, CAST(sum(l) OVER z AS DOUBLE) AS sl,
+               CAST(sum(r) OVER y - sum(r) OVER z AS DOUBLE) AS sr
+        FROM m WINDOW z AS (PARTITION BY node, f ORDER BY v), y AS (PARTITION BY node, f)),
+  g AS (SELECT node, f, (v + v_next) / 2 AS t, (nl * (1.0 - sl / (nl * nl)) + nr * (1.0 - sr / (nr * nr))) / (nl + nr) AS impurity
+        FROM w WHERE v_next IS NOT NULL)
+  SELECT node, f, t FROM g QUALIFY row_number() OVER (PARTITION BY node ORDER BY impurity, f, t) = 1)""")
+        out.append(f"""{p}r{d + 1} AS MATERIALIZED (
+  SELECT 2 * r.node + CASE WHEN {value} <= b.t THEN 0 ELSE 1 END AS node, {xs.replace("x", "r.x")}, k FROM {p}r{d} r JOIN {p}b{d} b ON r.node = b.node)""")
+    every = " UNION ALL ".join(f"SELECT node, k, count(*) AS n FROM {p}r{d} GROUP BY ALL" for d in range(depth + 1))
+    splits = " UNION ALL ".join(f"SELECT node, f, t FROM {p}b{d}" for d in range(depth))
+    return ",\n".join([*out, f"{p}counts AS MATERIALIZED ({every})", f"{p}splits AS MATERIALIZED ({splits})"])
+
+
+_FIT_TREE_SQL = _TRAIN_SQL + ",\n" + _tree_sql("a", "quality", 5) + """,
+k AS (SELECT DISTINCT k FROM acounts),
+g AS (SELECT n.node, k.k, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT node FROM acounts) n CROSS JOIN k
+      LEFT JOIN acounts c ON c.node = n.node AND c.k = k.k),
+h AS (SELECT node, list(CAST(n AS BIGINT) ORDER BY k) AS value, CAST(sum(n) AS BIGINT) AS samples, arg_min(k, (-n, k)) AS class FROM g GROUP BY node)
+SELECT h.node AS id, CASE f WHEN 0 THEN 'n_chars' WHEN 1 THEN 'n_words' WHEN 2 THEN 'n_lines' END AS feature, round(t, 6) AS threshold,
+       round(1.0 - list_sum(list_transform(value, lambda c: (c / samples) * (c / samples))), 6) AS gini, samples, value,
+       CAST(class AS VARCHAR) AS class, CASE WHEN f IS NULL THEN -1 ELSE 2 * h.node END AS left, CASE WHEN f IS NULL THEN -1 ELSE 2 * h.node + 1 END AS right
+FROM h LEFT JOIN asplits USING (node)
+"""
+
+
+def _walk_sql(p: str, depth: int, n_features: int = 3) -> str:
+    """CTE ``{p}leaf(doc_id, class)``: the test rows' leaves."""
+    value = "CASE f " + " ".join(f"WHEN {i} THEN x{i}" for i in range(n_features)) + " END"
+    xs = ", ".join(f"x{i}" for i in range(n_features))
+    out = [f"{p}w0 AS (SELECT doc_id, CAST(1 AS BIGINT) AS node, {xs} FROM s WHERE is_test)"]
+    for d in range(depth):
+        out.append(f"""{p}w{d + 1} AS MATERIALIZED (SELECT doc_id, CASE WHEN f IS NULL THEN w.node WHEN {value} <= t THEN 2 * w.node ELSE 2 * w.node + 1 END AS node, {xs}
+  FROM {p}w{d} w LEFT JOIN {p}splits b ON b.node = w.node)""")
+    out.append(f"""{p}leaf AS (SELECT doc_id, class FROM {p}w{depth} w
+  JOIN (SELECT node, arg_min(k, (-n, k)) AS class FROM {p}counts GROUP BY node) c ON c.node = w.node)""")
+    return ",\n".join(out)
+
+
+_MULTI_TREE_SQL = _TRAIN_SQL + ",\n" + ",\n".join(
+    [_tree_sql("a", "quality", 5), _tree_sql("b", "toxic", 5), _walk_sql("a", 5), _walk_sql("b", 5)]) + """
+SELECT s.doc_id, quality, toxic, a.class AS pred_quality, b.class AS pred_toxic
+FROM s JOIN aleaf a USING (doc_id) JOIN bleaf b USING (doc_id) WHERE is_test
+"""
+
+
+@register("fit_tree", _FIT_TREE_SQL)
 def q_fit_tree(spark, sf):
     train, _ = _split_docs(spark, sf)
-    m = models.fit_tree(train, DOC_FEATURES, "quality", max_depth=5)
-    return models.tree_table(m, DOC_FEATURES, [0, 1], scratch_path(spark, "tree"))
+    nodes = models.tree_table(models.fit_tree(train, DOC_FEATURES, "quality", max_depth=5))
+    return nodes.withColumns({"threshold": r6(F.col("threshold")), "gini": r6(F.col("gini"))})
 
 
-@register("multi_tree")
+@register("multi_tree", _MULTI_TREE_SQL)
 def q_multi_tree(spark, sf):
     train, test = _split_docs(spark, sf)
     ms = models.fit_multi_tree(train, DOC_FEATURES, ["quality", "toxic"], max_depth=5)
@@ -879,6 +950,7 @@ def q_fit_mlp(spark, sf):
 def q_compare_models(spark, sf):
     train, test = _split_docs(spark, sf)
     ms = {"tree": models.fit_tree(train, DOC_FEATURES, "quality"),
+          "knn": models.KnnModel(train, DOC_FEATURES, "quality", "doc_id"),
           "mlp": models.fit_mlp(train, DOC_FEATURES, "quality", hidden=(8, 4), max_iter=500)}
     return models.compare_models(test, ms, "quality")
 

@@ -9,7 +9,9 @@ aggregate row; it is saved and loaded inside the pipeline.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, MultilayerPerceptronClassifier
@@ -24,10 +26,11 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.prep import fit_scaler, require_columns
+from tessera.plans.exact_trees import TreeModel, grow_trees
 
 
 def scaler_stage(df: DataFrame, cols: Sequence[str], prefix: str = "z_") -> SQLTransformer:
@@ -42,29 +45,27 @@ def scaler_stage(df: DataFrame, cols: Sequence[str], prefix: str = "z_") -> SQLT
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def fit_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 5,
-             max_bins: int | None = None, seed: int = 42) -> PipelineModel:
-    """M1: Gini decision tree on raw features (depth 5 by default). Without
-    ``max_bins`` there is a bin for each distinct value, so that every split
-    between two values is tried."""
+def fit_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int | None = 5,
+             max_bins: int | None = None, seed: int = 42) -> TreeModel | PipelineModel:
+    """M1: Gini decision tree on raw features (depth 5 by default), every split
+    between two values tried (``exact_trees``). With ``max_bins``: Spark ML's
+    tree over that many bins of each feature, as a pipeline."""
     require_columns(df, list(features) + [label])
-    bins = max_bins
-    if bins is None:
-        distinct = df.agg(*[F.countDistinct(c).alias(f"_{i}") for i, c in enumerate(features)]).first()
-        bins = max(2, *distinct) + 1  # nulls are one value more
+    if max_bins is None:
+        return grow_trees(df, features, [label], max_depth)
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
         DecisionTreeClassifier(featuresCol="features", labelCol=label, maxDepth=max_depth,
-                               maxBins=bins, impurity="gini", seed=seed,
+                               maxBins=max_bins, impurity="gini", seed=seed,
                                predictionCol=f"pred_{label}", rawPredictionCol=f"raw_{label}",
                                probabilityCol=f"prob_{label}"),
     ]).fit(df)
 
 
 def fit_multi_tree(df: DataFrame, features: Sequence[str], labels: Sequence[str],
-                   max_depth: int = 5) -> list[PipelineModel]:
-    """M2: one tree per output label."""
-    return [fit_tree(df, features, lab, max_depth) for lab in labels]
+                   max_depth: int | None = 5) -> list[TreeModel]:
+    """M2: one tree per output label, all grown in the same passes (one model)."""
+    return [grow_trees(df, features, labels, max_depth)]
 
 
 def score_multi(df: DataFrame, models: Sequence[PipelineModel], keep: Sequence[str]) -> DataFrame:
@@ -91,22 +92,35 @@ def fit_mlp(df: DataFrame, features: Sequence[str], label: str, hidden: Sequence
     ]).fit(df)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """The scaler travels inside the pipeline."""
-    model.write().overwrite().save(path)
+def save_model(model, path: str) -> None:
+    """The scaler travels inside a pipeline; exact trees and k-NN models
+    save their tables."""
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(path)
+    else:
+        model.save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    """Load once per job (not per row)."""
-    return PipelineModel.load(path)
+def load_model(path: str, kind: str | None = None):
+    """Load once per job (not per row). ``kind``: "tree" (exact), "knn" or
+    "pipeline"; without it, what the folder holds."""
+    spark = SparkSession.getActiveSession()
+    loaders = {"tree": lambda: TreeModel.load(spark, path), "knn": lambda: KnnModel.load(spark, path),
+               "pipeline": lambda: PipelineModel.load(path)}
+    if kind is None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        exists = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists
+        kind = next((k for k, f in (("tree", "nodes"), ("knn", "base")) if exists(spark._jvm.org.apache.hadoop.fs.Path(folder, f))), "pipeline")
+    return loaders[kind]()
 
 
-def tree_table(model: PipelineModel, features: Sequence[str], classes: Sequence, path: str) -> DataFrame:
+def tree_table(model, features: Sequence[str] = (), classes: Sequence = (), path: str | None = None) -> DataFrame:
     """A fitted tree as a node table ``(id, feature, threshold, gini,
-    samples, value, class, left, right)``. The saved model's data folder is
-    already one row per node; it is read back, not walked on the driver."""
-    from pyspark.sql import SparkSession
-
+    samples, value, class, left, right)``. An exact tree is such a table; of a
+    Spark ML tree, the saved model's data folder (``path``) already has one row
+    per node and is read back, not walked on the driver."""
+    if isinstance(model, TreeModel):
+        return model.table().withColumn("class", F.col("class").cast(model.label_types[0]).cast("string"))
     save_model(model, path)
     nodes = SparkSession.getActiveSession().read.parquet(f"{path}/stages/1_*/data")
     fnames = F.array(*[F.lit(f) for f in features])
@@ -139,8 +153,9 @@ def edges_to_dot(nodes: DataFrame) -> DataFrame:
                              F.lit("\n}")).alias("dot"))
 
 
-def compare_models(df: DataFrame, models: dict[str, PipelineModel], label: str) -> DataFrame:
-    """M7: name -> accuracy on one common test set, one pass over it."""
+def compare_models(df: DataFrame, models: dict, label: str) -> DataFrame:
+    """M7: name -> accuracy on one common test set, one pass over it. Models
+    are anything with ``transform``: pipelines, exact trees, k-NN models."""
     out = df
     cols = []
     for name, m in models.items():
@@ -241,6 +256,30 @@ def knn_predict(train: DataFrame, test: DataFrame, features: list[str], label: s
     return test.join(votes, F.xxhash64(id_col) == F.col("qid")).drop("qid")
 
 
+@dataclass
+class KnnModel:
+    """M3 as a model: its training rows, the features and k."""
+
+    base: DataFrame
+    features: list[str]
+    label: str
+    id_col: str
+    k: int = 5
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return knn_predict(self.base, df, self.features, self.label, self.id_col, self.k)
+
+    def save(self, path: str) -> None:
+        keep = [c for c in self.base.columns if c in {*self.features, self.label, self.id_col, "copy"}]
+        self.base.select(*keep).write.mode("overwrite").parquet(f"{path}/base")
+        meta = json.dumps({"features": self.features, "label": self.label, "id_col": self.id_col, "k": self.k})
+        self.base.sparkSession.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> KnnModel:
+        return KnnModel(spark.read.parquet(f"{path}/base"), **json.loads(spark.read.text(f"{path}/meta").first()[0]))
+
+
 KINDS = ("tree", "mlp", "knn")
 
 
