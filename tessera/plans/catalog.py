@@ -995,20 +995,61 @@ def q_text_weights(spark, sf):
     return w.select("doc_id", "term", "tf", r6(F.col("weight")).alias("weight"))
 
 
-@register("prompt_table")
+_PROMPT_SQL = TX.PROMPT_TEMPLATE.replace("'", "''").replace("\n", "' || chr(10) || '").replace("%s", "' || coalesce({}, '') || '")
+
+
+@register("prompt_table", f"""
+WITH p AS (SELECT doc_id, lang AS topic, list_filter(list_transform(string_split_regex(text, '\\n+'), lambda x: trim(x, {_WS})), lambda x: x <> '') AS l
+           FROM documents WHERE lang IS NOT NULL),
+b AS MATERIALIZED (SELECT doc_id, topic, generate_subscripts(l, 1) AS block_id, unnest(l) AS text FROM p),
+n AS (SELECT count(*) + 1.0 AS n FROM b),
+tf AS (SELECT doc_id, block_id, topic, term, count(*) AS tf
+       FROM (SELECT doc_id, block_id, topic, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}_]+')) AS term FROM b)
+       WHERE term <> '' GROUP BY ALL),
+idf AS MATERIALIZED (SELECT term, ln((SELECT n FROM n) / (count(*) + 1.0)) AS idf FROM tf GROUP BY term),
+raw AS (SELECT *, tf * idf AS w FROM tf JOIN idf USING (term)),
+w AS MATERIALIZED (SELECT doc_id, block_id, topic, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id, block_id)) AS w FROM raw WHERE w > 0),
+c0 AS (SELECT topic, term, sum(w) AS w FROM w GROUP BY ALL),
+c AS (SELECT topic, term, w / sqrt(sum(w * w) OVER (PARTITION BY topic)) AS w FROM c0),
+q0 AS (SELECT conv_id, turn, text, {_KEY_SQL} AS key FROM conversations WHERE role = 'user'),
+a AS (SELECT conv_id, turn - 1 AS turn FROM conversations WHERE role = 'assistant' AND length(trim(text, {_WS})) >= 20),
+q AS MATERIALIZED (SELECT * FROM q0 WHERE key NOT IN (SELECT q1.key FROM q0 q1 JOIN a USING (conv_id, turn))),
+qt AS (SELECT conv_id, turn, term, count(*) AS tf
+       FROM (SELECT conv_id, turn, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}_]+')) AS term FROM q) WHERE term <> '' GROUP BY ALL),
+qr AS (SELECT conv_id, turn, term, tf * idf AS w FROM qt JOIN idf USING (term)),
+qw AS MATERIALIZED (SELECT conv_id, turn, term, w / l AS w FROM (SELECT *, sqrt(sum(w * w) OVER (PARTITION BY conv_id, turn)) AS l FROM qr) WHERE l > 0),
+r AS (SELECT conv_id, turn, topic, round(sum(qw.w * c.w), 12) AS s FROM qw JOIN c USING (term) GROUP BY ALL),
+t AS MATERIALIZED (SELECT q.conv_id, q.turn, coalesce(z.topic, (SELECT max(topic) FROM w)) AS topic FROM q
+      LEFT JOIN (SELECT conv_id, turn, arg_max(topic, (s, topic)) AS topic FROM r WHERE s > 0 GROUP BY ALL) z USING (conv_id, turn)),
+s0 AS (SELECT t.conv_id, t.turn, t.topic, w.doc_id, w.block_id, round(sum(qw.w * w.w), 9) AS s
+       FROM t JOIN qw USING (conv_id, turn) JOIN w ON w.topic = t.topic AND w.term = qw.term GROUP BY ALL),
+low AS (SELECT topic, doc_id, block_id FROM (SELECT DISTINCT topic, doc_id, block_id FROM w)
+        QUALIFY row_number() OVER (PARTITION BY topic ORDER BY doc_id, block_id) <= 3),
+s AS (SELECT conv_id, turn, topic, doc_id, block_id, max(s) AS s FROM
+      (SELECT * FROM s0 UNION ALL SELECT conv_id, turn, t.topic, doc_id, block_id, 0.0 FROM t JOIN low USING (topic)) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY s DESC, doc_id, block_id) AS rank FROM s QUALIFY rank <= 3),
+x AS (SELECT conv_id, turn, k.topic, string_agg(trim(b.text, {_WS}), chr(10) ORDER BY rank) AS context
+      FROM k JOIN b USING (doc_id, block_id) GROUP BY ALL)
+SELECT q.conv_id, q.turn, q.key, x.topic, x.context,
+       CASE WHEN length(trim(coalesce(context, ''), {_WS})) >= 20 THEN '{_PROMPT_SQL.format("context", "text")}' END AS prompt,
+       CASE WHEN length(trim(coalesce(context, ''), {_WS})) >= 20 THEN 'ready' ELSE '{TX.NOT_ENOUGH_CONTEXT}' END AS status,
+       CASE WHEN length(trim(coalesce(context, ''), {_WS})) >= 20 THEN 2 END AS n_messages
+FROM q LEFT JOIN x USING (conv_id, turn)
+""")
 def q_prompt_table(spark, sf):
     """Unanswered user questions -> routed top-3 paragraphs -> prompt."""
     from tessera.plans import retrieval
 
     conv = T(spark, sf, "conversations")
-    docs = T(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = T(spark, sf, "documents").where("lang is not null").select("doc_id", "lang", "text").repartition("doc_id")
     blocks = text.text_blocks(docs, "doc_id", "text", r"\n+", keep=("lang",))
-    # the paragraph table is read by the fit and by the index build: stored once
+    # the paragraph table is read by the index build and for the contexts: stored once
     blocks = blocks.select(retrieval.block_key("doc_id", "block_id").alias("bid"),
                            F.col("lang").alias("topic"), "text").checkpoint(eager=True)
-    qs = conv.where(F.col("role") == "user").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("qid"), "text")
-    return retrieval.retrieve(qs, blocks, k=3, cache=text.answer_cache(conv))
+    qs = conv.where(F.col("role") == "user").select(F.struct("conv_id", "turn").alias("qid"), "text")
+    out = retrieval.retrieve(qs, blocks, k=3, cache=text.answer_cache(conv))
+    return out.select("qid.conv_id", "qid.turn", "key", "topic", "context", "prompt", "status",
+                      F.size("messages").alias("n_messages"))
 
 
 # --------------------------------------------------------------------------

@@ -1,51 +1,48 @@
 """Retrieval down to a prompt table (M10 with J1, J4, J5, F5-F7, F24, M9, M14).
 
-One DataFrame plan per call: questions not in the answer cache are embedded
-with the same model as the blocks, routed to the nearest topic centroid,
-searched within that topic only (k nearest blocks), and the blocks' text is
-joined back and concatenated in rank order into the context of a prompt.
-Generation is left to the caller.
+Questions not in the answer cache are weighed over the terms of a stored
+inverted index of the blocks (``inverted_index``), routed to the nearest topic
+centroid, searched within that topic only (k nearest blocks, exact), and the
+blocks' text is joined back and concatenated in rank order into the context of
+a prompt. Generation is left to the caller.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions import text as TX
 from tessera.operators import text as text_ops
-from tessera.operators import vectors
-from tessera.plans import models
+from tessera.plans import inverted_index
+from tessera.sources.tables import scratch_path
 
 
 def block_key(doc_id: str, block_id: str):
-    """Integral id of a block (block ids stay below 2^20 per text)."""
-    return F.col(doc_id) * F.lit(1 << 20) + F.col(block_id)
+    """Key of a block: its text and its number there."""
+    return F.struct(F.col(doc_id).alias("text_id"), F.col(block_id).alias("block_id"))
 
 
-@F.udf(T.StructType([T.StructField("indices", T.ArrayType(T.IntegerType())), T.StructField("values", T.ArrayType(T.DoubleType()))]))
-def _entries(v):
-    at = v.values != 0
-    return v.indices[at].tolist(), v.values[at].tolist()
-
-
-def retrieve(questions: DataFrame, blocks: DataFrame, k: int = 3, num_features: int = 1 << 18,
-             cache: DataFrame | None = None) -> DataFrame:
+def retrieve(questions: DataFrame, blocks: DataFrame, k: int = 3, cache: DataFrame | None = None,
+             index_path: str | None = None) -> DataFrame:
     """``questions(qid, text)``; ``blocks(bid, topic, text)``. Returns one row
-    per question: qid, key, topic, context, prompt, messages, status."""
+    per question: qid, key, topic, context, prompt, messages, status. ``qid``
+    and ``bid`` are of any type that has an order. The index is built at
+    ``index_path`` (a scratch folder by default)."""
+    spark = blocks.sparkSession
     q = text_ops.question_keys(questions, "text", "key")
     if cache is not None:
         q = text_ops.unanswered(q, cache, "key")
-    model = models.fit_text_vectors(blocks, "text", num_features)
-    # the block vectors are the index: built once, stored in the shared
-    # checkpoint folder, then read by the centroid and search steps
-    bv = model.transform(blocks).select("bid", "topic", _entries("vector").alias("vec"))
-    # (a block without terms has no direction and would be nearer than most)
-    bv = bv.where(F.size("vec.indices") > 0).checkpoint(eager=True)
-    qv = model.transform(q).select("qid", _entries("vector").alias("vec")).checkpoint(eager=True)
-    qv = vectors.nearest_centroid_sparse(qv, "qid", "vec", bv, "topic")
-    nn = vectors.nearest_k(qv, bv, k, qid="qid", bid="bid", vec="vec", on="topic", sparse=True)
+    index = inverted_index.build(blocks, index_path or scratch_path(spark, "blocks-index"))
+    return answer_from(index, q, blocks.select("bid", "text"), k)
+
+
+def answer_from(index: inverted_index.InvertedIndex, q: DataFrame, blocks: DataFrame, k: int = 3) -> DataFrame:
+    """The prompt table of ``q(qid, key, text)`` from an index that is there."""
+    weights = index.weigh(q).checkpoint(eager=True)
+    topics = q.select("qid").join(index.route(weights), "qid", "left").crossJoin(F.broadcast(index.last_topic().withColumnRenamed("topic", "_last")))
+    topics = topics.select("qid", F.coalesce("topic", "_last").alias("topic")).where("topic is not null").checkpoint(eager=True)
+    nn = index.nearest(weights, topics, k)
     texts = blocks.select("bid", F.col("text").alias("_bt"))
     ctx = nn.join(texts, "bid").groupBy("qid", "topic").agg(
         TX.join_ranked(F.col("rank"), TX.strip_ws(F.col("_bt"))).alias("context"))
