@@ -206,8 +206,9 @@ def reduced_pairs(reduced: DataFrame, symbols: int) -> DataFrame:
             name = batch.column(0).to_numpy()
             for at, rows in _by_length(own, symbols):
                 around = np.sort(neighbourhoods(rows, symbols), axis=1)
-                new = np.ones(around.shape, bool)
-                new[:, 1:] = around[:, 1:] != around[:, :-1]
+                # being one edit apart holds both ways: the smaller hash sends the pair
+                new = around >= reduced_hashes(rows)[:, None]
+                new[:, 1:] &= around[:, 1:] != around[:, :-1]
                 who = np.repeat(name[at], new.sum(axis=1))
                 other = around[new].view(np.int64)
                 for a in range(0, len(who), 100_000):
@@ -216,7 +217,10 @@ def reduced_pairs(reduced: DataFrame, symbols: int) -> DataFrame:
     # any of a reduced word's words stands for it
     distinct = reduced.groupBy("reduced").agg(F.min("word").alias("word"))
     around = arrow_map(distinct, run, "reduced long, other long")
-    return around.join(distinct.select(F.col("reduced").alias("other")), "other", "left_semi")
+    one_way = around.join(distinct.select(F.col("reduced").alias("other")), "other", "left_semi")
+    both = F.when(F.col("reduced") == F.col("other"), F.array(F.struct("reduced", "other")))
+    both = both.otherwise(F.array(F.struct("reduced", "other"), F.struct(F.col("other").alias("reduced"), F.col("reduced").alias("other"))))
+    return one_way.select(F.inline(both))
 
 
 def symbols_for(n: int, least_length: int = 6) -> int:
