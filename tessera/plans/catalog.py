@@ -1023,7 +1023,7 @@ t AS MATERIALIZED (SELECT q.conv_id, q.turn, coalesce(z.topic, (SELECT max(topic
       LEFT JOIN (SELECT conv_id, turn, arg_max(topic, (s, topic)) AS topic FROM r WHERE s > 0 GROUP BY ALL) z USING (conv_id, turn)),
 s0 AS (SELECT t.conv_id, t.turn, t.topic, w.doc_id, w.block_id, round(sum(qw.w * w.w), 9) AS s
        FROM t JOIN qw USING (conv_id, turn) JOIN w ON w.topic = t.topic AND w.term = qw.term GROUP BY ALL),
-low AS (SELECT topic, doc_id, block_id FROM (SELECT DISTINCT topic, doc_id, block_id FROM w)
+low AS (SELECT topic, doc_id, block_id FROM (SELECT DISTINCT topic, doc_id, block_id FROM tf)
         QUALIFY row_number() OVER (PARTITION BY topic ORDER BY doc_id, block_id) <= 3),
 s AS (SELECT conv_id, turn, topic, doc_id, block_id, max(s) AS s FROM
       (SELECT * FROM s0 UNION ALL SELECT conv_id, turn, t.topic, doc_id, block_id, 0.0 FROM t JOIN low USING (topic)) GROUP BY ALL),
@@ -1264,3 +1264,27 @@ def q_pattern_recall(spark, sf):
     h = network.score_network(li, ins, NET_LAYERS[:1], out_prefix="h")
     return h.select("l_orderkey", "l_linenumber",
                     A.threshold(F.array("h0", "h1", "h2"), 0.5).alias("pattern"))
+
+
+# --------------------------------------------------------------------------
+# stored indexes and models
+# --------------------------------------------------------------------------
+
+from tessera.sources.vector_index import VectorIndex  # noqa: E402
+
+
+@register("stored_index", """
+WITH x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+d AS (SELECT a.vec_id AS qid, b.vec_id AS bid, a.label AS topic, sum((a.v - b.v) * (a.v - b.v)) AS dist
+      FROM x a JOIN x b ON a.label = b.label AND a.i = b.i AND a.vec_id <> b.vec_id GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, bid) AS rank FROM d)
+SELECT qid, topic, CAST(rank AS INTEGER) AS rank, bid, round(dist, 6) AS dist FROM r WHERE rank <= 3
+""")
+def q_stored_index(spark, sf):
+    """An index of one part of the vectors, the others appended, searched
+    by all in their own cell (label)."""
+    emb = T(spark, sf, "embeddings").select("vec_id", F.col("label").alias("topic"), F.col("embedding").cast("array<double>").alias("vec"))
+    path = scratch_path(spark, "vector-index")
+    VectorIndex.create(emb.where("vec_id % 3 <> 0"), path).append(emb.where("vec_id % 3 = 0"))
+    nn = VectorIndex(spark, path).search(emb.withColumnRenamed("vec_id", "qid"), 3, exclude_self=True)
+    return nn.withColumn("dist", r6(F.col("dist")))

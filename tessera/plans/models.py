@@ -204,27 +204,39 @@ def fit_text_vectors(df: DataFrame, text: str, num_features: int = 1 << 18) -> P
     ]).fit(df)
 
 
-def term_weights(df: DataFrame, id_col: str, text: str, salt: int = 16, n: int | None = None,
+#: a term is common if it has more than this share of all (text, term) rows:
+#: at most so many terms are, and their weights are broadcast
+COMMON_TERMS = 10_000
+
+
+def term_weights(df: DataFrame, id_col: str | Sequence[str], text: str, n: int | None = None,
                  keep_idf: bool = False) -> DataFrame:
     """M14 with plain terms: ``(id, term, tf, weight)``, the weights of
     ``fit_text_vectors`` (count times ``ln((texts + 1) / (texts with the term +
     1))``, unit length a text) before hashing, so without collisions. Texts
     without terms give no rows; a length of zero gives zero weights.
 
-    A term may be in most texts: the join with the vocabulary is salted by text.
-    ``n``: the number of texts, if it is known; ``keep_idf``: also ``idf``."""
-    tok = df.select(id_col, F.explode(F.split(F.lower(text), r"[^\p{L}\p{N}_]+")).alias("term")).where("term <> ''")
-    tf = tok.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    A term may be in most texts: the common ones (``COMMON_TERMS`` at most) meet
+    their counts by a broadcast, the others by an equi-join. ``n``: the number
+    of texts, if it is known; ``keep_idf``: also ``idf``. Several ``id_col``
+    name a text together."""
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    tok = df.select(*ids, F.explode(F.split(F.lower(text), r"[^\p{L}\p{N}_]+")).alias("term")).where("term <> ''")
+    tf = tok.groupBy(*ids, "term").agg(F.count(F.lit(1)).alias("tf")).checkpoint(eager=True)
     n = df.count() if n is None else n
-    vocabulary = tf.groupBy("term").agg(F.count(F.lit(1)).alias("_df")).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    w = tf.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salt)).cast("int")).join(vocabulary, ["term", "_salt"])
-    w = w.withColumn("idf", F.log((F.lit(float(n)) + 1) / (F.col("_df") + 1.0))).withColumn("_w", F.col("tf") * F.col("idf"))
+    vocabulary = tf.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+    vocabulary = vocabulary.withColumn("idf", F.log((F.lit(float(n)) + 1) / (F.col("_df") + 1.0)))
+    least = tf.count() / COMMON_TERMS
+    common = F.broadcast(vocabulary.where(F.col("_df") > least).select("term", F.col("idf").alias("_common")))
+    w = tf.join(common, "term", "left")
+    rare = w.where("_common is null").drop("_common").join(vocabulary.where(F.col("_df") <= least).select("term", "idf"), "term")
+    w = w.where("_common is not null").withColumnRenamed("_common", "idf").unionByName(rare)
+    w = w.withColumn("_w", F.col("tf") * F.col("idf"))
     # a window holds the distinct terms of one text
-    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
+    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*ids)))
     w = w.withColumn("_len", length)
     weight = F.when(F.col("_len") > 0, F.col("_w") / F.col("_len")).otherwise(0.0)
-    return w.select(id_col, "term", "tf", *(["idf"] if keep_idf else []), weight.alias("weight"))
+    return w.select(*ids, "term", "tf", *(["idf"] if keep_idf else []), weight.alias("weight"))
 
 
 def embed_with(df: DataFrame, text: str, embed, out: str = "vec") -> DataFrame:
