@@ -39,19 +39,19 @@ def hash_unit(id_col: str | Column, seed: int = 42) -> Column:
     return F.conv(F.substring(seeded_hash(id_col, seed), 1, 8), 16, 10).cast("bigint")
 
 
-def training_guard(df: DataFrame, label: str, min_rows: int = 10) -> DataFrame:
-    """One status row from one aggregation (not four actions)."""
+def training_guard(df: DataFrame, label: str, min_rows: int = 10, classes: Sequence = ()) -> DataFrame:
+    """One status row from one aggregation (not four actions). With
+    ``classes``, each of them must have a row ("empty_class")."""
     agg = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct(F.col(label)).alias("n_classes"),
+        *[F.count(F.when(F.col(label) == c, 1)).alias(f"_n{i}") for i, c in enumerate(classes)],
     )
-    status = (
-        F.when(F.col("n_rows") == 0, "empty")
-        .when(F.col("n_rows") < min_rows, "too_few_rows")
-        .when(F.col("n_classes") < 2, "one_class")
-        .otherwise("ok")
-    )
-    return agg.withColumn("status", status)
+    status = F.when(F.col("n_rows") == 0, "empty").when(F.col("n_rows") < min_rows, "too_few_rows")
+    if classes:
+        status = status.when(F.least(*[F.col(f"_n{i}") for i in range(len(classes))], F.lit(1)) == 0, "empty_class")
+    status = status.when(F.col("n_classes") < 2, "one_class").otherwise("ok")
+    return agg.withColumn("status", status).select("n_rows", "n_classes", "status")
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -201,18 +201,19 @@ def approx_classes(df: DataFrame, label: str) -> DataFrame:
 
 
 def score_routed(df: DataFrame, name_col: str, models: dict, out: str = "pred") -> DataFrame:
-    """Pick the scoring model by name per row; unknown names (and rows
-    a model cannot score) get 0. Each model scores only its own subset, the
-    subsets are unioned back (no row is scored twice)."""
-    parts = []
-    known = list(models)
-    for name, score in models.items():
-        sub = df.where(F.col(name_col) == name)
-        scored = score(sub)
-        parts.append(scored.withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(0))).select(
-            *df.columns, out))
-    rest = df.where(~F.col(name_col).isin(known) | F.col(name_col).isNull()).withColumn(out, F.lit(0))
-    res = rest
-    for p in parts:
-        res = res.unionByName(p)
+    """Pick the scoring model by name per row; rows of unknown names get 0,
+    and so do rows that a model can't score (NULL or NaN). A model is a column of scores, and all
+    of them are one projection, evaluated for their own rows only; or a function
+    of a DataFrame, which scores its own rows in a scan of its own."""
+    columns = {n: m for n, m in models.items() if isinstance(m, Column)}
+    plans = {n: m for n, m in models.items() if not isinstance(m, Column)}
+    score = F.lit(None).cast("double")
+    for name, column in columns.items():
+        score = F.when(F.col(name_col) == name, column.cast("double")).otherwise(score)
+    named = F.coalesce(F.col(name_col).isin(list(plans)), F.lit(False)) if plans else F.lit(False)
+    clean = F.when(F.isnan(score), 0).otherwise(F.coalesce(score.cast("int"), F.lit(0)))
+    res = df.where(~named).withColumn(out, clean)
+    for name, plan in plans.items():
+        scored = plan(df.where(F.col(name_col) == name))
+        res = res.unionByName(scored.withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(0))).select(*df.columns, out))
     return res

@@ -1239,7 +1239,7 @@ def q_score_routed(spark, sf):
     models_ = {
         "A": lambda d: network.score_network(d, ins, NET_LAYERS).withColumn(
             "pred", F.when(F.col("out0") > 0.5, 1).otherwise(0)),
-        "N": lambda d: d.withColumn("pred", F.when(F.col("l_discount") > 0.05, 1).otherwise(0)),
+        "N": F.when(F.col("l_discount") > 0.05, 1).otherwise(0),
     }
     s = prep.score_routed(li, "l_returnflag", models_)
     return s.select("l_orderkey", "l_linenumber", "pred",
@@ -1288,3 +1288,46 @@ def q_stored_index(spark, sf):
     VectorIndex.create(emb.where("vec_id % 3 <> 0"), path).append(emb.where("vec_id % 3 = 0"))
     nn = VectorIndex(spark, path).search(emb.withColumnRenamed("vec_id", "qid"), 3, exclude_self=True)
     return nn.withColumn("dist", r6(F.col("dist")))
+
+
+_ALL_WALKS = ",\n".join(_walk_sql(p, 5).replace("FROM s WHERE is_test", "FROM s") for p in "ab")
+
+
+@register("stream_score_models", _TRAIN_SQL + ",\n" + ",\n".join([_tree_sql("a", "quality", 5), _tree_sql("b", "toxic", 5), _ALL_WALKS]) + """
+SELECT s.doc_id, CAST(a.class AS DOUBLE) AS pred_quality, CAST(b.class AS DOUBLE) AS pred_toxic, CAST(1 AS BIGINT) AS model_version
+FROM s JOIN aleaf a USING (doc_id) JOIN bleaf b USING (doc_id)
+""")
+def q_stream_score_models(spark, sf):
+    """K2: two saved trees, loaded from the registry, score the labelled
+    documents as a stream."""
+    from tessera.plans.registry import ModelRegistry
+
+    train, _ = _split_docs(spark, sf)
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    train = train.checkpoint(eager=True)
+    registry.publish({lab: models.fit_tree(train, DOC_FEATURES, lab, max_depth=5) for lab in ("quality", "toxic")})
+    folder = scratch_path(spark, "live-rows")  # the rows to score, as files that arrive
+    rows = _doc_features(spark, sf).select("doc_id", *DOC_FEATURES)
+    rows.repartition(4, "doc_id").write.parquet(folder)
+    live = streams.read_stream(spark, folder, rows.schema, max_files=2)
+    return streams.score_with_registry(live, registry, scratch_path(spark, "scored"), ["doc_id"])
+
+
+@register("stream_answers", f"""
+WITH q AS (SELECT conv_id, turn, {_KEY_SQL} AS key FROM conversations WHERE role = 'user'),
+a AS (SELECT conv_id, turn - 1 AS turn, text AS answer FROM conversations WHERE role = 'assistant' AND length(trim(text, {_WS})) >= 20),
+c AS (SELECT key, min(answer) AS answer FROM q JOIN a USING (conv_id, turn) GROUP BY key)
+SELECT conv_id, turn, q.key, coalesce(c.answer, 'answer to: ' || q.key) AS answer, CASE WHEN c.answer IS NULL THEN 'new' ELSE 'cache' END AS source
+FROM q LEFT JOIN c ON q.key = c.key
+""")
+def q_stream_answers(spark, sf):
+    """K4: live questions against the cache that earlier conversations left;
+    each key that isn't there is answered once."""
+    conv = T(spark, sf, "conversations")
+    cache = scratch_path(spark, "answers")
+    earlier = text.answer_cache(conv).groupBy("key").agg(F.min("answer").alias("answer"))
+    streams.write_epoch(earlier, cache, "earlier", 0)
+    s = streams.read_stream(spark, sf, conv.schema, glob="conversations.parquet")
+    asked = text.question_keys(s.where(F.col("role") == "user")).select("conv_id", "turn", "key")
+    return streams.answer_stream(asked, cache, lambda new: new.withColumn("answer", F.concat(F.lit("answer to: "), "key")),
+                                 scratch_path(spark, "asked"), order=("conv_id", "turn"))

@@ -298,14 +298,17 @@ KINDS = ("tree", "mlp", "knn")
 
 
 def train_all(df: DataFrame, spec: list[dict], id_col: str, test_pct: int = 20,
-              balance: str = "after_split", seed: int = 42) -> dict:
+              balance: str = "after_split", seed: int = 42, save_to: str | None = None) -> dict:
     """M5: per target: guard -> select -> (balance) -> split -> fit -> report.
 
     ``spec`` items: {"name", "kind": one of KINDS, "features", "label", ...}.
     Rows whose label is outside {0, 1} are dropped first (the reference trains
     on 0/1 only and can log -1). ``balance`` is "after_split" (default: copies
     stay in the train side), "before_split" (the reference's order) or None.
-    Returns {name: (model, report DataFrame)} and skips specs that fail the guard."""
+    Returns {name: (model, report DataFrame)} and skips specs that fail the guard
+    (the status takes the report's place; a class without rows fails it too).
+    ``save_to``: a folder for each model. ``dropped_rows`` reports the rows that
+    training leaves out."""
     from tessera.operators import metrics, prep
 
     if unknown := {s.get("kind", "tree") for s in spec} - set(KINDS):
@@ -315,7 +318,7 @@ def train_all(df: DataFrame, spec: list[dict], id_col: str, test_pct: int = 20,
         label, feats = s["label"], s["features"]
         prep.require_columns(df, feats + [label, id_col])
         data = df.where(F.col(label).isin(0, 1)).select(id_col, *feats, label)
-        status = prep.training_guard(data, label).first().status
+        status = prep.training_guard(data, label, classes=(0, 1)).first().status
         if status != "ok":
             out[s["name"]] = (None, status)
             continue
@@ -327,14 +330,23 @@ def train_all(df: DataFrame, spec: list[dict], id_col: str, test_pct: int = 20,
         if balance == "after_split":
             train = prep.oversample_even(train, id_col, label, seed)
         if s.get("kind", "tree") == "knn":
-            predicted = knn_predict(train, test, feats, label, id_col, s.get("k", 5))
-            out[s["name"]] = (("knn", s.get("k", 5)), metrics.classification_report(predicted, label, f"pred_{label}"))
-            continue
-        if s.get("kind", "tree") == "mlp":
+            model = KnnModel(train, list(feats), label, id_col, s.get("k", 5))
+        elif s.get("kind", "tree") == "mlp":
             model = fit_mlp(train, feats, label, hidden=s.get("hidden", (16, 8)),
                             max_iter=s.get("max_iter", 500), seed=seed)
         else:
             model = fit_tree(train, feats, label, max_depth=s.get("max_depth", 5))
+        if save_to is not None:
+            save_model(model, f"{save_to}/{s['name']}")
         report = metrics.classification_report(model.transform(test), label, f"pred_{label}")
         out[s["name"]] = (model, report)
     return out
+
+
+def dropped_rows(df: DataFrame, spec: list[dict]) -> DataFrame:
+    """M5: (name, n_rows, n_dropped): rows of ``df``, and those whose label isn't
+    0 or 1, for each item of ``train_all``'s ``spec``; one pass."""
+    kept = [F.count(F.when(F.col(s["label"]).isin(0, 1), 1)).alias(f"_{i}") for i, s in enumerate(spec)]
+    rows = F.array(*[F.struct(F.lit(s["name"]).alias("name"), F.col("n_rows"), (F.col("n_rows") - F.col(f"_{i}")).alias("n_dropped"))
+                     for i, s in enumerate(spec)])
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), *kept).select(F.inline(rows))
