@@ -1331,3 +1331,38 @@ def q_stream_answers(spark, sf):
     asked = text.question_keys(s.where(F.col("role") == "user")).select("conv_id", "turn", "key")
     return streams.answer_stream(asked, cache, lambda new: new.withColumn("answer", F.concat(F.lit("answer to: "), "key")),
                                  scratch_path(spark, "asked"), order=("conv_id", "turn"))
+
+
+from tessera.streaming import event_order  # noqa: E402
+
+ARRIVAL_DELAY = "2 days"
+
+
+def _arriving_events(spark, sf):
+    """The events as files in an order of arrival up to a day late, and a last
+    row of user -1 that moves the watermark over all others."""
+    ev = T(spark, sf, "events").select("event_id", "user_id", "ts").where("user_id is not null and ts is not null")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(86_400))
+    ev = ev.withColumn("_arrived", F.unix_seconds(F.col("ts").cast("timestamp")) + late)
+    lo, hi, last = ev.agg(F.min("_arrived"), F.max("_arrived"), F.max("ts")).first()
+    folder = scratch_path(spark, "arriving-events")
+    part = F.floor((F.col("_arrived") - lo) * 3 / (hi - lo + 1))
+    for i in range(3):
+        ev.where(part == i).drop("_arrived").write.parquet(f"{folder}/part={i}")
+    end = spark.range(1).select(F.lit(-1).cast(ev.schema["event_id"].dataType).alias("event_id"), F.lit(-1).cast(ev.schema["user_id"].dataType).alias("user_id"),
+                                (F.lit(last) + F.expr("INTERVAL 30 DAYS")).cast(ev.schema["ts"].dataType).alias("ts"))
+    end.write.parquet(f"{folder}/part=3")
+    schema = ev.drop("_arrived").schema
+    return spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 2 * spark.sparkContext.defaultParallelism).parquet(folder)
+
+
+@register("stream_throttle_ordered", SQL["throttle"])
+def q_stream_throttle_ordered(spark, sf):
+    s = event_order.throttle_in_order(_arriving_events(spark, sf), "user_id", "ts", "event_id", 24 * 3600, ARRIVAL_DELAY)
+    return streams.run_available(s, "throttle_ordered").where("user_id >= 0").select("event_id", "user_id", "ts")
+
+
+@register("stream_every_nth_ordered", SQL["every_nth"])
+def q_stream_every_nth_ordered(spark, sf):
+    s = event_order.every_nth_in_order(_arriving_events(spark, sf), "user_id", "ts", "event_id", 5, ARRIVAL_DELAY)
+    return streams.run_available(s, "every_nth_ordered").where("user_id >= 0").select("event_id", "user_id", "rn")
