@@ -160,7 +160,9 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
 def mixed_copies(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` as the mix trains them: one row for each copy, in order of
     position, with the input's columns and ``position``. The copy that crosses
-    a source's target is cut after the words taken."""
+    a source's target is taken whole if at least half of its words are within
+    the target, else not at all: texts are never cut. (A document's first copy
+    that has no half inside stays out, as the mix has met the target by then.)"""
     df = without(docs, ["position"])
     counted = df.withColumn("_size", nonspace_count(F.col("text")))
     plan = plan_mix(counted, F.col("_size"), **settings)
@@ -174,14 +176,8 @@ def mixed_copies(docs: DataFrame, **settings) -> DataFrame:
     copies = joined.select(
         *df.columns, "_size", F.col("_plan.taken").alias("_taken"), F.posexplode("_plan.positions").alias("_copy", "position")
     )
-    words = F.least(F.col("_size"), F.col("_taken") - F.col("_copy") * F.col("_size")).cast("int")
-    whole = words >= F.col("_size")
-    pieces = F.regexp_extract_all("text", F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    text = F.when(whole, F.col("text")).otherwise(F.array_join(F.slice(pieces, F.lit(1), words), ""))
-    out = copies.withColumns({"text": text, "_whole": whole})
-    if "n_chars" in df.columns:
-        cut_chars = F.when(F.col("_whole"), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-        out = out.withColumn("n_chars", cut_chars)
+    words = F.least(F.col("_size"), F.col("_taken") - F.col("_copy") * F.col("_size"))
+    out = copies.where(2 * words >= F.col("_size"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = out.select(*df.columns, "position").repartitionByRange(n, "position", "doc_id")
     return out.sortWithinPartitions("position", "doc_id")

@@ -281,7 +281,7 @@ def nearest(
     different = asked.groupBy("v").agg(F.min("vec_id").alias("qid")).checkpoint(eager=True)
     salted = different.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     members = asked.withColumn("_salt", salt).join(salted, ["v", "_salt"]).select("qid", F.col("vec_id").alias("query_id"))
-    # an id with several vectors asks with its first one only
+    # an id with several vectors asks with each; a pair of ids has its best score
     n_queries = different.count()
     if not n_queries:
         return empty
@@ -290,7 +290,7 @@ def nearest(
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
     merged = found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1).drop("_r")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    out = members.join(merged, "qid").where("vec_id <> query_id").dropDuplicates(["query_id", "vec_id"])
+    out = members.join(merged, "qid").where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     out = out.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
     return out.select("query_id", "rank", "vec_id", "score")
 

@@ -171,6 +171,12 @@ def test_neighbours_of_odd_rows(spark):
     assert all(r.vec_id != r.query_id for r in few)
 
 
+def test_an_id_with_several_vectors_has_its_best_score(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 3.0]), (1, [2.0, 1.0]), (2, [0.5, 0.5]), (2, [0.0, 9.0])]
+    out = vamana_index.search_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in sorted(out, key=lambda r: r["rank"])] == [(20, 1, 2, 27.0), (20, 2, 1, 3.0)]
+
+
 # ------------------------------------------------------------------ classifiers
 
 
@@ -392,6 +398,15 @@ def test_pipeline_stages(spark):
     assert now.count() > 0
 
 
+def test_near_duplicates_of_shared_ids(spark):
+    """Unlike texts that share an id stay; copies go, under whatever id."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(1, one), (1, two), (2, one), (2, three), (1, one), (3, two + " more"), (None, one), (4, ""), (4, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted([(1, one), (1, two), (2, three), (None, one), (4, ""), (4, None)], key=str)
+
+
 def test_pipeline_of_odd_rows(spark, odd_docs):
     now = odd_docs
     for name, stage in corpus_pipeline.STAGES:
