@@ -10,7 +10,9 @@ returns the columns of ``documents``; the last one returns packed pieces.
   rows given (those that aren't held out); clean texts that mix two languages
   stay.
 * near_duplicates: of each group of linked documents the one with the smallest
-  doc_id stays (one row of it); rows without a doc_id or words stay.
+  doc_id stays (one row of it). Rows are the same document if both doc_id and
+  text are equal, so unlike texts that share an id stay; rows without a doc_id
+  or words stay.
 * mix: one row for each copy that the mix trains, in order of position.
 * pack: pieces with their sequence and offset.
 
@@ -42,10 +44,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    links = partition_join.link_documents(docs)
-    first = links.where("doc_id = component_id").select("doc_id").distinct()
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("_one", one).where("_one = 1")
+    # a document is an id and a text: unlike texts may share an id
+    named = docs.where("doc_id is not null").withColumn("_row", F.xxhash64("doc_id", "text"))
+    links = partition_join.link_documents(named.select(F.col("_row").alias("doc_id"), "text"))
+    links = links.select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    ids = named.select("_row", "doc_id").distinct()
+    first = links.join(ids, "_row").groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("_first")).select("_first._row")
+    one = F.row_number().over(Window.partitionBy("_row").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
+    kept = named.join(first, "_row", "left_semi").withColumn("_one", one).where("_one = 1")
     return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
