@@ -48,6 +48,21 @@ def symbol_index(c, mapping: dict) -> Column:
     return F.element_at(F.create_map(*kv), _c(c))
 
 
+def slice_from(a, start: int, length: int) -> Column:
+    """``length`` elements from position ``start`` (from 1)."""
+    return F.slice(_c(a), start, length)
+
+
+def reversed_array(a) -> Column:
+    """the elements in reverse order."""
+    return F.reverse(_c(a))
+
+
+def push(a, *values) -> Column:
+    """the array with values at its end."""
+    return F.concat(_c(a), F.array(*[v if isinstance(v, Column) else F.lit(v) for v in values]))
+
+
 def check_size(a, n: int) -> Column:
     """fail the task when an array does not have n elements."""
     return F.when(F.size(_c(a)) == n, _c(a)).otherwise(

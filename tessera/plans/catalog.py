@@ -1366,3 +1366,27 @@ def q_stream_throttle_ordered(spark, sf):
 def q_stream_every_nth_ordered(spark, sf):
     s = event_order.every_nth_in_order(_arriving_events(spark, sf), "user_id", "ts", "event_id", 5, ARRIVAL_DELAY)
     return streams.run_available(s, "every_nth_ordered").where("user_id >= 0").select("event_id", "user_id", "rn")
+
+
+# --------------------------------------------------------------------------
+# vector and array functions over whole tables
+# --------------------------------------------------------------------------
+
+from tessera.functions import vectors as VEC  # noqa: E402
+
+
+@register("vector_functions", """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, list_reverse(embedding::DOUBLE[]) AS r FROM embeddings),
+n AS (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm, list_sum(list_transform(list_zip(v, r), lambda p: p[1] * p[2])) AS d FROM e)
+SELECT vec_id, round(norm, 6) AS norm, round(d, 6) AS dot, round(list_sum(list_transform(list_zip(v, r), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 6) AS l2sq,
+       round(CASE WHEN norm > 0 THEN 1.0 - d / (norm * norm) ELSE 1.0 END, 6) AS cosine_distance,
+       list_transform(v[2:4], lambda x: round(x, 6)) AS part, round(r[1], 6) AS last, CAST(len(v) + 2 AS INTEGER) AS n_pushed FROM n
+""")
+def q_vector_functions(spark, sf):
+    e = T(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    e = e.withColumn("r", A.reversed_array("v"))
+    return e.select(
+        "vec_id", r6(VEC.l2_norm("v")).alias("norm"), r6(VEC.dot("v", "r")).alias("dot"), r6(VEC.l2sq("v", "r")).alias("l2sq"),
+        r6(VEC.cosine_distance("v", "r")).alias("cosine_distance"),
+        F.transform(A.slice_from("v", 2, 3), lambda x: r6(x)).alias("part"), r6(F.get("r", F.lit(0))).alias("last"),
+        F.size(A.push("v", 1.0, 2.0)).alias("n_pushed"))

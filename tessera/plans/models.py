@@ -10,9 +10,10 @@ aggregate row; it is saved and loaded inside the pipeline.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, MultilayerPerceptronClassifier
 from pyspark.ml.feature import (
@@ -243,9 +244,6 @@ def embed_with(df: DataFrame, text: str, embed, out: str = "vec") -> DataFrame:
     """A caller's embedding function, applied as an iterator pandas UDF
     (Arrow batches; the model is loaded once per task by the caller's code).
     ``embed(pandas.Series[str]) -> pandas.Series[list[float]]``."""
-    from collections.abc import Iterator
-
-    import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("array<float>")
