@@ -1390,3 +1390,40 @@ def q_vector_functions(spark, sf):
         r6(VEC.cosine_distance("v", "r")).alias("cosine_distance"),
         F.transform(A.slice_from("v", 2, 3), lambda x: r6(x)).alias("part"), r6(F.get("r", F.lit(0))).alias("last"),
         F.size(A.push("v", 1.0, 2.0)).alias("n_pushed"))
+
+
+# --------------------------------------------------------------------------
+# perceptron by whole-table steps
+# --------------------------------------------------------------------------
+
+from tessera.plans import perceptron  # noqa: E402
+
+_STEPS, _RATE = 3, 2.0
+
+
+def _perceptron_sql(steps: int, rate: float) -> str:
+    """Gradient steps of one layer with two inputs and two outputs from zeros."""
+    out = ["""WITH x AS (SELECT l_quantity / 50 AS a, l_discount * 10 AS b, CAST(l_returnflag = 'R' AS INTEGER) AS t0,
+                  CAST(l_linestatus = 'O' AS INTEGER) AS t1 FROM lineitem),
+w0 AS (SELECT 0.0::DOUBLE AS a0, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS c0, 0.0::DOUBLE AS a1, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS c1)"""]
+    for s in range(steps + 1):
+        out.append(f"o{s} AS (SELECT x.*, w.*, t0 - 1 / (1 + exp(-(a * a0 + b * b0 + c0))) AS e0, t1 - 1 / (1 + exp(-(a * a1 + b * b1 + c1))) AS e1 FROM x, w{s} w)")
+        moved = ", ".join(f"max({v}{k}) + {rate} * avg(e{k}{m}) AS {v}{k}" for k in (0, 1) for v, m in (("a", " * a"), ("b", " * b"), ("c", "")))
+        out.append(f"w{s + 1} AS MATERIALIZED (SELECT {moved} FROM o{s})")
+    costs = " UNION ALL ".join(f"SELECT 'cost' AS name, {s} AS i, round(avg((e0 * e0 + e1 * e1) / 2), 6) AS value FROM o{s}" for s in range(steps + 1))
+    names = [f"{v}{k}" for k in (0, 1) for v in "abc"]
+    weights = " UNION ALL ".join(f"SELECT 'weight' AS name, {i} AS i, round({c}, 6) AS value FROM w{steps}" for i, c in enumerate(names))
+    return ",\n".join(out) + f"\n{costs} UNION ALL {weights}"
+
+
+@register("perceptron_steps", _perceptron_sql(_STEPS, _RATE))
+def q_perceptron_steps(spark, sf):
+    li = T(spark, sf, "lineitem").select(
+        (F.col("l_quantity") / 50).alias("a"), (F.col("l_discount") * 10).alias("b"),
+        (F.col("l_returnflag") == "R").cast("int").alias("t0"), (F.col("l_linestatus") == "O").cast("int").alias("t1"))
+    zeros = [(perceptron.np.zeros((2, 2)), perceptron.np.zeros(2))]
+    m = perceptron.fit_perceptron(li, ["a", "b"], ["t0", "t1"], rate=_RATE, iterations=_STEPS, error=0.0, start=zeros)
+    (w, bias), = m.layers
+    values = [("weight", i, float(v)) for i, v in enumerate([w[0, 0], w[0, 1], bias[0], w[1, 0], w[1, 1], bias[1]])]
+    values += [("cost", i, float(c)) for i, c in enumerate(m.costs)]
+    return spark.createDataFrame(values, "name string, i int, value double").withColumn("value", r6(F.col("value")))
