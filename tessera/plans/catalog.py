@@ -976,7 +976,8 @@ def q_lsh_neighbours(spark, sf):
 
 @register("vectorize_text")
 def q_vectorize_text(spark, sf):
-    d = T(spark, sf, "documents").select("doc_id", "text")
+    # dealt once: a file may be one part, and both the fit and the scoring cut texts into words
+    d = T(spark, sf, "documents").select("doc_id", "text").repartition("doc_id").checkpoint(eager=True)
     m = models.fit_text_vectors(d, "text", 1 << 16)
     return m.transform(d).select("doc_id", F.size(F.array_distinct("_tok")).alias("n_terms"), "vector")
 
@@ -991,7 +992,7 @@ l AS (SELECT doc_id, sqrt(sum(w * w)) AS len FROM w GROUP BY doc_id)
 SELECT doc_id, term, tf, round(CASE WHEN len > 0 THEN w / len ELSE 0.0 END, 6) AS weight FROM w JOIN l USING (doc_id)
 """)
 def q_text_weights(spark, sf):
-    w = models.term_weights(T(spark, sf, "documents"), "doc_id", "text")
+    w = models.term_weights(T(spark, sf, "documents").select("doc_id", "text").repartition("doc_id"), "doc_id", "text")
     return w.select("doc_id", "term", "tf", r6(F.col("weight")).alias("weight"))
 
 

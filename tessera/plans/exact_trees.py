@@ -2,8 +2,8 @@
 
 Equal rows are one row with a count. For each level Spark counts (tree, node,
 feature, value, class), runs the class counts and the sums of their squares
-along each feature's values (``keyed_scan``: a feature of a large node is spread
-over many tasks), and takes the best threshold of every node by one aggregate.
+along each feature's values (inside ``RANGES`` ranges of values, so that a feature
+of a large node is spread over as many tasks), and takes the best threshold of every node by one aggregate.
 There are no bins and no candidates in the driver: every midpoint between two
 consecutive values is tried, whatever their number. Rows then go to their child
 by a join with the level's splits.
@@ -22,17 +22,18 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.ordered import keyed_scan
 from tessera.operators.prep import require_columns
 
 #: nodes are numbered as in a heap (children 2 i and 2 i + 1), in 64 bits
 MOST_LEVELS = 62
 #: splits (a few dozen bytes each) that may be broadcast; beyond, joins shuffle
 BROADCAST_ROWS = 100_000
+#: ranges of values that a feature's running sums are cut into
+RANGES = 64
 _EXACT = "decimal(38,0)"  # squares of row counts
 _NAN = float("nan")
 
@@ -42,21 +43,45 @@ def _values(features: Sequence[str]) -> list[Column]:
     return [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(_NAN)) + F.lit(0.0) for c in features]
 
 
+def _range_of(value: Column, edges: list[float]) -> Column:
+    """How many of the edges lie below a value."""
+    return F.size(F.filter(F.array(*map(F.lit, edges)), lambda b: b < value)) if edges else F.lit(0)
+
+
+def _running(rows: DataFrame, keys: list[str], sums: list[str], first: bool = False) -> DataFrame:
+    """``rows`` with ``run_<c>`` (sum up to the row, along ``v``) and ``tot_<c>``
+    for each of ``keys``. Runs are made inside the value ranges ``g`` and begin
+    with the sums of the ranges before (at most ``RANGES`` rows of a key), so that
+    no task holds all values of a key. ``first``: also ``v_next``."""
+    inside = Window.partitionBy(*keys, "g").orderBy("v")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumns({f"run_{c}": F.sum(c).over(upto) for c in sums} | ({"v_next": F.lead("v").over(inside)} if first else {}))
+    ranges = rows.groupBy(*keys, "g").agg(*[F.sum(c).alias(f"_s_{c}") for c in sums], F.min("v").alias("_low"))
+    along = Window.partitionBy(*keys).orderBy("g")
+    before, every = along.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
+    ranges = ranges.withColumns({f"_b_{c}": F.sum(f"_s_{c}").over(before) for c in sums} | {f"tot_{c}": F.sum(f"_s_{c}").over(every) for c in sums}
+                                | {"_next": F.lead("_low").over(along)}).drop("_low", *[f"_s_{c}" for c in sums])
+    out = local.join(ranges, [*keys, "g"])
+    out = out.withColumns({f"run_{c}": F.col(f"run_{c}") + F.coalesce(f"_b_{c}", F.lit(0)) for c in sums})
+    if first:
+        out = out.withColumn("v_next", F.coalesce("v_next", "_next"))
+    return out.drop("_next", *[f"_b_{c}" for c in sums])
+
+
 def _best_splits(rows: DataFrame, n_features: int) -> DataFrame:
-    """(tree, node, feature, threshold): of ``rows(tree, node, x, k, n)``, for
+    """(tree, node, feature, threshold): of ``rows(tree, node, x, g, k, n)``, for
     each node with several classes and different rows."""
-    each = F.array(*[F.struct(F.lit(i).alias("f"), F.col("x")[i].alias("v")) for i in range(n_features)])
-    counts = rows.select("tree", "node", F.inline(each), "k", "n").groupBy("tree", "node", "f", "v", "k").agg(F.sum("n").alias("n"))
-    by_class = keyed_scan(counts, ["tree", "node", "f", "k"], ["v"], sums=["n"], totals=True)
+    each = F.array(*[F.struct(F.lit(i).alias("f"), F.col("x")[i].alias("v"), F.col("g")[i].alias("g")) for i in range(n_features)])
+    counts = rows.select("tree", "node", F.inline(each), "k", "n").groupBy("tree", "node", "f", "g", "v", "k").agg(F.sum("n").alias("n"))
+    by_class = _running(counts, ["tree", "node", "f", "k"], ["n"])
     square = lambda c: c.cast(_EXACT) * c.cast(_EXACT)
     run, rest = F.col("run_n"), F.col("tot_n") - F.col("run_n")
-    by_value = by_class.groupBy("tree", "node", "f", "v").agg(
+    by_value = by_class.groupBy("tree", "node", "f", "g", "v").agg(
         F.sum("n").alias("n"),
         F.sum((square(run) - square(run - F.col("n"))).cast(_EXACT)).cast(_EXACT).alias("l"),
         F.sum((square(rest + F.col("n")) - square(rest)).cast(_EXACT)).cast(_EXACT).alias("r"),
     )
-    s = keyed_scan(by_value, ["tree", "node", "f"], ["v"], sums=["n", "l", "r"], totals=True)
-    after = s.select("tree", "node", "f", (F.col("rn") - 1).alias("rn"), F.col("v").alias("v_next"))
+    s = _running(by_value, ["tree", "node", "f"], ["n", "l", "r"], first=True)
     nl, nr = F.col("run_n").cast("double"), (F.col("tot_n") - F.col("run_n")).cast("double")
     gl = 1.0 - F.col("run_l").cast("double") / (nl * nl)
     gr = 1.0 - (F.col("tot_r") - F.col("run_r")).cast("double") / (nr * nr)
@@ -65,7 +90,7 @@ def _best_splits(rows: DataFrame, n_features: int) -> DataFrame:
     threshold = F.when(F.isnan("v_next") | (middle >= F.col("v_next")), F.col("v")).otherwise(middle)
     # all changes on the right add up to the squares of the node's class counts
     impure = F.col("tot_r") < square(F.col("tot_n"))
-    tried = s.where(impure).join(after, ["tree", "node", "f", "rn"]).select(
+    tried = s.where(impure & F.col("v_next").isNotNull()).select(
         "tree", "node", F.struct(((nl * gl + nr * gr) / F.col("tot_n")).alias("impurity"), F.col("f").alias("feature"), threshold.alias("threshold")).alias("b")
     )
     return tried.groupBy("tree", "node").agg(F.min("b").alias("b")).select("tree", "node", "b.feature", "b.threshold")
@@ -156,8 +181,12 @@ def grow_trees(df: DataFrame, features: Sequence[str], labels: Sequence[str], ma
     each = F.array(*[F.struct(F.lit(i).alias("tree"), F.col(f"`{c}`").cast(*kinds).alias("k")) for i, c in enumerate(labels)])
     # classes of one tree, and both trees' rows, in one table
     rows = df.select(F.array(*_values(features)).alias("x"), F.inline(each)).where("k is not null")
-    rows = rows.groupBy("tree", "x", "k").agg(F.count(F.lit(1)).alias("n")).withColumn("node", F.lit(1).cast("long"))
-    rows = rows.checkpoint(eager=True)
+    rows = rows.groupBy("tree", "x", "k").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    # ranges of values with about as many rows each: where they are cut doesn't change a split
+    cuts = [F.percentile_approx(F.col("x")[i], [j / RANGES for j in range(1, RANGES)], 10 * RANGES).alias(f"c{i}") for i in range(len(features))]
+    edges = [sorted({v for v in c or () if v == v}) for c in rows.agg(*cuts).first()]
+    place = [_range_of(F.col("x")[i], e) for i, e in enumerate(edges)]
+    rows = rows.withColumns({"g": F.array(*place), "node": F.lit(1).cast("long")}).checkpoint(eager=True)
     levels, depth, n_splits = [], 0, 1
     while n_splits:
         counts = rows.groupBy("tree", "node", "k").agg(F.sum("n").alias("n")).select("tree", F.col("node").alias("id"), "k", "n")
@@ -173,7 +202,7 @@ def grow_trees(df: DataFrame, features: Sequence[str], labels: Sequence[str], ma
         levels.append((counts, depth, splits))
         if n_splits:
             right = (~(F.get("x", F.col("feature")) <= F.col("threshold"))).cast("long")
-            rows = rows.join(splits, ["tree", "node"]).select("tree", "x", "k", "n", (F.col("node") * 2 + right).alias("node")).checkpoint(eager=True)
+            rows = rows.join(splits, ["tree", "node"]).select("tree", "x", "g", "k", "n", (F.col("node") * 2 + right).alias("node")).checkpoint(eager=True)
         depth += 1
     out = None
     for counts, depth, splits in levels:
