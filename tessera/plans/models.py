@@ -296,7 +296,8 @@ KINDS = ("tree", "mlp", "knn")
 
 
 def train_all(df: DataFrame, spec: list[dict], id_col: str, test_pct: int = 20,
-              balance: str = "after_split", seed: int = 42, save_to: str | None = None) -> dict:
+              balance: str = "after_split", seed: int = 42, save_to: str | None = None,
+              as_models: bool = False) -> dict:
     """M5: per target: guard -> select -> (balance) -> split -> fit -> report.
 
     ``spec`` items: {"name", "kind": one of KINDS, "features", "label", ...}.
@@ -305,7 +306,9 @@ def train_all(df: DataFrame, spec: list[dict], id_col: str, test_pct: int = 20,
     stay in the train side), "before_split" (the reference's order) or None.
     Returns {name: (model, report DataFrame)} and skips specs that fail the guard
     (the status takes the report's place; a class without rows fails it too).
-    ``save_to``: a folder for each model. ``dropped_rows`` reports the rows that
+    ``save_to``: a folder for each model. A k-NN item's model is ``("knn", k)``,
+    as it learns nothing; with ``save_to`` or ``as_models``, a ``KnnModel`` that
+    holds its training rows. ``dropped_rows`` reports the rows that
     training leaves out."""
     from tessera.operators import metrics, prep
 
@@ -337,6 +340,8 @@ def train_all(df: DataFrame, spec: list[dict], id_col: str, test_pct: int = 20,
         if save_to is not None:
             save_model(model, f"{save_to}/{s['name']}")
         report = metrics.classification_report(model.transform(test), label, f"pred_{label}")
+        if isinstance(model, KnnModel) and save_to is None and not as_models:
+            model = ("knn", model.k)
         out[s["name"]] = (model, report)
     return out
 

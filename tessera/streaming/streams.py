@@ -179,7 +179,7 @@ def retrain_job(stream: DataFrame, table_path: str, on_batch: Callable[[DataFram
         if fresh < every_rows and not late:
             return
         rows = table.drop("stream", "epoch")
-        trained = models.train_all(rows, spec, id_col)
+        trained = models.train_all(rows, spec, id_col, as_models=True)
         dropped = {r["name"]: [r.n_rows, r.n_dropped] for r in models.dropped_rows(rows, spec).collect()}
         refused = {k: v for k, (m, v) in trained.items() if m is None}
         registry.publish({k: m for k, (m, _) in trained.items() if m is not None}, epoch, {"rows_and_dropped": dropped, "refused": refused})
