@@ -1062,7 +1062,7 @@ from tessera.streaming import streams  # noqa: E402
 
 def _event_stream(spark, sf):
     schema = T(spark, sf, "events").schema
-    return streams.read_stream(spark, sf, schema, glob="events.parquet")
+    return streams.read_table_stream(spark, sf, "events", schema)
 
 
 @register("stream_capture", """
@@ -1076,7 +1076,7 @@ def q_stream_capture(spark, sf):
 @register("stream_score", SQL["network_score"])
 def q_stream_score(spark, sf):
     li = T(spark, sf, "lineitem")
-    s = streams.read_stream(spark, sf, li.schema, glob="lineitem.parquet").select(
+    s = streams.read_table_stream(spark, sf, "lineitem", li.schema).select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
 
     def score(df):
@@ -1106,7 +1106,7 @@ SELECT DISTINCT {_KEY_SQL} AS key FROM conversations WHERE role = 'user'
 """)
 def q_stream_dedupe(spark, sf):
     conv = T(spark, sf, "conversations")
-    s = streams.read_stream(spark, sf, conv.schema, glob="conversations.parquet")
+    s = streams.read_table_stream(spark, sf, "conversations", conv.schema)
     q = text.question_keys(s.where(F.col("role") == "user")).select(
         "key", F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("asked_at"))
     out = streams.run_available(streams.dedupe_questions(q, "key", "asked_at", "1 hour"), "dedupe")
@@ -1328,7 +1328,7 @@ def q_stream_answers(spark, sf):
     cache = scratch_path(spark, "answers")
     earlier = text.answer_cache(conv).groupBy("key").agg(F.min("answer").alias("answer"))
     streams.write_epoch(earlier, cache, "earlier", 0)
-    s = streams.read_stream(spark, sf, conv.schema, glob="conversations.parquet")
+    s = streams.read_table_stream(spark, sf, "conversations", conv.schema)
     asked = text.question_keys(s.where(F.col("role") == "user")).select("conv_id", "turn", "key")
     return streams.answer_stream(asked, cache, lambda new: new.withColumn("answer", F.concat(F.lit("answer to: "), "key")),
                                  scratch_path(spark, "asked"), order=("conv_id", "turn"))

@@ -28,7 +28,8 @@ from tessera.sources.tables import scratch_path
 
 def read_stream(spark: SparkSession, folder: str, schema, glob: str | None = None,
                 max_files: int | None = None) -> DataFrame:
-    """File stream over a folder (optionally only files matching ``glob``)."""
+    """File stream over a folder (optionally only files matching ``glob``; the
+    names of folders aren't matched with it: see ``read_table_stream``)."""
     r = spark.readStream.schema(schema)
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -37,6 +38,13 @@ def read_stream(spark: SparkSession, folder: str, schema, glob: str | None = Non
     return r.parquet(folder)
 
 
+def read_table_stream(spark: SparkSession, sf: str, name: str, schema) -> DataFrame:
+    """File stream over the table ``name`` of a folder: one file, or a folder of
+    files. A stream's own path must be a folder unless it is a pattern, so the
+    last letter is written as one."""
+    return read_stream(spark, f"{sf}/{name}.parque[t]", schema)
+
+
 def run_available(df: DataFrame, name: str, out: str | None = None,
                   foreach_batch: Callable | None = None) -> DataFrame:
     """Run a streaming DataFrame over everything available, append to a
@@ -237,4 +245,6 @@ def answer_stream(questions: DataFrame, cache_path: str, answer: Callable[[DataF
         batch.unpersist()
 
     run_available(questions, name, out=out, foreach_batch=respond)
-    return questions.sparkSession.read.parquet(f"{out}/asked").drop("stream", "epoch")
+    fields = [*[f for f in questions.schema.fields if f.name == key], *[f for f in questions.schema.fields if f.name != key]]
+    asked = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    return read_epochs(questions.sparkSession, f"{out}/asked", f"{asked}, answer string, source string").drop("stream", "epoch")
