@@ -65,10 +65,19 @@ def score_network(df: DataFrame, inputs: Sequence[Column], layers: Sequence[dict
     return df.select("*", *[a.alias(f"{out_prefix}{i}") for i, a in enumerate(acts)])
 
 
-def weighted_sum(conns: DataFrame, acts: DataFrame, gain: str | None = None) -> DataFrame:
+def weighted_sum(conns: DataFrame, acts: DataFrame, gain: str | None = None, max_broadcast: int = 100_000) -> DataFrame:
     """``acts(row_id, node, value)`` x ``conns(from, to, weight)`` ->
-    ``(row_id, node, value)`` input sums per target node."""
-    j = acts.join(conns, acts["node"] == conns["from"])
+    ``(row_id, node, value)`` input sums per target node. A node may have a
+    value in every row, so rows aren't dealt by it: connections are broadcast
+    up to a number of them, beyond it each node's rows and connections are
+    dealt to several tasks by the row."""
+    if conns.limit(max_broadcast + 1).count() <= max_broadcast:
+        j = acts.join(F.broadcast(conns), acts["node"] == conns["from"])
+    else:
+        n = int(acts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = acts.withColumn("_part", F.pmod(F.xxhash64("row_id"), F.lit(n)))
+        links = conns.withColumn("_part", F.explode(F.expr(f"sequence(0L, {n - 1}L)")))
+        j = rows.join(links, (rows["node"] == links["from"]) & (rows["_part"] == links["_part"]))
     term = F.col("value") * F.col("weight")
     if gain:
         term = term * F.col(gain)
