@@ -11,11 +11,20 @@ memory doesn't depend on the size of either side.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: a block has at least ``BLOCK`` rows; there are about ``BLOCKS`` until one of
+#: them has ``BLOCK_VALUES`` numbers (16 MB), so that a tile's memory is bounded
+#: and rows are copied ``BLOCKS`` times, or once for each full block
+BLOCK, BLOCKS, BLOCK_VALUES = 2048, 8, 1 << 21
+
 
 def centroids(df: DataFrame, key: str, vec: str, out: str = "centroid") -> DataFrame:
     """Mean vector per group (double), a partial aggregate per key."""
@@ -34,7 +43,6 @@ def _tile_fn(k: int, exclude_self: bool, names: list[str]):
     base row within that bound plus the rounding slack is scored again as
     ``sum((q - b)^2)`` and ordered by (distance, base id)."""
     import numpy as np
-    import pyarrow as pa
 
     def matrix(column):
         flat = column.combine_chunks()
@@ -81,7 +89,6 @@ def _sparse_tile_fn(k: int, exclude_self: bool, names: list[str]):
     the base rows of its own indices; distances are rounded to 12 digits, so
     that ties go by base id."""
     import numpy as np
-    import pyarrow as pa
 
     def entries(column):
         flat = column.combine_chunks()
@@ -142,9 +149,14 @@ def nearest_centroid_sparse(df: DataFrame, id_col: str, vec: str, base: DataFram
     return out.withColumn(key, F.coalesce("_best", "_last")).drop("_best", "_last")
 
 
+def block_rows(n: int, width: int | None) -> int:
+    """Rows of a block of ``n`` vectors of ``width`` numbers."""
+    return max(BLOCK, min(-(-n // BLOCKS), BLOCK_VALUES // max(width or 1, 1)))
+
+
 def nearest_k(queries: DataFrame, base: DataFrame, k: int, qid: str = "qid", bid: str = "bid",
               vec: str = "vec", exclude_self: bool = False, on: str | None = None,
-              block: int = 2048, sparse: bool = False) -> DataFrame:
+              block: int | None = None, sparse: bool = False) -> DataFrame:
     """The ``k`` nearest base rows of every query by squared L2,
     ties -> lowest base id. ``queries(qid, vec[, on])``, ``base(bid, vec[, on])``
     with integral ids and vectors of one length. Returns
@@ -153,18 +165,24 @@ def nearest_k(queries: DataFrame, base: DataFrame, k: int, qid: str = "qid", bid
     ``on`` only rows of the same topic meet: blocks are dealt inside a topic, so
     a topic's search costs its own queries times its own rows, and a large
     topic is many tiles. Null vectors and null topics take no part.
-    ``sparse``: vectors are ``struct<indices, values>`` of any width."""
+    ``sparse``: vectors are ``struct<indices, values>`` of any width. ``block``:
+    rows of a block (by default as many as ``block_rows`` says)."""
     group = F.col(on) if on else F.lit(0)
     q = queries.where(F.col(vec).isNotNull() & group.isNotNull()).select(
         F.col(qid).cast("long").alias("_q"), F.col(vec).alias("_qv"), group.alias("_g"))
     b = base.where(F.col(vec).isNotNull() & group.isNotNull()).select(
         F.col(bid).cast("long").alias("_b"), F.col(vec).alias("_bv"), group.alias("_g"))
+    block = BLOCK if sparse and block is None else block
+    n = F.count(F.lit(1))
     if on:  # one row for each topic: how many blocks each side has
-        sizes = q.groupBy("_g").agg(F.ceil(F.count(F.lit(1)) / block).alias("_nq")).join(
-            b.groupBy("_g").agg(F.ceil(F.count(F.lit(1)) / block).alias("_nb")), "_g")
+        rows = lambda v: F.lit(block) if block else F.greatest(F.lit(BLOCK), F.least(F.ceil(n / BLOCKS), F.floor(F.lit(BLOCK_VALUES) / F.greatest(F.max(F.size(v)), F.lit(1)))))
+        sizes = q.groupBy("_g").agg(F.ceil(n / rows("_qv")).alias("_nq")).join(b.groupBy("_g").agg(F.ceil(n / rows("_bv")).alias("_nb")), "_g")
         q, b = q.join(sizes, "_g"), b.join(sizes, "_g")
     else:
-        blocks = {"_nq": max(1, -(-q.count() // block)), "_nb": max(1, -(-b.count() // block))}
+        blocks = {}
+        for side, x, v in (("_nq", q, "_qv"), ("_nb", b, "_bv")):
+            found = x.agg(n.alias("n"), (F.lit(0) if block else F.max(F.size(v))).alias("width")).first()
+            blocks[side] = max(1, -(-found.n // (block or block_rows(found.n, found.width))))
         q, b = (x.withColumns({c: F.lit(n).cast("long") for c, n in blocks.items()}) for x in (q, b))
     q = q.select(
         "_q", "_qv", "_g", F.pmod(F.xxhash64("_q"), F.col("_nq")).alias("_i"),
@@ -182,6 +200,74 @@ def nearest_k(queries: DataFrame, base: DataFrame, k: int, qid: str = "qid", bid
         F.col("_q").alias(qid), *([F.col("_g").alias(on)] if on else []), "rank", F.col("_b").alias(bid), "dist")
 
 
+def _bucket_tile_fn(threshold: float):
+    """Pairs of one tile of a bucket: closer than ``threshold``, and in no
+    common bucket of an earlier table."""
+    import numpy as np
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile = pa.Table.from_batches(list(batches))
+        table, i, j = (x.as_py() for x in (key[0], key[2], key[3]))
+
+        def side(n):
+            own = tile.filter(pc.equal(tile["_p"], n)).combine_chunks()
+            matrix = lambda c: own[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(own.num_rows, -1)
+            return (own["id"].to_numpy(), matrix("x").astype(np.float64), matrix("h")) if own.num_rows else None
+
+        left = side(i)
+        right = left if i == j else side(j)
+        if left is None or right is None:
+            return
+        (l_ids, lv, lh), (r_ids, rv, rh) = left, right
+        r_sq = np.einsum("nd,nd->n", rv, rv)
+        rv_t = np.ascontiguousarray(rv.T)
+        step = max(1, 2_000_000 // len(r_ids))
+        for s in range(0, len(l_ids), step):
+            ids, v, h = l_ids[s:s + step], lv[s:s + step], lh[s:s + step]
+            l_sq = np.einsum("nd,nd->n", v, v)
+            slack = 1e-9 * (l_sq + r_sq.max()) + 1e-12
+            approx = l_sq[:, None] + r_sq[None, :] - 2.0 * (v @ rv.T)
+            r, c = np.nonzero(approx <= (threshold * threshold + slack)[:, None])
+            v_t = np.ascontiguousarray(v.T)
+            keep = ids[r] < r_ids[c] if i == j else ids[r] != r_ids[c]
+            r, c = r[keep], c[keep]
+            for a in range(0, len(r), 100_000):
+                rr, cc = r[a:a + 100_000], c[a:a + 100_000]
+                same = h[rr] == rh[cc]
+                first = same.any(axis=1) & (same.argmax(axis=1) == table)
+                rr, cc = rr[first], cc[first]
+                dist = np.zeros(len(rr))
+                for x, y in zip(v_t, rv_t):  # summed in order, as MLlib does
+                    d = x[rr] - y[cc]
+                    dist += d * d
+                dist = np.sqrt(dist)
+                near = dist < threshold
+                x, y = ids[rr[near]], r_ids[cc[near]]
+                if len(x):
+                    yield pa.RecordBatch.from_pydict({"a": np.minimum(x, y), "b": np.maximum(x, y), "dist": dist[near]})
+
+    return run
+
+
+def bucket_pairs(rows: DataFrame, threshold: float, block: int | None = None) -> DataFrame:
+    """J3 approximate: pairs ``(a, b, dist)``, a < b, of ``rows(id, x, h)`` that
+    share a bucket (a place of ``h``, one bucket in each table) and are closer
+    than ``threshold`` by L2. ``(id, x)`` must be distinct, ids integral.
+
+    A bucket's rows are dealt to blocks, and each pair of blocks is one group,
+    so that a bucket may hold most of the rows; a pair that shares several
+    buckets is found in the first of them only: no pair leaves a task twice and
+    no vector with it."""
+    each = rows.select(F.col("id").cast("long").alias("id"), "x", "h", F.posexplode("h").alias("_t", "_h"))
+    size = F.count(F.lit(1))
+    rows_of = F.lit(block) if block else F.greatest(F.lit(BLOCK), F.least(F.ceil(size / BLOCKS), F.floor(F.lit(BLOCK_VALUES) / F.greatest(F.max(F.size("x")), F.lit(1)))))
+    sizes = each.groupBy("_t", "_h").agg(size.alias("_n"), F.ceil(size / rows_of).alias("_nb")).where("_n > 1").drop("_n")
+    each = each.join(sizes, ["_t", "_h"]).withColumn("_p", F.pmod(F.xxhash64("id"), F.col("_nb")))
+    each = each.withColumn("_o", F.explode(F.expr("sequence(0L, _nb - 1)")))
+    each = each.select("id", "x", "h", "_p", "_t", "_h", F.least("_p", "_o").alias("_i"), F.greatest("_p", "_o").alias("_j"))
+    return each.groupBy("_t", "_h", "_i", "_j").applyInArrow(_bucket_tile_fn(float(threshold)), "a long, b long, dist double")
+
+
 def nearest_centroid(df: DataFrame, id_col: str, vec: str, cents: DataFrame, key: str,
                      out: str = "pred", max_centroids: int = 100_000, keep: tuple = ()) -> DataFrame:
     """Cosine distance ``1 - (a/|a|).(c/|c|)`` to every centroid, the
