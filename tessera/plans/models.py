@@ -186,13 +186,18 @@ def project_pca(model, df: DataFrame, vec: str, out: str = "pc") -> DataFrame:
 def lsh_pairs(df: DataFrame, id_col: str, vec: str, threshold: float, bucket_length: float = 1.0,
               num_tables: int = 4, seed: int = 42) -> DataFrame:
     """S7 (approximate): pairs closer than ``threshold`` by random-projection
-    LSH (a join on hash buckets, not all pairs). Returns (a, b, dist), a < b."""
-    v = df.select(F.col(id_col).alias("id"), array_to_vector(vec).alias("v"))
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
+    LSH (a join on hash buckets, not all pairs). Returns (a, b, dist), a < b.
+    Spark ML's own similarity join carries both vectors of every candidate
+    through a shuffle; here tiles of a bucket meet (``vectors.bucket_pairs``).
+    Rows without a vector take no part, equal rows count once."""
+    from tessera.operators import vectors
+
+    rows = df.select(F.col(id_col).alias("id"), F.col(vec).alias("x")).where("id is not null and x is not null").dropDuplicates()
+    v = rows.withColumn("v", array_to_vector("x"))
+    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="_h", bucketLength=bucket_length,
                                         numHashTables=num_tables, seed=seed).fit(v)
-    j = model.approxSimilarityJoin(v, v, threshold, distCol="dist")
-    return j.select(F.col("datasetA.id").alias("a"), F.col("datasetB.id").alias("b"), "dist").where(
-        F.col("a") < F.col("b"))
+    buckets = F.array(*[vector_to_array(F.col("_h")[t])[0].cast("long") for t in range(num_tables)])
+    return vectors.bucket_pairs(model.transform(v).select("id", "x", buckets.alias("h")), threshold)
 
 
 def fit_text_vectors(df: DataFrame, text: str, num_features: int = 1 << 18) -> PipelineModel:
