@@ -992,7 +992,7 @@ l AS (SELECT doc_id, sqrt(sum(w * w)) AS len FROM w GROUP BY doc_id)
 SELECT doc_id, term, tf, round(CASE WHEN len > 0 THEN w / len ELSE 0.0 END, 6) AS weight FROM w JOIN l USING (doc_id)
 """)
 def q_text_weights(spark, sf):
-    w = models.term_weights(T(spark, sf, "documents").select("doc_id", "text").repartition("doc_id"), "doc_id", "text")
+    w = models.term_weights(T(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text")
     return w.select("doc_id", "term", "tf", r6(F.col("weight")).alias("weight"))
 
 

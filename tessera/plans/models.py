@@ -213,6 +213,8 @@ def fit_text_vectors(df: DataFrame, text: str, num_features: int = 1 << 18) -> P
 #: a term is common if it has more than this share of all (text, term) rows:
 #: at most so many terms are, and their weights are broadcast
 COMMON_TERMS = 10_000
+#: bytes of text, and (text, term) rows, of one task of ``term_weights``
+TASK_BYTES, TASK_ROWS = 8 << 20, 1 << 20
 
 
 def term_weights(df: DataFrame, id_col: str | Sequence[str], text: str, n: int | None = None,
@@ -223,21 +225,27 @@ def term_weights(df: DataFrame, id_col: str | Sequence[str], text: str, n: int |
     without terms give no rows; a length of zero gives zero weights.
 
     A term may be in most texts: the common ones (``COMMON_TERMS`` at most) meet
-    their counts by a broadcast, the others by an equi-join. ``n``: the number
-    of texts, if it is known; ``keep_idf``: also ``idf``. Several ``id_col``
-    name a text together."""
+    their counts by a broadcast, the others by an equi-join. Texts and rows are
+    dealt to as many tasks as their size asks for, so a task's memory doesn't
+    grow with the table. ``n``: the number of texts, if it is known;
+    ``keep_idf``: also ``idf``. Several ``id_col`` name a text together."""
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("bytes")).first()
+    n = size.n if n is None else n
+    df = df.repartition(max(default, -(-(size.bytes or 0) // TASK_BYTES)), *ids)
     tok = df.select(*ids, F.explode(F.split(F.lower(text), r"[^\p{L}\p{N}_]+")).alias("term")).where("term <> ''")
     tf = tok.groupBy(*ids, "term").agg(F.count(F.lit(1)).alias("tf")).checkpoint(eager=True)
-    n = df.count() if n is None else n
     vocabulary = tf.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
     vocabulary = vocabulary.withColumn("idf", F.log((F.lit(float(n)) + 1) / (F.col("_df") + 1.0)))
-    least = tf.count() / COMMON_TERMS
+    n_rows = tf.count()
+    least, parts = n_rows / COMMON_TERMS, -(-n_rows // TASK_ROWS)
+    deal = (lambda x, *keys: x.repartition(parts, *keys)) if parts > default else (lambda x, *keys: x)
     common = F.broadcast(vocabulary.where(F.col("_df") > least).select("term", F.col("idf").alias("_common")))
     w = tf.join(common, "term", "left")
-    rare = w.where("_common is null").drop("_common").join(vocabulary.where(F.col("_df") <= least).select("term", "idf"), "term")
+    rare = deal(w.where("_common is null").drop("_common"), "term").join(deal(vocabulary.where(F.col("_df") <= least).select("term", "idf"), "term"), "term")
     w = w.where("_common is not null").withColumnRenamed("_common", "idf").unionByName(rare)
-    w = w.withColumn("_w", F.col("tf") * F.col("idf"))
+    w = deal(w, *ids).withColumn("_w", F.col("tf") * F.col("idf"))
     # a window holds the distinct terms of one text
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*ids)))
     w = w.withColumn("_len", length)
