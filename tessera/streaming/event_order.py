@@ -17,6 +17,7 @@ sets in the session: Spark's timers and list states need it.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -26,6 +27,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 _MICROS = "event_micros"  # (names with a leading underscore do not reach the processor)
+#: rows of one value of the list state
+STATE_ROWS = 10_000
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -34,13 +37,13 @@ class _InOrder(StatefulProcessor):
     order; a value that isn't None sends the row (and the value, if ``extra``)."""
 
     def __init__(self, schema: T.StructType, id_col: str, step: Callable, extra: str | None):
-        self.schema, self.step, self.extra = schema, step, extra
+        self.step, self.extra = step, extra
         self.names = schema.fieldNames()  # without the time, with its microseconds
         self.at, self.by = self.names.index(_MICROS), self.names.index(id_col)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", self.schema)
+        self.pending = handle.getListState("pending", "rows binary")  # a value for each Arrow batch
         self.seen = handle.getValueState("seen", "seen long")
 
     def _wake(self, micros: int) -> None:
@@ -52,7 +55,8 @@ class _InOrder(StatefulProcessor):
         for pdf in rows:
             pdf = pdf[self.names][pdf[_MICROS] > passed]
             if len(pdf):
-                self.pending.appendList([tuple(None if v is None or v != v else v for v in r) for r in pdf.astype(object).itertuples(index=False)])
+                columns = [[None if v is None or v != v else v for v in pdf[c].tolist()] for c in self.names]
+                self.pending.appendValue((pickle.dumps([*zip(*columns)]),))
                 least = int(pdf[_MICROS].min())
                 first = least if first is None else min(first, least)
         if first is not None:
@@ -62,12 +66,13 @@ class _InOrder(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         due, rest = [], []
-        for row in self.pending.get():
-            (due if row[self.at] <= passed else rest).append(tuple(row))
+        for value in self.pending.get():
+            for row in pickle.loads(value[0]):
+                (due if row[self.at] <= passed else rest).append(row)
         if not due:  # another timer of the same rows came first
             return
         if rest:
-            self.pending.put(rest)
+            self.pending.put([(pickle.dumps(rest[a : a + STATE_ROWS]),) for a in range(0, len(rest), STATE_ROWS)])
             self._wake(min(r[self.at] for r in rest))
         else:
             self.pending.clear()

@@ -56,3 +56,19 @@ def test_late_rows_are_dropped(spark):
     s = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(folder)
     got = streams.run_available(event_order.every_nth_in_order(s, "user_id", "ts", "event_id", 1, "1 hour"), "late")
     assert sorted((r.event_id, r.rn) for r in got.collect()) == [(1, 1), (2, 3), (4, 2)]
+
+
+def test_a_batch_of_a_key_is_one_value_of_state():
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    class State(list):
+        def appendValue(self, value):
+            self.append(value)
+
+    own = T.StructType([T.StructField(c, T.LongType()) for c in ("event_id", "event_micros")])
+    step = event_order._InOrder(own, "event_id", lambda seen, micros: (micros, True), None)
+    step.pending, step.handle = State(), type("Handle", (), {"registerTimer": lambda self, ms: None})()
+    times = type("Times", (), {"getCurrentWatermarkInMs": lambda self: 0})()
+    list(step.handleInputRows((1,), iter([pd.DataFrame({"event_id": range(500), "event_micros": range(1, 501)})]), times))
+    assert len(step.pending) == 1
