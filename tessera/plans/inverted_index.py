@@ -43,7 +43,7 @@ TERM = r"[\p{L}\p{N}_]"
 TERM_BREAK = r"[^\p{L}\p{N}_]+"
 BAND = 1.15
 TILE_BLOCKS = 1 << 14
-TILE_QUESTIONS = 4096
+TILE_QUESTIONS = 1 << 15
 DIGITS = 9
 _SLACK = 1e-8  # sums in another order differ by less
 
@@ -109,14 +109,16 @@ class InvertedIndex:
         theta = first.withColumn("_i", F.row_number().over(best)).where(F.col("_i") <= k).groupBy("i").agg(
             F.when(F.count(F.lit(1)) == k, F.min("s")).otherwise(0.0).alias("theta"))
         share = share.join(theta, "i").checkpoint(eager=True)
+        n_chunks = max(1, -(-share.select("i").distinct().count() // TILE_QUESTIONS))
+        share = share.withColumn("chunk", F.pmod(F.xxhash64("i"), F.lit(n_chunks)).cast("int"))
         needed = share.join(self.parts, ["topic", "term"]).where(F.col("q") * F.col("high") + F.col("all") - F.col("most") >= F.col("theta") - _SLACK)
-        # parts are in order of weight: those needed of a list are the first ones
-        upto = needed.groupBy("topic", "term").agg(F.max("part").alias("_upto"))
+        # parts are in order of weight: those needed of a list are the first ones;
+        # a chunk of questions gets the lists of its own terms only
+        upto = needed.groupBy("topic", "term", "chunk").agg(F.max("part").alias("_upto"))
         own = self.postings.join(upto, ["topic", "term"]).where("part <= _upto")
-        n_chunks = max(1, -(-share.select("i").distinct().count() // TILE_QUESTIONS))
-        own = own.select("topic", "term", "b", "weight", F.expr(f"b div {TILE_BLOCKS}").alias("tile"), F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("chunk"))
+        own = own.select("topic", "term", "b", "weight", F.expr(f"b div {TILE_BLOCKS}").alias("tile"), F.expr("chunk + 0").alias("chunk"))
         tiles = self.blocks.select("topic", F.expr(f"b div {TILE_BLOCKS}").alias("tile")).distinct()
-        asked = share.join(tiles, "topic").select("topic", "tile", F.pmod(F.xxhash64("i"), F.lit(n_chunks)).cast("int").alias("chunk"), "i", "term", "q", "theta")
+        asked = share.join(tiles, "topic").select("topic", "tile", "chunk", "i", "term", "q", "theta")
         key = ["topic", "tile", "chunk"]
         found = asked.groupBy(*key).cogroup(own.groupBy(*key)).applyInArrow(_tile(k), f"i long, topic {asked.schema['topic'].dataType.simpleString()}, b long, score double")
         return _ranked(found, k)

@@ -38,15 +38,24 @@ def retrieve(questions: DataFrame, blocks: DataFrame, k: int = 3, cache: DataFra
 
 
 def answer_from(index: inverted_index.InvertedIndex, q: DataFrame, blocks: DataFrame, k: int = 3) -> DataFrame:
-    """The prompt table of ``q(qid, key, text)`` from an index that is there."""
-    weights = index.weigh(q).checkpoint(eager=True)
-    topics = q.select("qid").join(index.route(weights), "qid", "left").crossJoin(F.broadcast(index.last_topic().withColumnRenamed("topic", "_last")))
+    """The prompt table of ``q(qid, key, text)`` from an index that is there.
+    Questions of the same words have the same context: they are searched once.
+    The rows of one ``qid`` are one question, whose context has each block once
+    for each of them."""
+    words = F.coalesce(F.split(F.lower("text"), inverted_index.TERM_BREAK), F.array().cast("array<string>"))
+    known = q.groupBy("qid").agg(F.trim(F.array_join(F.array_sort(F.flatten(F.collect_list(words))), " ")).alias("text"), F.count(F.lit(1)).alias("_rows"))
+    asked = known.select("text", "_rows").distinct().withColumn("_asked", F.monotonically_increasing_id()).checkpoint(eager=True)
+    weights = index.weigh(asked, "_asked").checkpoint(eager=True)
+    asked = asked.withColumnRenamed("_asked", "qid")
+    topics = asked.select("qid").join(index.route(weights), "qid", "left").crossJoin(F.broadcast(index.last_topic().withColumnRenamed("topic", "_last")))
     topics = topics.select("qid", F.coalesce("topic", "_last").alias("topic")).where("topic is not null").checkpoint(eager=True)
     nn = index.nearest(weights, topics, k)
     texts = blocks.select("bid", F.col("text").alias("_bt"))
+    nn = nn.join(asked.select("qid", F.explode(F.sequence(F.lit(1).cast("long"), "_rows"))).select("qid"), "qid")
     ctx = nn.join(texts, "bid").groupBy("qid", "topic").agg(
         TX.join_ranked(F.col("rank"), TX.strip_ws(F.col("_bt"))).alias("context"))
-    out = q.join(ctx, "qid", "left")
+    ctx = asked.join(ctx, "qid").select("text", "_rows", "topic", "context")
+    out = q.join(known.join(ctx, ["text", "_rows"]).select("qid", "topic", "context"), "qid", "left")
     prompt = TX.render_prompt(F.coalesce(F.col("context"), F.lit("")), F.col("text"))
     short = F.length(TX.strip_ws(F.coalesce(F.col("context"), F.lit("")))) < TX.MIN_CONTEXT_CHARS
     return out.select(

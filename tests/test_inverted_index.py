@@ -102,3 +102,26 @@ def test_struct_keys_and_empty_tables(spark):
     none = retrieval.retrieve(q, blocks.where(F.lit(False)), k=1).first()
     assert none.status != "ready" and none.context is None
     assert retrieval.retrieve(q.limit(0), blocks).count() == 0
+
+
+def test_questions_of_the_same_words_are_searched_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    index = inverted_index.build(spark.createDataFrame([(1, "a", "the red fox"), (2, "a", "a blue whale"), (3, "a", "the grey wolf")], "bid long, topic string, text string"), scratch_path(spark, "same-words"))
+    asked = []
+    weigh = inverted_index.InvertedIndex.weigh
+    monkeypatch.setattr(inverted_index.InvertedIndex, "weigh", lambda self, df, *a: asked.append(df.count()) or weigh(self, df, *a))
+    q = spark.createDataFrame([(i, "k", t) for i, t in enumerate(["Red fox?", "fox, RED", "whale", "Whale!", None])], "qid long, key string, text string")
+    out = {r.qid: r.context for r in retrieval.answer_from(index, q, index.blocks.select("bid").withColumn("text", F.format_string("block %d", "bid")), 1).collect()}
+    assert asked == [3] and out == {0: "block 1", 1: "block 1", 2: "block 2", 3: "block 2", 4: "block 1"}
+
+
+def test_chunks_of_questions_get_their_own_lists(spark, monkeypatch):
+    monkeypatch.setattr(inverted_index, "TILE_QUESTIONS", 2)
+    blocks = spark.createDataFrame([(i, "a", f"w{i} w{i % 5} common") for i in range(40)], "bid long, topic string, text string")
+    index = inverted_index.build(blocks, scratch_path(spark, "chunks"))
+    q = spark.createDataFrame([(i, f"w{i}") for i in range(40)], "qid long, text string")
+    topics = q.selectExpr("qid", "'a' as topic")
+    got = {r.qid: r.bid for r in index.top(index.weigh(q), topics, 1).collect()}
+    monkeypatch.setattr(inverted_index, "TILE_QUESTIONS", 4096)
+    assert got == {r.qid: r.bid for r in index.top(index.weigh(q), topics, 1).collect()} and len(got) == 40
