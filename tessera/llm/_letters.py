@@ -56,14 +56,19 @@ def class_sample(rows: DataFrame, label: str, per_class: int, max_classes: int)
     return chosen.orderBy(F.xxhash64("doc_id", F.lit("fit")), "doc_id").limit(2 * per_class * max_classes)
 
 
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """``labels(doc_id, label)`` whose label is 0 or 1, a row for each id: of
+    several labels of an id the largest holds."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
+    return known.groupBy("doc_id").agg(F.max(label).alias(label))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> list:
     """Rows of ``docs`` for a bounded sample of each value of ``label`` (0 or 1)
     in ``labels(doc_id, label)``. The sample is drawn from the labels and its
     ids broadcast, so the texts aren't shuffled. Of several labels of an id the
     largest holds."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
-    known = known.groupBy("doc_id").agg(F.max(label).alias(label))
-    chosen = class_sample(known, label, per_class, 2)
+    chosen = class_sample(known_labels(labels, label), label, per_class, 2)
     rows = docs.where("text is not null").join(F.broadcast(chosen), "doc_id")
     # repeated ids can't make the sample larger than a fixed number of rows
     return rows.orderBy(F.xxhash64("doc_id", F.lit("fit")), "doc_id", F.xxhash64("text")).limit(4 * per_class).collect()

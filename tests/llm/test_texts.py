@@ -417,3 +417,26 @@ def test_pipeline_of_odd_rows(spark, odd_docs):
             assert out.columns == odd_docs.columns
             now = spark.createDataFrame(out.collect(), odd_docs.schema)
     assert out.count() > 0
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    # a word that a sample of 2500 rows a label would hardly hold: 24 of 9000 toxic rows
+    rng = random.Random(2)
+    plain = [a + b + c for a in "abcdef" for b in "aeiou" for c in "lmnrst"]
+    rows, labels = [], []
+    for i in range(18_000):
+        own = [rng.choice(plain) for _ in range(6)]
+        if i % 2:
+            own[rng.randrange(6)] = "quizzed" if i < 48 else "nastyword"
+        rows.append((i, " ".join(own), "en", "s", 1))
+        labels.append((i, 0, i % 2))
+    docs, labels = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    seen = []
+    count_rows = conv_toxicity._count_rows
+    monkeypatch.setattr(conv_toxicity, "_count_rows", lambda dealt, names: (seen.append((dealt.count(), dealt.rdd.getNumPartitions())), count_rows(dealt, names))[1])
+    model = conv_toxicity.fit(docs, labels)
+    assert seen == [(18_000, 5)]
+    again = conv_toxicity.fit(docs.repartition(3), labels)
+    assert (model.embeddings == again.embeddings).all() and (model.thresholds == again.thresholds).all() and model.bias == again.bias
+    asked = spark.createDataFrame([(1, "bal quizzed cem"), (2, "bal cem dor"), (3, "nastyword bal"), (4, "")], "k long, text string")
+    assert [r.predicted for r in conv_toxicity.score_texts(asked, model).orderBy("k").collect()] == [1, 0, 1, 0]
