@@ -53,6 +53,8 @@ PREFIXES = (4, 5, 6)
 DECISION = 0.7
 #: labelled rows, and bytes of their texts, of one task of an epoch
 SHARD_ROWS, SHARD_BYTES = 4096, 16 << 20
+#: labelled ids that are broadcast; more are joined by a shuffle
+MOST_BROADCAST = 1_000_000
 #: whole numbers in one, of changes that are summed
 UNIT = float(1 << 32)
 #: bins of the thresholds for one unit of the log-odds
@@ -234,6 +236,27 @@ def _epoch(net: ConvNet, mem: list, rows, which, bounds, y, balance, rng, batch:
             net.embeddings[word] -= rate * total / np.sqrt(mem_e[word])[:, None]
 
 
+def _held(batches):
+    """(bytes, offsets, labels) of a shard's texts; in several parts if they have
+    more than twice ``SHARD_BYTES`` (an id that many rows share)."""
+    held, size = [], 0
+    for batch in batches:
+        toxic = batch.column(batch.schema.get_field_index("toxic")).to_numpy()
+        for start, stop, data, offs in text_slices(batch, "text"):
+            held.append((data.copy(), np.diff(offs), toxic[start:stop]))
+            size += len(data)
+            if size > 2 * SHARD_BYTES:
+                yield _joined(held)
+                held, size = [], 0
+    if held:
+        yield _joined(held)
+
+
+def _joined(held):
+    data, n, toxic = (np.concatenate(x) for x in zip(*held))
+    return data, np.concatenate([[0], np.cumsum(n)]), toxic.astype(np.float32)
+
+
 def _shard_changes(learn: DataFrame, net: ConvNet, mem: list, n0: int, n1: int, seed: list[int], **steps) -> DataFrame:
     """(row, c0, c1, ..., shards): the sums of what an epoch of each shard changes, in
     units of 1 / ``UNIT``, and the number of shards that changed it. Rows are
@@ -243,21 +266,18 @@ def _shard_changes(learn: DataFrame, net: ConvNet, mem: list, n0: int, n1: int,
     names = [f"c{i}" for i in range(width)]
 
     def run(batches):
-        held = []
-        for batch in batches:
-            toxic = batch.column(batch.schema.get_field_index("toxic")).to_numpy()
-            held += [(data.copy(), np.diff(offs), toxic[start:stop]) for start, stop, data, offs in text_slices(batch, "text")]
-        if not held:
-            return
-        offs = np.concatenate([[0], np.cumsum(np.concatenate([n for _, n, _ in held]))])
-        rows, _, which, bounds = _different_words(np.concatenate([d for d, _, _ in held]), offs)
-        y = np.concatenate([t for _, _, t in held]).astype(np.float32)
-        balance = np.where(y == 1, 0.5 * (n0 + n1) / n1, 0.5 * (n0 + n1) / n0).astype(np.float32)
         old, old_mem = shared.value
         own = ConvNet(old.embeddings.copy(), [f.copy() for f in old.filters], [b.copy() for b in old.biases], old.weights.copy(), old.bias)
         own_mem = [m.copy() for m in old_mem]
         rng = np.random.default_rng([*seed, TaskContext.get().partitionId()])
-        _epoch(own, own_mem, rows, which, bounds, y, balance, rng, **steps)
+        texts = 0
+        for data, offs, y in _held(batches):
+            texts += len(y)
+            rows, _, which, bounds = _different_words(data, offs)
+            balance = np.where(y == 1, 0.5 * (n0 + n1) / n1, 0.5 * (n0 + n1) / n0).astype(np.float32)
+            _epoch(own, own_mem, rows, which, bounds, y, balance, rng, **steps)
+        if not texts:
+            return
         change = np.column_stack([own.embeddings.astype(np.float64) - old.embeddings, own_mem[0].astype(np.float64) - old_mem[0]])
         at = np.flatnonzero((change != 0).any(axis=1))
         flat = [(a.astype(np.float64) - b).ravel() for a, b in zip(_dense(own, own_mem), _dense(old, old_mem))]
@@ -337,12 +357,14 @@ def _thresholds(bins: list, n_languages: int) -> np.ndarray:
 def _dealt(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """All labelled rows (lang, text, toxic, learn) in partitions of a shard each."""
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("text is not null")
-    rows = rows.join(known_labels(labels, "toxic"), "doc_id")
-    rows = rows.withColumn("learn", F.pmod(F.xxhash64("doc_id", F.lit("check")), F.lit(5)) > 0)
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    shards = max(1, -(-size.n // SHARD_ROWS), -(-(size.bytes or 0) // SHARD_BYTES))
+    known = known_labels(labels, "toxic")
+    size = rows.select("doc_id", F.octet_length("text").alias("b")).join(known, "doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
+    shards = max(1, -(-size.n // SHARD_ROWS), -(-(size.b or 0) // SHARD_BYTES))
+    # a bounded number of ids is broadcast, so that texts without a label aren't shuffled
+    rows = rows.join(F.broadcast(known) if known.count() <= MOST_BROADCAST else known, "doc_id")
     rows = rows.repartition(shards, "doc_id", "text").sortWithinPartitions(F.xxhash64("doc_id", "text"), "doc_id", "lang")
-    return rows.select("lang", "text", F.col("toxic").cast("int").alias("toxic"), "learn").checkpoint(eager=True)
+    learn = F.pmod(F.xxhash64("doc_id", F.lit("check")), F.lit(5)) > 0
+    return rows.select("lang", "text", F.col("toxic").cast("int").alias("toxic"), learn.alias("learn")).checkpoint(eager=True)
 
 
 def fit(
