@@ -849,7 +849,8 @@ def _doc_features(spark, sf):
 
 
 def _split_docs(spark, sf):
-    f = _doc_features(spark, sf)
+    # narrow rows, kept: the split reads them twice, and texts are cut into words once
+    f = _doc_features(spark, sf).checkpoint(eager=True)
     s = prep.stratified_split(f, "doc_id", "quality", 20, 42)
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 

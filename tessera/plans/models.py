@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.prep import fit_scaler, require_columns
 from tessera.plans.exact_trees import TreeModel, grow_trees
+from tessera.session import ensure_checkpoint_dir
 
 
 def scaler_stage(df: DataFrame, cols: Sequence[str], prefix: str = "z_") -> SQLTransformer:
@@ -78,19 +79,35 @@ def score_multi(df: DataFrame, models: Sequence[PipelineModel], keep: Sequence[s
     return out.select(*keep, *preds)
 
 
+#: rows of a training task: fewer aren't worth a task, more don't fit its memory
+LEAST_ROWS, MOST_ROWS = 20_000, 500_000
+
+
+def training_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``columns`` of ``df``, computed once and dealt to the cluster's cores: they
+    are much narrower than what they come from, so Spark joins them into few
+    parts, and each of some hundred passes would keep as few cores busy."""
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.select(*dict.fromkeys(columns)).checkpoint(eager=True)
+    n = rows.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = min(-(-n // LEAST_ROWS), max(cores, -(-n // MOST_ROWS)))
+    return rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows
+
+
 def fit_mlp(df: DataFrame, features: Sequence[str], label: str, hidden: Sequence[int] = (16, 8),
             n_classes: int = 2, max_iter: int = 500, seed: int = 42) -> PipelineModel:
     """MLP on standardised features (sigmoid hidden units, l-bfgs)."""
     require_columns(df, list(features) + [label])
-    scaler = scaler_stage(df, features)
-    layers = [len(features), *hidden, n_classes]
-    return Pipeline(stages=[
-        scaler,
-        VectorAssembler(inputCols=[f"z_{c}" for c in features], outputCol="features"),
-        MultilayerPerceptronClassifier(featuresCol="features", labelCol=label, layers=layers,
-                                       maxIter=max_iter, seed=seed, predictionCol=f"pred_{label}",
-                                       rawPredictionCol=f"raw_{label}", probabilityCol=f"prob_{label}"),
-    ]).fit(df)
+    rows = training_rows(df, [*features, label])
+    scaler = scaler_stage(rows, features)
+    assembler = VectorAssembler(inputCols=[f"z_{c}" for c in features], outputCol="features")
+    # each pass sends the plan behind its rows to every task: of a checkpoint, next to nothing
+    vectors = assembler.transform(scaler.transform(rows)).select("features", label).checkpoint(eager=True)
+    mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol=label, layers=[len(features), *hidden, n_classes],
+                                         maxIter=max_iter, seed=seed, predictionCol=f"pred_{label}",
+                                         rawPredictionCol=f"raw_{label}", probabilityCol=f"prob_{label}")
+    return PipelineModel([scaler, assembler, mlp.fit(vectors)])
 
 
 def save_model(model, path: str) -> None:
