@@ -3,9 +3,18 @@
 A word is a run of letters (ASCII letters folded, non-ASCII bytes as they are);
 each character of scripts written without blanks (Han, Kana, Thai, Lao, Khmer,
 Myanmar) is a word of its own. Words are 64-bit hashes. Nothing of the model is
-gathered: sequences of three words are counted over all texts in Spark, and
-continuation counts, back-off weights and probabilities are aggregates and
-joins of tables partitioned by hash, which texts are looked up against.
+gathered: Spark deals all sequences of three words by their middle word to
+slots of about ``BUCKET`` sequences, where their counts, continuation counts and
+back-off weights are made together; the sequences of a middle word that occurs
+``HOT`` times or more lie in several slots. What slots know in part (after how
+many words a word stands, contexts of frequent words) is summed by name in a
+second exchange and given back to the slots that asked.
+
+Most sequences of a corpus occur once, so an exchange of them has several times
+the bytes of the texts. They cross packed (columns of a block of texts, zstd),
+and in ``PASSES`` passes over the slots, whose shuffle files go when the pass is
+written; a pass reads the texts again. Counts come first, for all slots, then
+probabilities, as discounts hang on all counts.
 
 A text would predict itself, as most of its sequences occur nowhere else. Texts
 are therefore dealt to ``FOLDS`` folds by a hash of the text, and each is judged
@@ -20,122 +29,393 @@ known words and it. One model serves all languages, so texts may mix them.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm._text import IS_LETTER, LOWER, arrow_map, hash_spans, mix, spans, text_slices
+from tessera.llm._text import IS_LETTER, LOWER, arrow_map, hash_spans, mix, runs, text_slices
 from tessera.session import ensure_checkpoint_dir
 
 FOLDS = 16
+#: parts of the model that are made one after the other; only one part's exchanges lie on disk
+PASSES = 6
+#: sequences that a task holds, and from which on a middle word's sequences are dealt to several
+BUCKET, HOT = 1_000_000, 2_000_000
+#: sequences that a task of texts deals at a time
+BLOCK = 1_000_000
+_DEALT = "part int, n int, m int, a binary, b binary, c binary, unit binary, own binary, weight binary"
+_ASKED = "part int, slot int, n int, m int, word binary, at binary, kind binary, value binary"
+_KINDS, _TOTAL = 2 * FOLDS + 1, 2 * FOLDS  # of a context: below are a value for each fold, twice
+
 
 
 def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash (not 0) of each word, and where each text's words start."""
-    after = np.append(data[1:], 0)
-    alone = (data >= 0xE3) & (data <= 0xE9) | (data == 0xE0) & (after >= 0xB8) & (after <= 0xBB)
-    alone |= (data == 0xE1) & ((after >= 0x80) & (after <= 0x82) | (after >= 0x9E) & (after <= 0x9F))
-    at = np.flatnonzero(alone)
+    at = np.flatnonzero(data >= 0xE0)
+    lead, after = data[at], data[np.minimum(at + 1, len(data) - 1)]
+    alone = (lead >= 0xE3) & (lead <= 0xE9) | (lead == 0xE0) & (after >= 0xB8) & (after <= 0xBB)
+    alone |= (lead == 0xE1) & ((after >= 0x80) & (after <= 0x82) | (after >= 0x9E) & (after <= 0x9F))
+    at = at[alone]
     cuts = np.unique(np.concatenate([offs, at, np.minimum(at + 3, len(data))])) if len(at) else offs
-    starts, ends, _ = spans(IS_LETTER[data], cuts)
-    doc = np.searchsorted(offs, starts, "right") - 1
+    starts, ends = runs(IS_LETTER[data], cuts)
     h = np.maximum(hash_spans(LOWER[data], starts, ends), np.uint64(1))
-    return h, np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(offs) - 1))])
+    return h, np.searchsorted(starts, offs)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(values).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(rows: list[dict], name: str, dtype, size: str) -> list[np.ndarray]:
+    width = np.dtype(dtype).itemsize
+    return [np.frombuffer(pa.decompress(r[name], r[size] * width, codec="zstd", asbytes=True), dtype) for r in rows]
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    types = {"int": pa.int32(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], types[t]) for i, (_, t) in enumerate(fields)], names=[f for f, _ in fields])
+
+
+def _sequences(batch: pa.RecordBatch):
+    """Slices of ``batch(key, text)``: (keys, copies of each in the slice, text
+    of each sequence of three words, a, b, c); 0 stands before a text."""
+    for start, stop, data, offs in text_slices(batch, "text"):
+        key = batch.column(0).slice(start, stop - start).to_numpy()
+        _, first, again, copies = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        c, bounds = word_hashes(data, offs)
+        n = np.diff(bounds)
+        place = np.arange(len(c)) - np.repeat(bounds[:-1], n)
+        b, a = np.zeros_like(c), np.zeros_like(c)
+        b[1:], a[2:] = c[:-1], c[:-2]
+        b[place < 1], a[place < 2] = 0, 0
+        text = np.repeat(np.arange(len(n)), n)
+        if len(first) < len(key):  # copies count by weight
+            one = (first[again] == np.arange(len(key)))[text]
+            text, a, b, c = text[one], a[one], b[one], c[one]
+        yield key, copies[again], text, a, b, c
 
 
-def _sequences(docs: DataFrame, each_text: bool) -> DataFrame:
-    """(key, a, b, c, n) of ``docs(key, text)``: sequences of three words (0
-    before a text) and how often they occur in a text, or, with the fold as
-    key, in a slice of texts."""
+def _sizes(docs: DataFrame) -> tuple[int, list[int]]:
+    """The number of sequences in ``docs(key, text)``, and frequent middle words."""
 
     def run(batches):
+        total, held = 0, []
+
+        def frequent():
+            word, n = np.unique(np.concatenate(held), return_counts=True)
+            often = n >= BLOCK // 5000
+            return pa.RecordBatch.from_arrays([pa.array(word[often].view(np.int64)), pa.array(n[often])], names=["word", "n"])
+
         for batch in batches:
-            for start, stop, data, offs in text_slices(batch, "text"):
-                c, bounds = word_hashes(data, offs)
-                if not len(c):
-                    continue
-                n = np.diff(bounds)
-                place = np.arange(len(c)) - np.repeat(bounds[:-1], n)
-                b, a = np.zeros_like(c), np.zeros_like(c)
-                b[1:], a[2:] = c[:-1], c[:-2]
-                b[place < 1], a[place < 2] = 0, 0
-                key = batch.column(0).slice(start, stop - start).to_numpy()
-                own = np.repeat(key if each_text else key % FOLDS, n)
-                unit = np.repeat(np.arange(len(n), dtype=np.uint64), n) if each_text else own.astype(np.uint64)
-                code = mix(mix(mix(c) + b) + a) ^ mix(unit + np.uint64(1))
-                _, first, count = np.unique(code, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (own[first], a[first].view(np.int64), b[first].view(np.int64), c[first].view(np.int64), count)],
-                    names=["key", "a", "b", "c", "n"],
-                )
-
-    return arrow_map(docs, run, "key long, a long, b long, c long, n long")
-
-
-def _stored(rows: DataFrame) -> DataFrame:
-    """``rows`` as Parquet in the shared folder (counts pack better than in a checkpoint)."""
-    spark = rows.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/words-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+            for _, _, _, _, b, _ in _sequences(batch):
+                total += len(b)
+                held.append(b)
+                if sum(map(len, held)) > BLOCK:
+                    yield frequent()
+                    held = []
+        if held:
+            yield frequent()
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total])], names=["word", "n"])
+
+    counts = arrow_map(docs, run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = counts.where(F.col("word").isNull() | (F.col("n") >= HOT)).collect()  # at most a row for HOT sequences
+    return sum(r.n for r in rows if r.word is None), [r.word for r in rows if r.word is not None]
+
+
+def _dealt(docs: DataFrame, frequent: np.ndarray, slots: int, low: int, high: int) -> DataFrame:
+    """Sequences of the slots from ``low`` to ``high``, a row of packed columns
+    for each slot and block of texts. A middle word's sequences are in one
+    slot, those of frequent ones dealt by their last word."""
+
+    def run(batches):
+        held, units = [], 0
 
+        def packed():
+            place, a, b, c, unit, own, weight = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(place)
+            place, a, b, c, unit = place[order], a[order], b[order], c[order], unit[order]
+            slot = (place >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)
+            cuts = np.concatenate([[0], np.flatnonzero(slot[1:] != slot[:-1]) + 1, [len(slot)]])
+            for i, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                used = np.zeros(len(own), bool)
+                used[unit[i:z]] = True
+                number = (np.cumsum(used) - 1)[unit[i:z]].astype(np.uint32)
+                row = (int(slot[i]) - low, z - i, int(used.sum()), *(_pack(x[i:z]) for x in (a, b, c)), _pack(number), _pack(own[used]), _pack(weight[used]))
+                yield _batch([row], _DEALT)
+
+        for batch in batches:
+            for key, copies, text, a, b, c in _sequences(batch):
+                place = mix(b + np.uint64(1))
+                if len(frequent):
+                    often = np.flatnonzero(_isin(b, frequent))
+                    place[often] = mix(place[often] + c[often])
+                slot = (place >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)
+                mine = np.flatnonzero((slot >= low) & (slot < high))
+                held.append((place[mine], a[mine], b[mine], c[mine], text[mine] + units, key, copies.astype(np.uint32)))
+                units += len(key)
+                if sum(len(x[0]) for x in held) > BLOCK:
+                    yield from packed()
+                    held, units = [], 0
+        if held and sum(len(x[0]) for x in held):
+            yield from packed()
+
+    return arrow_map(docs, run, _DEALT)
+
+
+def _isin(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def _groups(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Number of each code's group, a place of each group, and how many there are."""
+    found, group = np.unique(code, return_inverse=True)
+    place = np.empty(len(found), np.int64)
+    place[group] = np.arange(len(code))
+    return group, place, len(found)
+
+
+class _Slot:
+    """Counts of the sequences of a slot by all folds but the own one: rows
+    (sequence, fold), pairs (b, c, fold), and sums of contexts."""
+
+    def __init__(self, rows: list[dict], frequent: np.ndarray):
+        a, b, c = (np.concatenate(_unpack(rows, x, np.uint64, "n")) for x in "abc")
+        own, weight, unit = (_unpack(rows, x, t, s) for x, t, s in (("own", np.int64, "m"), ("weight", np.uint32, "m"), ("unit", np.uint32, "n")))
+        self.key = np.concatenate([k[u] for k, u in zip(own, unit)])
+        self.weight = np.concatenate([w[u] for w, u in zip(weight, unit)]).astype(np.float64)
+        fold = self.key % FOLDS
+        three, at, size = _groups(mix(mix(mix(c) + b) + a))
+        a, b, c = a[at], b[at], c[at]
+        code, self.row = np.unique(three * FOLDS + fold, return_inverse=True)
+        three, self.fold = code // FOLDS, code % FOLDS
+        own = np.bincount(self.row, self.weight)
+        n = np.bincount(three, own, size)
+        self.n3, gone, self.counts3 = n[three] - own, own == n[three], n
+        # contexts of two words
+        ab = mix(mix(b) + a)
+        two, at2, size2 = _groups(ab)
+        self.after_two = _Context(two[three], self.fold, own, gone, np.bincount(two, n, size2), np.bincount(two, minlength=size2), ab[at2], b[at2], frequent)
+        # pairs: before how many words
+        pair, at, size = _groups(mix(mix(c) + b))
+        before = np.bincount(pair, minlength=size)
+        code, self.pair = np.unique(pair[three] * FOLDS + self.fold, return_inverse=True)
+        pair, fold = code // FOLDS, code % FOLDS
+        lost = np.bincount(self.pair, gone)
+        self.n2, gone, self.counts2, self.fold2 = before[pair] - lost, lost == before[pair], before, fold
+        b, c = b[at], c[at]
+        one, at1, size1 = _groups(b)
+        self.after_one = _Context(one[pair], fold, lost, gone, np.bincount(one, before, size1), np.bincount(one, minlength=size1), mix(b[at1] + np.uint64(2)), b[at1], frequent)
+        # words: after how many words
+        word, at, size = _groups(c)
+        self.words = _Context(word[pair], fold, gone.astype(np.float64), np.zeros(len(gone)), np.bincount(word, minlength=size), np.zeros(size), c[at], None, frequent)
 
-def _by_fold(rows: DataFrame, by: list[str], **sums) -> DataFrame:
-    """Sums for each fold of ``by`` (``own_<name>``) and over all its folds
-    (``<name>``), and ``once``: 1 on one of the rows of ``by``."""
-    out = rows.groupBy(*by, "fold").agg(*[F.sum(v).alias(f"own_{k}") for k, v in sums.items()])
-    every = Window.partitionBy(*by)
-    out = out.withColumns({k: F.sum(f"own_{k}").over(every) for k in sums} | {"_low": F.min("fold").over(every)})
-    return out.withColumn("once", (F.col("fold") == F.col("_low")).cast("int")).drop("_low")
 
+class _Context:
+    """Sums of the groups of rows, over all folds and for each; those that have
+    rows in other slots are asked for."""
 
-def _discount(rows: DataFrame, count: str) -> float:
-    n1, n2 = rows.where("once = 1").agg(F.sum(F.expr(f"int({count} = 1)")), F.sum(F.expr(f"int({count} = 2)"))).first()
-    n1, n2 = n1 or 0, n2 or 0
-    return min(max(n1 / max(1, n1 + 2 * n2), 0.1), 0.95)
+    def __init__(self, group, fold, own, gone, total, kinds, name, word, frequent):
+        code, self.row = np.unique(group * FOLDS + fold, return_inverse=True)
+        self.group, self.fold = code // FOLDS, code % FOLDS
+        self.own, self.gone = np.bincount(self.row, own), np.bincount(self.row, gone)
+        self.total, self.kinds, self.name = total.astype(np.float64), kinds.astype(np.float64), name
+        shared = np.ones(len(name), bool) if word is None else _isin(word, frequent) if len(frequent) else np.zeros(len(name), bool)
+        self.shared, self.is_word = shared, word is None
+
+    def asked(self):
+        """(name, kind, value) of what other slots may add to."""
+        mine = self.shared[self.group]
+        rows = [(self.name[self.shared], np.full(self.shared.sum(), _TOTAL), self.total[self.shared])]
+        rows.append((self.name[self.group[mine]], self.fold[mine], self.own[mine]))
+        if not self.is_word:
+            rows.append((self.name[self.shared], np.full(self.shared.sum(), _KINDS), self.kinds[self.shared]))
+            rows.append((self.name[self.group[mine]], FOLDS + self.fold[mine], self.gone[mine]))
+        name, kind, value = (np.concatenate(x) for x in zip(*rows))
+        there = value > 0
+        return name[there], kind[there].astype(np.uint8), value[there].astype(np.int64)
+
+    def told(self, names, at, kind, value):
+        """Take the sums over all slots: ``names`` ascend, ``at`` is a place in them."""
+        if not len(names):
+            return
+        place = np.minimum(np.searchsorted(names, self.name), len(names) - 1)
+        known = (names[place] == self.name) & self.shared
+        where = np.full(len(names), -1, np.int64)
+        where[place[known]] = np.flatnonzero(known)
+        mine, group = where[at] >= 0, where[at]
+        for k, sums in ((_TOTAL, self.total), (_KINDS, self.kinds)):
+            one = mine & (kind == k)
+            sums[group[one]] = value[one]
+        code = self.group * FOLDS + self.fold
+        for shift, sums in ((0, self.own), (FOLDS, self.gone)):
+            one = mine & (kind >= shift) & (kind < shift + FOLDS)
+            want = group[one] * FOLDS + kind[one] - shift
+            spot = np.minimum(np.searchsorted(code, want), len(code) - 1)
+            hit = code[spot] == want
+            sums[spot[hit]] = value[one][hit]
+
+    def rest(self):
+        """Total and kinds of each row, without its fold."""
+        return (self.total[self.group] - self.own)[self.row], (self.kinds[self.group] - self.gone)[self.row]
+
+
+def _bounds(parts: int) -> np.ndarray:
+    return np.array([i * 2**64 // parts for i in range(1, parts)], np.uint64)
+
+
+def _asked_of(dealt: DataFrame, frequent: np.ndarray, parts: int, low: int) -> DataFrame:
+    """What the slots know of words and shared contexts, for the part of each
+    name; and a row without a part: how many sequences and pairs were found
+    once and twice."""
+
+    def run(batches):
+        rows = [r for batch in batches for r in batch.to_pylist()]
+        if not rows:
+            return
+        slot = _Slot(rows, frequent)
+        part = low + rows[0]["part"]
+        name, kind, value = (np.concatenate(x) for x in zip(*(c.asked() for c in (slot.words, slot.after_two, slot.after_one))))
+        names, at = np.unique(name, return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        at, kind, value = at[order], kind[order], value[order]
+        cuts = np.concatenate([[0], np.searchsorted(names, _bounds(parts)), [len(names)]])
+        for p, (i, z) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+            if z > i:
+                x, y = np.searchsorted(at, [i, z]).tolist()
+                yield _batch([(p, part, z - i, y - x, _pack(names[i:z]), _pack(np.diff(at[x:y], prepend=i).astype(np.uint32)), _pack(kind[x:y]), _pack(value[x:y]))], _ASKED)
+        found = np.array([(x == k).sum() for x in (slot.counts3, slot.counts2) for k in (1, 2)], np.int64)
+        yield _batch([(None, part, 0, len(found), None, None, None, _pack(found))], _ASKED)
 
+    return arrow_map(dealt, run, _ASKED)
 
-def _mixed(count: str, discount: float, total: str, kinds: str, below):
+
+def _answers(asked: DataFrame, parts: int) -> DataFrame:
+    """For each slot the sums over all slots of what it shares with others; and
+    a row without a slot: sums over words (all, then by fold)."""
+
+    def run(batches):
+        rows = [r for batch in batches for r in batch.to_pylist()]
+        if not rows:
+            return
+        names = _unpack(rows, "word", np.uint64, "n")
+        every, of = np.unique(np.concatenate(names), return_inverse=True)
+        of = np.split(of, np.cumsum([len(x) for x in names])[:-1])
+        at = [np.cumsum(x.astype(np.int64)) for x in _unpack(rows, "at", np.uint32, "m")]
+        kind, value = (np.concatenate(_unpack(rows, x, t, "m")) for x, t in (("kind", np.uint8), ("value", np.int64)))
+        code, group = np.unique(np.concatenate([o[x] for o, x in zip(of, at)]) * 64 + kind, return_inverse=True)
+        value = np.bincount(group, value).astype(np.int64)
+        owner, kind = code // 64, (code % 64).astype(np.uint8)
+        first = np.searchsorted(owner, np.arange(len(every) + 1))
+        shared = np.bincount(np.concatenate(of), minlength=len(every)) > 1
+        for r, o in zip(rows, of):
+            o = o[shared[o]]
+            if len(o):
+                n = first[o + 1] - first[o]
+                at = np.repeat(np.arange(len(o)), n)
+                pick = np.repeat(first[o] - (np.cumsum(n) - n), n) + np.arange(len(at))
+                row = (None, r["slot"], len(o), len(at), _pack(every[o]), _pack(np.diff(at, prepend=0).astype(np.uint32)), _pack(kind[pick]), _pack(value[pick]))
+                yield _batch([row], _ASKED)
+        word = np.ones(len(every), bool)
+        word[owner[kind == _KINDS]] = False
+        mine = word[owner]
+        total = np.zeros(len(every), np.int64)
+        total[owner[kind == _TOTAL]] = value[kind == _TOTAL]
+        own = mine & (kind < FOLDS)
+        sums = [total[word].sum(), word.sum(), (total[word] == 1).sum(), (total[word] == 2).sum()]
+        lost = np.bincount(kind[own], value[own], FOLDS)
+        gone = np.bincount(kind[own & (value == total[owner])], minlength=FOLDS)
+        found = np.concatenate([sums, lost, gone]).astype(np.int64)
+        yield _batch([(None, None, 0, len(found), None, None, None, _pack(found))], _ASKED)
+
+    return arrow_map(asked.repartitionById(parts, "part"), run, _ASKED)
+
+
+def _mixed(count, discount, total, kinds, below):
     """Interpolation of a discounted count with the probability below; only the
     latter where the context is unknown."""
-    plain = (F.greatest(F.col(count) - discount, F.lit(0.0)) + discount * F.col(kinds) * below) / F.col(total)
-    return F.when(F.col(total) > 0, plain).otherwise(below)
-
-
-def probabilities(docs: DataFrame) -> DataFrame:
-    """(a, b, c, fold, p): probability of the word ``c`` after ``a`` and ``b``
-    by all folds but ``fold``, for each sequence of that fold in ``docs(key, text)``."""
-    counted = _sequences(docs, False).withColumnRenamed("key", "fold")
-    # slices are added up already: one exchange serves the sums and the window
-    tri = _by_fold(counted.repartition("a", "b", "c"), ["a", "b", "c"], n=F.col("n"))
-    tri = _stored(tri.select("a", "b", "c", "fold", "own_n", "n", "once", F.expr("int(n = own_n)").alias("gone")))
-    after_two = _by_fold(tri, ["a", "b"], total=F.col("own_n"), kinds=F.col("once"), gone=F.col("gone"))
-    after_two = after_two.select(
-        "a", "b", "fold", (F.col("total") - F.col("own_total")).alias("total"), (F.col("kinds") - F.col("own_gone")).alias("kinds")
-    )
-    # continuation counts: before how many words a shorter sequence stands
-    bi = _by_fold(tri, ["b", "c"], before=F.col("once"), lost=F.col("gone"))
-    bi = _stored(bi.select("b", "c", "fold", "own_before", "own_lost", "before", "once", F.expr("int(before = own_lost)").alias("gone")))
-    after_one = _by_fold(bi, ["b"], total=F.col("own_before"), lost=F.col("own_lost"), kinds=F.col("once"), gone=F.col("gone"))
-    after_one = after_one.select(
-        "b", "fold", (F.col("total") - F.col("own_lost")).alias("total"), (F.col("kinds") - F.col("own_gone")).alias("kinds")
-    )
-    uni = _by_fold(bi, ["c"], before=F.col("once"), lost=F.col("gone"))
-    uni = _stored(uni.select("c", "fold", "own_before", "own_lost", "before", "once", F.expr("int(before = own_lost)").alias("gone")))
-    d3, d2, d1 = _discount(tri, "n"), _discount(bi, "before"), _discount(uni, "before")
-    # a row for each fold
-    by_fold = uni.groupBy("fold").agg(*[F.sum(c).alias(c) for c in ("own_before", "own_lost", "once", "gone")]).collect()
-    total, kinds = sum(r.own_before for r in by_fold), sum(r.once for r in by_fold)
-    table = [(r.fold, total - r.own_lost, kinds - r.gone) for r in by_fold]
-    sizes = F.broadcast(docs.sparkSession.createDataFrame(table, "fold long, total long, kinds long"))
-    p1 = uni.join(sizes, "fold").withColumn("_count", F.col("before") - F.col("own_lost"))
-    p1 = p1.select("c", "fold", _mixed("_count", d1, "total", "kinds", 1 / (F.col("kinds") + 1.0)).alias("p1"))
-    p2 = bi.withColumn("_count", F.col("before") - F.col("own_lost")).join(after_one, ["b", "fold"]).join(p1, ["c", "fold"])
-    p2 = p2.select("b", "c", "fold", _mixed("_count", d2, "total", "kinds", F.col("p1")).alias("p2"))
-    p3 = tri.withColumn("_count", F.col("n") - F.col("own_n")).join(after_two, ["a", "b", "fold"]).join(p2, ["b", "c", "fold"])
-    return p3.select("a", "b", "c", "fold", _mixed("_count", d3, "total", "kinds", F.col("p2")).alias("p"))
+    plain = (np.maximum(count - discount, 0.0) + discount * kinds * below) / np.maximum(total, 1)
+    return np.where(total > 0, plain, below)
+
+
+def _text_sums(both: DataFrame, frequent: np.ndarray, discounts, total: np.ndarray, kinds: np.ndarray) -> DataFrame:
+    """(key, _log, n_scored) of each text in each slot."""
+    d3, d2, d1 = discounts
+
+    def run(batches):
+        rows, told = [], []
+        for batch in batches:
+            for r in batch.to_pylist():
+                (rows if r["a"] is not None else told).append(r)
+        if not rows:
+            return
+        slot = _Slot(rows, frequent)
+        for r in told:
+            names, at, kind, value = (_unpack([r], x, t, s)[0] for x, t, s in (("word", np.uint64, "n"), ("at", np.uint32, "m"), ("kind", np.uint8, "m"), ("value", np.int64, "m")))
+            for context in (slot.words, slot.after_two, slot.after_one):
+                context.told(names, np.cumsum(at.astype(np.int64)), kind, value)
+        n1, _ = slot.words.rest()
+        f = slot.fold2
+        p = _mixed(n1, d1, total[f], kinds[f], 1 / (kinds[f] + 1.0))
+        p = _mixed(slot.n2, d2, *slot.after_one.rest(), p)[slot.pair]
+        p = _mixed(slot.n3, d3, *slot.after_two.rest(), p)
+        key, at = np.unique(slot.key, return_inverse=True)
+        log, n = np.bincount(at, slot.weight * np.log(p)[slot.row]), np.bincount(at, slot.weight)
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(log), pa.array(n.astype(np.int64))], names=["key", "_log", "n_scored"])
+
+    return arrow_map(both, run, "key long, _log double, n_scored long")
+
+
+@contextmanager
+def _cleaned(spark: SparkSession):
+    """Shuffle files of a query go when it ends, not when the driver collects
+    garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
+def _stored(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` as Parquet in the shared folder; their exchanges are removed."""
+    spark = rows.sparkSession
+    with _cleaned(spark):
+        rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _emptied(spark: SparkSession, path: str):
+    """Overwrite a table that isn't needed any more."""
+    spark.createDataFrame([], _ASKED).write.mode("overwrite").parquet(path)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _sums(rows: DataFrame, size: int) -> np.ndarray:
+    """Sum of the packed numbers of rows that belong to no part."""
+
+    def run(batches):
+        out = np.zeros(size, np.int64)
+        for batch in batches:
+            for r in batch.to_pylist():
+                out += _unpack([r], "value", np.int64, "m")[0]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(out)], names=["i", "n"])
+
+    found = {r.i: r.n for r in arrow_map(rows, run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()}
+    return np.array([found.get(i, 0) for i in range(size)])
+
+
+def _discount(n1: int, n2: int) -> float:
+    return float(min(max(n1 / max(1, n1 + 2 * n2), 0.1), 0.95))
 
 
 def text_key(text: str = "text"):
@@ -147,8 +427,37 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
     """(key, word_ppl, n_scored): mean negative log-probability of a word of
     each text with words, by ``text_key``, and its words (of all copies)."""
     keyed = docs.where(F.col(text).isNotNull()).select(text_key(text).alias("key"), F.col(text).alias("text"))
-    name = lambda fold: F.xxhash64("a", "b", "c", fold).alias("g")
-    known = probabilities(keyed).select(name(F.col("fold")), F.log("p").alias("_log"))
-    asked = _sequences(keyed, True).select("key", name(F.col("key") % FOLDS), "n")
-    out = asked.join(known, "g").groupBy("key").agg(F.sum(F.col("n") * F.col("_log")).alias("_log"), F.sum("n").alias("n_scored"))
+    size, often = _sizes(keyed)
+    frequent = np.sort(np.array(often, np.int64).view(np.uint64))
+    passes = max(1, min(PASSES, -(-size // BUCKET)))
+    each = max(1, -(-size // (BUCKET * passes)))  # slots of a pass
+    slots, parts = each * passes, -(-each // 3)  # parts of a pass over the names
+    spark, folder = docs.sparkSession, f"{ensure_checkpoint_dir(docs.sparkSession)}/words-{uuid.uuid4().hex}"
+
+    def dealt(k):
+        return _dealt(keyed, frequent, slots, k * each, (k + 1) * each)
+
+    def asked_of(k):
+        return _asked_of(dealt(k).repartitionById(each, "part"), frequent, parts * passes, k * each)
+
+    asked = _union([_stored(asked_of(k), f"{folder}/asked-{k}") for k in range(passes)])
+    found = _sums(asked.where("part is null"), 4)
+
+    def answers_of(k):
+        return _answers(asked.where(F.col("part").between(k * parts, (k + 1) * parts - 1)).withColumn("part", F.col("part") - k * parts), parts)
+
+    answers = _union([_stored(answers_of(k), f"{folder}/answers-{k}") for k in range(passes)])
+    total, words, once, twice, *by_fold = _sums(answers.where("slot is null"), 4 + 2 * FOLDS).tolist()
+    for k in range(passes):
+        _emptied(spark, f"{folder}/asked-{k}")
+    discounts = _discount(found[0], found[1]), _discount(found[2], found[3]), _discount(once, twice)
+    totals, kinds = total - np.array(by_fold[:FOLDS]), words - np.array(by_fold[FOLDS:])
+
+    def sums_of(k):
+        own = answers.where(F.col("slot").between(k * each, (k + 1) * each - 1)).withColumn("part", F.col("slot") - k * each)
+        both = dealt(k).unionByName(own.drop("slot"), allowMissingColumns=True).repartitionById(each, "part")
+        return _text_sums(both, frequent, discounts, totals, kinds).groupBy("key").agg(F.sum("_log").alias("_log"), F.sum("n_scored").alias("n_scored"))
+
+    sums = _union([_stored(sums_of(k), f"{folder}/sums-{k}") for k in range(passes)])
+    out = sums.groupBy("key").agg(F.sum("_log").alias("_log"), F.sum("n_scored").alias("n_scored"))
     return out.select("key", (-F.col("_log") / F.col("n_scored")).alias("word_ppl"), "n_scored")

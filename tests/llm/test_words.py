@@ -1,14 +1,18 @@
 """Word model of the quality rules."""
 
 import collections
+import glob
 import math
+import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import kn_quality, kn_words
 from tessera.llm._letters import texts_to_bytes
+from tessera.llm._text import hash_spans
 
 
 def prose(rng, words, n=80):
@@ -88,3 +92,50 @@ def test_odd_texts(spark):
     docs = spark.createDataFrame([(None,), ("",), ("1 2 !",), ("one",), ("one",)], "text string")
     assert [r.n_scored for r in kn_words.score(docs).collect()] == [2]
     assert kn_words.score(docs.where(F.lit(False))).count() == 0
+
+
+def test_dealt_words_equal_one_slot(spark, monkeypatch):
+    """Several passes and slots, and frequent words dealt by the word after them."""
+    rng = random.Random(7)
+    words = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    rows = [" ".join(words[min(99, int(rng.expovariate(0.1)))] for _ in range(rng.randrange(0, 60))) for _ in range(400)]
+    docs = spark.createDataFrame([(t,) for t in rows + rows[:40] * 3], "text string").repartition(3)
+    one = {r.key: r for r in kn_words.score(docs).collect()}
+    monkeypatch.setattr(kn_words, "BUCKET", 500)
+    monkeypatch.setattr(kn_words, "HOT", 400)
+    keyed = docs.select(kn_words.text_key().alias("key"), "text")
+    assert len(kn_words._sizes(keyed)[1]) > 3
+    many = {r.key: r for r in kn_words.score(docs).collect()}
+    assert {k: r.n_scored for k, r in many.items()} == {k: r.n_scored for k, r in one.items()}
+    assert all(r.word_ppl == pytest.approx(one[k].word_ppl, rel=1e-9) for k, r in many.items())
+
+
+def test_disk_of_words(spark, tmp_path, monkeypatch):
+    """Neither the exchanges that stay nor the tables have many bytes a word."""
+    rng = random.Random(8)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(200))
+    spark.createDataFrame([(text(),) for _ in range(1000)], "text string").repartition(4).write.parquet(f"{tmp_path}/texts")
+    docs = spark.read.parquet(f"{tmp_path}/texts")
+    monkeypatch.setattr(kn_words, "ensure_checkpoint_dir", lambda spark: str(tmp_path))
+    local = os.environ.get("SPARK_LOCAL_DIRS", spark.conf.get("spark.local.dir", "/tmp"))
+
+    def size(pattern):
+        return {p: os.path.getsize(p) for p in glob.glob(pattern, recursive=True) if os.path.isfile(p)}
+
+    before = size(f"{local}/**/blockmgr-*/**/shuffle_*.data")
+    assert kn_words.score(docs).count() == 1000
+    after = size(f"{local}/**/blockmgr-*/**/shuffle_*.data")
+    assert sum(n for p, n in after.items() if p not in before) < 10 * 200_000
+    assert sum(size(f"{tmp_path}/words-*/**").values()) < 20 * 200_000
+
+
+def test_hashes_of_spans():
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 256, 200_000).astype(np.uint8)
+    words = [data[a : a + n] for a, n in zip(rng.integers(0, 199_000, 300).tolist(), rng.integers(1, 90, 300).tolist())]
+    alone = [hash_spans(w, np.array([0]), np.array([len(w)]))[0] for w in words]
+    ends = np.cumsum([len(w) for w in words])
+    starts = ends - [len(w) for w in words]
+    order = rng.permutation(len(words))
+    together = hash_spans(np.concatenate([*words, data]), starts[order], ends[order])
+    assert (together == np.array(alone)[order]).all()
