@@ -4,8 +4,8 @@ Base rules come from the words of a text (counts of characters, symbols,
 repeated lines and words in repeated five-word windows). Texts that pass them
 are judged by two n-gram language models, of words and of symbols.
 
-Words (``kn_words``): sequences of three words of all texts, held in Spark
-tables that grow with the corpus; each text is scored by the counts of other
+Words (``kn_words``): sequences of three words of all texts, dealt by Spark to
+slots that grow with the corpus; each text is scored by the counts of other
 texts. Each language has an upper limit, ``above_words`` robust deviations over
 the median of its distinct texts that aren't near copies (half of the ninth
 decile or more); shuffled words and lists of words lie over it. There is no
