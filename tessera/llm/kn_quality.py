@@ -58,6 +58,8 @@ SYMBOLS = 1 << SYMBOL_BITS
 WINDOW = 5
 STRETCH = 64
 MIXED = 8
+#: of the rows of the MIXED languages' models, if they have rows for all their contexts
+MIXED_BYTES = 64 << 20
 #: fixed values: characters that count as symbols of the base rules
 SYMBOL_CHARS = b"#*$%&|<>"
 OTHER = "\x00other"  # the shared model of rare languages
@@ -207,15 +209,26 @@ class SymbolModel:
     def number(self, lang) -> int:
         return self.languages.get(lang, self.languages.get(OTHER, 0))
 
-    def rows(self, language: int) -> tuple[np.ndarray, np.ndarray]:
+    def rows(self, language: int, context: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The model resolved for scoring: row of each context (or -1), and
-        log-probabilities of all next symbols in a row."""
-        context = self.contexts[language]
+        log-probabilities of all next symbols in a row; by default of the
+        contexts that the language has."""
+        context = self.contexts[language] if context is None else context
         row = np.full(1 << SYMBOL_BITS * (ORDER - 1), -1, np.int32)
         row[context] = np.arange(len(context))
         codes = (context[:, None] << SYMBOL_BITS) | np.arange(SYMBOLS)
         return row, self.log_probability(language, codes.ravel()).reshape(codes.shape).astype(np.float32)
 
+    def mixed(self) -> dict:
+        """Language -> rows of the MIXED most frequent ones that have contexts,
+        all with the rows of all their contexts; without any if those are large."""
+        some = [i for i in range(min(MIXED, len(self.languages))) if len(self.contexts[i])]
+        context = np.unique(np.concatenate([self.contexts[i] for i in some])) if some else np.zeros(0, np.int64)
+        if len(some) * len(context) * SYMBOLS * 4 > MIXED_BYTES:
+            return {}
+        rows = {i: self.rows(i, context) for i in some}
+        return {i: (rows[some[0]][0], table) for i, (_, table) in rows.items()}
+
 
 def fit(docs: DataFrame, languages: int = 64) -> SymbolModel:
     """Count all of ``docs(lang, text)`` and make the model."""
@@ -257,6 +270,7 @@ _RESOLVED: dict = {}  # of the last model in this process
 def _resolved(tag: str, model: SymbolModel, language: int):
     if _RESOLVED.get("tag") != tag:
         _RESOLVED.clear()
+        _RESOLVED.update(model.mixed())
         _RESOLVED["tag"] = tag
     if language not in _RESOLVED:
         _RESOLVED[language] = model.rows(language)
@@ -277,13 +291,17 @@ def _sequence_scores(tag, model, data, offs, langs) -> tuple[np.ndarray, np.ndar
     heads = bounds[owner] + (np.arange(len(owner)) - (np.cumsum(stretches) - stretches)[owner]) * STRETCH
     best = np.full(len(owner), -np.inf)
     context, last = code >> SYMBOL_BITS, code & (SYMBOLS - 1)
+    rows = at = miss = None
     for language in sorted({*numbers.tolist(), *range(min(MIXED, len(model.languages)))}):
         row, table = _resolved(tag, model, language)
         if not len(table):
             continue
-        r = row[context]
-        logp = table[r, last]
-        miss = np.flatnonzero(r < 0)
+        if row is not rows:  # languages with the same rows follow each other
+            rows, at = row, row[context]
+            miss = np.flatnonzero(at < 0)
+            at = (at << SYMBOL_BITS) + last
+            at[miss] = 0
+        logp = table.ravel()[at]
         if len(miss):
             logp[miss] = model.log_probability(language, code[miss].astype(np.int64))
         total = np.add.reduceat(logp, heads, dtype=np.float64)
@@ -291,11 +309,12 @@ def _sequence_scores(tag, model, data, offs, langs) -> tuple[np.ndarray, np.ndar
     return -np.bincount(owner, weights=best, minlength=len(n)) / np.maximum(n, 1), n
 
 
-def repeated_words(words: list[bytes], k: int = WINDOW) -> int:
-    """Words inside a k-word window that occurs twice or more."""
+def repeated_words(words: list[bytes], k: int = WINDOW, starts=None) -> int:
+    """Words inside a k-word window that occurs twice or more; ``starts``: the
+    windows that may."""
     places: dict = {}
-    for i, w in enumerate(zip(*[words[j:] for j in range(k)])):
-        places.setdefault(w, []).append(i)
+    for i in range(len(words) - k + 1) if starts is None else starts:
+        places.setdefault(tuple(words[i : i + k]), []).append(i)
     hit = bytearray(len(words))
     for at in places.values():
         if len(at) > 1:
@@ -313,11 +332,11 @@ def base_counts(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     first = np.concatenate([[0], np.cumsum(n_words)])
 
     def per_doc(mask):
-        return np.diff(np.concatenate([[0], np.cumsum(mask)])[offs])
+        return np.diff(np.searchsorted(np.flatnonzero(mask), offs))
 
     symbol = np.zeros(256, bool)
     symbol[list(SYMBOL_CHARS)] = True
-    out = {"n_words": n_words, "word_chars": per_doc(inside & ((data & 0xC0) != 0x80)), "n_symbols": per_doc(symbol[data])}
+    out = {"n_words": n_words, "word_chars": np.diff(offs) - per_doc(~inside | ((data & 0xC0) == 0x80)), "n_symbols": per_doc(symbol[data])}
     words = hash_spans(data, starts, ends)
     repeats, lines = np.zeros(n_docs, np.int64), np.zeros(n_docs, np.int64)
     window = np.zeros(0, np.uint64)
@@ -332,8 +351,11 @@ def base_counts(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
         a, z = int(first[i]), int(first[i + 1]) - WINDOW + 1
         if z - a > 1:
             own = np.sort(window[a:z])
-            if (own[1:] == own[:-1]).any():  # equal hashes; the words decide
-                repeats[i] = repeated_words(raw[offs[i] : offs[i + 1]].split())
+            again = own[1:][own[1:] == own[:-1]]
+            if len(again):  # equal hashes; the words decide
+                own = window[a:z]
+                starts = np.flatnonzero(again[np.minimum(np.searchsorted(again, own), len(again) - 1)] == own)
+                repeats[i] = repeated_words(raw[offs[i] : offs[i + 1]].split(), starts=starts.tolist())
         if has_break[i]:
             own = [x for x in raw[offs[i] : offs[i + 1]].split(b"\n") if x and x.strip()]
             lines[i] = len(own) - len(set(own))

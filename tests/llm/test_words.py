@@ -110,6 +110,36 @@ def test_dealt_words_equal_one_slot(spark, monkeypatch):
     assert all(r.word_ppl == pytest.approx(one[k].word_ppl, rel=1e-9) for k, r in many.items())
 
 
+def test_several_slots_of_a_task(spark, monkeypatch):
+    """Words that several slots of one task have, rare ones, frequent ones."""
+    rng = random.Random(11)
+    words = [f"{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz"]
+    rows = [" ".join(words[min(599, int(rng.expovariate(0.02)))] for _ in range(rng.randrange(0, 60))) for _ in range(300)]
+    docs = spark.createDataFrame([(t,) for t in rows + rows[:20] * 2], "text string").repartition(3)
+    one = {r.key: r for r in kn_words.score(docs).collect()}
+    monkeypatch.setattr(kn_words, "BUCKET", 100)
+    monkeypatch.setattr(kn_words, "HOT", 150)
+    monkeypatch.setattr(kn_words, "TASKS", 3)
+    many = {r.key: r for r in kn_words.score(docs).collect()}
+    assert {k: r.n_scored for k, r in many.items()} == {k: r.n_scored for k, r in one.items()}
+    assert all(r.word_ppl == pytest.approx(one[k].word_ppl, rel=1e-9) for k, r in many.items())
+
+
+def test_texts_are_read_twice(spark, monkeypatch):
+    """Once for the sizes, once to store the words, whatever the passes."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    docs = spark.range(300).select(F.concat(F.lit("some words of text "), F.col("id") % 7, F.lit(" and more")).alias("text"))
+    monkeypatch.setattr(kn_words, "BUCKET", 100)
+    assert kn_words.score(docs.mapInArrow(count, "text string")).count() == 7
+    assert seen.value == 600
+
+
 def test_disk_of_words(spark, tmp_path, monkeypatch):
     """Neither the exchanges that stay nor the tables have many bytes a word."""
     rng = random.Random(8)
