@@ -128,7 +128,10 @@ def count_grams(docs: DataFrame) -> DataFrame:
                 s, bounds = symbols(data, offs)
                 own = [names.setdefault(v, len(names)) for v in batch.column(0).slice(start, stop - start).to_pylist()]
                 key = grams(s, bounds).astype(np.int64) | np.repeat(np.array(own, np.int64), np.diff(bounds)) << (ORDER * SYMBOL_BITS)
-                held.append(np.unique(key, return_counts=True))
+                if len(names) < 1 << (31 - ORDER * SYMBOL_BITS):
+                    key = key.astype(np.int32)  # sorted faster
+                key, n = np.unique(key, return_counts=True)
+                held.append((key.astype(np.int64), n))
                 total += len(held[-1][0])
                 if total > 2_000_000:
                     held = [merged()]
@@ -206,6 +209,20 @@ class SymbolModel:
             out[miss] = weight + self.log_probability(language, code[miss], order - 1)
         return out
 
+    def _filled(self, language: int, context: np.ndarray, order: int = ORDER) -> np.ndarray:
+        """``log_probability`` of all symbols after each context; those of
+        shorter contexts are made once."""
+        if order == 0:
+            return np.full((len(context), SYMBOLS), -np.log(SYMBOLS))
+        shorter = 1 << SYMBOL_BITS * max(order - 2, 0)
+        below = self._filled(language, np.arange(shorter), order - 1)[context & (shorter - 1)]
+        key = _key(language, order, context)
+        at = np.minimum(np.searchsorted(self.b_keys, key), len(self.b_keys) - 1)
+        out = np.where(self.b_keys[at] == key, self.b_values[at], 0.0)[:, None] + below
+        key = _key(language, order, (context[:, None] << SYMBOL_BITS) | np.arange(SYMBOLS))
+        at = np.minimum(np.searchsorted(self.p_keys, key), len(self.p_keys) - 1)
+        return np.where(self.p_keys[at] == key, self.p_values[at], out)
+
     def number(self, lang) -> int:
         return self.languages.get(lang, self.languages.get(OTHER, 0))
 
@@ -216,8 +233,7 @@ class SymbolModel:
         context = self.contexts[language] if context is None else context
         row = np.full(1 << SYMBOL_BITS * (ORDER - 1), -1, np.int32)
         row[context] = np.arange(len(context))
-        codes = (context[:, None] << SYMBOL_BITS) | np.arange(SYMBOLS)
-        return row, self.log_probability(language, codes.ravel()).reshape(codes.shape).astype(np.float32)
+        return row, self._filled(language, context).astype(np.float32)
 
     def mixed(self) -> dict:
         """Language -> rows of the MIXED most frequent ones that have contexts,

@@ -50,7 +50,7 @@ from tessera.session import ensure_checkpoint_dir
 FOLDS = 16
 _FOLD_BITS = 4
 #: parts of the model that are made one after the other; only one part's exchanges lie on disk
-PASSES = 5
+PASSES = 4
 #: sequences of a slot, and from which on a middle word's sequences are dealt to several slots
 BUCKET, HOT = 500_000, 1_000_000
 #: tasks of a pass from which on a task has several slots, and the most that it has
@@ -356,7 +356,10 @@ def _present(code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The codes that there are, and the place of each row's code among them."""
     there = np.zeros(size, bool)
     there[code] = True
-    return np.flatnonzero(there), (np.cumsum(there, dtype=np.int32) - 1)[code]
+    found = np.flatnonzero(there)
+    place = np.empty(size, np.int32)
+    place[found] = np.arange(len(found), dtype=np.int32)
+    return found, place[code]
 
 
 class _Slot:
