@@ -15,8 +15,8 @@ five tables in one folder:
 A search weighs the questions' terms, finds each question's topic, and the top
 k blocks there by inner product (equal to nine decimals: the smaller id first):
 
-1. of each term the parts of its k largest weights give lower bounds of scores;
-   the k-th is a bound ``theta`` that a block has to reach;
+1. of each term its ``HEAD`` largest weights give lower bounds of scores; the
+   k-th is a bound ``theta`` that a block has to reach;
 2. a part of a list is skipped when its largest weight and the greatest shares
    of all other terms stay below ``theta`` for every question of the topic that
    has the term: no block of it can enter, so that sums over the parts left are
@@ -44,6 +44,7 @@ TERM_BREAK = r"[^\p{L}\p{N}_]+"
 BAND = 1.15
 TILE_BLOCKS = 1 << 14
 TILE_QUESTIONS = 1 << 15
+HEAD = 64
 DIGITS = 9
 _SLACK = 1e-8  # sums in another order differ by less
 
@@ -90,6 +91,15 @@ class InvertedIndex:
         known = topics.withColumn("i", F.monotonically_increasing_id()).checkpoint(eager=True)
         return weights.join(known.select("qid", "i", "topic"), "qid").select("i", "topic", "term", "q"), known
 
+    def _heads(self, heads: DataFrame, k: int) -> DataFrame:
+        """(topic, term, b, weight): the ``HEAD`` (k at least) largest weights of
+        each term of ``heads(topic, term, _upto)``, whose k largest are in bands up
+        to ``_upto``. A band of a common term has as many blocks as the table asks
+        for; each question of the term would meet them all."""
+        rows = self.postings.join(heads.select("topic", "term", "_upto"), ["topic", "term"]).where("part <= _upto")
+        order = Window.partitionBy("topic", "term").orderBy(F.desc("weight"), "b")
+        return rows.withColumn("_i", F.row_number().over(order)).where(F.col("_i") <= max(k, HEAD)).select("topic", "term", "b", "weight")
+
     def _top(self, asked: DataFrame, k: int) -> DataFrame:
         """(i, topic, b, score, rank) of ``asked(i, topic, term, q)``."""
         bands = self.parts.join(asked.select("topic", "term").distinct(), ["topic", "term"], "left_semi")
@@ -103,7 +113,7 @@ class InvertedIndex:
         share = share.withColumns({
             "under": F.coalesce(F.sum("most").over(below), F.lit(0.0)), "all": F.sum("most").over(Window.partitionBy("i")),
         }).drop("_high").checkpoint(eager=True)
-        first = share.join(self.postings, ["topic", "term"]).where("part <= _upto")
+        first = share.join(self._heads(heads, k), ["topic", "term"])
         first = first.groupBy("i", "b").agg(F.sum(F.col("q") * F.col("weight")).alias("s"))
         best = Window.partitionBy("i").orderBy(F.desc("s"))
         theta = first.withColumn("_i", F.row_number().over(best)).where(F.col("_i") <= k).groupBy("i").agg(

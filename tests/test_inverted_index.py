@@ -125,3 +125,21 @@ def test_chunks_of_questions_get_their_own_lists(spark, monkeypatch):
     got = {r.qid: r.bid for r in index.top(index.weigh(q), topics, 1).collect()}
     monkeypatch.setattr(inverted_index, "TILE_QUESTIONS", 4096)
     assert got == {r.qid: r.bid for r in index.top(index.weigh(q), topics, 1).collect()} and len(got) == 40
+
+
+def test_bounds_take_a_few_blocks_of_a_term(spark, monkeypatch):
+    """A band of equal weights isn't met whole by each question of the term."""
+    monkeypatch.setattr(inverted_index, "HEAD", 4)
+    blocks = [(i, "t", f"common word{i} other{i % 3}") for i in range(200)] + [(200, "t", "else")]
+    path = scratch_path(spark, "index")
+    index = inverted_index.build(spark.createDataFrame(blocks, "bid long, topic string, text string"), path)
+    heads = index.parts.groupBy("topic", "term").agg({"part": "max"}).withColumnRenamed("max(part)", "_upto")
+    rows = index._heads(heads, 3).groupBy("term").count().collect()
+    assert {r.term: r["count"] for r in rows}["common"] == 4 and max(r["count"] for r in rows) == 4
+    questions = [(1, "common other1"), (2, "common"), (3, "other2 word5")]
+    q = spark.createDataFrame(questions, "qid long, text string")
+    weights = index.weigh(q).checkpoint(eager=True)
+    got = {}
+    for r in index.top(weights, index.route(weights), 3).orderBy("qid", "rank").collect():
+        got.setdefault(r.qid, []).append((r.bid, round(r.score, 9)))
+    assert got == {i: s for i, (_, s) in exhaustive(blocks, questions, 3).items()}
